@@ -30,9 +30,13 @@ def _unpadded(text: Column) -> Column:
     return first.between("!", "~") & last.between("!", "~")
 
 
-def to_whole(text: Column, kind: str = "bigint") -> Column:
-    """Whole-number text to ``kind``; anything else, ``150.0`` included, to null."""
-    return F.when(_unpadded(text), text.try_cast(kind))
+def to_whole(text: Column, kind: str = "bigint", raw: Column | None = None) -> Column:
+    """Whole-number text to ``kind``; anything else, ``150.0`` included, to null.
+
+    Where ``text`` is built from a column whose literals were replaced, pass that
+    column as ``raw``: the guard then tests it instead of repeating the expression.
+    """
+    return F.when(_unpadded(text if raw is None else raw), text.try_cast(kind))
 
 
 def to_double(text: Column) -> Column:
@@ -46,16 +50,14 @@ def number(column: Column, data_type: str) -> Column:
 
 
 def zero_pad(text: Column, width: int) -> Column:
-    """Pad with zeros after any sign; never cuts, unlike ``lpad``."""
-    sign = F.substring(text, 1, 1)
-    return (
-        F.when(F.length(text) >= width, text)
-        .when(
-            sign.isin("-", "+"),
-            F.concat(sign, F.lpad(F.substring(text, 2, width), width - 1, "0")),
-        )
-        .otherwise(F.lpad(text, width, "0"))
+    """Pad with zeros after any sign; never cuts, unlike plain ``lpad``."""
+    digits = F.substring(text, 2, 2**31 - 1)
+    signed = F.concat(
+        F.substring(text, 1, 1),
+        F.lpad(digits, F.greatest(F.length(digits), F.lit(width - 1)), F.lit("0")),
     )
+    plain = F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+    return F.when(F.substring(text, 1, 1).isin("-", "+"), signed).otherwise(plain)
 
 
 def code_text(text: Column, width: int) -> Column:

@@ -24,7 +24,7 @@ from ..functions import codes
 from ..functions.casts import code_text, col, map_text, to_double, to_whole, zero_pad
 from .columns import drop_present, rename_legacy
 
-Rule = Callable[[Column], Column]
+Rule = Callable[..., Column]
 
 
 class _Projection:
@@ -35,13 +35,19 @@ class _Projection:
         self.text = {name for name, kind in df.dtypes if kind == "string"}
         self.exprs = {name: col(name) for name in df.columns}
 
-    def apply(self, names: Iterable[str], rule: Rule, typed: bool = False) -> "_Projection":
-        """Apply ``rule`` to present text columns; ``typed`` marks a final cast."""
+    def replace(self, names: Iterable[str], rule: Rule) -> "_Projection":
+        """Text to text, on present text columns."""
         for name in names:
             if name in self.text:
                 self.exprs[name] = rule(self.exprs[name])
-                if typed:
-                    self.text.discard(name)
+        return self
+
+    def cast(self, names: Iterable[str], rule: Rule) -> "_Projection":
+        """Text to number, once per column; the rule also gets the untouched column."""
+        for name in names:
+            if name in self.text:
+                self.exprs[name] = rule(self.exprs[name], col(name))
+                self.text.discard(name)
         return self
 
     def change(self, name: str, rule: Rule) -> "_Projection":
@@ -53,12 +59,16 @@ class _Projection:
         return self.df.select(*[e.alias(n) for n, e in self.exprs.items()])
 
 
-def _whole(text: Column) -> Column:
-    return to_whole(text, "bigint")
+def _whole(text: Column, raw: Column | None = None) -> Column:
+    return to_whole(text, "bigint", raw)
+
+
+def _short(text: Column, raw: Column | None = None) -> Column:
+    return to_whole(text, "smallint", raw)
 
 
-def _short(text: Column) -> Column:
-    return to_whole(text, "smallint")
+def _real(text: Column, raw: Column | None = None) -> Column:
+    return to_double(text)
 
 
 def thousands_to_dollars(amount: Column) -> Column:
@@ -67,48 +77,48 @@ def thousands_to_dollars(amount: Column) -> Column:
 
 def income_to_dollars(amount: Column) -> Column:
     """Thousands to dollars, the sentinel kept."""
-    return F.when(amount == SENTINEL, amount).otherwise(thousands_to_dollars(amount))
+    return F.try_multiply(amount, F.when(amount == SENTINEL, 1).otherwise(1000).cast("bigint"))
 
 
 def exempt_to_sentinel(text: Column) -> Column:
     return map_text(text, {"Exempt": SENTINEL})
 
 
-def units_code(text: Column) -> Column:
-    return _short(map_text(text, codes.UNIT_BUCKETS))
+def units_code(text: Column, raw: Column | None = None) -> Column:
+    return _short(map_text(text, codes.UNIT_BUCKETS), text if raw is None else raw)
 
 
-def age_code(text: Column) -> Column:
-    return _short(map_text(text, codes.AGE_BUCKETS))
+def age_code(text: Column, raw: Column | None = None) -> Column:
+    return _short(map_text(text, codes.AGE_BUCKETS), text if raw is None else raw)
 
 
-def age62_code(text: Column) -> Column:
-    return _short(map_text(text, codes.AGE62_FLAGS))
+def age62_code(text: Column, raw: Column | None = None) -> Column:
+    return _short(map_text(text, codes.AGE62_FLAGS), text if raw is None else raw)
 
 
-def dti_code(text: Column) -> Column:
-    return _whole(map_text(text, codes.DTI_BUCKETS))
+def dti_code(text: Column, raw: Column | None = None) -> Column:
+    return _whole(map_text(text, codes.DTI_BUCKETS), text if raw is None else raw)
 
 
-def conforming_code(text: Column) -> Column:
-    return _whole(map_text(text, codes.CONFORMING_CODES))
+def conforming_code(text: Column, raw: Column | None = None) -> Column:
+    return _whole(map_text(text, codes.CONFORMING_CODES), text if raw is None else raw)
 
 
 def harmonize_post2018(df: DataFrame) -> DataFrame:
     """Typed 2018+ columns. Expects current names (see ``rename_legacy``)."""
     return (
         _Projection(df)
-        .apply(POST2018_EXEMPT_COLUMNS, exempt_to_sentinel)
-        .apply(["total_units"], units_code, typed=True)
-        .apply(["applicant_age", "co_applicant_age"], age_code, typed=True)
-        .apply(["applicant_age_above_62", "co_applicant_age_above_62"], age62_code, typed=True)
-        .apply(["debt_to_income_ratio"], dti_code, typed=True)
-        .apply(["conforming_loan_limit"], conforming_code, typed=True)
-        .apply(POST2018.floats, to_double, typed=True)
-        .apply(POST2018.integers, _whole, typed=True)
+        .replace(POST2018_EXEMPT_COLUMNS, exempt_to_sentinel)
+        .cast(["total_units"], units_code)
+        .cast(["applicant_age", "co_applicant_age"], age_code)
+        .cast(["applicant_age_above_62", "co_applicant_age_above_62"], age62_code)
+        .cast(["debt_to_income_ratio"], dti_code)
+        .cast(["conforming_loan_limit"], conforming_code)
+        .cast(POST2018.floats, _real)
+        .cast(POST2018.integers, _whole)
         .change("income", income_to_dollars)
-        .apply(["census_tract"], lambda c: code_text(c, 11))
-        .apply(["county_code"], lambda c: code_text(c, 5))
+        .replace(["census_tract"], lambda c: code_text(c, 11))
+        .replace(["county_code"], lambda c: code_text(c, 5))
         .frame()
     )
 
@@ -117,8 +127,8 @@ def _cast_and_scale(df: DataFrame, era: Era) -> DataFrame:
     """Numbers to their types, money columns from thousands to dollars."""
     return (
         _Projection(df)
-        .apply(era.floats, to_double, typed=True)
-        .apply(era.integers, _whole, typed=True)
+        .cast(era.floats, _real)
+        .cast(era.integers, _whole)
         .change("loan_amount", thousands_to_dollars)
         .change("income", thousands_to_dollars)
         .frame()
