@@ -661,12 +661,29 @@ put(
 
 # --- planned corrections ------------------------------------------------------
 
-FIXED = """c AS (SELECT *, CASE WHEN lei = 'LEI00000000000000001' AND activity_year = 2018 AND file_type = 'a' THEN 0.001 END AS f_income,
+UNIT_COLUMNS = {
+    "src_pos": "src_pos",
+    "lei": "lei",
+    "activity_year": whole("activity_year"),
+    "file_type": "file_type",
+    "income": INCOME,
+    "interest_rate": real(f"({exempt('interest_rate')})"),
+    "combined_loan_to_value_ratio": real(f"({exempt('loan_to_value_ratio')})"),
+    "loan_amount": whole("loan_amount"),
+    "loan_term": whole(f"({exempt('loan_term')})"),
+    "discount_points": real(f"({exempt('discount_points')})"),
+}
+FIXED = f"""u AS (SELECT {", ".join(f"{e} AS {n}" for n, e in UNIT_COLUMNS.items())} FROM lar_units),
+  c AS (SELECT *,
+    CASE WHEN lei = 'LEI00000000000000001' AND activity_year IN (2018, 2019) AND file_type = 'a' THEN 0.001 END AS f_income,
     CASE WHEN lei = 'LEI00000000000000001' AND activity_year = 2018 AND file_type = 'b' THEN 100.0 END AS f_rate,
     lei = 'LEI00000000000000002' AND activity_year = 2021 AND file_type = 'c' AS no_term,
-    CASE WHEN lei = 'LEI00000000000000003' AND activity_year = 2023 AND file_type = 'c' THEN 0.01 END AS f_amount FROM LOANS x)""".replace(
-    "LOANS", LOANS
-)
+    lei = 'LEI00000000000000002' AND activity_year = 2022 AND file_type = 'b' AS no_points,
+    CASE WHEN lei = 'LEI00000000000000003' AND activity_year = 2023 AND file_type = 'c' THEN 0.01 END AS f_amount FROM u)"""
+FIXED_COLUMNS = (
+    "income", "interest_rate", "combined_loan_to_value_ratio", "loan_amount", "loan_term", "discount_points",
+)
+WHOLE_COLUMNS = ("income", "loan_amount", "loan_term")
 
 
 def fixed(known: bool, rules: bool) -> dict[str, str]:
@@ -677,36 +694,37 @@ def fixed(known: bool, rules: bool) -> dict[str, str]:
         "combined_loan_to_value_ratio": ("combined_loan_to_value_ratio > 0 AND combined_loan_to_value_ratio < 2", "100.0"),
     }
     factor = {"income": "f_income", "interest_rate": "f_rate", "loan_amount": "f_amount"}
-    for c in ("income", "interest_rate", "combined_loan_to_value_ratio", "loan_amount", "loan_term"):
+    gone = {"loan_term": "no_term", "discount_points": "no_points"}
+    for c in FIXED_COLUMNS:
         parts = []
         if known and c in factor:
             parts.append(f"WHEN {c} <> -99999 AND {factor[c]} IS NOT NULL THEN CAST({c} AS DOUBLE) * {factor[c]}")
-        if known and c == "loan_term":
-            parts.append("WHEN no_term THEN NULL")
+        if known and c in gone:
+            parts.append(f"WHEN {gone[c]} THEN NULL")
         if rules and c in rule:
             parts.append(f"WHEN {rule[c][0]} THEN CAST({c} AS DOUBLE) * {rule[c][1]}")
         expr = f"CASE {' '.join(parts)} ELSE CAST({c} AS DOUBLE) END" if parts else f"CAST({c} AS DOUBLE)"
-        whole_number = c in ("income", "loan_amount", "loan_term")
-        out[c] = f"CAST(ROUND({expr}) AS BIGINT)" if whole_number else expr
+        out[c] = f"CAST(ROUND({expr}) AS BIGINT)" if c in WHOLE_COLUMNS else expr
     return out
 
 
 def correction_body(known: bool, rules: bool) -> str:
     exprs = fixed(known, rules)
     cols = ", ".join(
-        f"{e if c in ('income', 'loan_amount', 'loan_term') else r6(e)} AS {c}" for c, e in exprs.items()
+        f"{e if c in WHOLE_COLUMNS else r6(e)} AS {c}" for c, e in exprs.items()
     )
     flag = " OR ".join(f"({c} IS DISTINCT FROM ({e}))" for c, e in exprs.items())
     return f"SELECT src_pos, {cols}, ({flag}) AS dq_flag FROM c"
 
 
-put("lender_corrections", "lar_raw", correction_body(True, False), FIXED)
-put("rule_corrections", "lar_raw", correction_body(False, True), FIXED)
+put("lender_corrections", "lar_units", correction_body(True, False), FIXED)
+put("rule_corrections", "lar_units", correction_body(False, True), FIXED)
 KNOWN_HIT = {
     "income": "f_income IS NOT NULL",
     "interest_rate": "f_rate IS NOT NULL",
     "loan_amount": "f_amount IS NOT NULL",
     "loan_term": "no_term",
+    "discount_points": "no_points",
 }
 AUDIT = (
     "audit AS ("
@@ -722,20 +740,20 @@ AUDIT = (
 )
 put(
     "correction_audit",
-    "lar_raw",
+    "lar_units",
     f"SELECT * REPLACE ({r6('original_value')} AS original_value, {r6('corrected_value')} AS corrected_value) FROM audit",
     f"{FIXED}, {AUDIT}",
 )
 put(
     "repeat_lenders",
-    "lar_raw",
+    "lar_units",
     "SELECT lei, COUNT(DISTINCT activity_year) AS years, COUNT(*) AS corrections FROM audit GROUP BY lei HAVING COUNT(DISTINCT activity_year) >= 2",
     f"{FIXED}, {AUDIT}",
 )
 PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
 put(
     "correction_profile",
-    "lar_raw",
+    "lar_units",
     union(
         [
             f"""SELECT '{c}' AS field_name, '{stage}' AS stage, CAST({p} AS DOUBLE) AS prob,

@@ -521,7 +521,7 @@ def isolation_forest(spark, sf):
 
 @query
 def forest_lender_summary(spark, sf):
-    return forest.lender_anomaly_summary(_forest_scores(spark, sf))
+    return forest.lender_anomaly_summary(_forest_scores(spark, sf), max_score=1.0)
 
 
 @query
@@ -617,10 +617,14 @@ def year_series_coverage(spark, sf):
 FIXTURE_CORRECTIONS = [
     ("LEI00000000000000001", 2018, "a", "income", 0.001),
     ("LEI00000000000000001", 2018, "b", "interest_rate", 100.0),
+    ("LEI00000000000000001", 2019, "a", "income", 0.001),
     ("LEI00000000000000002", 2021, "c", "loan_term", None),
+    ("LEI00000000000000002", 2022, "b", "discount_points", None),
     ("LEI00000000000000003", 2023, "c", "loan_amount", 0.01),
 ]
-CORRECTED = ["income", "interest_rate", "combined_loan_to_value_ratio", "loan_amount", "loan_term"]
+CORRECTED = [
+    "income", "interest_rate", "combined_loan_to_value_ratio", "loan_amount", "loan_term", "discount_points",
+]
 
 
 def _lender_corrections(spark):
@@ -630,7 +634,7 @@ def _lender_corrections(spark):
 
 def _corrected(spark, sf, known=True, rules=True):
     return corrections.correct(
-        silver(spark, sf),
+        silver(spark, sf, "lar_units"),
         _lender_corrections(spark) if known else None,
         corrections.RULES if rules else (),
     )
@@ -664,7 +668,7 @@ def repeat_lenders(spark, sf):
 @query
 def correction_profile(spark, sf):
     fields = ["interest_rate", "loan_amount"]
-    before = cleaning.sentinel_to_null(silver(spark, sf), fields)
+    before = cleaning.sentinel_to_null(silver(spark, sf, "lar_units"), fields)
     after = cleaning.sentinel_to_null(_corrected(spark, sf), fields)
     return rounded(corrections.correction_profile(before, after, fields))
 

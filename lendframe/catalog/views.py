@@ -154,9 +154,20 @@ SELECT lar_raw.*,
 FROM lar_raw
 """
 
+# lar_raw with some values in the wrong unit and discount points.
+VIEWS["lar_units"] = """
+SELECT src_pos, activity_year, file_type, lei, action_taken, loan_amount, loan_term,
+ CASE WHEN src_pos % 29 = 0 THEN CAST(1500 + src_pos % 50000 AS STRING) ELSE income END AS income,
+ CASE WHEN src_pos % 43 = 0 THEN '0.0' || CAST(10 + src_pos % 90 AS STRING) ELSE interest_rate END AS interest_rate,
+ CASE WHEN src_pos % 47 = 0 THEN '0.' || CAST(50 + src_pos % 50 AS STRING) ELSE loan_to_value_ratio END AS loan_to_value_ratio,
+ CASE WHEN src_pos % 17 = 0 THEN 'Exempt' ELSE CAST(src_pos % 900 AS STRING) || '.5' END AS discount_points
+FROM lar_raw
+"""
+
 NEEDS = {
     "lar_raw": ("orders", "customer"),
     "lar_wide": ("orders", "customer", "lar_raw"),
+    "lar_units": ("orders", "customer", "lar_raw"),
     "lar_2007_2017": ("orders", "customer"),
     "lar_pre2007": ("orders", "customer"),
     "panel_raw": ("supplier",),

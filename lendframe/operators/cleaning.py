@@ -181,20 +181,28 @@ def sentinel_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def median_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls to the column median; a column with no value at all stays null."""
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact median of each column present."""
     chosen = [c for c in columns if c in df.columns]
-    medians = {c: q[0] for c, q in exact_quantiles(df, chosen, [0.5]).items()}
+    return {c: q[0] for c, q in exact_quantiles(df, chosen, [0.5]).items()}
+
+
+def fill_null(df: DataFrame, values: Mapping[str, float | None]) -> DataFrame:
     return df.select(
         *[
-            F.coalesce(col(c).cast("double"), F.lit(medians[c]).cast("double")).alias(c)
-            if c in medians
+            F.coalesce(col(c).cast("double"), F.lit(values[c]).cast("double")).alias(c)
+            if c in values
             else col(c)
             for c in df.columns
         ]
     )
 
 
+def median_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Nulls to the column median; a column with no value at all stays null."""
+    return fill_null(df, medians(df, columns))
+
+
 def quantile_trim(
     df: DataFrame, column: str, low: float = 0.01, high: float = 0.99
 ) -> DataFrame:

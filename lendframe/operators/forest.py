@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from ..eras import INDEX_COLUMN
 from ..functions.casts import col
 from ..session import cut_lineage, summary_side
-from .cleaning import median_impute, sentinel_to_null
+from .cleaning import fill_null, medians, sentinel_to_null
 from .quantiles import exact_quantiles
 from .splits import hash_split, unit_hash
 
@@ -42,6 +42,8 @@ FEATURES = (
 MAX_LENDER_SCORE = 0.01
 MIN_LENDER_LOANS = 10
 
+TREES_PER_TASK = 4
+
 NODES = (
     "tree int, node int, feature int, threshold double, below int, above int, path double"
 )
@@ -143,11 +145,12 @@ def fit_forest(
     if size * 8 >= total:
         draw_share = 1.0
     pool = train.select(col(key).alias("_key"), *[col(c).cast("double").alias(c) for c in features])
-    pool = pool.filter(unit_hash(F.col("_key"), F.lit(seed)) < pool_share)
+    pool = cut_lineage(pool.filter(unit_hash(F.col("_key"), F.lit(seed)) < pool_share))
     drawn = (
         pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         .withColumn("draw", unit_hash(F.col("_key"), F.lit(seed + 1), F.col("tree")))
         .filter(F.col("draw") < draw_share)
+        .repartition(max(1, trees // TREES_PER_TASK), "tree")
         .withColumn("_rank", F.row_number().over(W.partitionBy("tree").orderBy("draw", "_key")))
         .filter(F.col("_rank") <= size)
         .drop("_rank", "_key")
@@ -187,8 +190,12 @@ def isolation_forest(
     numbers = loans.select(
         col(key), *[col(c) for c in keep], *[col(c).cast("double").alias(c) for c in features]
     )
-    filled = median_impute(sentinel_to_null(numbers, features), features).na.drop(subset=features)
-    split = hash_split(filled, key, TRAIN_SHARE, seed)
+    known = sentinel_to_null(numbers, features)
+    middle = medians(known, features)
+    empty = [c for c, value in middle.items() if value is None]
+    if empty:
+        raise ValueError(f"no value at all in {empty}")
+    split = hash_split(fill_null(known, middle), key, TRAIN_SHARE, seed)
     forest = fit_forest(split.filter("i_train = 1"), features, key, trees, sample, seed)
     scored = cut_lineage(
         split.select(
