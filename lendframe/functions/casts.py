@@ -1,8 +1,9 @@
 """Strict text-to-number casts, zero padding and literal maps.
 
 Spark's ``try_cast`` is more forgiving than the layouts allow: it trims padded
-text and reads ``5d`` or ``NaN`` as doubles. The guards below turn such text
-into null before the cast.
+text and reads ``5d`` or ``NaN`` as doubles. It is also slow on text that is no
+number, because each failure raises an exception inside. The patterns below keep
+such text away from the cast.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
 
-# What counts as a decimal number, and what counts as white space.
+# What counts as a whole or a decimal number, and as white space.
+WHOLE_TEXT = r"^[+-]?[0-9]+$"
 FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -25,18 +27,9 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _unpadded(text: Column) -> Column:
-    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
-    return first.between("!", "~") & last.between("!", "~")
-
-
-def to_whole(text: Column, kind: str = "bigint", raw: Column | None = None) -> Column:
-    """Whole-number text to ``kind``; anything else, ``150.0`` included, to null.
-
-    Where ``text`` is built from a column whose literals were replaced, pass that
-    column as ``raw``: the guard then tests it instead of repeating the expression.
-    """
-    return F.when(_unpadded(text if raw is None else raw), text.try_cast(kind))
+def to_whole(text: Column, kind: str = "bigint") -> Column:
+    """Whole-number text to ``kind``; anything else, ``150.0`` included, to null."""
+    return F.when(text.rlike(WHOLE_TEXT), text.try_cast(kind))
 
 
 def to_double(text: Column) -> Column:
@@ -60,22 +53,55 @@ def zero_pad(text: Column, width: int) -> Column:
     return F.when(F.substring(text, 1, 1).isin("-", "+"), signed).otherwise(plain)
 
 
+def whole_code(text: Column, width: int) -> Column:
+    """``7`` -> ``07``: whole-number text to a padded code, other text to null."""
+    number = text.try_cast("bigint").cast("string")
+    return F.when(text.rlike(f"^[0-9]{{1,{width}}}$"), F.lpad(text, width, "0")).when(
+        text.rlike(WHOLE_TEXT), zero_pad(number, width)
+    )
+
+
 def code_text(text: Column, width: int) -> Column:
-    """``1001.0`` -> ``01001``: decimal text to a padded whole-number code."""
-    return zero_pad(to_double(text).try_cast("bigint").cast("string"), width)
+    """``1001.0`` -> ``01001``: decimal text, cut to a whole number, to a padded code.
+
+    Plain digits that fit the width need no number at all; ``width`` must be below 16.
+    """
+    short = text.rlike(rf"^[0-9]{{1,{width}}}(\.[0-9]*)?$")
+    number = text.try_cast("double").try_cast("bigint").cast("string")
+    return F.when(short, F.lpad(F.substring_index(text, ".", 1), width, "0")).when(
+        text.rlike(FLOAT_TEXT), zero_pad(number, width)
+    )
 
 
-def map_text(text: Column, pairs: Mapping[str, object]) -> Column:
-    """Replace listed literals by text, keep everything else."""
-    out = text
+def round_half_away(value: Column) -> Column:
+    """Nearest whole number as bigint, halves away from zero; null beyond its range."""
+    nearest = F.when(value < 0, F.ceil(value - 0.5)).otherwise(F.floor(value + 0.5))
+    return F.when(F.abs(value) < 9e18, nearest)
+
+
+def _by_value(pairs: Mapping[str, object]) -> dict[object, list[str]]:
     groups: dict[object, list[str]] = {}
     for old, new in pairs.items():
         groups.setdefault(new, []).append(old)
-    case = None
-    for new, olds in groups.items():
-        value = F.lit(None if new is None else str(new))
-        case = (F if case is None else case).when(text.isin(*olds), value)
-    return out if case is None else case.otherwise(out)
+    return groups
+
+
+def map_text(text: Column, pairs: Mapping[str, object]) -> Column:
+    """Replace listed literals by text, keep everything else."""
+    case = F
+    for new, olds in _by_value(pairs).items():
+        case = case.when(text.isin(*olds), F.lit(None if new is None else str(new)))
+    return case.otherwise(text)
+
+
+def map_number(
+    text: Column, pairs: Mapping[str, object], kind: str = "bigint", pattern: str = WHOLE_TEXT
+) -> Column:
+    """Listed literals to their numbers, other number text to itself, the rest to null."""
+    case = F
+    for new, olds in _by_value(pairs).items():
+        case = case.when(text.isin(*olds), F.lit(new).cast(kind))
+    return case.when(text.rlike(pattern), text.try_cast(kind))
 
 
 def null_if_in(text: Column, words: Iterable[str]) -> Column:

@@ -109,15 +109,15 @@ def delimiter_of(head: Column) -> Column:
     lines = F.filter(F.split(whole, "\n"), lambda line: line != "")
 
     def score(rank: int, mark: str) -> Column:
-        def times(line: Column) -> Column:
-            return F.length(line) - F.length(F.replace(line, F.lit(mark), F.lit("")))
-
-        header = times(F.get(lines, F.lit(0)))
-        same = F.size(F.filter(lines, lambda line: times(line) == header))
+        counts = F.transform(
+            lines, lambda line: F.length(line) - F.length(F.replace(line, F.lit(mark), F.lit("")))
+        )
+        header = F.get(counts, F.lit(0))
+        others = F.size(F.array_remove(counts, header))
         return F.when(
             header > 0,
             F.struct(
-                (same / F.size(lines)).alias("share"),
+                (-others / F.size(lines)).alias("share"),
                 header.alias("header"),
                 F.lit(-rank).alias("rank"),
                 F.lit(mark).alias("mark"),

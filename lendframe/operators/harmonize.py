@@ -21,32 +21,37 @@ from ..eras import (
     Era,
 )
 from ..functions import codes
-from ..functions.casts import code_text, col, map_text, to_double, to_whole, zero_pad
+from ..functions.casts import (
+    FLOAT_TEXT,
+    code_text,
+    col,
+    map_number,
+    map_text,
+    round_half_away,
+    to_double,
+    to_whole,
+    whole_code,
+    zero_pad,
+)
 from .columns import drop_present, rename_legacy
 
-Rule = Callable[..., Column]
+Rule = Callable[[Column], Column]
+EXEMPT = {"Exempt": SENTINEL}
 
 
 class _Projection:
-    """Composes rules per column and emits one select."""
+    """Collects one expression per column and emits one select."""
 
     def __init__(self, df: DataFrame):
         self.df = df
         self.text = {name for name, kind in df.dtypes if kind == "string"}
         self.exprs = {name: col(name) for name in df.columns}
 
-    def replace(self, names: Iterable[str], rule: Rule) -> "_Projection":
-        """Text to text, on present text columns."""
-        for name in names:
-            if name in self.text:
-                self.exprs[name] = rule(self.exprs[name])
-        return self
-
     def cast(self, names: Iterable[str], rule: Rule) -> "_Projection":
-        """Text to number, once per column; the rule also gets the untouched column."""
+        """Apply a rule to text columns; the first rule for a column wins."""
         for name in names:
             if name in self.text:
-                self.exprs[name] = rule(self.exprs[name], col(name))
+                self.exprs[name] = rule(col(name))
                 self.text.discard(name)
         return self
 
@@ -59,18 +64,6 @@ class _Projection:
         return self.df.select(*[e.alias(n) for n, e in self.exprs.items()])
 
 
-def _whole(text: Column, raw: Column | None = None) -> Column:
-    return to_whole(text, "bigint", raw)
-
-
-def _short(text: Column, raw: Column | None = None) -> Column:
-    return to_whole(text, "smallint", raw)
-
-
-def _real(text: Column, raw: Column | None = None) -> Column:
-    return to_double(text)
-
-
 def thousands_to_dollars(amount: Column) -> Column:
     return F.try_multiply(amount, F.lit(1000).cast("bigint"))
 
@@ -81,44 +74,54 @@ def income_to_dollars(amount: Column) -> Column:
 
 
 def exempt_to_sentinel(text: Column) -> Column:
-    return map_text(text, {"Exempt": SENTINEL})
+    return map_text(text, EXEMPT)
+
+
+def exempt_or_whole(text: Column) -> Column:
+    return map_number(text, EXEMPT)
+
+
+def exempt_or_double(text: Column) -> Column:
+    return map_number(text, EXEMPT, "double", FLOAT_TEXT)
 
 
-def units_code(text: Column, raw: Column | None = None) -> Column:
-    return _short(map_text(text, codes.UNIT_BUCKETS), text if raw is None else raw)
+def units_code(text: Column) -> Column:
+    return map_number(text, codes.UNIT_BUCKETS, "smallint")
 
 
-def age_code(text: Column, raw: Column | None = None) -> Column:
-    return _short(map_text(text, codes.AGE_BUCKETS), text if raw is None else raw)
+def age_code(text: Column) -> Column:
+    return map_number(text, codes.AGE_BUCKETS, "smallint")
 
 
-def age62_code(text: Column, raw: Column | None = None) -> Column:
-    return _short(map_text(text, codes.AGE62_FLAGS), text if raw is None else raw)
+def age62_code(text: Column) -> Column:
+    return map_number(text, codes.AGE62_FLAGS, "smallint")
 
 
-def dti_code(text: Column, raw: Column | None = None) -> Column:
-    return _whole(map_text(text, codes.DTI_BUCKETS), text if raw is None else raw)
+def dti_code(text: Column) -> Column:
+    return map_number(text, codes.DTI_BUCKETS)
 
 
-def conforming_code(text: Column, raw: Column | None = None) -> Column:
-    return _whole(map_text(text, codes.CONFORMING_CODES), text if raw is None else raw)
+def conforming_code(text: Column) -> Column:
+    return map_number(text, codes.CONFORMING_CODES)
 
 
 def harmonize_post2018(df: DataFrame) -> DataFrame:
     """Typed 2018+ columns. Expects current names (see ``rename_legacy``)."""
+    exempt = set(POST2018_EXEMPT_COLUMNS)
     return (
         _Projection(df)
-        .replace(POST2018_EXEMPT_COLUMNS, exempt_to_sentinel)
         .cast(["total_units"], units_code)
         .cast(["applicant_age", "co_applicant_age"], age_code)
         .cast(["applicant_age_above_62", "co_applicant_age_above_62"], age62_code)
         .cast(["debt_to_income_ratio"], dti_code)
         .cast(["conforming_loan_limit"], conforming_code)
-        .cast(POST2018.floats, _real)
-        .cast(POST2018.integers, _whole)
+        .cast([c for c in POST2018.floats if c in exempt], exempt_or_double)
+        .cast([c for c in POST2018.integers if c in exempt], exempt_or_whole)
+        .cast(POST2018.floats, to_double)
+        .cast(POST2018.integers, to_whole)
         .change("income", income_to_dollars)
-        .replace(["census_tract"], lambda c: code_text(c, 11))
-        .replace(["county_code"], lambda c: code_text(c, 5))
+        .cast(["census_tract"], lambda c: code_text(c, 11))
+        .cast(["county_code"], lambda c: code_text(c, 5))
         .frame()
     )
 
@@ -127,8 +130,8 @@ def _cast_and_scale(df: DataFrame, era: Era) -> DataFrame:
     """Numbers to their types, money columns from thousands to dollars."""
     return (
         _Projection(df)
-        .cast(era.floats, _real)
-        .cast(era.integers, _whole)
+        .cast(era.floats, to_double)
+        .cast(era.integers, to_whole)
         .change("loan_amount", thousands_to_dollars)
         .change("income", thousands_to_dollars)
         .frame()
@@ -142,9 +145,9 @@ def geo_pre2018(df: DataFrame) -> DataFrame:
     part is missing from the frame.
     """
     present = set(df.columns)
-    state = zero_pad(_whole(col("state_code")).cast("string"), 2)
-    county = F.concat(state, zero_pad(_whole(col("county_code")).cast("string"), 3))
-    hundredths = F.round(to_double(col("census_tract")) * 100, 0).try_cast("bigint")
+    state = whole_code(col("state_code"), 2)
+    county = F.concat(state, whole_code(col("county_code"), 3))
+    hundredths = round_half_away(to_double(col("census_tract")) * 100)
     tract = F.concat(state, F.substring(county, -3, 3), zero_pad(hundredths.cast("string"), 6))
     codes_by_name = {}
     if "state_code" in present:

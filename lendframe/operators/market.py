@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.casts import col
 from ..session import summary_side
@@ -217,25 +216,33 @@ def rate_gap(
 ) -> DataFrame:
     """Two-group decomposition of a mean gap into explained and unexplained parts.
 
-    One regression per group. Explained is what the groups' different covariate
-    means predict at the second group's coefficients.
+    Explained is what the groups' different covariate means predict at the second
+    group's least-squares coefficients. One pass gathers each group's means and
+    covariances; only those few numbers are solved on the driver.
     """
     names = list(covariates)
-    data = loans.select(
+    data = loans.filter(col(group_col).isin(*groups)).select(
         col(group_col).alias("_group"),
         *[col(c).cast("double").alias(c) for c in [outcome, *names]],
     ).na.drop()
-    assembler = VectorAssembler(inputCols=names, outputCol="_x")
-    means, betas = [], []
-    for group in groups:
-        part = data.filter(F.col("_group") == F.lit(group))
-        means.append(part.agg(*[F.avg(col(c)).alias(c) for c in [outcome, *names]]).first())
-        model = LinearRegression(featuresCol="_x", labelCol=outcome, solver="normal").fit(
-            assembler.transform(part)
+    pairs = [(a, b) for i, a in enumerate(names) for b in [*names[i:], outcome]]
+    rows = (
+        data.groupBy("_group")
+        .agg(
+            *[F.avg(col(c)).alias(f"mean_{c}") for c in [outcome, *names]],
+            *[F.covar_pop(col(a), col(b)).alias(f"cov_{a}_{b}") for a, b in pairs],
         )
-        betas.append([float(b) for b in model.coefficients])
-    gap = means[0][outcome] - means[1][outcome]
-    explained = sum(b * (means[0][c] - means[1][c]) for b, c in zip(betas[1], names, strict=True))
+        .collect()
+    )
+    stats = {r["_group"]: r for r in rows}
+    first, second = stats[groups[0]], stats[groups[1]]
+    spread = np.array(
+        [[second[f"cov_{min(a, b, key=names.index)}_{max(a, b, key=names.index)}"] for b in names] for a in names]
+    )
+    slopes = np.linalg.lstsq(spread, [second[f"cov_{a}_{outcome}"] for a in names], rcond=None)[0]
+    gap = first[f"mean_{outcome}"] - second[f"mean_{outcome}"]
+    moves = [first[f"mean_{c}"] - second[f"mean_{c}"] for c in names]
+    explained = float(np.dot(slopes, moves))
     schema = "group_a string, group_b string, gap double, explained double, unexplained double"
     row = (str(groups[0]), str(groups[1]), gap, explained, gap - explained)
     return loans.sparkSession.createDataFrame([row], schema)

@@ -7,6 +7,17 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings of the session that the wide projections rely on for speed.
+
+    HotSpot never compiles a method above 8000 bytes of bytecode. A fused stage with
+    a cast per column is far larger, so it would run interpreted; beyond this limit
+    Spark generates small methods instead.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def local_session(cores: int | str = "*", memory: str = "20g") -> SparkSession:
     """A single-JVM session for tests and benchmarks."""
     spark = (
@@ -23,7 +34,7 @@ def local_session(cores: int | str = "*", memory: str = "20g") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return configure(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
