@@ -571,7 +571,7 @@ def knn_outlier_all_loans(spark, sf):
 
 @query
 def sniff_delimiter(spark, sf):
-    return view(spark, sf, "text_heads").select("file_id", codes.delimiter_of(F.col("head")).alias("delimiter"))
+    return codes.with_delimiter(view(spark, sf, "text_heads")).select("file_id", "delimiter")
 
 
 @query

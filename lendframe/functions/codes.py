@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Published bucket labels and their codes.
 UNIT_BUCKETS = {"5-24": 5, "25-49": 6, "50-99": 7, "100-149": 8, ">149": 9}
@@ -95,8 +95,8 @@ def normal_stem(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(stem, "_csv$", ""), "_pipe$", "")
 
 
-def delimiter_of(head: Column) -> Column:
-    """Delimiter of a text head.
+def with_delimiter(df: DataFrame, head: str = "head", name: str = "delimiter") -> DataFrame:
+    """Delimiter of each row's text head.
 
     Quoted parts are ignored. Each candidate is scored by the share of lines that
     hold it as often as the header line does; ties go to the candidate the header
@@ -104,24 +104,28 @@ def delimiter_of(head: Column) -> Column:
     the header. The last line counts only if the head ends with a line break, or
     has no other line.
     """
-    text = F.regexp_replace(F.regexp_replace(head, '"[^"]*"', ""), "\r", "")
-    whole = F.when(F.contains(text, F.lit("\n")), F.regexp_replace(text, "\n[^\n]*$", "")).otherwise(text)
-    lines = F.filter(F.split(whole, "\n"), lambda line: line != "")
+    text = F.regexp_replace(F.regexp_replace(F.col(head), '"[^"]*"', ""), "\r", "")
+    whole = F.when(F.contains(text, F.lit("\n")), F.regexp_replace(text, "\n[^\n]*$", ""))
+    lines = F.filter(F.split(F.coalesce(whole, text), "\n"), lambda line: line != "")
+
+    def counts(mark: str) -> Column:
+        def times(line: Column) -> Column:
+            return F.length(line) - F.length(F.replace(line, F.lit(mark), F.lit("")))
+
+        return F.transform(F.col("_lines"), times)
 
     def score(rank: int, mark: str) -> Column:
-        counts = F.transform(
-            lines, lambda line: F.length(line) - F.length(F.replace(line, F.lit(mark), F.lit("")))
-        )
-        header = F.get(counts, F.lit(0))
-        others = F.size(F.array_remove(counts, header))
-        return F.when(
-            header > 0,
-            F.struct(
-                (-others / F.size(lines)).alias("share"),
-                header.alias("header"),
-                F.lit(-rank).alias("rank"),
-                F.lit(mark).alias("mark"),
-            ),
-        )
-
-    return F.array_max(F.array(*[score(i, d) for i, d in enumerate(DELIMITERS)]))["mark"]
+        found = F.col(f"_counts{rank}")
+        header = F.get(found, F.lit(0))
+        odd = F.size(F.array_remove(found, header)) / F.size(found)
+        parts = ((-odd).alias("share"), header.alias("header"))
+        return F.when(header > 0, F.struct(*parts, F.lit(-rank).alias("rank"), F.lit(mark).alias("mark")))
+
+    marks = dict(enumerate(DELIMITERS))
+    best = F.array_max(F.array(*[score(i, d) for i, d in marks.items()]))["mark"]
+    return (
+        df.withColumn("_lines", lines)
+        .withColumns({f"_counts{i}": counts(d) for i, d in marks.items()})
+        .withColumn(name, best)
+        .drop("_lines", *[f"_counts{i}" for i in marks])
+    )

@@ -13,6 +13,7 @@ from ..session import summary_side
 
 RECORD_KEY = "hmda_record_key"
 KEY_JOIN = "||"
+DEDUP_DROPPED = "_metadata_dedup_dropped"
 
 
 def add_record_key(
@@ -81,7 +82,7 @@ def deduplicate(
         copies = F.col("count")
         lost = F.when(copies > 1, copies).otherwise(0) if keep == "none" else copies - 1
         dropped = sizes.count().agg(F.coalesce(F.sum(lost), F.lit(0)).cast("bigint").alias("n"))
-        out = out.withColumn("_metadata_dedup_dropped", dropped.scalar())
+        out = out.withColumn(DEDUP_DROPPED, dropped.scalar())
     return out
 
 

@@ -38,7 +38,8 @@ SAMPLE_PER_CELL = 16
 SAMPLE_FLOOR = 4096
 BLOCK = 1 << 20
 QUERIES_PER_TASK = 50_000
-NEAREST = "array<struct<distance:double,copies:bigint>>"
+CELLS_PER_TASK = 4
+NEAREST = "distance array<double>, copies_near array<bigint>"
 
 
 def _splits(sample: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,32 +59,43 @@ def _splits(sample: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _nearest(
-    queries: np.ndarray, points: np.ndarray, copies: np.ndarray, k: int, own: np.ndarray | None
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per query: ascending (distances, copies) until ``k`` copies are covered."""
+    queries: np.ndarray,
+    points: np.ndarray,
+    copies: np.ndarray,
+    k: int,
+    own: int | None = None,
+    reach: np.ndarray | None = None,
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Per query: ascending distances and copies until ``k`` copies are covered.
+
+    ``own`` is added to the copies of the point a query is itself (queries and points
+    are then the same rows). With ``reach`` only what lies closer is kept.
+    """
+    distances: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
     step = max(1, BLOCK // max(1, len(points)))
+    width = min(k, len(points) - 1)
     for start in range(0, len(queries), step):
         block = queries[start : start + step]
         squares = np.zeros((len(block), len(points)))
         for dim in range(points.shape[1]):
             squares += (block[:, dim, None] - points[None, :, dim]) ** 2
-        for i, row in enumerate(squares):
-            reach = min(k, len(row) - 1)
-            near = np.argpartition(row, reach)[: reach + 1] if reach else np.zeros(1, dtype=int)
-            near = near[np.argsort(row[near], kind="stable")]
-            count = copies[near].copy()
-            if own is not None:
-                count[near == start + i] += int(own[start + i])
-            used = count > 0
-            near, count = near[used], count[used]
-            last = int(np.searchsorted(np.cumsum(count), k)) + 1
-            yield np.sqrt(row[near[:last]]), count[:last]
-
-
-def _as_structs(distances: np.ndarray, counts: np.ndarray) -> list[dict]:
-    return [
-        {"distance": float(d), "copies": int(c)} for d, c in zip(distances, counts, strict=True)
-    ]
+        near = np.argpartition(squares, width, axis=1)[:, : width + 1]
+        squares = np.take_along_axis(squares, near, axis=1)
+        order = np.argsort(squares, axis=1, kind="stable")
+        near = np.take_along_axis(near, order, axis=1)
+        found = np.sqrt(np.take_along_axis(squares, order, axis=1))
+        count = copies[near]
+        if own is not None:
+            count = count + own * (near == np.arange(start, start + len(block))[:, None])
+        covered = np.cumsum(count, axis=1) >= k
+        last = np.where(covered.any(axis=1), covered.argmax(axis=1) + 1, width + 1)
+        if reach is not None:
+            closer = found < reach[start : start + len(block), None]
+            last = np.minimum(last, closer.sum(axis=1))
+        distances += [found[i, :n] for i, n in enumerate(last)]
+        counts += [count[i, :n] for i, n in enumerate(last)]
+    return distances, counts
 
 
 def _kth(nearest: Column, k: int) -> Column:
@@ -91,14 +103,10 @@ def _kth(nearest: Column, k: int) -> Column:
     start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(math.inf).alias("distance"))
 
     def step(state: Column, item: Column) -> Column:
-        return F.when(state["seen"] >= k, state).otherwise(
-            F.struct(
-                (state["seen"] + item["copies"]).alias("seen"),
-                F.when(state["seen"] + item["copies"] >= k, item["distance"])
-                .otherwise(F.lit(math.inf))
-                .alias("distance"),
-            )
-        )
+        seen = state["seen"] + item["copies_near"]
+        reached = F.when(seen >= k, item["distance"]).otherwise(F.lit(math.inf))
+        after = F.struct(seen.alias("seen"), reached.alias("distance"))
+        return F.when(state["seen"] >= k, state).otherwise(after)
 
     return F.aggregate(F.array_sort(nearest), start, step)["distance"]
 
@@ -137,23 +145,26 @@ def kth_distance(
             at = 2 * at + (values[rows, split_dims[at]] > split_cuts[at])
         return pd.Series(at.astype(np.int32))
 
-    own_copies = 0 if include_self else -1
+    own = 0 if include_self else -1
 
     def inside_cell(pdf: pd.DataFrame) -> pd.DataFrame:
         values, counts = pdf[names].to_numpy(dtype=float), pdf["copies"].to_numpy()
-        own = np.full(len(values), own_copies)
-        found = [_as_structs(d, c) for d, c in _nearest(values, values, counts, k, own)]
-        return pdf.assign(nearest=found)
+        distances, near = _nearest(values, values, counts, k, own)
+        return pdf.assign(distance=distances, copies_near=near)
 
+    tasks = max(1, 2**levels // CELLS_PER_TASK)
     placed = cut_lineage(points.withColumn("cell", cell_of(F.struct(*names))))
-    bounded = placed.groupBy("cell").applyInPandas(
-        inside_cell, f"{fields}, copies bigint, cell int, nearest {NEAREST}"
+    bounded = (
+        placed.repartition(tasks, "cell")
+        .groupBy("cell")
+        .applyInPandas(inside_cell, f"{fields}, copies bigint, cell int, {NEAREST}")
+        .withColumn("nearest", F.arrays_zip("distance", "copies_near"))
     )
     bounded = cut_lineage(bounded.withColumn("reach", _kth(F.col("nearest"), k)))
     if levels == 0:
         merged = bounded.select(*names, "reach")
     else:
-        merged = _search_other_cells(placed, bounded, names, fields, k)
+        merged = _search_other_cells(placed, bounded, names, fields, k, tasks)
     distance = F.when(F.col("reach") < math.inf, F.col("reach"))
     return merged.select(
         *[F.col(n).alias(c) for c, n in zip(features, names, strict=True)],
@@ -162,7 +173,7 @@ def kth_distance(
 
 
 def _search_other_cells(
-    placed: DataFrame, bounded: DataFrame, names: list[str], fields: str, k: int
+    placed: DataFrame, bounded: DataFrame, names: list[str], fields: str, k: int, tasks: int
 ) -> DataFrame:
     """Merge each point's candidates with those of every cell its bound reaches."""
     spark = placed.sparkSession
@@ -206,32 +217,33 @@ def _search_other_cells(
     shares = queries.groupBy("cell").agg(
         (F.floor(F.count(F.lit(1)) / QUERIES_PER_TASK) + 1).cast("int").alias("tasks")
     )
-    shares = F.broadcast(cut_lineage(shares))  # one row per cell, at most MAX_CELLS * 2
-    spread = queries.join(shares, "cell").withColumn(
-        "task", F.pmod(F.xxhash64(*names), F.col("tasks")).cast("int")
-    )
-    copies = placed.join(shares, "cell").withColumn(
-        "task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))
-    )
+    shares = cut_lineage(shares)  # one row per cell, at most 2 * MAX_CELLS
+
+    def with_shares(df: DataFrame, tasks_col: str) -> DataFrame:
+        side = shares.select(F.col("cell").alias("_cell"), F.col("tasks").alias(tasks_col))
+        return df.join(F.broadcast(side), F.col("cell") == F.col("_cell")).drop("_cell")
+
+    spread = with_shares(queries, "_asked").withColumn(
+        "task", F.pmod(F.xxhash64(*names), F.col("_asked")).cast("int")
+    ).drop("_asked")
+    copies = with_shares(placed, "_held").withColumn(
+        "task", F.explode(F.sequence(F.lit(0), F.col("_held") - 1))
+    ).drop("_held")
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        values = asked[names].to_numpy(dtype=float)
+        values, points = asked[names].to_numpy(dtype=float), held[names].to_numpy(dtype=float)
         reach = asked["reach"].to_numpy()
-        found = []
-        if len(asked):
-            near = _nearest(
-                values, held[names].to_numpy(dtype=float), held["copies"].to_numpy(), k, None
-            )
-            for limit, (distances, counts) in zip(reach, near, strict=True):
-                closer = distances < limit
-                found.append(_as_structs(distances[closer], counts[closer]))
-        return asked[names].assign(nearest=found)
+        distances, near = _nearest(values, points, held["copies"].to_numpy(), k, reach=reach)
+        return asked[names].assign(distance=distances, copies_near=near)
 
     extra = (
-        spread.groupBy("cell", "task")
-        .cogroup(copies.groupBy("cell", "task"))
-        .applyInPandas(search, f"{fields}, nearest {NEAREST}")
+        spread.repartition(tasks, "cell", "task")
+        .groupBy("cell", "task")
+        .cogroup(copies.repartition(tasks, "cell", "task").groupBy("cell", "task"))
+        .applyInPandas(search, f"{fields}, {NEAREST}")
+        .withColumn("nearest", F.arrays_zip("distance", "copies_near"))
         .filter(F.size("nearest") > 0)
+        .select(*names, "nearest")
     )
     everything = bounded.select(*names, "nearest").unionByName(extra)
     return everything.groupBy(*names).agg(

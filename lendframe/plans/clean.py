@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaning import (
     Bounds,
@@ -13,7 +13,7 @@ from ..operators.cleaning import (
     plausibility_filter,
     standardize_schema,
 )
-from ..operators.identity import add_record_key, deduplicate
+from ..operators.identity import DEDUP_DROPPED, add_record_key, deduplicate
 from ..session import cut_lineage
 
 
@@ -28,10 +28,16 @@ def clean_loans(
     """Key, last copy per key, names, missing values, tracts, bounds, spreads, flags.
 
     The deduplicated rows feed the dropped-row count, the outlier statistics and the
-    result, so they are written once instead of being shuffled three times.
+    result, so they are written once instead of being shuffled three times. Row counts
+    before and after give the number of duplicates; both come from file footers where
+    the input is a table.
     """
     keyed = add_record_key(df, post2018)
-    unique = cut_lineage(deduplicate(keyed, order_by, keep="last", null_keys=null_keys))
+    unique = cut_lineage(
+        deduplicate(keyed, order_by, keep="last", null_keys=null_keys, count_dropped=False)
+    )
+    dropped = F.lit(df.count() - unique.count()).cast("bigint")
+    unique = unique.withColumn(DEDUP_DROPPED, dropped)
     named = missing_and_derived(standardize_schema(unique, post2018), post2018)
     mapped = crosswalk_tract(named, crosswalk)
     bounded = clean_rate_spread(plausibility_filter(mapped, bounds))

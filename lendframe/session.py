@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,23 +38,30 @@ def local_session(cores: int | str = "*", memory: str = "20g") -> SparkSession:
     return configure(spark)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the session names; make one only for a local master."""
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the session names; one of our own only on a local master."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
+    folder = context._jsc.sc().getCheckpointDir()
+    if folder.isDefined():
+        return folder.get()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    context.setCheckpointDir(folder)
+        named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    context.setCheckpointDir(named)
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet in the shared folder and read it from there.
+
+    What follows neither repeats the work nor depends on any executor, reads only the
+    columns it needs, and plans joins with the true size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hint_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:

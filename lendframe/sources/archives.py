@@ -13,7 +13,7 @@ import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.codes import delimiter_of
+from ..functions.codes import with_delimiter
 
 HEAD_CHARS = 16_000  # fixed value: characters looked at to find the delimiter
 CHUNK = 8 << 20
@@ -78,4 +78,4 @@ def expand_archives(archives: DataFrame, staging: str, by_year: bool = False) ->
 
     rows = archives.select("path", F.col("year").cast("int"))
     one_each = rows.repartition(F.col("path"), F.col("year"))
-    return one_each.mapInPandas(expand, MEMBERS).withColumn("delimiter", delimiter_of(F.col("head")))
+    return with_delimiter(one_each.mapInPandas(expand, MEMBERS))
