@@ -154,7 +154,7 @@ def na(c: str, words: str = "'NA', 'N/A', 'Exempt', 'Not Applicable'") -> str:
 
 KEY = "TRIM(lei) || '||' || TRIM(universal_loan_identifier)"
 put(
-    "clean_pipeline",
+    "clean_loans",
     ("lar_wide", "crosswalk"),
     f"""SELECT src_pos, hmda_record_key, census_tract, county_code, {r6("loan_amount")} AS loan_amount,
       {r6("dti")} AS dti, {r6("ltv")} AS ltv, {r6("rate_spread")} AS rate_spread, income, race, sex,

@@ -26,7 +26,7 @@ from ..operators import (
     vintages,
 )
 from ..plans.all_eras import all_eras
-from ..plans.clean import clean_loans
+from ..plans import clean
 from ..sources import listing
 from .views import view
 
@@ -86,8 +86,8 @@ def silver_pre2007(spark, sf):
 
 
 @query
-def clean_pipeline(spark, sf):
-    loans = clean_loans(
+def clean_loans(spark, sf):
+    loans = clean.clean_loans(
         view(spark, sf, "lar_wide"), True, "src_pos", crosswalk=view(spark, sf, "crosswalk")
     )
     return rounded(loans).select(

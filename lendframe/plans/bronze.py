@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..eras import DERIVED_COLUMNS, INDEX_COLUMN, PRE2007, Era
 from ..functions import codes
@@ -60,23 +60,24 @@ def build_bronze(
         columns = header_columns(header_line, delimiter)
         df = read_text_table(spark, [m["staged"] for m in group], delimiter, columns)
         names = {m["staged"].rsplit("/", 2)[-2]: m for m in group}
-        label = F.create_map(*[F.lit(x) for k, m in names.items() for x in (k, m["source"])])
-        source = label[source_name()]
+        df = df.withColumn("_folder", source_name())
+
+        def by_folder(values: dict[str, Column]) -> Column:
+            pairs = [x for folder, value in values.items() for x in (F.lit(folder), value)]
+            return F.create_map(*pairs)[F.col("_folder")]
+
+        source = by_folder({k: F.lit(m["source"]) for k, m in names.items()})
         if era.name == "post2018":
-            year = F.create_map(*[F.lit(x) for k, m in names.items() for x in (k, m["year"])])
-            kinds = F.create_map(
-                *[x for k, m in names.items() for x in (F.lit(k), codes.file_type_post2018(F.lit(m["path"])))]
-            )
-            if dataset == "loans":
-                df = with_row_numbers(df, "_row")
-            df = df.withColumns({"file_type": kinds[source_name()], "source": source})
+            kinds = {k: codes.file_type_post2018(F.lit(m["path"])) for k, m in names.items()}
             if dataset == "loans":
-                index = index_label(year[source_name()], F.col("file_type"), F.col("_row"))
+                years = by_folder({k: F.lit(m["year"]) for k, m in names.items()})
+                df = with_row_numbers(df, "_row").withColumn("file_type", by_folder(kinds))
+                index = index_label(years, F.col("file_type"), F.col("_row"))
                 df = df.withColumn(INDEX_COLUMN, index).drop("_row")
+            else:
+                df = df.withColumn("file_type", by_folder(kinds))
             if dataset == "panel":
                 df = fix_panel_headers(df)
             df = drop_present(df, [*DERIVED_COLUMNS, *era.tracts])
-        else:
-            df = df.withColumn("source", source)
-        write_partitioned(df, target, ["source"])
+        write_partitioned(df.withColumn("source", source).drop("_folder"), target, ["source"])
     return len(members)

@@ -77,5 +77,6 @@ def expand_archives(archives: DataFrame, staging: str, by_year: bool = False) ->
                 )
 
     rows = archives.select("path", F.col("year").cast("int"))
-    one_each = rows.repartition(F.col("path"), F.col("year"))
+    # a fixed number of tasks: the listing is tiny, the work behind each row is not
+    one_each = rows.repartition(max(1, rows.count()))
     return with_delimiter(one_each.mapInPandas(expand, MEMBERS))

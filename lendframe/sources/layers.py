@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..eras import INDEX_COLUMN, Era
+from ..eras import Era
 
 SMALL_INTEGERS = (
     "total_units",
@@ -54,8 +54,21 @@ def written_partitions(spark: SparkSession, path: str, key: str = "source") -> D
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """All sources of a bronze table, columns unioned; every column is text."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """All sources of a bronze table, columns unioned; every column is text.
+
+    A source is written by one plan, so one footer per source tells its columns;
+    merging the schema of every file would open all of them.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", True)
+        .load(path)
+    )
+    source = F.element_at(F.split("path", "/"), -2)
+    firsts = [r["path"] for r in files.groupBy(source).agg(F.min("path").alias("path")).collect()]
+    schema = spark.read.option("mergeSchema", True).parquet(*firsts).schema
+    return spark.read.schema(schema.add("source", T.StringType())).parquet(path)
 
 
 def silver_schema(era: Era, columns: Sequence[str]) -> T.StructType:
@@ -94,14 +107,3 @@ def write_lenders(df: DataFrame, folder: str, first: int, last: int, parquet: bo
     if parquet:
         df.write.mode("overwrite").parquet(f"{stem}.parquet")
 
-
-__all__ = [
-    "INDEX_COLUMN",
-    "path_exists",
-    "read_bronze",
-    "read_silver",
-    "silver_schema",
-    "write_lenders",
-    "write_partitioned",
-    "written_partitions",
-]
