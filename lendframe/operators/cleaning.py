@@ -13,7 +13,7 @@ from ..eras import (
     CLEANING_RENAMES_PRE2018,
     SENTINEL,
 )
-from ..functions.casts import col, null_if_in, number
+from ..functions.casts import col, number
 from ..session import hint_if_small
 from .columns import rename_present
 from .quantiles import exact_quantiles
@@ -42,10 +42,8 @@ def na_to_null(
 ) -> DataFrame:
     """Missing-value words to null in text columns."""
     chosen = set(df.columns if columns is None else columns)
-    text = {name for name, kind in df.dtypes if kind == "string"}
-    return df.select(
-        *[null_if_in(col(c), words).alias(c) if c in chosen & text else col(c) for c in df.columns]
-    )
+    text = [name for name, kind in df.dtypes if kind == "string" and name in chosen]
+    return df.replace({word: None for word in words}, subset=text) if text else df
 
 
 def coerce_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -60,25 +61,23 @@ def deduplicate(
     if missing:
         raise ValueError(f"add the record key before removing duplicates: {missing}")
     keys = [col(c) for c in subset]
+    any_null = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
+    place = col(order_by).desc() if keep == "last" else col(order_by).asc()
     if null_keys == "keep":
-        any_null = F.greatest(*[k.isNull() for k in keys]) if len(keys) > 1 else keys[0].isNull()
-        spread = [F.when(any_null, col(order_by))]
+        marked = df.withColumn("_spread", F.when(any_null, col(order_by)))
+        by_key = W.partitionBy(*keys, "_spread")
     else:
-        spread = []
-    place = col(order_by).desc() if keep == "last" else col(order_by).asc()
-    by_key = W.partitionBy(*keys, *spread)
+        marked, by_key = df, W.partitionBy(*keys)
     top = 2 if keep == "none" else 1
-    out = df.withColumn("_rank", F.row_number().over(by_key.orderBy(place)))
+    out = marked.withColumn("_rank", F.row_number().over(by_key.orderBy(place)))
     out = out.filter(F.col("_rank") <= top)
     if keep == "none":
         out = out.withColumn("_copies", F.count(F.lit(1)).over(by_key))
         out = out.filter(F.col("_copies") == 1).drop("_copies")
-    out = out.drop("_rank")
+    out = out.drop("_rank", "_spread")
     if count_dropped:
-        sizes = df.groupBy(*keys, *[s.alias("_spread") for s in spread])
-        if null_keys == "keep":
-            held = df.filter(~any_null)
-            sizes = held.groupBy(*keys)
+        held = df.filter(~any_null) if null_keys == "keep" else df
+        sizes = held.groupBy(*keys)
         copies = F.col("count")
         lost = F.when(copies > 1, copies).otherwise(0) if keep == "none" else copies - 1
         dropped = sizes.count().agg(F.coalesce(F.sum(lost), F.lit(0)).cast("bigint").alias("n"))

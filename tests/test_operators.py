@@ -106,6 +106,8 @@ def test_dedup_cuts_a_hot_key_before_the_shuffle(spark):
     out = identity.deduplicate(df, "id", count_dropped=False)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Partial") > plan.index("Exchange hashpartitioning")
+    none = identity.deduplicate(df, "id", "none", count_dropped=False)
+    assert none._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert out.count() == 1000 - 333
 
 
