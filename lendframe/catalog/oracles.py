@@ -179,7 +179,7 @@ put(
 )
 SHARED = "state_code, county_code, census_tract, loan_amount, income"
 put(
-    "all_eras_view",
+    "all_eras",
     ("lar_pre2007", "lar_2007_2017", "lar_raw"),
     f"""SELECT 'pre2007' AS era, activity_year, src_pos, agency_code, msa_md, {SHARED},
       CAST(NULL AS BIGINT) AS action_taken, CAST(NULL AS VARCHAR) AS file_type FROM {OLD} a

@@ -25,7 +25,7 @@ from ..operators import (
     tracts,
     vintages,
 )
-from ..plans.all_eras import all_eras
+from ..plans import all_eras as era_view
 from ..plans import clean
 from ..sources import listing
 from .views import view
@@ -98,8 +98,8 @@ def clean_loans(spark, sf):
 
 
 @query
-def all_eras_view(spark, sf):
-    loans = all_eras(
+def all_eras(spark, sf):
+    loans = era_view.all_eras(
         harmonize.silver_pre2007(view(spark, sf, "lar_pre2007")),
         harmonize.silver_2007_2017(view(spark, sf, "lar_2007_2017"), "d"),
         silver(spark, sf),

@@ -190,7 +190,7 @@ def isolation_forest(
     numbers = loans.select(
         col(key), *[col(c) for c in keep], *[col(c).cast("double").alias(c) for c in features]
     )
-    known = sentinel_to_null(numbers, features)
+    known = cut_lineage(sentinel_to_null(numbers, features))  # read five times below
     middle = medians(known, features)
     empty = [c for c, value in middle.items() if value is None]
     if empty:
