@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..eras import INDEX_COLUMN
 from ..functions.casts import col, strip, zero_pad
 from ..session import summary_side
+from .quantiles import approximate_cuts
 
 RECORD_KEY = "hmda_record_key"
 KEY_JOIN = "||"
@@ -112,9 +113,7 @@ def dense_position(
     slices = min(10_000, facts["n"] // rows_per_slice + 1)
     cuts: list[float] = []
     if slices > 1 and facts["lo"] < facts["hi"]:
-        probs = [i / slices for i in range(1, slices)]
-        found = df.agg(F.percentile_approx(value, probs, 10 * slices).alias("cuts")).first()["cuts"]
-        cuts = sorted(set(found))
+        cuts = approximate_cuts(df.select(value.alias("v")), slices, facts["n"])
     if cuts:
         edges = [float("-inf"), *cuts, float("inf")]
         sliced = Bucketizer(splits=edges, inputCol="_at", outputCol="_slice").transform(

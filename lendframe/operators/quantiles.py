@@ -12,6 +12,7 @@ from ..functions.casts import col
 
 PIECES = 1000
 ACCURACY = 10_000
+SAMPLE_ROWS = 1_000_000
 
 
 def exact_quantiles(
@@ -22,10 +23,10 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles of each numeric column, nulls left out.
 
-    Spark's exact ``percentile`` keeps one entry per distinct value in memory, so
-    it is used only for columns whose distinct count is known to be small. The
-    others are narrowed: count rows between approximate cut points, keep the
-    slices that hold the wanted ranks, and repeat inside them.
+    Columns with few distinct values are folded to (value, count) pairs, which is a
+    distributed count, and the quantiles are taken over those pairs. For the others
+    the wanted ranks are narrowed: count rows between cut points, keep the slices that
+    hold the ranks, and repeat inside them. No task ever holds a whole column.
     """
     columns = list(dict.fromkeys(columns))
     if not columns:
@@ -33,24 +34,43 @@ def exact_quantiles(
     numbers = df.select(*[col(c).cast("double").alias(c) for c in columns])
     spread = numbers.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in columns]).first()
     small = [c for c in columns if spread[c] <= max_distinct]
-    out: dict[str, list[float | None]] = {}
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in small}
     if small:
-        wanted = [F.lit(float(p)) for p in probs]
-        row = numbers.agg(*[F.percentile(col(c), F.array(*wanted)).alias(c) for c in small]).first()
-        out.update({c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in small})
+        counts = (
+            numbers.unpivot([], [col(c) for c in small], "c", "v")
+            .filter("v IS NOT NULL")
+            .groupBy("c", "v")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        found = counts.groupBy("c").agg(F.percentile("v", wanted, F.col("n")).alias("q")).collect()
+        out.update({r["c"]: list(r["q"]) for r in found})
     for c in columns:
         if c not in out:
             out[c] = _by_rank(numbers.select(col(c).alias("v")).filter("v IS NOT NULL"), probs)
     return out
 
 
+def approximate_cuts(values: DataFrame, pieces: int, total: int) -> list[float]:
+    """Distinct approximate quantiles of column ``v``, from a bounded sample.
+
+    A sketch of every row would send one full sketch per task to a single reducer.
+    Cuts only steer the search, so what is computed with them stays exact.
+    """
+    share = SAMPLE_ROWS / max(1, total)
+    looked_at = values if share >= 1 else values.sample(share, seed=7)
+    probs = [i / pieces for i in range(pieces + 1)]
+    found = looked_at.agg(F.percentile_approx("v", probs, ACCURACY).alias("q")).first()["q"]
+    return sorted(set(found or []))
+
+
 def _by_rank(values: DataFrame, probs: Sequence[float]) -> list[float | None]:
     total = values.count()
     if total == 0:
         return [None] * len(probs)
     places = [p * (total - 1) for p in probs]
     ranks = {math.floor(x) for x in places} | {math.ceil(x) for x in places}
-    found = values_at_ranks(values, ranks)
+    found = values_at_ranks(values, ranks, total)
     out = []
     for x in places:
         low, high = found[math.floor(x)], found[math.ceil(x)]
@@ -58,20 +78,19 @@ def _by_rank(values: DataFrame, probs: Sequence[float]) -> list[float | None]:
     return out
 
 
-def values_at_ranks(values: DataFrame, ranks: set[int]) -> dict[int, float]:
+def values_at_ranks(values: DataFrame, ranks: set[int], total: int) -> dict[int, float]:
     """Values of column ``v`` at zero-based ranks of its sorted order.
 
-    Each round splits a slice at up to ``PIECES`` approximate quantiles and counts
-    rows equal to a cut and rows strictly between cuts, at most two summary rows
-    per cut. What lies strictly between cuts is a small share of the slice, so the
-    slices shrink quickly however the values are spread or repeated.
+    Each round cuts a slice into up to ``PIECES`` and counts rows equal to a cut and
+    rows strictly between cuts, at most two summary rows per cut. What lies strictly
+    between cuts is a small share of the slice, so the slices shrink quickly however
+    the values are spread or repeated.
     """
     found: dict[int, float] = {}
-    todo = [(values, 0, sorted(ranks))]
+    todo = [(values, 0, total, sorted(ranks))]
     while todo:
-        part, before, wanted = todo.pop()
-        probs = [i / PIECES for i in range(PIECES + 1)]
-        cuts = sorted(set(part.agg(F.percentile_approx("v", probs, ACCURACY).alias("q")).first()["q"]))
+        part, before, size, wanted = todo.pop()
+        cuts = approximate_cuts(part, PIECES, size)
         edges = [float("-inf"), *cuts, float("inf")]
         placed = Bucketizer(splits=edges, inputCol="v", outputCol="slice").transform(part)
         lower = F.get(F.lit([float("-inf"), *cuts]), F.col("slice").cast("int"))
@@ -88,6 +107,7 @@ def values_at_ranks(values: DataFrame, ranks: set[int]) -> dict[int, float]:
             if inside and row["lo"] == row["hi"]:
                 found.update({r: row["lo"] for r in inside})
             elif inside:
-                todo.append((part.filter(F.col("v").between(row["lo"], row["hi"])), start, inside))
+                slice_rows = part.filter(F.col("v").between(row["lo"], row["hi"]))
+                todo.append((slice_rows, start, row["n"], inside))
             start += row["n"]
     return found

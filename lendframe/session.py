@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings of the session that the wide projections rely on for speed.
+    """Session settings that the wide projections and partitioned writes rely on.
 
     HotSpot never compiles a method above 8000 bytes of bytecode. A fused stage with
     a cast per column is far larger, so it would run interpreted; beyond this limit
-    Spark generates small methods instead.
+    Spark generates small methods instead. A few open writers per task spare the
+    sort before a partitioned write, as a task meets few partitions.
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "8")
     return spark
 
 
