@@ -47,16 +47,30 @@ def sort_columns(df: DataFrame) -> DataFrame:
     return df.select(*[col(c) for c in sorted(df.columns)])
 
 
+WIDENING = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def common_type(kinds: Iterable[str]) -> str:
+    """Widest number type of the kinds, or text if they are not all numbers."""
+    kinds = set(kinds)
+    if len(kinds) == 1:
+        return kinds.pop()
+    if not kinds <= set(WIDENING):
+        return "string"
+    widest = max(kinds, key=WIDENING.index)
+    return "double" if widest == "float" and kinds & {"int", "bigint"} else widest
+
+
 def concat_diagonal(frames: Iterable[DataFrame]) -> DataFrame:
-    """Union by name; missing columns become null and clashing types become text."""
+    """Union by name; missing columns become null and clashing types their common type."""
     frames = list(frames)
-    types: dict[str, set[str]] = {}
+    kinds: dict[str, set[str]] = {}
     for frame in frames:
         for name, kind in frame.dtypes:
-            types.setdefault(name, set()).add(kind)
-    mixed = {name for name, kinds in types.items() if len(kinds) > 1}
+            kinds.setdefault(name, set()).add(kind)
+    target = {name: common_type(found) for name, found in kinds.items() if len(found) > 1}
     same = [
-        f.select(*[col(c).cast("string").alias(c) if c in mixed else col(c) for c in f.columns])
+        f.select(*[col(c).cast(target[c]).alias(c) if c in target else col(c) for c in f.columns])
         for f in frames
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -25,10 +26,20 @@ def best_releases(
     if len(pairs) > MAX_YEARS:
         same = col(year_col).eqNullSafe(F.col("_year")) & (col(type_col) == F.col("_type"))
         return df.join(lowest, same, "left_semi")
+    chosen = {p["_year"]: p["_type"] for p in pairs if p["_type"] is not None}
+    return keep_releases(df, chosen, year_col, type_col)
+
+
+def keep_releases(
+    df: DataFrame,
+    chosen: Mapping[object, str],
+    year_col: str = "activity_year",
+    type_col: str = "file_type",
+) -> DataFrame:
+    """Rows of the given type per year."""
     tests = [
-        col(year_col).eqNullSafe(F.lit(p["_year"])) & (col(type_col) == F.lit(p["_type"]))
-        for p in pairs
-        if p["_type"] is not None
+        col(year_col).eqNullSafe(F.lit(year)) & (col(type_col) == F.lit(kind))
+        for year, kind in chosen.items()
     ]
     return df.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
 

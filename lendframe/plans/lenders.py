@@ -24,9 +24,9 @@ CSV = r"\.csv$"
 
 
 def _parquet_years(spark: SparkSession, folder: str, first: int, last: int) -> DataFrame:
-    """One Parquet file per year, read together; columns unioned."""
+    """One Parquet file per year; types may differ between years, columns are unioned."""
     paths = year_paths(list_files(spark, folder), first, last, PARQUET)
-    return spark.read.option("mergeSchema", True).parquet(*paths)
+    return concat_diagonal([spark.read.parquet(p) for p in paths])
 
 
 def _csv_years(spark: SparkSession, folder: str, first: int, last: int, tidy) -> DataFrame:

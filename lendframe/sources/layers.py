@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..eras import Era
+from ..operators.vintages import keep_releases
 
 SMALL_INTEGERS = (
     "total_units",
@@ -100,6 +101,24 @@ def read_silver(
     return df.withColumn("activity_year", F.col("activity_year").cast("bigint"))
 
 
+def read_best_releases(
+    spark: SparkSession, path: str, era: Era, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """A whole silver table cut to the lowest file type per year.
+
+    The choice needs the folder names alone; only the chosen folders are read.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/activity_year=*/file_type=*")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    chosen: dict[object, str] = {}
+    for status in files.globStatus(folder):
+        year = status.getPath().getParent().getName().split("=", 1)[1]
+        kind = status.getPath().getName().split("=", 1)[1]
+        if year.isdigit():
+            chosen[int(year)] = min(kind, chosen.get(int(year), kind))
+    return keep_releases(read_silver(spark, path, era, columns), chosen)
+
+
 def write_lenders(df: DataFrame, folder: str, first: int, last: int, parquet: bool = True) -> None:
     """Pipe-delimited text, and Parquet if asked, one folder each."""
     stem = f"{folder}/lenders_combined_{first}-{last}"

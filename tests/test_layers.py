@@ -13,7 +13,7 @@ from lendframe.plans.bronze import build_bronze
 from lendframe.plans.imports import import_2007_2017, import_era, import_post2018, import_pre2007
 from lendframe.plans.silver import build_silver
 from lendframe.sources.delimited import read_text_table, with_row_numbers
-from lendframe.sources.layers import read_bronze, read_silver
+from lendframe.sources.layers import read_best_releases, read_bronze, read_silver
 from lendframe.sources.layout import Layout
 from lendframe.sources.listing import (
     archives_for_years,
@@ -84,6 +84,9 @@ def test_post2018_round_trip(spark, post2018):
     row = loans.filter("HMDAIndex = '2018a_000000005'").first()
     assert (row["income"], row["county_code"], row["loan_type"]) == (-99999, "11002", None)
     assert loans.filter("HMDAIndex = '2019c_000000001'").first()["loan_type"] == 7
+    best = read_best_releases(spark, post2018.silver("loans", "post2018"), POST2018)
+    counts = {tuple(r) for r in best.groupBy("activity_year", "file_type").count().collect()}
+    assert counts == {(2018, "a", 40), (2019, "c", 20)}
     panel = read_silver(spark, post2018.silver("panel", "post2018"), POST2018)
     assert {"lei", "top_holder_name"} <= set(panel.columns)
 

@@ -52,6 +52,13 @@ def test_concat_diagonal_turns_clashes_into_text(spark):
     assert sorted(r["x"] for r in out.collect()) == ["1", "3"]
 
 
+def test_common_types():
+    assert columns.common_type(["int", "bigint"]) == "bigint"
+    assert columns.common_type(["bigint", "float"]) == "double"
+    assert columns.common_type(["string", "int"]) == "string"
+    assert columns.common_type(["double"]) == "double"
+
+
 def test_harmonize_touches_only_text_and_present_columns(spark):
     df = spark.createDataFrame([("5", 7, "keep")], "loan_amount string, loan_type bigint, other string")
     out = harmonize.harmonize_post2018(df)
