@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendframe.llm import pieces, tokenfile, urlfilter
+from lendframe.llm import langid, pieces, pii, quality, tokenfile, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_pages(_table(spark, sf_dir, "pages"))
 
@@ -29,9 +33,27 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_documents(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.store_and_verify(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_url_filters, op4_sentencepiece, op10_token_files)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_url_filters,
+        op4_sentencepiece,
+        op6_quality,
+        op9_personal_data,
+        op10_token_files,
+    )
+}
 ORACLES: dict[str, str] = {"op2_url_filters": urlfilter.ORACLE_URLS}
