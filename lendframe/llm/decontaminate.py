@@ -168,16 +168,49 @@ class ItemIndex:
             yield row, self.ids[own[item]], similar, at, min(n_words - at, self.words[own[item]])
 
 
+def _passes(benchmark: DataFrame) -> list[DataFrame]:
+    count = max(1, -(-benchmark.count() // ITEMS))
+    block = F.pmod(F.xxhash64("item_id"), F.lit(count))
+    return [benchmark.filter(block == k) for k in range(count)]
+
+
+def _index(items: DataFrame):
+    rows = items.select("item_id", "text").filter("text is not null").orderBy("item_id").collect()
+    return items.sparkSession.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows]))
+
+
+def _search(index: ItemIndex, text: pa.Array) -> list[tuple[int, int, float, int, int]]:
+    data, offsets = utf8(text)
+    starts, stops, counts = words(data, offsets)
+    return list(index.search(word_hashes(data, starts, stops), counts))
+
+
+def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no item is found."""
+    for items in _passes(benchmark):
+        docs = docs.filter(~_leaked(_index(items))(F.col("text")))
+    return docs
+
+
+def _leaked(index):
+    @F.arrow_udf("boolean")
+    def leaked(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in arrays:
+            out = np.zeros(len(text), bool)
+            for a, b in chunks(text):
+                out[[a + match[0] for match in _search(index.value, text[a:b])]] = True
+            yield pa.array(out)
+
+    return leaked
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, similarity, first_word, n_words``: each document and item that match, at their best window."""
-    passes = max(1, -(-benchmark.count() // ITEMS))
-    block = F.pmod(F.xxhash64("item_id"), F.lit(passes))
-    return reduce(DataFrame.unionByName, [_one_pass(docs, benchmark.filter(block == k)) for k in range(passes)])
+    return reduce(DataFrame.unionByName, [_one_pass(docs, items) for items in _passes(benchmark)])
 
 
 def _one_pass(docs: DataFrame, items: DataFrame) -> DataFrame:
-    rows = items.select("item_id", "text").filter("text is not null").orderBy("item_id").collect()
-    index = docs.sparkSession.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows]))
+    index = _index(items)
     kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType
     schema = f"doc_id {kind}, item_id {item_kind.simpleString()}, similarity double, first_word long, n_words long"
     names = ["doc_id", "item_id", "similarity", "first_word", "n_words"]
@@ -187,9 +220,7 @@ def _one_pass(docs: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             doc, text = column(batch, "doc_id"), column(batch, "text")
             for a, b in chunks(text):
-                data, offsets = utf8(text[a:b])
-                starts, stops, counts = words(data, offsets)
-                found = list(index.value.search(word_hashes(data, starts, stops), counts))
+                found = _search(index.value, text[a:b])
                 if found:
                     row, item, similar, at, n = zip(*found, strict=True)
                     columns = [doc[a:b].take(pa.array(row)), pa.array(item, arrow_item), pa.array(similar, pa.float64()), pa.array(at, pa.int64()), pa.array(n, pa.int64())]

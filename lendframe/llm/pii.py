@@ -251,12 +251,12 @@ def all_spans(text: Column, base: Column, weights: dict[tuple[str, int], float])
 
 
 def find_personal_data(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (all by default) with ``base`` and ``spans`` arrays; learned from ``docs`` itself."""
+    """``keep`` columns (all by default) with ``__base`` and ``__spans`` arrays; learned from ``docs`` itself."""
     weights = learn(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
     kept = [F.col(f"`{c}`") for c in (keep if keep is not None else docs.columns)]
-    based = docs.select(*kept, text.alias("__text"), base_spans(text).alias("base"))
-    return based.select(*kept, "__text", "base", all_spans(F.col("__text"), F.col("base"), weights).alias("spans"))
+    based = docs.select(*kept, text.alias("__text"), base_spans(text).alias("__base"))
+    return based.select(*kept, "__text", "__base", all_spans(F.col("__text"), F.col("__base"), weights).alias("__spans"))
 
 
 def written(spans: Column) -> Column:
@@ -266,9 +266,9 @@ def written(spans: Column) -> Column:
 def report(docs: DataFrame) -> DataFrame:
     """Counts and digest of base spans, and all spans written out."""
     found = find_personal_data(docs, ["doc_id"])
-    kinds = F.transform("base", lambda s: s["kind"])
+    kinds = F.transform("__base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(written(F.col("__base")), 256).alias("base_sha256"), written(F.col("__spans")).alias("spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -285,5 +285,5 @@ def redact(docs: DataFrame) -> DataFrame:
     def finish(acc: Column) -> Column:
         return F.concat(acc["out"], F.substring(F.col("__text"), acc["at"] + F.lit(1), F.length("__text")))
 
-    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", start, step, finish))
+    clean = F.when(F.size("__spans") == 0, F.col("text")).otherwise(F.aggregate("__spans", start, step, finish))
     return found.withColumn("text", clean).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -210,9 +210,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL) ->
 
 
 def score_documents(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """All columns of ``docs`` and ``quality_score`` (replaced if there)."""
+    """All columns of ``docs`` and ``__quality``, a score from 0 to 1."""
     if model is None:
-        return docs.withColumn("quality_score", F.lit(0.5))
+        return docs.withColumn("__quality", F.lit(0.5))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
@@ -221,7 +221,13 @@ def score_documents(docs: DataFrame, model: QualityModel | None) -> DataFrame:
             parts = [shared.value.scores(text[a:b].fill_null("").to_pylist()) for a, b in chunks(text)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
-    return docs.withColumn("quality_score", score(F.col("text")))
+    return docs.withColumn("__quality", score(F.col("text")))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that score at least THRESHOLD, by the model that ``judge_quality`` learns."""
+    model = fit(docs, labels.filter(remainder("doc_id", 4) != 2))
+    return score_documents(docs, model).filter(F.col("__quality") >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -230,6 +236,6 @@ def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score_documents(docs.select("doc_id", "text"), model).select(
         "doc_id",
         (remainder("doc_id", 4) == 2).alias("held_out"),
-        F.col("quality_score").alias("score"),
-        (F.col("quality_score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.col("__quality").alias("score"),
+        (F.col("__quality") >= THRESHOLD).cast("int").alias("predicted"),
     )

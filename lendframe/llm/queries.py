@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendframe.llm import langid, pieces, pii, quality, tokenfile, urlfilter
+from lendframe.llm import decontaminate, htmltext, langid, neighbours, ngramjoin, pieces, pii, quality, tokenfile, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,14 +29,30 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_pages(_table(spark, sf_dir, "pages"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_documents(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_table(spark, sf_dir, "documents"))
 
@@ -50,8 +66,12 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_language_id,
         op2_url_filters,
+        op3_ngram_join,
         op4_sentencepiece,
+        op5_page_text,
         op6_quality,
+        op7_decontamination,
+        op8_near_vectors,
         op9_personal_data,
         op10_token_files,
     )
