@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,9 +20,30 @@ def configure(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "8")
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application.
+
+    Functions that run there refer to its modules, wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 def local_session(cores: int | str = "*", memory: str = "20g") -> SparkSession:
     """A single-JVM session for tests and benchmarks."""
     spark = (
