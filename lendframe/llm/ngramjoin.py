@@ -1,6 +1,6 @@
 """Near-duplicate documents by an exact Jaccard join of word-shingle sets with prefix trees.
 
-A document's set are its distinct five-word shingles as 64-bit hashes. All sets are put in
+A document's set are its distinct five-word shingles as 48-bit hashes. All sets are put in
 one global order: shingles by hash, but those that many documents share last, by how often
 they occur. Two sets within the threshold then share a shingle among their first few. The
 documents of such a shingle are compared: all of them where they are few; where they are
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lendframe.llm.arrow import chunks, column, list_array, utf8
 from lendframe.llm.components import connect
@@ -34,7 +34,7 @@ from lendframe.session import cut_lineage
 #: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Groups of up to so many documents are compared in full at once.
-SMALL = 8
+SMALL = 64
 HUBS = 3
 #: Partners of one document that a trie holds.
 TRIE = 512
@@ -44,12 +44,16 @@ FREQUENT = 1 << 16
 COUNTED = 1 << 21
 SEEN = 4
 MAP_BITS = 1 << 24
+#: Bytes of a shingle's hash: two documents of 1000 shingles are misjudged once in 10 ** 8 pairs.
+ITEM_BYTES = 6
+LOW = (1 << 32) - 1
 
 
 def document_sets(text: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Row and sorted distinct shingles, chunk by chunk."""
     for a, b in chunks(text):
         hashed, made = text_shingles(*utf8(text[a:b]))
+        hashed = hashed >> np.uint64(64 - 8 * ITEM_BYTES)
         parts = np.split(hashed, np.cumsum(made)[:-1]) if b > a else []
         yield a, [np.unique(p) for p in parts]
 
@@ -106,6 +110,17 @@ def describe(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, version long, n int, key long, items array<long>, counts array<int>")
 
 
+def pack(sets: list[np.ndarray]) -> pa.Array:
+    """Each set as bytes, in its order."""
+    return pa.array([np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ITEM_BYTES]).tobytes() for s in sets], pa.binary())
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // ITEM_BYTES, 8), np.uint8)
+    wide[:, :ITEM_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, ITEM_BYTES)
+    return wide.view("<u8").ravel().astype(np.uint64)
+
+
 class GlobalOrder:
     """Shingles by hash, frequent ones last by frequency."""
 
@@ -160,61 +175,62 @@ def prefixes(docs: DataFrame, order) -> DataFrame:
     return docs.select("text").mapInArrow(run, "item long, key long, spot long")
 
 
-def _may_link(n, p, m, q):
-    """Whether sets of n and m may link that share a shingle at places p and q, and none before."""
-    return (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (1 + np.minimum(n - p, m - q) - 1 >= least_overlap(n, m))
-
-
 def propose(first: DataFrame) -> DataFrame:
-    """Pairs to verify, and members of large groups for the second phase.
+    """Pairs to verify, and members of large groups.
 
     Shingles are dealt to tasks and sorted, and a task streams through them: it holds the
-    current shingle's first members only. ``a, b`` with ``item`` null are a pair; else
-    ``a`` is a member of the group of ``item`` with its ``spot`` in ``b``.
+    current shingle's first members only. Rows with ``item`` null are a pair ``a < b`` that
+    shares a shingle, with the ``sizes`` of both sets and the ``spots`` of the shingle in
+    them packed; ``full`` is 1 if all pairs of that shingle are listed. Others say that
+    ``a`` is a member of the large group of ``item``, with its ``spot`` in ``b``.
     """
+    names = ["a", "b", "item", "sizes", "spots", "full"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item, members = None, []
-        out: tuple[list[int], list[int], list[int | None]] = ([], [], [])
+        item, members, last = None, [], None
+        out: tuple[list, ...] = ([], [], [], [], [], [])
+
+        def pair(x: tuple[int, int], y: tuple[int, int], full: int) -> None:
+            (key, spot), (other, place) = (x, y) if x[0] < y[0] else (y, x)
+            n, m = spot >> 32, place >> 32
+            if 100 * min(n, m) >= PERCENT * max(n, m):
+                spots = ((spot & LOW) << 32) + (place & LOW)
+                for values, value in zip(out, (key, other, None, (n << 32) + m, spots, full), strict=True):
+                    values.append(value)
 
-        def pair(x: tuple[int, int], y: tuple[int, int]) -> None:
-            (key, spot), (other, place) = x, y
-            if _may_link(spot >> 32, spot & 0xFFFFFFFF, place >> 32, place & 0xFFFFFFFF):
-                out[0].append(min(key, other))
-                out[1].append(max(key, other))
-                out[2].append(None)
+        def member(x: tuple[int, int]) -> None:
+            for values, value in zip(out, (*x, item, None, None, None), strict=True):
+                values.append(value)
 
         def close() -> None:
             """Members of a group that stayed small: each with each."""
             if 1 < len(members) <= SMALL:
                 for k, x in enumerate(members):
                     for y in members[:k]:
-                        pair(x, y)
+                        pair(x, y, 1)
 
         def add(x: tuple[int, int]) -> None:
             """Members come most central first; past SMALL each meets the first few only."""
-            members.append(x)
-            if len(members) <= SMALL:
+            if len(members) < SMALL:
+                members.append(x)
                 return
-            if len(members) == SMALL + 1:
+            if len(members) == SMALL:
+                members.append(x)
                 for k, y in enumerate(members):
-                    out[0].append(y[0]), out[1].append(y[1]), out[2].append(item)
+                    member(y)
                     for z in members[: min(k, HUBS)]:
-                        pair(y, z)
-            else:
-                out[0].append(x[0]), out[1].append(x[1]), out[2].append(item)
-                for z in members[:HUBS]:
-                    pair(x, z)
-            if len(members) > SMALL + 2:
-                members.pop()
+                        pair(y, z, 0)
+                return
+            member(x)
+            for z in members[:HUBS]:
+                pair(x, z, 0)
 
         def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b", "item"])
+            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
             for c in out:
                 c.clear()
             return batch
 
-        last = None
         for batch in batches:
             items, keys, spots = (column(batch, c).to_numpy() for c in ("item", "key", "spot"))
             # most shingles belong to one set: leave them out before any loop
@@ -237,9 +253,45 @@ def propose(first: DataFrame) -> DataFrame:
         if out[0]:
             yield flush()
 
-    central = F.expr("spot & 4294967295")
+    central = F.col("spot").bitwiseAND(F.lit(LOW))
     dealt = first.repartition("item").sortWithinPartitions("item", central, "key")
-    return dealt.mapInArrow(run, "a long, b long, item long")
+    return dealt.mapInArrow(run, "a long, b long, item long, sizes long, spots long, full long")
+
+
+def _need(n: Column, m: Column) -> Column:
+    return F.ceil(F.lit(PERCENT) * (n + m) / F.lit(100 + PERCENT))
+
+
+def _after_prefix(n: Column) -> Column:
+    return n - (n - F.ceil(F.lit(PERCENT) * n / F.lit(100)) + F.lit(1))
+
+
+def _may_link(n: Column, m: Column, met: Column, p: Column, q: Column, unseen: Column) -> Column:
+    """Whether sets of n and m may share enough.
+
+    ``met`` shingles they share in both prefixes, the last at places p and q, but for up to
+    ``unseen`` more. What else they share lies past the prefix that ends first, and, if
+    none is unseen, behind the last one in both.
+    """
+    past = met + unseen + F.greatest(_after_prefix(n), _after_prefix(m))
+    behind = F.when(unseen == 0, met + F.least(n - p, m - q) - 1).otherwise(past)
+    return F.least(past, behind) >= _need(n, m)
+
+
+def count_pairs(proposed: DataFrame) -> DataFrame:
+    """``a, b, n, m, met, p, q, unseen`` of every pair proposed."""
+    large = cut_lineage(proposed.filter("item is not null").groupBy("a").agg(F.count("*").alias("large")))
+    counted = F.col("full") == 1
+    pairs = proposed.filter("item is null").groupBy("a", "b").agg(
+        F.sum("full").alias("met"),
+        F.min("sizes").alias("sizes"),
+        F.max(F.when(counted, F.expr("spots >> 32"))).alias("p"),
+        F.max(F.when(counted, F.col("spots").bitwiseAND(F.lit(LOW)))).alias("q"),
+    )
+    pairs = pairs.join(large, "a", "left").withColumnRenamed("large", "large_a").join(large.withColumnRenamed("a", "b"), "b", "left")
+    unseen = F.least(F.coalesce("large_a", F.lit(0)), F.coalesce("large", F.lit(0)))
+    n, m = F.expr("sizes >> 32"), F.col("sizes").bitwiseAND(F.lit(LOW))
+    return pairs.select("a", "b", n.alias("n"), m.alias("m"), "met", "p", "q", unseen.alias("unseen"))
 
 
 def bit_map(ids: DataFrame, name: str) -> np.ndarray:
@@ -253,29 +305,31 @@ def bit_map(ids: DataFrame, name: str) -> np.ndarray:
     return found
 
 
-def fetch_sets(docs: DataFrame, holders: DataFrame, keys: DataFrame, order) -> DataFrame:
-    """``key, items`` in global order for the keys named, made anew from one holder's text each."""
-    wanted = cut_lineage(keys.join(holders, "key").select("key", "holder"))
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(bit_map(wanted, "holder"))
+def fetch_sets(docs: DataFrame, holders: DataFrame, pairs: DataFrame, order) -> DataFrame:
+    """``key, items`` in global order for all keys in ``pairs``, made anew from their holders' texts.
+
+    Holders are told by a filter of fixed size. What it lets through besides is not asked
+    for, or the same set again.
+    """
+    keys = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
+    bits = docs.sparkSession.sparkContext.broadcast(bit_map(keys.join(holders, "key"), "holder"))
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int] = set()
         for batch in batches:
             place = column(batch, "spot").to_numpy()
             may = (bits.value[place // 32] >> (place % 32).astype(np.uint32)) & 1
-            chosen = pa.array(np.flatnonzero(may))
-            doc, text = column(batch, "doc_id").take(chosen), column(batch, "text").take(chosen)
-            for at, sets in document_sets(text):
-                sets = [order.value.arrange(s) for s in sets]
-                flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-                items = list_array(flat, np.array([len(s) for s in sets]), pa.int64())
-                yield pa.RecordBatch.from_arrays([doc[at : at + len(sets)], pa.array([set_key(s) for s in sets], pa.int64()), items], ["doc_id", "key", "items"])
+            text = column(batch, "text").take(pa.array(np.flatnonzero(may)))
+            for _, sets in document_sets(text):
+                found = {k: s for s in sets if (k := set_key(s)) not in known}
+                known |= found.keys()
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pack([order.value.arrange(s) for s in found.values()])], ["key", "items"])
+                if len(known) > 500_000:
+                    known.clear()
 
-    made = docs.select("doc_id", "text", spot.alias("spot")).mapInArrow(run, f"doc_id {kind}, key long, items array<long>")
-    exact = made.join(wanted, (made["key"] == wanted["key"]) & made["doc_id"].eqNullSafe(wanted["holder"]), "left_semi")
-    return exact.groupBy("key").agg(F.first("items").alias("items"))
+    return cut_lineage(docs.select("text", spot.alias("spot")).mapInArrow(run, "key long, items binary"))
 
 
 def trie_links(probe: np.ndarray, partners: list[np.ndarray]) -> np.ndarray:
@@ -330,19 +384,16 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(found), current[0]), pa.int64()), pa.array(found, pa.int64())], ["a", "b"]) if len(found) else None
 
         for batch in batches:
-            items = column(batch, "items")
-            flat, offsets = items.values.to_numpy().view(np.uint64), items.offsets.to_numpy()
-            for k, (a, block, b) in enumerate(zip(*(column(batch, c).to_pylist() for c in ("a", "block", "b")), strict=True)):
+            for a, block, b, items in zip(*(column(batch, c).to_pylist() for c in ("a", "block", "b", "items")), strict=True):
                 if (a, block) != current:
                     if (done := close()) is not None:
                         yield done
                     current, probe, names, partners = (a, block), None, [], []
-                own = flat[offsets[k] : offsets[k + 1]]
                 if b is None:
-                    probe = own.copy()
-                else:
+                    probe = unpack(items)
+                elif not names or names[-1] != b:
                     names.append(b)
-                    partners.append(own.copy())
+                    partners.append(unpack(items))
         if (done := close()) is not None:
             yield done
 
@@ -351,20 +402,25 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def second_phase(groups: DataFrame, labels: DataFrame, checked: DataFrame) -> DataFrame:
-    """Pairs of large groups that lie in different components and were not checked before."""
+    """Pairs ``a, b`` of large groups that lie in different components, may link and were not checked before.
+
+    A pair comes up at a shingle that leaves room enough behind it in both sets, as the
+    first one that they share does if they link.
+    """
     named = groups.select("item", F.col("a").alias("key"), F.col("b").alias("spot")).join(labels.withColumnRenamed("node", "key"), "key", "left")
-    named = cut_lineage(named.select("item", "key", F.coalesce("component", "key").alias("label"), F.expr("spot >> 32").alias("n"), F.expr("spot & 4294967295").alias("p")))
+    place = F.col("spot").bitwiseAND(F.lit(LOW))
+    named = cut_lineage(named.select("item", "key", F.coalesce("component", "key").alias("label"), F.expr("spot >> 32").alias("n"), place.alias("p")))
     mixed = named.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("item")
     named = cut_lineage(named.join(mixed, "item"))
     x, y = named.alias("x"), named.alias("y")
-    need = F.ceil(F.lit(PERCENT) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + PERCENT))
     fits = (
         (F.col("x.item") == F.col("y.item"))
-        & (F.col("x.label") < F.col("y.label"))
+        & (F.col("x.key") < F.col("y.key"))
+        & (F.col("x.label") != F.col("y.label"))
         & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
-        & (F.least(F.col("x.n") - F.col("x.p"), F.col("y.n") - F.col("y.p")) >= need)
+        & (F.least(F.col("x.n") - F.col("x.p"), F.col("y.n") - F.col("y.p")) >= _need(F.col("x.n"), F.col("y.n")))
     )
-    pairs = x.join(y, fits).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+    pairs = x.join(y, fits).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     return pairs.join(checked, ["a", "b"], "left_anti")
 
 
@@ -381,15 +437,14 @@ def join_rows(docs: DataFrame) -> DataFrame:
     rows = told.filter("n >= 0").select("doc_id", "version", "n", "key")
     holders = cut_lineage(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("holder")))
     proposed = cut_lineage(propose(prefixes(docs, order)))
-    pairs = cut_lineage(proposed.filter("item is null").select("a", "b").distinct())
-    groups = proposed.filter("item is not null")
-    ends = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).unionAll(groups.select(F.col("a").alias("key"))).distinct()
-    sets = cut_lineage(fetch_sets(docs, holders, ends, order))
-    links = cut_lineage(verify(pairs, sets))
+    counted = cut_lineage(count_pairs(proposed))
+    may = _may_link(*(F.col(c) for c in ("n", "m", "met")), F.coalesce("p", F.lit(0)), F.coalesce("q", F.lit(0)), F.col("unseen"))
+    pairs = cut_lineage(counted.filter(may).select("a", "b"))
+    links = cut_lineage(verify(pairs, fetch_sets(docs, holders, pairs, order)))
     labels = connect(links)
-    later = cut_lineage(second_phase(groups, labels, pairs))
+    later = cut_lineage(second_phase(proposed.filter("item is not null"), labels, pairs))
     if not later.isEmpty():
-        labels = connect(links.unionAll(cut_lineage(verify(later, sets))))
+        labels = connect(links.unionAll(cut_lineage(verify(later, fetch_sets(docs, holders, later, order)))))
     named = holders.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "holder", F.coalesce("component", "key").alias("label"))
     named = cut_lineage(named)
     first = F.min(F.struct(F.col("holder").isNull(), F.col("holder"), F.col("key").alias("first_key"))).alias("m")
