@@ -21,16 +21,19 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from lendframe.llm.arrow import chunks, column, open_folder, ragged
+from lendframe.llm.arrow import chunks, column, open_folder, ragged, utf8
 from lendframe.session import shared_folder
 
 LENGTH = 2048
 SEQUENCES = 256
 #: Distinct words a task keeps encoded; beyond it the store starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
+#: Text encoded at once: words that recur in it are looked up once.
+ENCODED_BYTES = 1 << 22
 
 
 class WordEncoder:
@@ -48,32 +51,98 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+        #: Ids that end a run of the tokenizer's pattern.
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.starts, self.counts = np.zeros(0, self.dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.known: dict[str, int] = {"": 0}
+        self.ids, self.starts, self.counts = np.zeros(0, self.dtype), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def keep(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first = len(self.counts)
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts, self.ids = np.concatenate([self.counts, counts]), np.concatenate([self.ids, ids])
+
+    def ask(self, words: list[str]) -> None:
+        """Have the tokenizer encode words.
+
+        A word of letters is one run of its pattern, and the id that ends a run is marked
+        as such in the vocabulary; so many such words go as one text.
+        """
+        plain = [w for w in words if w.isalpha()]
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                self.keep(some, ids, np.diff(np.r_[0, ends]))
+        rest = [w for w in words if w not in self.known]
+        if rest:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            self.keep(rest, np.fromiter(chain.from_iterable(found), self.dtype, int(counts.sum())), counts)
+
+    def learn(self, words: list[str]) -> None:
+        """Encode new words.
+
+        The pattern parts letters and digits from marks, so a word's ids are those of its
+        stem and of the plain marks at its end.
+        """
+        stems, tails, plain = [], [], []
+        for word in words:
+            stem = word.rstrip(MARKS)
+            if len(stem) < len(word) and stem and stem[-1].isalnum() and "<|" not in word:
+                stems.append(stem)
+                tails.append(word[len(stem) :])
+            else:
+                plain.append(word)
+        new = {w for part in (plain, stems, tails) for w in part}
+        self.ask([w for w in new if w not in self.known])
+        if stems:
+            parts = np.empty(2 * len(stems), np.int64)
+            parts[::2] = list(map(self.known.__getitem__, stems))
+            parts[1::2] = list(map(self.known.__getitem__, tails))
+            counts = self.counts[parts]
+            self.keep([s + t for s, t in zip(stems, tails, strict=True)], self.ids[ragged(self.starts[parts], counts)], counts[::2] + counts[1::2])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and their number per text."""
-        cut = [t.translate(BLANKS).split(" ") for t in texts]
+        cut = pc.ascii_split_whitespace(lowered(texts))
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
         if len(self.known) > KEPT_WORDS:
             self.forget()
-        new = [w for w in set(chain.from_iterable(cut)) if w not in self.known]
+        new = [w for w in words if w not in self.known]
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), self.dtype, int(counts.sum()))
-            self.known.update(zip(new, range(len(self.counts), len(self.counts) + len(new)), strict=True))
-            self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(counts) - counts]
-            self.counts, self.ids = np.r_[self.counts, counts], np.concatenate([self.ids, flat])
-        flat = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
-        sums = np.r_[0, np.cumsum(self.counts[flat])]
-        ends = np.cumsum([0, *map(len, cut)])
-        return self.ids[ragged(self.starts[flat], self.counts[flat])], np.diff(sums[ends])
+            self.learn(new)
+        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        flat = place[coded.indices.to_numpy()]
+        counts = self.counts[flat]
+        ends = np.cumsum(np.r_[0, pc.list_value_length(cut).to_numpy()])
+        sums = np.r_[0, np.cumsum(counts)]
+        return self.ids[ragged(self.starts[flat], counts)], np.diff(sums[ends])
+
+
+def lowered(texts: pa.Array) -> pa.Array:
+    """A to Z in lower case, but in texts that may hold special tokens; null as empty.
+
+    The tokenizer lower-cases all else itself; doing it before leaves fewer distinct words.
+    """
+    data, offsets = utf8(texts)
+    small = SMALL_LETTERS[data]
+    kept = pc.fill_null(pc.match_substring(texts, "<|"), False).to_numpy(zero_copy_only=False)
+    for row in np.flatnonzero(kept).tolist():
+        small[offsets[row] : offsets[row + 1]] = data[offsets[row] : offsets[row + 1]]
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(small))
 
 
-BLANKS = str.maketrans("\t\n\r\f\v", "     ")
+SMALL_LETTERS = np.arange(256, dtype=np.uint8)
+SMALL_LETTERS[65:91] += 32
+#: Marks that form a token run of their own after a letter or digit.
+MARKS = ".,!?;:#$%&*"
 
 
 @lru_cache(maxsize=2)
@@ -169,10 +238,10 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer_path: str, end_id: i
         name = f"part-{part:06d}-{uuid.uuid4().hex}.arrow"
         for batch in batches:
             doc, text = column(batch, "doc_id"), column(batch, "text")
-            for a, b in chunks(text):
+            for a, b in chunks(text, ENCODED_BYTES):
                 if writer is None:
                     writer = SequenceWriter(f"{folder}/sequences", name, encoder.dtype, length)
-                ids, counts = encoder.encode(text[a:b].fill_null("").to_pylist())
+                ids, counts = encoder.encode(text[a:b])
                 ends = np.cumsum(counts)
                 closed = np.insert(ids, ends, end_id)
                 first = writer.total + np.r_[0, ends[:-1] + np.arange(1, b - a)] if b > a else ends
