@@ -548,7 +548,7 @@ def anomalous_loans(spark, sf):
     return rounded(forest.anomalous_loans(_margin_scores(spark, sf)))
 
 
-KNN_COLUMNS = ["loan_amount", "property_value", "combined_loan_to_value_ratio", "loan_purpose", "activity_year"]
+KNN_COLUMNS = list(neighbors.FEATURES)
 
 
 @query

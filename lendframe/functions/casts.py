@@ -33,8 +33,9 @@ def to_whole(text: Column, kind: str = "bigint") -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Decimal text to double; padded, suffixed or non-finite text to null."""
-    return F.when(text.rlike(FLOAT_TEXT), text.try_cast("double"))
+    """Decimal text to double; padded, suffixed or non-finite text to null, too large a number as well."""
+    value = F.when(text.rlike(FLOAT_TEXT), text.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def number(column: Column, data_type: str) -> Column:

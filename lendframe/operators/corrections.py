@@ -111,9 +111,11 @@ def correct(
         scale, origin, gone = F.lit(None).cast("double"), F.lit(None).cast("string"), F.lit(False)
         for rule in rules:
             if rule.field == f:
-                hit = real & (value > rule.above) & (value < rule.below)
-                scale = F.when(hit, F.lit(float(rule.factor)))
-                origin = F.when(hit, F.lit("rule"))
+                # a later rule sees what the earlier ones made of the value
+                now = F.coalesce(value * scale, value)
+                hit = real & (now > rule.above) & (now < rule.below)
+                scale = F.when(hit, F.coalesce(scale, F.lit(1.0)) * F.lit(float(rule.factor))).otherwise(scale)
+                origin = F.when(hit, F.lit("rule")).otherwise(origin)
         if corrections is not None:
             factor = F.col(f"_factor{i}")
             gone = F.coalesce(F.col(f"_missing{i}"), F.lit(False))

@@ -186,7 +186,9 @@ def isolation_forest(
     training share and scores every row. Scores are centred on the contamination
     quantile of the training scores, so anomalies are negative.
     """
-    features = [c for c in features if c in loans.columns]
+    absent = [c for c in features if c not in loans.columns]
+    if absent:
+        raise ValueError(f"no such features: {absent}")
     numbers = loans.select(
         col(key), *[col(c) for c in keep], *[col(c).cast("double").alias(c) for c in features]
     )

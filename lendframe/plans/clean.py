@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaning import (
+    OUTLIER_COLUMNS,
+    PLAUSIBLE,
     Bounds,
     clean_rate_spread,
     crosswalk_tract,
     flag_outliers,
     missing_and_derived,
     plausibility_filter,
+    sentinel_to_null,
     standardize_schema,
 )
 from ..operators.identity import DEDUP_DROPPED, add_record_key, deduplicate
@@ -25,7 +28,7 @@ def clean_loans(
     crosswalk: DataFrame | None = None,
     null_keys: str = "keep",
 ) -> DataFrame:
-    """Key, last copy per key, names, missing values, tracts, bounds, spreads, flags.
+    """Key, last copy per key, names, missing values, sentinels, tracts, bounds, spreads, flags.
 
     The deduplicated rows feed the dropped-row count, the outlier statistics and the
     result, so they are written once instead of being shuffled three times. Row counts
@@ -39,6 +42,10 @@ def clean_loans(
     dropped = F.lit(df.count() - unique.count()).cast("bigint")
     unique = unique.withColumn(DEDUP_DROPPED, dropped)
     named = missing_and_derived(standardize_schema(unique, post2018), post2018)
+    # a typed table marks exempt values by a number that must neither fail a bound nor enter a mean
+    measured = {*PLAUSIBLE, *(bounds or {}), *OUTLIER_COLUMNS}
+    numeric = [c for c, kind in named.dtypes if c in measured and kind != "string"]
+    named = sentinel_to_null(named, numeric)
     mapped = crosswalk_tract(named, crosswalk)
     bounded = clean_rate_spread(plausibility_filter(mapped, bounds))
     return flag_outliers(bounded)

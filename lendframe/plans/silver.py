@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..eras import PERIOD_2007_2017, PRE2007, Era
 from ..functions import codes
@@ -11,13 +14,9 @@ from ..sources.layers import path_exists, read_bronze, write_partitioned, writte
 from ..sources.layout import Layout
 
 
-def _sources(bronze: DataFrame, first: int, last: int) -> DataFrame:
-    """Rows of the sources whose name holds a year of the range."""
-    years = [F.contains(F.col("source"), F.lit(str(y))) for y in range(first, last + 1)]
-    wanted = years[0]
-    for test in years[1:]:
-        wanted = wanted | test
-    return bronze.filter(wanted)
+def _of_years(first: int, last: int) -> Column:
+    """Whether the source's name holds a year of the range."""
+    return reduce(or_, [F.contains(F.col("source"), F.lit(str(y))) for y in range(first, last + 1)])
 
 
 def to_silver(bronze: DataFrame, era: Era, drop_tract_vars: bool = True) -> DataFrame:
@@ -37,6 +36,31 @@ def to_silver(bronze: DataFrame, era: Era, drop_tract_vars: bool = True) -> Data
     return silver_post2018(bronze).drop("source")
 
 
+def write_sources(
+    bronze: DataFrame,
+    chosen: Column,
+    target: str,
+    era: Era,
+    drop_tract_vars: bool = True,
+    balance: bool = False,
+) -> None:
+    """Rewrite the silver partitions that the chosen sources touch, from all sources that hold them.
+
+    A file may hold rows of other years than its name says. A partition is therefore
+    never made from the chosen sources alone; what it holds after the write is what an
+    import of all bronze would give. Pre-2007 sources are their own partitions.
+    """
+    part = to_silver(bronze.filter(chosen), era, drop_tract_vars)
+    if era is PRE2007:
+        write_partitioned(part, target, era.partition_by, balance)
+        return
+    whole = to_silver(bronze, era, drop_tract_vars)
+    # as many rows as there are partitions; null keys are a partition too
+    touched = F.broadcast(part.select(*[F.col(k).alias(f"_{k}") for k in era.partition_by]).distinct())
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in era.partition_by])
+    write_partitioned(whole.join(touched, same, "left_semi"), target, era.partition_by, balance)
+
+
 def build_silver(
     spark: SparkSession,
     layout: Layout,
@@ -50,21 +74,20 @@ def build_silver(
 ) -> bool:
     """Write the silver partitions of the years asked for; false if there is nothing to write.
 
-    All sources of the years go through one write, which replaces their partitions
-    and leaves those of other years alone. Pre-2007 years already written are
-    skipped unless ``replace``.
+    The sources are those whose name holds one of the years. All go through one write,
+    which rewrites every partition that they touch (see ``write_sources``) and leaves the
+    others alone. Pre-2007 years already written are skipped unless ``replace``.
     """
     first, last = first or era.first_year, last or era.last_year
     source, target = layout.bronze(dataset, era.name), layout.silver(dataset, era.name)
     if not path_exists(spark, source):
         return False
-    bronze = _sources(read_bronze(spark, source), first, last)
+    bronze, chosen = read_bronze(spark, source), _of_years(first, last)
     if era is PRE2007 and not replace:
         done = [r[0] for r in written_partitions(spark, target, "activity_year").collect()]
         year = F.regexp_extract("source", "([0-9]{4})$", 1)
-        bronze = bronze.filter(~year.isin(done)) if done else bronze
-    if bronze.isEmpty():
+        chosen = chosen & ~year.isin(done) if done else chosen
+    if bronze.filter(chosen).isEmpty():
         return False
-    df = to_silver(bronze, era, drop_tract_vars)
-    write_partitioned(df, target, era.partition_by, balance)
+    write_sources(bronze, chosen, target, era, drop_tract_vars, balance)
     return True

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..eras import Era
-from ..plans.silver import to_silver
+from ..plans.silver import write_sources
 from ..sources.layers import read_bronze
 from ..sources.layout import Layout
 
@@ -14,20 +14,24 @@ from ..sources.layout import Layout
 def refresh_silver(
     spark: SparkSession, layout: Layout, era: Era, dataset: str, checkpoint: str
 ) -> StreamingQuery:
-    """Append the bronze files not seen yet to silver, then stop.
+    """Bring the bronze sources with files not seen yet to silver, then stop.
 
-    The streaming checkpoint is the ledger of files already processed, and the file
-    sink's log makes each batch appear once. Transforms are stateless, so no row
-    moves and nothing is held between batches.
+    The streaming checkpoint is the ledger of files already processed. A batch only names
+    the sources that changed; their partitions are rewritten by the batch writer, so batch
+    and stream share one table, a batch that runs twice changes nothing, and a source
+    that was replaced is not added a second time.
     """
-    source = layout.bronze(dataset, era.name)
-    schema = read_bronze(spark, source).schema
-    rows = spark.readStream.schema(schema).parquet(source)
+    source, target = layout.bronze(dataset, era.name), layout.silver(dataset, era.name)
+    rows = spark.readStream.schema(read_bronze(spark, source).schema).parquet(source)
+
+    def write(batch: DataFrame, _: int) -> None:
+        changed = [r["source"] for r in batch.select("source").distinct().collect()]
+        if changed:
+            write_sources(read_bronze(spark, source), F.col("source").isin(changed), target, era)
+
     return (
-        to_silver(rows, era)
-        .writeStream.format("parquet")
-        .partitionBy(*era.partition_by)
-        .option("path", layout.silver(dataset, era.name))
+        rows.select("source")
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

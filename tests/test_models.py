@@ -93,3 +93,23 @@ def test_split_is_stable_under_partitioning(spark):
     one = {r["id"] for r in splits.hash_split(df.repartition(3), "id").filter("i_train = 1").collect()}
     two = {r["id"] for r in splits.hash_split(df.coalesce(1), "id").filter("i_train = 1").collect()}
     assert one == two and abs(len(one) / 20_000 - 0.7) < 0.02
+
+
+def test_workers_have_the_package(folder):
+    """A query with Python code on the workers, started from another folder."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = str(Path(__file__).resolve().parent.parent)
+    code = (
+        f"import sys; sys.path.insert(0, {repo!r})\n"
+        "from lendframe.session import local_session\n"
+        "import __spark_entry__ as driver\n"
+        "spark = local_session(2, memory='2g')\n"
+        "print('ROWS', driver.queries()['knn_outlier'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in done.stdout, done.stderr[-2000:]

@@ -301,3 +301,19 @@ def test_rate_gap_with_two_covariates(spark):
     row = market.rate_gap(df, "g", (1, 0), "y", ["a", "b"]).first()
     assert row["unexplained"] == pytest.approx(0.5)
     assert row["gap"] == pytest.approx(row["explained"] + 0.5)
+
+
+def test_exempt_loans_survive_cleaning(spark):
+    from lendframe.plans.clean import clean_loans
+
+    rows = [(k, "L", f"u{k}", -99999.0 if k % 3 == 0 else 80.0, -99999 if k % 2 else 200_000, -99999.0 if k == 0 else 3.0 + k % 5 / 10) for k in range(60)]
+    df = spark.createDataFrame(rows, "src_pos long, lei string, universal_loan_identifier string, combined_loan_to_value_ratio double, loan_amount long, interest_rate double")
+    out = clean_loans(df, True, "src_pos").collect()
+    assert len(out) == 60 and not any(r["outlier_interest_rate"] for r in out if r["src_pos"])
+
+
+def test_numbers_too_large_are_null(spark):
+    from lendframe.functions.casts import to_double
+
+    values = spark.createDataFrame([("1e999",), ("-1e999",), ("12.5",), ("NaN",)], "t string")
+    assert [r[0] for r in values.select(to_double(F.col("t"))).collect()] == [None, None, 12.5, None]
