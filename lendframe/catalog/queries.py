@@ -61,7 +61,7 @@ def silver(spark: SparkSession, sf: str, name: str = "lar_raw") -> DataFrame:
 def county_counts(spark, sf):
     """Purchased loans in one district by year and county, best release of each year."""
     loans = silver(spark, sf).filter("state_code = 'DC' AND action_taken = 6")
-    return vintages.county_counts(vintages.best_releases(loans))
+    return vintages.best_county_counts(loans)
 
 
 @query

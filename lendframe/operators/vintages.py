@@ -5,28 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.casts import col
 
-MAX_YEARS = 1000
-
 
 def best_releases(
     df: DataFrame, year_col: str = "activity_year", type_col: str = "file_type"
 ) -> DataFrame:
     """Rows of the lowest file type per year, among the rows given.
 
-    The few (year, type) pairs are read first and become a plain filter, which on
-    a table partitioned by these columns prunes whole folders; no row is shuffled.
-    Should there be more years than any real calendar has, a join does the same.
+    The (year, type) pairs, one per reporting year, are read first and become a plain
+    filter, which on a table partitioned by these columns prunes whole folders; no row
+    is shuffled.
     """
     lowest = df.groupBy(col(year_col).alias("_year")).agg(F.min(col(type_col)).alias("_type"))
-    pairs = lowest.limit(MAX_YEARS + 1).collect()
-    if len(pairs) > MAX_YEARS:
-        same = col(year_col).eqNullSafe(F.col("_year")) & (col(type_col) == F.col("_type"))
-        return df.join(lowest, same, "left_semi")
-    chosen = {p["_year"]: p["_type"] for p in pairs if p["_type"] is not None}
+    chosen = {p["_year"]: p["_type"] for p in lowest.collect() if p["_type"] is not None}
     return keep_releases(df, chosen, year_col, type_col)
 
 
@@ -49,6 +43,18 @@ def county_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).orderBy(*keys)
 
 
+def best_county_counts(df: DataFrame) -> DataFrame:
+    """``county_counts`` of the lowest file type per year, from one pass over ``df``.
+
+    Rows are counted by type as well, and the type is chosen among the counts.
+    """
+    keys = ["activity_year", "state_code", "county_code"]
+    counts = df.groupBy(*keys, "file_type").agg(F.count(F.lit(1)).alias("count"))
+    lowest = F.min("file_type").over(W.partitionBy("activity_year"))
+    best = counts.withColumn("_lowest", lowest).filter("file_type = _lowest")
+    return best.select(*keys, "count").orderBy(*keys)
+
+
 def release_inventory(df: DataFrame) -> DataFrame:
     """Distinct (year, type) pairs, sorted."""
     return df.select("activity_year", "file_type").distinct().orderBy("activity_year", "file_type")

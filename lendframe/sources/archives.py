@@ -7,6 +7,7 @@ import shutil
 import uuid
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.codes import with_delimiter
 
 HEAD_CHARS = 16_000  # fixed value: characters looked at to find the delimiter
+MAX_HEADER = 16 << 20
 CHUNK = 8 << 20
 MEMBERS = "path string, year int, member string, staged string, head string"
 
@@ -32,12 +34,22 @@ def _is_table(member: str) -> bool:
 
 
 def _pick(members: list[str], year: int, by_year: bool) -> str | None:
-    """The one member to read: the last table, or the first text file of the year."""
+    """The one member to read: the table, or the text file of the year. Several are an error."""
     if by_year:
-        texts = [m for m in members if "/" not in m and ".txt" in m.lower() and str(year) in m]
-        return texts[0] if texts else None
-    tables = [m for m in members if _is_table(m)]
-    return tables[-1] if tables else None
+        found = [m for m in members if "/" not in m and ".txt" in m.lower() and str(year) in m]
+    else:
+        found = [m for m in members if _is_table(m)]
+    if len(found) > 1:
+        raise ValueError(f"which of these tables is to be read: {found}")
+    return found[0] if found else None
+
+
+def _head(source: IO[bytes]) -> str:
+    """The whole header line and what follows it, HEAD_CHARS or the header if that is longer."""
+    header = source.readline(MAX_HEADER)
+    if len(header) == MAX_HEADER and not header.endswith(b"\n"):
+        raise ValueError("the file has no line break after its header")
+    return (header + source.read(max(0, HEAD_CHARS - len(header)))).decode("latin-1")
 
 
 def expand_archives(archives: DataFrame, staging: str, by_year: bool = False) -> DataFrame:
@@ -65,7 +77,7 @@ def expand_archives(archives: DataFrame, staging: str, by_year: bool = False) ->
                             shutil.copyfileobj(source, sink, CHUNK)
                     target_files.move(attempt, f"{folder}/{member}")
                     with archive.open(member) as source:
-                        head = source.read(HEAD_CHARS).decode("latin-1")
+                        head = _head(source)
                 yield pd.DataFrame(
                     {
                         "path": [path],

@@ -230,6 +230,18 @@ def test_silver_scan_with_a_canonical_schema(spark, folder):
     assert {tuple(r) for r in df.select(*names).collect()} == {("x", 1, None, 2018, "a"), ("y", 2, 3, 2019, "c")}
 
 
+def test_long_headers_and_ambiguous_archives(folder):
+    import io
+
+    from lendframe.sources import archives
+
+    header = ",".join(f"column_{i}" for i in range(3000)) + "\n"
+    assert archives._head(io.BytesIO((header + "1\n").encode())).startswith(header)
+    assert archives._pick(["docs/x.csv", "a.csv"], 2018, False) == "a.csv"
+    with pytest.raises(ValueError, match="which of these"):
+        archives._pick(["a.csv", "b.txt"], 2018, False)
+
+
 def late_row(text):
     """A file of 2019 with one row of 2018."""
     return text + text.splitlines()[1].replace("2019,", "2018,", 1) + "\n"
