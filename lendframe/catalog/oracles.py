@@ -146,6 +146,10 @@ OLD = f"""(SELECT src_pos, {whole("activity_year")} AS activity_year, respondent
     {whole("edit_status")} AS edit_status FROM lar_pre2007)"""
 put("silver_2007_2017", "lar_2007_2017", f"SELECT * FROM {MIDDLE} x")
 put("silver_pre2007", "lar_pre2007", f"SELECT * FROM {OLD} x")
+put("silver_rows_post2018", "lar_wide", f"SELECT {rounded_star(DOUBLES)} FROM {WIDE} x")
+put("silver_rows_2007_2017", "lar_2007_2017", f"SELECT * FROM {MIDDLE} x")
+put("silver_rows_pre2007", "lar_pre2007", f"SELECT * FROM {OLD} x")
+put("text_scan", "lar_raw", "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM lar_raw")
 
 
 def na(c: str, words: str = "'NA', 'N/A', 'Exempt', 'Not Applicable'") -> str:

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..eras import DERIVED_COLUMNS, POST2018_EXEMPT_COLUMNS, POST2018_TRACT_COLUMNS
+from ..eras import (
+    DERIVED_COLUMNS,
+    PERIOD_2007_2017,
+    POST2018,
+    POST2018_EXEMPT_COLUMNS,
+    POST2018_TRACT_COLUMNS,
+    PRE2007,
+    Era,
+)
 from ..functions import codes
 from ..functions.casts import code_text, col, to_double, to_whole
 from ..operators import (
@@ -27,7 +36,8 @@ from ..operators import (
 )
 from ..plans import all_eras as era_view
 from ..plans import clean
-from ..sources import listing
+from ..session import shared_folder
+from ..sources import delimited, layers, listing
 from .views import view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +95,40 @@ def silver_pre2007(spark, sf):
     return rounded(harmonize.silver_pre2007(view(spark, sf, "lar_pre2007")))
 
 
+def read_back(df: DataFrame, era: Era) -> DataFrame:
+    """Through a partitioned silver table in the shared folder: written, written again, and read."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    for _ in range(2):
+        layers.write_partitioned(df, path, era.partition_by)
+    return layers.read_silver(df.sparkSession, path, era).select(*[col(c) for c in df.columns])
+
+
+@query
+def silver_rows_post2018(spark, sf):
+    wide = columns.drop_present(view(spark, sf, "lar_wide"), [*DERIVED_COLUMNS, *POST2018_TRACT_COLUMNS])
+    return rounded(read_back(harmonize.silver_post2018(columns.dashes_to_underscores(wide)), POST2018))
+
+
+@query
+def silver_rows_2007_2017(spark, sf):
+    return rounded(read_back(harmonize.silver_2007_2017(view(spark, sf, "lar_2007_2017"), "d"), PERIOD_2007_2017))
+
+
+@query
+def silver_rows_pre2007(spark, sf):
+    return rounded(read_back(harmonize.silver_pre2007(view(spark, sf, "lar_pre2007")), PRE2007))
+
+
+@query
+def text_scan(spark, sf):
+    """Raw loans as pipe-delimited text and back, every column as text."""
+    loans = view(spark, sf, "lar_raw")
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    plain = loans.write.option("sep", "|").option("header", True)
+    plain.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return delimited.read_text_table(spark, path, "|", loans.columns)
+
+
 @query
 def clean_loans(spark, sf):
     loans = clean.clean_loans(
