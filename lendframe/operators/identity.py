@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..eras import INDEX_COLUMN
 from ..functions.casts import col, strip, zero_pad
-from ..session import summary_side
+from ..session import cut_lineage
 from .quantiles import approximate_cuts
 
 RECORD_KEY = "hmda_record_key"
@@ -110,7 +110,7 @@ def dense_position(
     facts = df.agg(
         F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")
     ).first()
-    slices = min(10_000, facts["n"] // rows_per_slice + 1)
+    slices = facts["n"] // rows_per_slice + 1
     cuts: list[float] = []
     if slices > 1 and facts["lo"] < facts["hi"]:
         cuts = approximate_cuts(df.select(value.alias("v")), slices, facts["n"])
@@ -134,7 +134,7 @@ def dense_position(
     same = F.col("_slice") == F.col("_s")
     for i, c in enumerate(group_by):
         same = same & col(c).eqNullSafe(F.col(f"_k{i}"))
-    out = ranked.join(summary_side(offsets), same, "left")
+    out = ranked.join(cut_lineage(offsets), same, "left")
     return out.withColumn(
         name, (F.col("_offset") + F.col("_rank") - 1).cast("bigint")
     ).drop("_slice", "_s", "_rank", "_offset", *[f"_k{i}" for i in range(len(group_by))])

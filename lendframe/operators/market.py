@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.casts import col
-from ..session import summary_side
+from ..session import cut_lineage
 
 # Action codes.
 ORIGINATED = 1
@@ -71,7 +71,7 @@ def share_change(
     same = F.lit(True)
     for c in market:
         same = same & col(c).eqNullSafe(F.col(f"_{c}"))
-    shares = volumes.join(summary_side(totals), same).select(
+    shares = volumes.join(cut_lineage(totals), same).select(
         *[col(c) for c in market], "lei", (F.col("volume") / F.col("_total")).alias("share")
     )
     history = W.partitionBy(*[col(c) for c in place], F.col("lei")).orderBy(year_col)

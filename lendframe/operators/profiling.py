@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..eras import INDEX_COLUMN
 from ..functions.casts import col
-from ..session import summary_side
+from ..session import cut_lineage
 
 # Columns left out of value tables, rows shown per column.
 SKIPPED = (INDEX_COLUMN, "loan_to_value_ratio", "combined_loan_to_value_ratio", "rate_spread")
@@ -92,7 +92,7 @@ def density_histogram(
     keys = [col(c) for c in by]
     low, high = F.min(number), F.max(number)
     flat = F.when(low == high, 0.5).otherwise(0.0)
-    spans = summary_side(
+    spans = cut_lineage(
         df.filter(number.isNotNull())
         .groupBy(*keys)
         .agg((low - flat).alias("_lo"), (high + flat).alias("_hi"), F.count(number).alias("_n"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..eras import EXEMPT_CODES, EXEMPTION_COLUMNS, INDEX_COLUMN
 from ..functions.casts import col, number
-from ..session import summary_side
+from ..session import cut_lineage
 
 # Average exemptions per loan that mark a partly exempt reporter.
 MIN_AVERAGE = 1
@@ -43,7 +43,7 @@ def exempt_reporters(
     average = F.col("AverageExemptions")
     chosen = averages.filter((average >= MIN_AVERAGE) & (average < BELOW_AVERAGE))
     same = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"_{k}")) for k in LENDER_YEAR])
-    return counted.join(summary_side(chosen), same).select(
+    return counted.join(cut_lineage(chosen), same).select(
         key, *LENDER_YEAR, *[col(c) for c in present], "CountExemptions", "AverageExemptions"
     )
 

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..functions import codes
-from ..session import summary_side
+from ..session import cut_lineage
 
 
 def header_columns(head: str, delimiter: str) -> list[str]:
@@ -70,7 +70,7 @@ def with_row_numbers(df: DataFrame, name: str = "row_number") -> DataFrame:
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
     )
     same = (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b"))
-    joined = marked.join(summary_side(offsets, 2_000_000), same, "left")
+    joined = marked.join(cut_lineage(offsets), same, "left")
     local = F.col("_id") - F.col("_first")
     sound = (local >= 0) & (local < F.col("_rows"))
     position = F.when(sound, local + F.col("_offset")).otherwise(

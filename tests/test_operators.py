@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,7 +170,7 @@ def test_outlier_flags_skip_flat_columns(spark):
     assert [r["interest_rate"] for r in out.filter("outlier_interest_rate").collect()] == [1e6]
 
 
-def test_exact_quantiles_by_both_ways(spark):
+def test_exact_quantiles(spark, monkeypatch):
     random.seed(5)
     data = [3.0] * 400 + [random.gauss(0, 50) for _ in range(1501)] + [1e9] * 3
     df = spark.createDataFrame([(v,) for v in data] + [(None,)], "v double").repartition(5)
@@ -183,14 +184,32 @@ def test_exact_quantiles_by_both_ways(spark):
 
     want = [reference(p) for p in probs]
     assert quantiles.exact_quantiles(df, ["v"], probs)["v"] == pytest.approx(want)
-    assert quantiles.exact_quantiles(df, ["v"], probs, max_distinct=1)["v"] == pytest.approx(want)
+    monkeypatch.setattr(quantiles, "PIECES", 30)
+    assert quantiles.exact_quantiles(df, ["v"], probs)["v"] == pytest.approx(want)
     empty = df.filter("v > 1e12")
     assert quantiles.exact_quantiles(empty, ["v"], [0.5])["v"] == [None]
 
 
+def test_quantiles_of_many_columns_and_values(spark, monkeypatch):
+    """More than 200,000 distinct values, a sample smaller than the table, infinities, nulls and NaN."""
+    monkeypatch.setattr(quantiles, "LOOKED_AT", 5000)
+    inf = float("inf")
+    odd = F.when(F.col("id") % 4 == 0, F.lit(inf)).when(F.col("id") % 4 == 1, F.lit(-inf)).when(F.col("id") % 4 == 2, F.lit(float("nan")))
+    df = spark.range(0, 250_000, 1, 7).select(
+        ((F.col("id") * 7919) % 250_007).cast("double").alias("a.b"), F.pow(F.col("id").cast("double"), 3).alias("c"),
+        odd.alias("d"), F.lit(None).cast("double").alias("e"), (F.col("id") % 3).alias("f"),
+    )
+    got = quantiles.exact_quantiles(df, ["a.b", "c", "d", "e", "f"], [0.0, 0.3, 0.5, 1.0])
+    want = np.quantile((np.arange(250_000) * 7919) % 250_007, [0.0, 0.3, 0.5, 1.0]).tolist()
+    assert got["a.b"] == pytest.approx(want)
+    assert got["c"] == pytest.approx(np.quantile(np.arange(250_000.0) ** 3, [0.0, 0.3, 0.5, 1.0]).tolist())
+    assert got["d"][:2] == [-inf, -inf] and got["d"][3] == inf
+    assert got["e"] == [None] * 4 and got["f"] == [0.0, 0.0, 1.0, 2.0]
+
+
 def test_quantiles_of_a_heavy_value(spark):
     df = spark.range(20_000).select(F.when(F.col("id") < 19_999, F.lit(7.0)).otherwise(F.lit(1.0)).alias("v"))
-    assert quantiles.exact_quantiles(df, ["v"], [0.0, 0.5], max_distinct=0)["v"] == [1.0, 7.0]
+    assert quantiles.exact_quantiles(df, ["v"], [0.0, 0.5])["v"] == [1.0, 7.0]
 
 
 def test_outer_join_null_keys_match(spark):
@@ -258,7 +277,7 @@ def test_type_candidates(spark):
 
 def test_known_corrections_table(spark):
     known = corrections.known_corrections(spark)
-    assert known.count() == 15
+    assert known.count() == 16
     loans = spark.createDataFrame(
         [
             (1, "549300CCELEPUO4TOE73", 2018, "a", 90_000_000, 0.045, None),
@@ -279,6 +298,19 @@ def test_known_corrections_table(spark):
     }
 
 
+def test_partial_corrections_and_reviews(spark):
+    lei, year, kind = "54930057XF33SONJFP81", 2020, "a"
+    rows = [(1, lei, year, kind, 950_000), (2, lei, year, kind, 80_000), (3, lei, 2021, kind, 950_000), (4, lei, year, kind, -99999)]
+    df = spark.createDataFrame(rows, "id long, lei string, activity_year long, file_type string, income long")
+    out = corrections.correct(df, corrections.known_corrections(spark)).orderBy("id").collect()
+    assert [r["income"] for r in out] == [950, 80_000, 950_000, -99999]
+    terms = [(1, 480), (2, 360), (3, None), (4, -99999)]
+    loans = spark.createDataFrame([(i, "5493002W52M3SYLFEX32", 2022, "b", t) for i, t in terms], "id long, lei string, activity_year long, file_type string, loan_term long")
+    flagged = corrections.review_flags(loans, corrections.known_reviews(spark)).orderBy("id").collect()
+    assert [r["review_flag"] for r in flagged] == [True, False, False, False]
+    assert flagged[0]["review_reasons"].startswith("large") and flagged[1]["review_reasons"] is None
+
+
 def test_volume_rollup_levels(spark):
     df = spark.createDataFrame(
         [("t1", "m", "c1", "s", 5), ("t2", "m", "c1", "s", 7), ("t2", None, "c1", "s", 1)],
