@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -12,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from ..eras import INDEX_COLUMN
 from ..functions.casts import col
-from ..session import cut_lineage, summary_side
+from ..session import cut_lineage
 from .cleaning import fill_null, medians, sentinel_to_null
 from .quantiles import exact_quantiles
-from .splits import hash_split, unit_hash
+from .splits import hash_split, unit_digest
 
 # Model settings and the features of the published analysis.
 TREES = 100
@@ -43,10 +44,14 @@ MAX_LENDER_SCORE = 0.01
 MIN_LENDER_LOANS = 10
 
 TREES_PER_TASK = 4
+#: The rows that trees draw from are about so many times what all trees need together.
+POOL = 2
+#: A tree ranks about so many times the rows it keeps.
+DRAWN = 4
+#: Places of a raw score: rows alike in all features get the very same one.
+PLACES = 9
 
-NODES = (
-    "tree int, node int, feature int, threshold double, below int, above int, path double"
-)
+NODES = "tree int, node int, feature int, threshold double, path double"
 
 
 def mean_path(n: float) -> float:
@@ -58,56 +63,63 @@ def mean_path(n: float) -> float:
     return 2.0 * (math.log(n - 1) + EULER) - 2.0 * (n - 1) / n
 
 
+def unit(*parts: object) -> float:
+    """``splits.unit_digest`` of constants."""
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:13], 16) / 2.0**52
+
+
 def _grower(features: Sequence[str], height: int, seed: int):
+    """Grows one tree. The root is node 1, below node n are 2n and 2n + 1.
+
+    Feature and threshold of a node come from digests of seed, tree and node, so a tree
+    depends on its rows alone, not on their order. Leaves have feature -1.
+    """
+
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        values = pdf.sort_values("draw")[list(features)].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
-        rows: list[list[float]] = []
-        queue = [(np.arange(len(values)), 0)]
-        while len(rows) < len(queue):
-            members, depth = queue[len(rows)]
-            node = len(rows)
+        values = pdf[list(features)].to_numpy(dtype=float)
+        rows: list[tuple] = []
+        queue = [(1, 0, np.arange(len(values)))]
+        for node, depth, members in queue:
             inside = values[members]
             low, high = inside.min(axis=0), inside.max(axis=0)
             split = np.flatnonzero(high > low)
-            if depth >= height or len(members) <= 1 or len(split) == 0:
-                rows.append([tree, node, 0, math.inf, node, node, depth + mean_path(len(members))])
+            if depth >= height or not len(split):
+                rows.append((tree, node, -1, math.inf, depth + mean_path(len(members))))
                 continue
-            feature = int(rng.choice(split))
-            threshold = rng.uniform(low[feature], high[feature])
-            goes_below = inside[:, feature] <= threshold
-            rows.append([tree, node, feature, threshold, len(queue), len(queue) + 1, 0.0])
-            queue += [(members[goes_below], depth + 1), (members[~goes_below], depth + 1)]
-        names = [part.split()[0] for part in NODES.split(", ")]
-        return pd.DataFrame(rows, columns=names)
+            feature = int(split[int(unit(seed, tree, node, "feature") * len(split))])
+            span = float(high[feature] - low[feature])
+            threshold = float(low[feature]) + unit(seed, tree, node, "threshold") * span
+            over = inside[:, feature] > threshold
+            rows.append((tree, node, feature, threshold, 0.0))
+            queue += [(2 * node, depth + 1, members[~over]), (2 * node + 1, depth + 1, members[over])]
+        return pd.DataFrame(rows, columns=[part.split()[0] for part in NODES.split(", ")])
 
     return grow
 
 
 @dataclass(frozen=True)
 class Forest:
-    """Trees as arrays (tree, node); leaves point to themselves."""
+    """Trees as arrays (tree, node); leaves have feature -1."""
 
     features: tuple[str, ...]
     sample: int
     height: int
     feature: np.ndarray
     threshold: np.ndarray
-    below: np.ndarray
-    above: np.ndarray
     path: np.ndarray
 
     def raw_scores(self, values: np.ndarray) -> np.ndarray:
         """``-2^(-mean depth / expected depth)``; lower is more unusual."""
         trees = np.arange(len(self.feature))
-        at = np.zeros((len(values), len(trees)), dtype=np.int32)
+        at = np.ones((len(values), len(trees)), dtype=np.int32)
         rows = np.arange(len(values))[:, None]
         for _ in range(self.height):
-            go_below = values[rows, self.feature[trees, at]] <= self.threshold[trees, at]
-            at = np.where(go_below, self.below[trees, at], self.above[trees, at])
+            feature = self.feature[trees, at]
+            over = values[rows, feature] > self.threshold[trees, at]
+            at = np.where(feature < 0, at, 2 * at + over)
         depth = self.path[trees, at].mean(axis=1)
-        return -np.power(2.0, -depth / mean_path(self.sample))
+        return np.round(-np.power(2.0, -depth / mean_path(self.sample)), PLACES)
 
     def scorer(self, spark: SparkSession) -> Column:
         """Column expression; only the features travel to Python, in Arrow batches."""
@@ -130,38 +142,34 @@ def fit_forest(
 ) -> Forest:
     """Grow ``trees`` trees, each on ``sample`` rows drawn without replacement.
 
-    A hash of the unique key thins the table to a pool of about twice the rows all
-    trees need, whatever the table's size; each tree draws from the pool by its own
-    hash. The trees are the only thing that reaches the driver: at most
-    ``trees * 2 * sample`` short rows.
+    A digest of the unique key thins the table to a pool of about POOL times the rows all
+    trees need, whatever the table's size; each tree takes the rows of the pool that come
+    first by a digest of its own. The trees are the only thing that reaches the driver:
+    at most ``trees * 2 * sample`` short rows.
     """
     total = train.count()
     if total < 2:
         raise ValueError("an isolation forest needs at least two rows")
     size = min(sample, total)
     height = max(1, math.ceil(math.log2(size)))
-    pool_share = min(1.0, 2.0 * trees * size / total)
-    draw_share = min(1.0, 2.0 * size / (total * pool_share))
-    if size * 8 >= total:
-        draw_share = 1.0
+    pool_share = POOL * trees * size / total
+    draw_share = DRAWN * size / min(total, POOL * trees * size)
     pool = train.select(col(key).alias("_key"), *[col(c).cast("double").alias(c) for c in features])
-    pool = cut_lineage(pool.filter(unit_hash(F.col("_key"), F.lit(seed)) < pool_share))
+    pool = cut_lineage(pool.filter(unit_digest(F.col("_key"), F.lit(seed), F.lit("pool")) < pool_share))
     drawn = (
         pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", unit_hash(F.col("_key"), F.lit(seed + 1), F.col("tree")))
+        .withColumn("draw", unit_digest(F.col("_key"), F.lit(seed), F.col("tree"), F.lit("draw")))
         .filter(F.col("draw") < draw_share)
         .repartition(max(1, trees // TREES_PER_TASK), "tree")
         .withColumn("_rank", F.row_number().over(W.partitionBy("tree").orderBy("draw", "_key")))
         .filter(F.col("_rank") <= size)
-        .drop("_rank", "_key")
+        .drop("_rank", "_key", "draw")
     )
     nodes = drawn.groupBy("tree").applyInPandas(_grower(features, height, seed), NODES).toPandas()
-    shape = (trees, int(nodes["node"].max()) + 1)
+    shape = (trees, 2 ** (height + 1))
     arrays = {
-        "feature": np.zeros(shape, dtype=np.int32),
+        "feature": np.full(shape, -1, dtype=np.int32),
         "threshold": np.full(shape, math.inf),
-        "below": np.zeros(shape, dtype=np.int32),
-        "above": np.zeros(shape, dtype=np.int32),
         "path": np.zeros(shape),
     }
     where = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
@@ -239,7 +247,7 @@ def lender_anomaly_summary(
 
 def anomalous_loans(scored: DataFrame) -> DataFrame:
     """Anomalous loans with their lender's figures, most unusual lenders first."""
-    lenders = summary_side(lender_anomalies(scored).withColumnRenamed("lei", "_lei"))
+    lenders = cut_lineage(lender_anomalies(scored).withColumnRenamed("lei", "_lei"))
     return (
         scored.filter("anomaly = -1")
         .join(lenders, F.col("lei").eqNullSafe(F.col("_lei")))
