@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.corrections import KNOWN_CORRECTIONS, REVIEWS
 from .views import with_views
 
 ORACLES: dict[str, str] = {}
@@ -98,6 +99,11 @@ LOANS = post2018("lar_raw")
 WIDE = post2018("lar_wide")
 
 
+def rows_of(rows: tuple[tuple, ...]) -> str:
+    """Rows of constants for VALUES."""
+    return ", ".join("(" + ", ".join("NULL" if x is None else repr(x) for x in row) + ")" for row in rows)
+
+
 def put(name: str, views: str | tuple[str, ...], body: str, more: str = "") -> None:
     """Register ``body``; ``more`` adds table expressions after the views."""
     views = (views,) if isinstance(views, str) else views
@@ -181,6 +187,26 @@ put(
       WHERE (ltv IS NULL OR ltv BETWEEN 0 AND 200) AND (dti IS NULL OR dti BETWEEN 0 AND 250)
         AND (loan_amount IS NULL OR loan_amount BETWEEN 0 AND 1500000))""",
 )
+put(
+    "clean_silver",
+    "lar_wide",
+    f"""SELECT src_pos, hmda_record_key, {r6("loan_amount")} AS loan_amount, {r6("dti")} AS dti,
+      {r6("rate_spread")} AS rate_spread, ABS(interest_rate - mi) > 6 * si AS outlier_interest_rate,
+      ABS(rate_spread - mr) > 6 * sr AS outlier_rate_spread,
+      CAST(dd AS BIGINT) AS _metadata_dedup_dropped, CAST(pd AS BIGINT) AS _metadata_plausibility_dropped
+    FROM spread, (SELECT AVG(interest_rate) mi, STDDEV_SAMP(interest_rate) si, AVG(rate_spread) mr, STDDEV_SAMP(rate_spread) sr FROM spread) st,
+      (SELECT (SELECT COUNT(*) FROM keyed) - (SELECT COUNT(*) FROM uniq) AS dd) d1,
+      (SELECT (SELECT COUNT(*) FROM uniq) - (SELECT COUNT(*) FROM spread) AS pd) d2""",
+    f"""keyed AS (SELECT *, {KEY} AS hmda_record_key FROM {WIDE} x),
+    uniq AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY hmda_record_key ORDER BY src_pos DESC) AS rn FROM keyed) x
+      WHERE rn = 1 OR hmda_record_key IS NULL),
+    typed AS (SELECT src_pos, hmda_record_key, CAST(loan_amount AS DOUBLE) AS loan_amount,
+        CAST(NULLIF(debt_to_income_ratio, -99999) AS DOUBLE) AS dti,
+        NULLIF(rate_spread, -99999) AS rate_spread, NULLIF(interest_rate, -99999) AS interest_rate FROM uniq),
+    spread AS (SELECT * REPLACE (CASE WHEN ABS(rate_spread) > 20 THEN NULL ELSE rate_spread END AS rate_spread) FROM typed
+      WHERE (dti IS NULL OR dti BETWEEN 0 AND 250)
+        AND (loan_amount IS NULL OR loan_amount BETWEEN 0 AND 1500000))""",
+)
 SHARED = "state_code, county_code, census_tract, loan_amount, income"
 put(
     "all_eras",
@@ -598,18 +624,102 @@ put(
     FROM scored JOIN by_lender USING (lei) WHERE anomaly_score < 0""",
     MARGINS,
 )
-KNN = ("loan_amount", "property_value", "combined_loan_to_value_ratio", "loan_purpose", "activity_year")
+# The isolation forest: 100 trees on up to 256 rows, grown level by level. Node n has the children
+# 2n and 2n + 1; feature and threshold of a node come from md5 of seed, tree and node.
+FOREST = (
+    "interest_rate", "loan_amount", "income", "combined_loan_to_value_ratio", "debt_to_income_ratio", "activity_year",
+    "discount_points", "lender_credits", "property_value", "loan_type", "loan_purpose", "purchaser_type", "loan_term",
+)
+FOREST_LEVELS = 8
+
+
+def digest(*parts: str) -> str:
+    text = " || '|' || ".join(parts)
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE"
+
+
+def forest_tables() -> str:
+    many = range(len(FOREST))
+    depth_left = "CASE WHEN n <= 1 THEN 0.0::DOUBLE WHEN n = 2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * (ln(n - 1) + 0.5772156649::DOUBLE) - 2.0::DOUBLE * (n - 1) / n END"
+    parts = [
+        f"""fl AS MATERIALIZED (SELECT src_pos, lei, CAST(CASE WHEN CAST('0x' || substr(md5(CAST(src_pos AS VARCHAR) || '|42'), 1, 8) AS BIGINT) % 10000 < 7000
+      THEN 1 ELSE 0 END AS INTEGER) AS i_train, {", ".join(f"NULLIF(CAST({c} AS DOUBLE), -99999) AS m{i}" for i, c in enumerate(FOREST))}
+      FROM {WIDE} x WHERE action_taken = 1)""",
+        f"fm AS (SELECT {', '.join(f'median(m{i}) AS c{i}' for i in many)} FROM fl)",
+        f"ff AS MATERIALIZED (SELECT src_pos, lei, i_train, {', '.join(f'COALESCE(m{i}, c{i}) AS x{i}' for i in many)} FROM fl, fm)",
+        "fg AS (SELECT COUNT(*) AS total, LEAST(256, COUNT(*)) AS size, GREATEST(1, CEIL(LOG2(LEAST(256, COUNT(*))))) AS height FROM ff WHERE i_train = 1)",
+        f"""f1 AS MATERIALIZED (SELECT tree, 1 AS node, {", ".join(f"x{i}" for i in many)} FROM (SELECT *,
+      ROW_NUMBER() OVER (PARTITION BY tree ORDER BY {digest("src_pos", "'42'", "tree", "'draw'")}, src_pos) AS rn
+      FROM ff, fg, (SELECT CAST(range AS INTEGER) AS tree FROM range(100)) t
+      WHERE i_train = 1 AND {digest("src_pos", "'42'", "'pool'")} < 2 * 100 * size / total::DOUBLE) y WHERE rn <= size)""",
+    ]
+    for level in range(1, FOREST_LEVELS + 2):
+        spans = ", ".join(f"{{'f': {i}, 'lo': MIN(x{i}), 'hi': MAX(x{i})}}" for i in many)
+        parts.append(f"""s{level} AS MATERIALIZED (SELECT tree, node, n, CASE WHEN {level - 1} < height AND len(can) > 0
+      THEN can[1 + CAST(FLOOR({digest("'42'", "tree", "node", "'feature'")} * len(can)) AS BIGINT)] END AS pick
+      FROM (SELECT tree, node, COUNT(*) AS n, list_filter([{spans}], lambda s: s.hi > s.lo) AS can FROM f{level} GROUP BY tree, node) y, fg)""")
+        parts.append(f"""n{level} AS MATERIALIZED (SELECT tree, node, pick.f AS f, pick.lo + {digest("'42'", "tree", "node", "'threshold'")} * (pick.hi - pick.lo) AS threshold,
+      CASE WHEN pick IS NULL THEN {level - 1} + {depth_left} END AS path FROM s{level})""")
+        value = f"[{', '.join(f'x{i}' for i in many)}][f + 1]"
+        if level <= FOREST_LEVELS:
+            parts.append(f"""f{level + 1} AS MATERIALIZED (SELECT tree, 2 * node + CASE WHEN {value} > threshold THEN 1 ELSE 0 END AS node, {", ".join(f"x{i}" for i in many)}
+      FROM f{level} JOIN n{level} USING (tree, node) WHERE f IS NOT NULL)""")
+    parts.append(f"w1 AS (SELECT src_pos, tree, 1 AS node, {', '.join(f'x{i}' for i in many)} FROM ff, (SELECT CAST(range AS INTEGER) AS tree FROM range(100)) t)")
+    for level in range(1, FOREST_LEVELS + 2):
+        parts.append(f"e{level} AS MATERIALIZED (SELECT src_pos, tree, f, threshold, path, node, {', '.join(f'x{i}' for i in many)} FROM w{level} JOIN n{level} USING (tree, node))")
+        if level <= FOREST_LEVELS:
+            parts.append(f"w{level + 1} AS (SELECT src_pos, tree, 2 * node + CASE WHEN {value} > threshold THEN 1 ELSE 0 END AS node, {', '.join(f'x{i}' for i in many)} FROM e{level} WHERE f IS NOT NULL)")
+    ends = " UNION ALL ".join(f"SELECT src_pos, path FROM e{level} WHERE path IS NOT NULL" for level in range(1, FOREST_LEVELS + 2))
+    parts.append(f"fd AS (SELECT src_pos, ROUND(-POW(2.0::DOUBLE, -AVG(path) / (SELECT {depth_left} FROM (SELECT size AS n FROM fg) z)), 9) AS raw FROM ({ends}) y GROUP BY src_pos)")
+    parts.append("fr AS MATERIALIZED (SELECT src_pos, lei, i_train, raw FROM ff JOIN fd USING (src_pos))")
+    parts.append("scored AS MATERIALIZED (SELECT src_pos, lei, i_train, raw - o AS anomaly_score FROM fr, (SELECT quantile_cont(raw, 0.0025) AS o FROM fr WHERE i_train = 1) z)")
+    parts.append("""by_lender AS (SELECT lei, AVG(anomaly_score) AS lei_anomaly_score, COUNT(*) FILTER (anomaly_score < 0) AS lei_anomaly_count,
+      COUNT(*) AS count_lei FROM scored GROUP BY lei)""")
+    return ", ".join(parts)
+
+
+put(
+    "isolation_forest",
+    "lar_wide",
+    f"""SELECT src_pos, lei, i_train, {r6("anomaly_score")} AS anomaly_score,
+      CAST(CASE WHEN anomaly_score < 0 THEN -1 ELSE 1 END AS INTEGER) AS anomaly FROM scored""",
+    forest_tables(),
+)
 put(
-    "knn_outlier",
+    "forest_lender_summary",
     "lar_wide",
-    f"""SELECT src_pos, {r6("d")} AS knn_distance, COALESCE(d > (SELECT quantile_cont(d, 0.995) FROM scores), FALSE) AS outlier FROM scores""",
-    f"""s AS (SELECT src_pos, {", ".join(KNN)} FROM {WIDE} x WHERE action_taken = 1 AND loan_term = 360 AND loan_type = 1
-      AND {" AND ".join(f"{c} IS NOT NULL" for c in KNN)}),
-    scores AS (SELECT s.src_pos, k.d FROM s LEFT JOIN (
-      SELECT src_pos, d FROM (SELECT a.src_pos, sqrt({" + ".join(f"CAST(a.{c} - b.{c} AS DOUBLE) ** 2" for c in KNN)}) AS d,
-        ROW_NUMBER() OVER (PARTITION BY a.src_pos ORDER BY {" + ".join(f"CAST(a.{c} - b.{c} AS DOUBLE) ** 2" for c in KNN)}) AS rn
-        FROM s a JOIN s b ON a.src_pos <> b.src_pos) p WHERE rn = 15) k ON k.src_pos = s.src_pos)""",
+    f"""SELECT lei, {r6("lei_anomaly_score")} AS lei_anomaly_score, lei_anomaly_count, count_lei FROM by_lender
+    WHERE lei_anomaly_score <= 0.01 AND count_lei >= 10 ORDER BY by_lender.lei_anomaly_score, lei LIMIT 10""",
+    forest_tables(),
 )
+put(
+    "forest_anomalous_loans",
+    "lar_wide",
+    f"""SELECT src_pos, lei, i_train, {r6("anomaly_score")} AS anomaly_score, CAST(-1 AS INTEGER) AS anomaly,
+      {r6("lei_anomaly_score")} AS lei_anomaly_score, lei_anomaly_count, count_lei
+    FROM scored JOIN by_lender USING (lei) WHERE anomaly_score < 0""",
+    forest_tables(),
+)
+
+KNN = ("loan_amount", "property_value", "combined_loan_to_value_ratio", "loan_purpose", "activity_year")
+SQUARES = " + ".join(f"CAST(a.{c} - b.{c} AS DOUBLE) ** 2" for c in KNN)
+
+
+def knn(name: str, only: str, k: int, itself: bool) -> None:
+    """Distance to the k-th nearest row; each row is compared with all."""
+    put(
+        name,
+        "lar_wide",
+        f"""SELECT src_pos, {r6("d")} AS knn_distance, COALESCE(d > (SELECT quantile_cont(d, 0.995) FROM scores), FALSE) AS outlier FROM scores""",
+        f"""s AS MATERIALIZED (SELECT src_pos, {", ".join(KNN)} FROM {WIDE} x WHERE {only} AND {" AND ".join(f"{c} IS NOT NULL" for c in KNN)}),
+    scores AS (SELECT a.src_pos, sqrt(min({SQUARES}, {k})[{k}]) AS d FROM s a LEFT JOIN s b ON {"TRUE" if itself else "a.src_pos <> b.src_pos"}
+      GROUP BY a.src_pos)""",
+    )
+
+
+knn("knn_outlier", "action_taken = 1 AND loan_term = 360 AND loan_type = 1", 15, False)
+knn("knn_outlier_all_loans", "TRUE", 15, False)
+knn("knn_include_self", "TRUE", 15, True)
 
 # --- file listings ------------------------------------------------------------
 
@@ -721,6 +831,34 @@ def correction_body(known: bool, rules: bool) -> str:
     return f"SELECT src_pos, {cols}, ({flag}) AS dq_flag FROM c"
 
 
+SHIPPED = f"""u AS (SELECT {", ".join(f"{e} AS {n}" for n, e in UNIT_COLUMNS.items())} FROM lar_known),
+  k(k_lei, k_year, k_type, field, factor, above, note) AS (VALUES {rows_of(KNOWN_CORRECTIONS)}),
+  c AS (SELECT u.*, {", ".join(f"MAX(factor) FILTER (field = '{c}' AND (above IS NULL OR {c} > above)) AS f_{c}, COALESCE(BOOL_OR(field = '{c}' AND factor IS NULL), FALSE) AS no_{c}" for c in FIXED_COLUMNS)}
+    FROM u LEFT JOIN k ON lei = k_lei AND activity_year = k_year AND file_type = k_type GROUP BY ALL)"""
+SHIPPED_VALUES = {
+    c: f"CASE WHEN no_{c} THEN NULL WHEN {c} <> -99999 AND f_{c} IS NOT NULL THEN CAST({c} AS DOUBLE) * CAST(f_{c} AS DOUBLE) ELSE CAST({c} AS DOUBLE) END"
+    for c in FIXED_COLUMNS
+}
+SHIPPED_VALUES |= {c: f"CAST(ROUND({SHIPPED_VALUES[c]}) AS BIGINT)" for c in WHOLE_COLUMNS}
+put(
+    "known_corrections",
+    "lar_known",
+    "SELECT src_pos, "
+    + ", ".join(f"{e if c in WHOLE_COLUMNS else r6(e)} AS {c}" for c, e in SHIPPED_VALUES.items())
+    + f", ({' OR '.join(f'({c} IS DISTINCT FROM ({e}))' for c, e in SHIPPED_VALUES.items())}) AS dq_flag FROM c",
+    SHIPPED,
+)
+put(
+    "review_flags",
+    "lar_known",
+    """SELECT u.src_pos, u.lei, u.activity_year, u.file_type, u.loan_amount, u.loan_term,
+      reason IS NOT NULL AS review_flag, reason AS review_reasons
+    FROM u LEFT JOIN r ON u.lei = k_lei AND u.activity_year = k_year AND u.file_type = k_type AND (
+      field = 'loan_amount' AND loan_amount IS NOT NULL AND loan_amount <> -99999 AND loan_amount >= COALESCE(least, loan_amount)
+      OR field = 'loan_term' AND loan_term IS NOT NULL AND loan_term <> -99999 AND loan_term >= COALESCE(least, loan_term))""",
+    f"""u AS (SELECT {", ".join(f"{e} AS {n}" for n, e in UNIT_COLUMNS.items())} FROM lar_known),
+    r(k_lei, k_year, k_type, field, least, reason) AS (VALUES {rows_of(REVIEWS)})""",
+)
 put("lender_corrections", "lar_units", correction_body(True, False), FIXED)
 put("rule_corrections", "lar_units", correction_body(False, True), FIXED)
 KNOWN_HIT = {

@@ -141,6 +141,16 @@ def clean_loans(spark, sf):
     )
 
 
+@query
+def clean_silver(spark, sf):
+    """The cleaning job on typed loans: exempt values neither fail a bound nor enter a mean."""
+    loans = clean.clean_loans(silver(spark, sf, "lar_wide"), True, "src_pos")
+    return rounded(loans).select(
+        "src_pos", "hmda_record_key", "loan_amount", "dti", "rate_spread", "outlier_interest_rate",
+        "outlier_rate_spread", "_metadata_dedup_dropped", "_metadata_plausibility_dropped",
+    )
+
+
 @query
 def all_eras(spark, sf):
     loans = era_view.all_eras(
@@ -560,17 +570,17 @@ def _forest_scores(spark, sf):
 
 @query
 def isolation_forest(spark, sf):
-    return _forest_scores(spark, sf)
+    return rounded(_forest_scores(spark, sf))
 
 
 @query
 def forest_lender_summary(spark, sf):
-    return forest.lender_anomaly_summary(_forest_scores(spark, sf), max_score=1.0)
+    return rounded(forest.lender_anomaly_summary(_forest_scores(spark, sf)))
 
 
 @query
 def forest_anomalous_loans(spark, sf):
-    return forest.anomalous_loans(_forest_scores(spark, sf))
+    return rounded(forest.anomalous_loans(_forest_scores(spark, sf)))
 
 
 def _margin_scores(spark, sf):
@@ -605,11 +615,18 @@ def knn_outlier(spark, sf):
 
 @query
 def knn_outlier_all_loans(spark, sf):
-    """All loans with a value in every feature; checked by brute force in the tests."""
+    """All loans with a value in every feature."""
     scored = neighbors.knn_outliers(silver(spark, sf, "lar_wide"), KNN_COLUMNS, key="src_pos")
     return scored.select("src_pos", r6(F.col("knn_distance")).alias("knn_distance"), "outlier")
 
 
+@query
+def knn_include_self(spark, sf):
+    """All loans, each counted as its own first neighbour."""
+    scored = neighbors.knn_outliers(silver(spark, sf, "lar_wide"), KNN_COLUMNS, key="src_pos", include_self=True)
+    return scored.select("src_pos", r6(F.col("knn_distance")).alias("knn_distance"), "outlier")
+
+
 # --- file listings ------------------------------------------------------------
 
 
@@ -694,6 +711,20 @@ def rule_corrections(spark, sf):
     return rounded(_corrected(spark, sf, known=False).select("src_pos", *CORRECTED, "dq_flag"))
 
 
+@query
+def known_corrections(spark, sf):
+    """The shipped table of lender corrections."""
+    loans = silver(spark, sf, "lar_known")
+    fixed = corrections.correct(loans, corrections.known_corrections(spark))
+    return rounded(fixed.select("src_pos", *CORRECTED, "dq_flag"))
+
+
+@query
+def review_flags(spark, sf):
+    loans = silver(spark, sf, "lar_known").select("src_pos", *corrections.KEYS, "loan_amount", "loan_term")
+    return corrections.review_flags(loans, corrections.known_reviews(spark))
+
+
 def _audit(spark, sf):
     keep = ["lei", "activity_year"]
     return corrections.correction_audit(_corrected(spark, sf), "src_pos", keep, at="2024-01-01")

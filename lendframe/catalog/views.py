@@ -18,7 +18,7 @@ SELECT
  CAST(2018 + o_orderkey % 7 AS STRING) AS activity_year,
  CASE WHEN o_orderkey % 7 >= 5 THEN 'c' WHEN o_orderkey % 7 >= 3 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'b' ELSE 'c' END
       ELSE CASE o_orderkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END END AS file_type,
- 'LEI' || LPAD(CAST(o_custkey % 50 AS STRING), 17, '0') AS lei,
+ CASE WHEN o_orderkey % 1200 = 0 THEN 'ODD' ELSE 'LEI' END || LPAD(CAST(CASE WHEN o_orderkey % 1200 = 0 THEN 0 ELSE o_custkey % 50 END AS STRING), 17, '0') AS lei,
  CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE ' U' || CAST(o_orderkey % 9000 AS STRING) || ' ' END AS universal_loan_identifier,
  CASE c_nationkey % 4 WHEN 0 THEN 'DC' WHEN 1 THEN 'MD' WHEN 2 THEN 'VA' ELSE 'CA' END AS state_code,
  CASE WHEN o_orderkey % 19 = 0 THEN 'NA' ELSE CAST(1001 + c_nationkey * 1000 + o_orderkey % 3 AS STRING) || CASE WHEN o_orderkey % 2 = 0 THEN '.0' ELSE '' END END AS county_code,
@@ -81,33 +81,34 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 VIEWS["panel_raw"] = """
 SELECT
  CAST(2018 + s_suppkey % 7 AS STRING) AS activity_year,
- CASE WHEN s_suppkey % 33 = 32 THEN NULL ELSE 'LEI' || LPAD(CAST(s_suppkey % 60 AS STRING), 17, '0') END AS upper,
+ CASE WHEN s_suppkey % 33 = 32 THEN NULL WHEN s_suppkey % 6 = 1 THEN 'PANEL' || LPAD(CAST(s_suppkey % 60 AS STRING), 15, '0')
+      ELSE 'LEI' || LPAD(CAST(s_suppkey % 60 AS STRING), 17, '0') END AS upper,
  s_name AS respondent_name,
  'TOP ' || s_name AS topholder_name,
  CAST(100000 + s_suppkey AS STRING) AS topholder_rssd,
  CAST(1 + s_suppkey % 9 AS STRING) AS agency_code,
  CAST(CAST(FLOOR(s_acctbal) AS BIGINT) * 1000 AS STRING) AS assets
-FROM supplier WHERE s_suppkey % 6 <> 1
+FROM supplier
 """
 
 VIEWS["ts_raw"] = """
 SELECT
  CAST(2018 + s_suppkey % 7 AS STRING) AS activity_year,
- CASE WHEN s_suppkey % 33 = 32 THEN NULL ELSE 'LEI' || LPAD(CAST(s_suppkey % 60 AS STRING), 17, '0') END AS lei,
+ CASE WHEN s_suppkey % 33 = 32 THEN NULL WHEN s_suppkey % 5 = 0 THEN 'SHEET' || LPAD(CAST(s_suppkey % 60 AS STRING), 15, '0')
+      ELSE 'LEI' || LPAD(CAST(s_suppkey % 60 AS STRING), 17, '0') END AS lei,
  ' ' || s_name || ' ' AS respondent_name,
  CAST(1 + s_suppkey % 9 AS STRING) AS agency_code,
  CASE WHEN s_suppkey % 4 = 0 THEN ' ' ELSE n_name END AS respondent_state,
  CAST(50 + s_suppkey % 900 AS STRING) AS lar_count
-FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 5 <> 0
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """
 
 VIEWS["crosswalk"] = """
 SELECT DISTINCT
- LPAD(CAST(1001950900 + c_nationkey_b * 1000000000 + t AS STRING), 11, '0') AS tract_src,
+ LPAD(CAST(CASE WHEN t % 2 = 0 THEN 1001950900 ELSE 1001970900 END + c_nationkey_b * 1000000000 + t AS STRING), 11, '0') AS tract_src,
  LPAD(CAST(1001960900 + c_nationkey_b * 1000000000 + t AS STRING), 11, '0') AS tract_2020,
  CASE WHEN t % 4 = 0 THEN 2010 ELSE 2020 END AS target_year
 FROM (SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey_b, o_orderkey % 40 AS t FROM orders JOIN customer ON o_custkey = c_custkey) x
-WHERE t % 2 = 0
 """
 
 # One row per customer: a file name with its remote and local state.
@@ -141,9 +142,9 @@ SELECT lar_raw.*,
  CAST(src_pos % 10 AS STRING) AS purchaser_type,
  CAST(1 + src_pos % 4 AS STRING) AS loan_type,
  CASE src_pos % 5 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '31' WHEN 3 THEN '32' ELSE '4' END AS loan_purpose,
- CASE WHEN src_pos % 17 = 0 THEN 'Exempt' ELSE CAST(15000 + 10000 * (src_pos * 7 % 97) AS STRING) END AS property_value,
- CASE WHEN src_pos % 17 = 0 THEN 'Exempt' WHEN src_pos % 3 = 0 THEN 'NA' ELSE CAST(src_pos % 900 AS STRING) || '.5' END AS discount_points,
- CASE WHEN src_pos % 5 = 0 THEN 'NA' ELSE CAST(src_pos * 3 % 700 AS STRING) END AS lender_credits,
+ CASE WHEN lei LIKE 'ODD%' THEN '90000000' WHEN src_pos % 17 = 0 THEN 'Exempt' ELSE CAST(15000 + 10000 * (src_pos * 7 % 97) AS STRING) END AS property_value,
+ CASE WHEN lei LIKE 'ODD%' THEN '88888.5' WHEN src_pos % 17 = 0 THEN 'Exempt' WHEN src_pos % 3 = 0 THEN 'NA' ELSE CAST(src_pos % 900 AS STRING) || '.5' END AS discount_points,
+ CASE WHEN lei LIKE 'ODD%' THEN '69000' WHEN src_pos % 5 = 0 THEN 'NA' ELSE CAST(src_pos * 3 % 700 AS STRING) END AS lender_credits,
  CASE WHEN SUBSTR(lei, 20, 1) = '3' THEN '1111' ELSE CAST(1 + src_pos % 2 AS STRING) END AS reverse_mortgage,
  CASE WHEN SUBSTR(lei, 20, 1) IN ('3', '7') THEN '1111' ELSE CAST(1 + src_pos % 6 AS STRING) END AS aus_1,
  CASE src_pos % 6 WHEN 0 THEN 'White' WHEN 1 THEN 'Asian' WHEN 2 THEN 'Not Applicable' WHEN 3 THEN 'NA' WHEN 4 THEN 'Joint' ELSE 'N/A' END AS derived_race,
@@ -164,7 +165,24 @@ SELECT src_pos, activity_year, file_type, lei, action_taken, loan_amount, loan_t
 FROM lar_raw
 """
 
+# lar_units under ids of the lenders that the shipped corrections and reviews name.
+VIEWS["lar_known"] = """
+SELECT src_pos, activity_year, file_type, CASE lei
+  WHEN 'LEI00000000000000001' THEN '549300CCELEPUO4TOE73' WHEN 'LEI00000000000000002' THEN '2549001LVVJUGK9VA038'
+  WHEN 'LEI00000000000000003' THEN '549300CKKPTDS03YHG30' WHEN 'LEI00000000000000004' THEN '5493000RRYPUX5O9MI08'
+  WHEN 'LEI00000000000000005' THEN '549300JD2HS86SAFVA88' WHEN 'LEI00000000000000006' THEN '2549001UO7C3LB3SXA82'
+  WHEN 'LEI00000000000000007' THEN 'MZJU01BGQ7J1KULQSB89' WHEN 'LEI00000000000000008' THEN '549300C8GOC4OYUV0Z32'
+  WHEN 'LEI00000000000000009' THEN '5493009TOEDMWVNG1442' WHEN 'LEI00000000000000010' THEN '254900Z5QRSHW4Y8CR51'
+  WHEN 'LEI00000000000000011' THEN '549300G3FCPL48R4HU28' WHEN 'LEI00000000000000012' THEN '984500DA79C1B97ACF16'
+  WHEN 'LEI00000000000000013' THEN 'B2S31CFVSWTN3FR00Q90' WHEN 'LEI00000000000000014' THEN '54930057XF33SONJFP81'
+  WHEN 'LEI00000000000000015' THEN '5493002W52M3SYLFEX32' ELSE lei END AS lei,
+ action_taken, loan_amount, CASE WHEN src_pos % 5 = 0 THEN '480' ELSE loan_term END AS loan_term,
+ income, interest_rate, loan_to_value_ratio, discount_points
+FROM lar_units
+"""
+
 NEEDS = {
+    "lar_known": ("orders", "customer", "lar_raw", "lar_units"),
     "lar_raw": ("orders", "customer"),
     "lar_wide": ("orders", "customer", "lar_raw"),
     "lar_units": ("orders", "customer", "lar_raw"),

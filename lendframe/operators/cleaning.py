@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..eras import (
     CLEANING_NUMERIC_COLUMNS,
@@ -14,7 +14,6 @@ from ..eras import (
     SENTINEL,
 )
 from ..functions.casts import col, number
-from ..session import hint_if_small
 from .columns import rename_present
 from .quantiles import exact_quantiles
 
@@ -31,6 +30,7 @@ PLAUSIBLE = {
     "loan_amount": (0, 1_500_000),
 }
 MAX_RATE_SPREAD = 20
+PLAUSIBILITY_DROPPED = "_metadata_plausibility_dropped"
 OUTLIER_COLUMNS = ("interest_rate", "rate_spread", "total_loan_costs")
 Z_LIMIT = 6.0
 
@@ -101,7 +101,7 @@ def crosswalk_tract(
         kind = dict(df.dtypes)[year_col]
         side.append(F.col("year").cast(kind).alias("_year"))
         match = match & (col(year_col) == F.col("_year"))
-    joined = df.join(hint_if_small(crosswalk.select(*side)), match, "left")
+    joined = df.join(crosswalk.select(*side), match, "left")
     return joined.select(
         *[
             F.coalesce(F.col("_to"), col(c)).alias(c) if c == tract_col else col(c)
@@ -137,7 +137,7 @@ def plausibility_filter(
     """Rows within bounds, with the number of rows dropped as a column."""
     keep = plausible(df, bounds, literal)
     dropped = df.agg(F.count_if(~keep).alias("n"))
-    return df.filter(keep).withColumn("_metadata_plausibility_dropped", dropped.scalar())
+    return df.filter(keep).withColumn(PLAUSIBILITY_DROPPED, dropped.scalar())
 
 
 def clean_rate_spread(df: DataFrame, rate_spread_col: str = "rate_spread") -> DataFrame:
@@ -148,22 +148,32 @@ def clean_rate_spread(df: DataFrame, rate_spread_col: str = "rate_spread") -> Da
     return df.withColumn(rate_spread_col, F.when(~(F.abs(value) > MAX_RATE_SPREAD), value))
 
 
+def mean_and_deviation(values: Mapping[str, Column]) -> list[Column]:
+    """Aggregates ``mean_{c}`` and ``std_{c}`` of each value."""
+    return [
+        *[F.avg(v).alias(f"mean_{c}") for c, v in values.items()],
+        *[F.stddev_samp(v).alias(f"std_{c}") for c, v in values.items()],
+    ]
+
+
 def flag_outliers(
-    df: DataFrame, columns: Sequence[str] = OUTLIER_COLUMNS, z_limit: float = Z_LIMIT
+    df: DataFrame,
+    columns: Sequence[str] = OUTLIER_COLUMNS,
+    z_limit: float = Z_LIMIT,
+    stats: Row | None = None,
 ) -> DataFrame:
     """``outlier_{c}``: further than ``z_limit`` sample deviations from the mean.
 
-    One aggregate covers all columns. A column without spread gets no flag.
+    One aggregate covers all columns, unless its row ``stats`` is given. A column without
+    spread gets no flag.
     """
     kinds = dict(df.dtypes)
     chosen = [c for c in columns if c in kinds]
     if not chosen:
         return df
     value = {c: number(col(c), kinds[c]) for c in chosen}
-    stats = df.agg(
-        *[F.avg(v).alias(f"mean_{c}") for c, v in value.items()],
-        *[F.stddev_samp(v).alias(f"std_{c}") for c, v in value.items()],
-    ).first()
+    if stats is None:
+        stats = df.agg(*mean_and_deviation(value)).first()
     flags = {}
     for c, v in value.items():
         mean, std = stats[f"mean_{c}"], stats[f"std_{c}"]

@@ -9,28 +9,37 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..eras import INDEX_COLUMN, SENTINEL
 from ..functions.casts import col
-from ..session import hint_if_small
 from .quantiles import exact_quantiles
 
-# Lenders known to report a field in the wrong unit. An empty factor
-# sets the field missing. lender | year | type | field | factor | note
-KNOWN_CORRECTIONS = """
-549300CCELEPUO4TOE73|2018|a|income|0.001|income in dollars
-2549001LVVJUGK9VA038|2018|a|income|0.001|income in dollars
-549300CKKPTDS03YHG30|2018|a|income|0.001|income in dollars
-5493000RRYPUX5O9MI08|2018|a|income|0.001|income in dollars
-549300CCELEPUO4TOE73|2018|a|interest_rate|100|rate as a fraction
-549300JD2HS86SAFVA88|2018|a|discount_points||placeholder 8888
-2549001UO7C3LB3SXA82|2019|a|combined_loan_to_value_ratio|100|ratio as a fraction
-MZJU01BGQ7J1KULQSB89|2019|a|combined_loan_to_value_ratio|100|ratio as a fraction
-549300C8GOC4OYUV0Z32|2019|a|combined_loan_to_value_ratio|100|ratio as a fraction
-5493009TOEDMWVNG1442|2020|a|income|0.001|income in dollars
-254900Z5QRSHW4Y8CR51|2020|a|loan_term||one month for every loan
-549300G3FCPL48R4HU28|2022|b|income|0.012|monthly income in dollars
-5493009TOEDMWVNG1442|2022|b|income|0.012|monthly income in dollars
-984500DA79C1B97ACF16|2022|b|income|0.012|monthly income in dollars
-B2S31CFVSWTN3FR00Q90|2022|b|loan_amount|0.01|amount times 100
-"""
+# Lenders known to report a field in the wrong unit:
+# lender, year, type, field, factor, least value corrected, note. Without a factor the
+# field is set missing; with a least value only records above it are corrected.
+KNOWN_CORRECTIONS = (
+    ("549300CCELEPUO4TOE73", 2018, "a", "income", 0.001, None, "income in dollars"),
+    ("2549001LVVJUGK9VA038", 2018, "a", "income", 0.001, None, "income in dollars"),
+    ("549300CKKPTDS03YHG30", 2018, "a", "income", 0.001, None, "income in dollars"),
+    ("5493000RRYPUX5O9MI08", 2018, "a", "income", 0.001, None, "income in dollars"),
+    ("549300CCELEPUO4TOE73", 2018, "a", "interest_rate", 100.0, None, "rate as a fraction"),
+    ("549300JD2HS86SAFVA88", 2018, "a", "discount_points", None, None, "placeholder 8888"),
+    ("2549001UO7C3LB3SXA82", 2019, "a", "combined_loan_to_value_ratio", 100.0, None, "ratio as a fraction"),
+    ("MZJU01BGQ7J1KULQSB89", 2019, "a", "combined_loan_to_value_ratio", 100.0, None, "ratio as a fraction"),
+    ("549300C8GOC4OYUV0Z32", 2019, "a", "combined_loan_to_value_ratio", 100.0, None, "ratio as a fraction"),
+    ("5493009TOEDMWVNG1442", 2020, "a", "income", 0.001, None, "income in dollars"),
+    ("54930057XF33SONJFP81", 2020, "a", "income", 0.001, 900_000.0, "some incomes in dollars"),
+    ("254900Z5QRSHW4Y8CR51", 2020, "a", "loan_term", None, None, "one month for every loan"),
+    ("549300G3FCPL48R4HU28", 2022, "b", "income", 0.012, None, "monthly income in dollars"),
+    ("5493009TOEDMWVNG1442", 2022, "b", "income", 0.012, None, "monthly income in dollars"),
+    ("984500DA79C1B97ACF16", 2022, "b", "income", 0.012, None, "monthly income in dollars"),
+    ("B2S31CFVSWTN3FR00Q90", 2022, "b", "loan_amount", 0.01, None, "amount times 100"),
+)
+
+# Records to look at by hand and not to change:
+# lender, year, type, field, least value flagged, reason.
+REVIEWS = (
+    ("MZJU01BGQ7J1KULQSB89", 2019, "a", "loan_amount", None, "amount large, several families or wrong unit"),
+    ("B2S31CFVSWTN3FR00Q90", 2019, "a", "loan_amount", None, "amount large, several families or wrong unit"),
+    ("5493002W52M3SYLFEX32", 2022, "b", "loan_term", 480.0, "large 40-year loan to one purchaser"),
+)
 
 FIELDS = (
     "income",
@@ -63,23 +72,60 @@ RULES = (
 
 
 def known_corrections(spark: SparkSession) -> DataFrame:
-    rows = []
-    for line in KNOWN_CORRECTIONS.strip().splitlines():
-        lei, year, kind, field, factor, note = line.split("|")
-        rows.append((lei, int(year), kind, field, float(factor) if factor else None, note))
     schema = (
         "lei string, activity_year bigint, file_type string, "
-        "field string, factor double, note string"
+        "field string, factor double, above double, note string"
+    )
+    return spark.createDataFrame(list(KNOWN_CORRECTIONS), schema)
+
+
+def known_reviews(spark: SparkSession) -> DataFrame:
+    schema = "lei string, activity_year bigint, file_type string, field string, least double, reason string"
+    return spark.createDataFrame(list(REVIEWS), schema)
+
+
+def review_flags(df: DataFrame, reviews: DataFrame) -> DataFrame:
+    """``review_flag`` and ``review_reasons`` (joined by a semicolon); no value is changed.
+
+    A record is flagged for a field of its lender's that has a value, the least one or
+    more where the review names one. Fields absent from ``df`` are not looked at.
+    """
+    kinds = dict(df.dtypes)
+    entry = F.struct("field", "least", "reason")
+    listed = reviews.groupBy(*[col(k).alias(f"_{k}") for k in KEYS]).agg(
+        F.sort_array(F.collect_set(entry)).alias("_reviews")
+    )
+    match = F.lit(True)
+    for k in KEYS:
+        match = match & (col(k) == F.col(f"_{k}").cast(kinds[k]))
+    numbers = [c for c, kind in kinds.items() if c in FIELDS and kind != "string"]
+
+    def holds(review: Column) -> Column:
+        test = F.lit(False)
+        for c in numbers:
+            value = F.nullif(col(c).cast("double"), F.lit(float(SENTINEL)))
+            reached = review["least"].isNull() | (value >= review["least"])
+            test = test | ((review["field"] == c) & value.isNotNull() & reached)
+        return test
+
+    reasons = F.transform(F.filter("_reviews", holds), lambda r: r["reason"])
+    text = F.nullif(F.array_join(F.array_distinct(reasons), "; "), F.lit(""))
+    return df.join(listed, match, "left").select(
+        *[col(c) for c in df.columns],
+        text.isNotNull().alias("review_flag"),
+        text.alias("review_reasons"),
     )
-    return spark.createDataFrame(rows, schema)
 
 
 def _wide(corrections: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """One row per lender, year and type: a factor and a set-missing mark per field."""
+    """One row per lender, year and type: a factor, its least value and a set-missing mark per field."""
+    if "above" not in corrections.columns:
+        corrections = corrections.withColumn("above", F.lit(None).cast("double"))
     aggs = []
     for i, f in enumerate(fields):
         mine = F.col("field") == f
         aggs.append(F.product(F.when(mine, F.col("factor"))).alias(f"_factor{i}"))
+        aggs.append(F.max(F.when(mine, F.col("above"))).alias(f"_above{i}"))
         aggs.append(F.bool_or(mine & F.col("factor").isNull()).alias(f"_missing{i}"))
     return corrections.groupBy(*[col(k).alias(f"_{k}") for k in KEYS]).agg(*aggs)
 
@@ -102,7 +148,7 @@ def correct(
         match = F.lit(True)
         for k in KEYS:
             match = match & (col(k) == F.col(f"_{k}").cast(kinds[k]))
-        source = df.join(hint_if_small(_wide(corrections, chosen)), match, "left")
+        source = df.join(_wide(corrections, chosen), match, "left")
     new: dict[str, Column] = {}
     changes: list[Column] = []
     for i, f in enumerate(chosen):
@@ -119,7 +165,8 @@ def correct(
         if corrections is not None:
             factor = F.col(f"_factor{i}")
             gone = F.coalesce(F.col(f"_missing{i}"), F.lit(False))
-            known = real & factor.isNotNull()
+            above = F.col(f"_above{i}")
+            known = real & factor.isNotNull() & (above.isNull() | (value > above))
             scale = F.when(known, factor).otherwise(scale)
             origin = F.when(gone | known, F.lit("lender")).otherwise(origin)
         scaled = value * scale
