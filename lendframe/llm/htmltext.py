@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags. The first pass classifies each block: what
 lies in menus, headers, footers, sidebars, forms, notices, adverts or comments is bad, and
-so is a block of links. A block inside an ``article`` or ``main`` element is good. Other
+so is a block of links. A form that holds an article or long prose is no such form, and an
+article inside a menu, header or named container counts nonetheless. A block inside an ``article`` or ``main`` element is good. Other
 blocks are good if long enough and dense in stop words, bad if long and without them, and
 else ambiguous. In the second pass an ambiguous block takes the label of its nearest decided
 neighbour; of two at the same distance that differ, it takes the good one if it is a heading
@@ -37,17 +38,30 @@ TOKEN = re.compile(
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that open a container; a block inherits what its containers are.
 CONTAINERS = frozenset("address article aside blockquote body details dialog div dl fieldset figure footer form header main menu nav ol section table ul".split())
-#: Elements never part of the main text.
-APART = frozenset("aside dialog footer form header menu nav".split())
-APART_ROLES = re.compile(r"""\brole\s*=\s*["']?(?:navigation|banner|contentinfo|complementary|search|form|dialog|alert)\b""", re.I)
-#: Words in class or id of containers that are not part of the main text.
-APART_NAMES = re.compile(
-    r"""\b(?:class|id)\s*=\s*(?:"[^"]*?|'[^']*?)(?<![a-z0-9])(?:ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner
-    |menu|nav|navbar|navigation|breadcrumb|breadcrumbs|header|masthead|topbar|footer|sidebar|side|rail|widget|related|recommended
-    |cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social
-    |comment|comments|commentlist|replies|respond|disqus|reader-comments|toolbar|pagination|pager)(?![a-z0-9])""",
-    re.X | re.I,
+#: Elements never part of the main text. An ``article`` or ``main`` inside a SOFT one is; inside a NAMED one it is if
+#: there is none elsewhere and less prose; inside a FIRM one it is not.
+SOFT, NAMED, FIRM = 1, 2, 3
+APART = {"aside": FIRM, "dialog": FIRM, "footer": FIRM, "header": SOFT, "menu": SOFT, "nav": SOFT}
+APART_ROLES = re.compile(r"""(?<![\w-])role\s*=\s*["']?(?:(navigation|banner|search|form)|complementary|contentinfo|dialog|alert)\b""", re.I)
+#: Class or id of containers that are not part of the main text: the whole name, its last part after a hyphen or underscore
+#: (``site-footer``), or a part before one of NAME_TAILS (``share-buttons``).
+APART_NAMES = frozenset(
+    """ad ads advert adverts advertisement advertising sponsor sponsored promo banner
+    menu nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer sidebar side rail widget related recommended
+    cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social
+    toolbar pagination pager""".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist replies respond disqus".split())
+NAME_TAILS = frozenset(
+    """area articles banner bar block body bottom box btn button buttons container content contents count form group heading holder icons info
+    inner item items label link links list lists media message meta panel placeholder posts primary row secondary section slot stories text thread title
+    tools top unit wrap wrapper""".split()
+)
+#: First parts of names that tell of a state or a layout: ``has-sidebar``, ``with-nav``.
+NAME_STATES = frozenset("has have with without no not is hide show js".split())
+NAMES = re.compile(r"""(?<![\w-])(?:class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: A form is part of the page if it holds an article or main element, so many words of prose, or most of the page's prose.
+FORM_WORDS = 100
 INNER_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"[^"]*?|'[^']*?|)(?<![a-z0-9])(?:main|article|article-body|post-content|entry-content|story|main-content)(?![a-z0-9])""", re.I)
 #: Frequent function words of four languages.
 STOP_WORDS = frozenset(
@@ -73,10 +87,46 @@ class Block:
     element: str
 
 
+@dataclass
+class Place:
+    """What a container hands on to all that is in it."""
+
+    name: str = ""
+    #: 0, SOFT, NAMED or FIRM.
+    apart: int = 0
+    inner: bool = False
+    #: In an article or main element in a NAMED container.
+    lifted: bool = False
+    #: The nearest form.
+    form: int = -1
+
+
+@dataclass
+class Form:
+    outer: int
+    holds_inner: bool = False
+    prose: int = 0
+
+
+def apart_by_name(attributes: str) -> int:
+    """What class, id and role tell of a container."""
+    role = APART_ROLES.search(attributes)
+    found = 0 if role is None else SOFT if role[1] else FIRM
+    for m in NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = [x for x in re.split(r"[-_]+", name) if x and not re.fullmatch(r"\d+(?:x\d+)?", x)]
+            if not parts or parts[0] in NAME_STATES:
+                continue
+            named = {parts[-1], *(parts[:-1] if parts[-1] in NAME_TAILS else ())}
+            found = max(found, FIRM if named & COMMENT_NAMES else NAMED if named & APART_NAMES else 0)
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """All blocks of a page that have text, in order, with the first pass' labels."""
-    found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    found: list[tuple[Block, Place, int]] = []
+    stack: list[Place] = [Place()]
+    forms: list[Form] = []
     pieces: list[str] = []
     linked = links = 0
     element, at, in_head = "", 0, False
@@ -86,8 +136,8 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                apart, inner = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                found.append(Block(text, first_label(text, apart or in_head, inner, linked), element[:1] == "h" and element[1:].isdigit(), element))
+                place = Place(apart=FIRM) if in_head else stack[-1]
+                found.append((Block(text, OPEN, element[:1] == "h" and element[1:].isdigit(), element), place, linked))
             pieces.clear()
         linked = 0
 
@@ -119,20 +169,61 @@ def blocks(page: str) -> list[Block]:
             continue
         if not ends:
             in_head = False
-            apart, inner = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            named = bool(attributes) and bool(APART_NAMES.search(attributes) or APART_ROLES.search(attributes))
-            is_inner = name in ("article", "main") or bool(attributes) and bool(INNER_NAMES.search(attributes))
-            own = name in APART and not (name == "header" and inner) or named and not (name in ("article", "main", "body"))
-            stack.append((name, apart or own, inner or is_inner))
+            stack.append(enter(name, attributes, stack[-1], forms))
         else:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].name == name:
                     del stack[depth:]
                     break
     if at < len(page):
         pieces.append(page[at:])
     close()
-    return found
+    return judge(found, forms)
+
+
+def enter(name: str, attributes: str, outer: Place, forms: list[Form]) -> Place:
+    """The place that a container's start tag opens."""
+    article = name in ("article", "main")
+    own = 0 if article or name == "body" or not attributes else apart_by_name(attributes)
+    if not (name == "header" and outer.inner):
+        own = max(own, APART.get(name, 0))
+    is_inner = article or bool(attributes) and bool(INNER_NAMES.search(attributes))
+    form = outer.form
+    if name == "form":
+        forms.append(Form(form))
+        form = len(forms) - 1
+    elif is_inner and not own:
+        while form >= 0 and not forms[form].holds_inner:
+            forms[form].holds_inner = True
+            form = forms[form].outer
+        form = outer.form
+    apart = 0 if article and outer.apart == SOFT else max(outer.apart, own)
+    lifted = not own and (outer.lifted or article) and apart == NAMED
+    return Place(name, apart, outer.inner or is_inner, lifted, form)
+
+
+def judge(found: list[tuple[Block, Place, int]], forms: list[Form]) -> list[Block]:
+    """Label the blocks of a page, now that all of it is known."""
+    prose = lifted = 0
+    for block, place, linked in found:
+        words = len(block.text.split())
+        if words < SHORT_WORDS or linked > LINKED * len(block.text):
+            continue
+        lifted += words * place.lifted
+        if not place.apart:
+            prose += words
+            form = place.form
+            while form >= 0:
+                forms[form].prose += words
+                form = forms[form].outer
+    wraps: list[bool] = []
+    for form in forms:
+        wraps.append((form.outer < 0 or wraps[form.outer]) and (form.holds_inner or form.prose >= FORM_WORDS or 2 * form.prose > prose))
+    lift = lifted > prose and not any(p.inner and not p.apart and (p.form < 0 or wraps[p.form]) and k <= LINKED * len(b.text) for b, p, k in found)
+    for block, place, linked in found:
+        apart = bool(place.apart) and not (lift and place.lifted) or place.form >= 0 and not wraps[place.form]
+        block.label = first_label(block.text, apart, place.inner, linked)
+    return [block for block, _, _ in found]
 
 
 def first_label(text: str, apart: bool, inner: bool, linked: int) -> int:

@@ -234,6 +234,17 @@ def test_page_blocks():
     assert htmltext.main_text("") == "" and htmltext.main_text("just text") == "just text"
 
 
+def test_page_articles_inside_apart_containers():
+    prose = "this is the kind of text that has a lot of the words which are in all of the texts and it is long"
+    article = f"<article><h1>Head</h1><p>{prose}</p><div class='share-buttons'>Share</div><form><p>Sign up</p></form><aside>{prose}</aside></article>"
+    for opened, closed in (("<form action=x>", "</form>"), ("<div class='site has-sidebar'>", "</div>"), ("<section class=with-nav>", "</section>"), ("<div class=sidebar>", "</div>"), ("<header>", "</header>")):
+        page = f"<body>{opened}<nav><a href=x>Menu</a></nav>{article}<div id='comments'><article><p>{prose}</p></article></div><div class='site-footer'>{prose}</div>{closed}</body>"
+        assert htmltext.main_text(page) == f"Head {prose}", opened
+    assert htmltext.main_text(f"<form><nav>Menu</nav><h1>Head</h1><p>{prose}</p></form>") == f"Head {prose}"
+    assert htmltext.main_text(f"<p>{prose}</p><p>{prose}</p><form><p>{prose}</p></form><div class=sidebar><article>{prose}</article></div>") == f"{prose} {prose}"
+    assert htmltext.main_text(f"<main><p>{prose}</p></main><div class=sidebar><article>{prose}</article></div>") == prose
+
+
 def test_pages_equal_their_articles(spark):
     import html
 
