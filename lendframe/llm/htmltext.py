@@ -10,6 +10,9 @@ neighbour; of two at the same distance that differ, it takes the good one if it
 or follows a good block of its own kind of element, else the bad one. Without any decided
 block, ambiguous blocks are good.
 
+Buttons, choices, drawings, templates and annotations of formulas are left out, and end with
+their parents; what else formulas and objects hold is text.
+
 Null and empty pages give an empty text. Character references are decoded once. Repeated
 rows get a row each; columns other than ``page_id``, ``url`` and ``html`` are ignored.
 """
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,15 +33,23 @@ from lendframe.llm.arrow import chunks, column
 GOOD, BAD, OPEN = 1, -1, 0
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    | <(script|style|noscript|template|svg|iframe|select|textarea|button|title|object|math)\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</\1\s*>|\Z)
+    | <(script|style|textarea|title|iframe)\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</\1\s*>|\Z)
     | <(/?)([a-z][a-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>
     | <(/?)([a-z][a-z0-9:-]*)([^>]*+)>
     | <[!?][^>]*+>""",
     re.X | re.S | re.I,
 )
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    """a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark object param q s samp small span strike strong sub sup time tt u var wbr
+    math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup
+    mtext munder munderover semantics""".split()
+)
 #: Elements that open a container; a block inherits what its containers are.
-CONTAINERS = frozenset("address article aside blockquote body details dialog div dl fieldset figure footer form header main menu nav ol section table ul".split())
+CONTAINERS = frozenset("address article aside blockquote body details dialog div dl fieldset figure footer form header main menu nav noscript ol section table ul".split())
+#: Elements whose content is not text of the page. One that nothing closes before its parent ends stops at the next block.
+HIDDEN = frozenset("annotation annotation-xml button select svg template".split())
+HAS_HIDDEN = re.compile("<(?:%s)\\b" % "|".join(sorted(HIDDEN)), re.I)
+BLOCKS = CONTAINERS | frozenset("caption center dd dt figcaption h1 h2 h3 h4 h5 h6 legend li p pre summary tbody td tfoot th thead tr".split())
 #: Elements never part of the main text. An ``article`` or ``main`` inside a SOFT one is; inside a NAMED one it is if
 #: there is none elsewhere and less prose; inside a FIRM one it is not.
 SOFT, NAMED, FIRM = 1, 2, 3
@@ -60,8 +72,8 @@ NAME_TAILS = frozenset(
 #: First parts of names that tell of a state or a layout: ``has-sidebar``, ``with-nav``.
 NAME_STATES = frozenset("has have with without no not is hide show js".split())
 NAMES = re.compile(r"""(?<![\w-])(?:class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-#: A form is part of the page if it holds an article or main element, so many words of prose, or most of the page's prose.
-FORM_WORDS = 100
+#: A form, or a noscript outside the article, is part of the page if it holds an article or main element, so many words of prose, or most of the page's prose.
+FORM_WORDS, NOTICE_WORDS = 100, 40
 INNER_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"[^"]*?|'[^']*?|)(?<![a-z0-9])(?:main|article|article-body|post-content|entry-content|story|main-content)(?![a-z0-9])""", re.I)
 #: Frequent function words of four languages.
 STOP_WORDS = frozenset(
@@ -97,13 +109,15 @@ class Place:
     inner: bool = False
     #: In an article or main element in a NAMED container.
     lifted: bool = False
-    #: The nearest form.
+    #: The nearest form or noscript.
     form: int = -1
 
 
 @dataclass
 class Form:
     outer: int
+    #: Fewer words of prose are a notice.
+    least: int = 0
     holds_inner: bool = False
     prose: int = 0
 
@@ -141,7 +155,13 @@ def blocks(page: str) -> list[Block]:
             pieces.clear()
         linked = 0
 
+    skips = hidden(page) if HAS_HIDDEN.search(page) else {}
+    until = 0
     for token in TOKEN.finditer(page):
+        if token.start() < until:
+            continue
+        if until > at:
+            at = until
         if token.start() > at:
             piece = page[at : token.start()]
             pieces.append(piece)
@@ -149,6 +169,10 @@ def blocks(page: str) -> list[Block]:
                 linked += len(piece)
         at = token.end()
         name = token[3] or token[6]
+        if token.start() in skips:
+            until = skips[token.start()]
+            pieces.append(" ")
+            continue
         if name is None:
             if token[1]:
                 pieces.append(" ")
@@ -161,6 +185,9 @@ def blocks(page: str) -> list[Block]:
         close()
         links = 0
         element = "" if ends else name
+        if name == "head" and ends or name == "body":
+            while stack[-1].name == "noscript":
+                stack.pop()
         if name == "head":
             in_head = not ends
         elif name == "body":
@@ -168,19 +195,65 @@ def blocks(page: str) -> list[Block]:
         if name not in CONTAINERS or attributes.endswith("/"):
             continue
         if not ends:
-            in_head = False
+            in_head = in_head and name == "noscript"
             stack.append(enter(name, attributes, stack[-1], forms))
         else:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].name == name:
                     del stack[depth:]
                     break
+    at = max(at, until)
     if at < len(page):
         pieces.append(page[at:])
     close()
     return judge(found, forms)
 
 
+def hidden(page: str) -> dict[int, int]:
+    """Where each outermost hidden element starts, and where it ends."""
+    found: dict[int, int] = {}
+    #: Open elements: name, start, and the first block tag in it; ``veiled`` has the hidden ones among them.
+    stack: list[tuple[str, int, list[int]]] = []
+    veiled: list[tuple[str, int, list[int]]] = []
+    count: Counter[str] = Counter()
+
+    def drop(name: str, end: int, closed: bool) -> None:
+        """End the last open element of a name, and all that it holds."""
+        while True:
+            last, start, block = stack.pop()
+            count[last] -= 1
+            if last in HIDDEN:
+                veiled.pop()
+                whole = closed and last == name
+                found[start] = end if whole else min([*block, end])
+                if block and not whole and veiled and not veiled[-1][2]:
+                    veiled[-1][2].extend(block)
+            if last == name:
+                return
+
+    for token in TOKEN.finditer(page):
+        name, attributes = (token[3] or token[6] or "").lower(), token[4] or token[7] or ""
+        if (token[2] or token[5]) == "/":
+            if count[name]:
+                drop(name, token.end() if name in HIDDEN else token.start(), name in HIDDEN)
+            continue
+        if name in BLOCKS and veiled and not veiled[-1][2]:
+            veiled[-1][2].append(token.start())
+        if name == "svg" and attributes.endswith("/"):
+            found[token.start()] = token.end()
+            continue
+        if name in ("button", "select") and count[name]:
+            drop(name, token.start(), False)
+        if name in BLOCKS or name in HIDDEN and not (name == "template" and "shadowroot" in attributes.lower()):
+            stack.append((name, token.start(), []))
+            count[name] += 1
+            if name in HIDDEN:
+                veiled.append(stack[-1])
+    while stack:
+        drop(stack[-1][0], len(page), False)
+    return found
+
+
 def enter(name: str, attributes: str, outer: Place, forms: list[Form]) -> Place:
     """The place that a container's start tag opens."""
     article = name in ("article", "main")
@@ -189,8 +262,8 @@ def enter(name: str, attributes: str, outer: Place, forms: list[Form]) -> Place:
         own = max(own, APART.get(name, 0))
     is_inner = article or bool(attributes) and bool(INNER_NAMES.search(attributes))
     form = outer.form
-    if name == "form":
-        forms.append(Form(form))
+    if name == "form" or name == "noscript" and not outer.inner:
+        forms.append(Form(form, NOTICE_WORDS if name == "noscript" else 0))
         form = len(forms) - 1
     elif is_inner and not own:
         while form >= 0 and not forms[form].holds_inner:
@@ -218,7 +291,7 @@ def judge(found: list[tuple[Block, Place, int]], forms: list[Form]) -> list[Bloc
                 form = forms[form].outer
     wraps: list[bool] = []
     for form in forms:
-        wraps.append((form.outer < 0 or wraps[form.outer]) and (form.holds_inner or form.prose >= FORM_WORDS or 2 * form.prose > prose))
+        wraps.append((form.outer < 0 or wraps[form.outer]) and (form.holds_inner or form.prose >= FORM_WORDS or form.prose >= form.least and 2 * form.prose > prose))
     lift = lifted > prose and not any(p.inner and not p.apart and (p.form < 0 or wraps[p.form]) and k <= LINKED * len(b.text) for b, p, k in found)
     for block, place, linked in found:
         apart = bool(place.apart) and not (lift and place.lifted) or place.form >= 0 and not wraps[place.form]

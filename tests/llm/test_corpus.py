@@ -245,6 +245,15 @@ def test_page_articles_inside_apart_containers():
     assert htmltext.main_text(f"<main><p>{prose}</p></main><div class=sidebar><article>{prose}</article></div>") == prose
 
 
+def test_page_elements_without_end():
+    for odd in ("<svg viewBox='0 0 1 1'/>", "<svg><path d=x></svg>", "<svg><path d=x>", "<button>Share", "<button><div>Share</div></button>", "<select><option>A<option>B", "<template><p>No</p></template>", "<button>A <svg><path/></svg>"):
+        for page in (f"<article><p>one {odd}</p><p>two</p></article>", f"<article>one {odd}<p>two</p></article><footer>Us <button>B</button><svg></svg></footer>", f"<article>one<div>{odd}</div><p>two</p></article>"):
+            assert htmltext.main_text(page) == "one two", page
+    assert htmltext.main_text("<article><p>one <object data=x>two</p><p>three <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> four</p></article>") == "one two three x=1 four"
+    assert htmltext.main_text("<head><noscript><link></head><body><noscript>No script</noscript><article><noscript><p>one</p></noscript><p>two</p></article>") == "one two"
+    assert htmltext.main_text("<article>one <iframe>no</iframe><textarea>no") == "one"
+
+
 def test_pages_equal_their_articles(spark):
     import html
 
