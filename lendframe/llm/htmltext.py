@@ -5,7 +5,8 @@ lies in menus, headers, footers, sidebars, forms, notices, adverts or comments i
 so is a block of links. A form that holds an article or long prose is no such form, and an
 article inside a menu, header or named container counts nonetheless. A block inside an ``article`` or ``main`` element is good. Other
 blocks are good if long enough and dense in stop words, bad if long and without them, and
-else ambiguous. In the second pass an ambiguous block takes the label of its nearest decided
+else ambiguous; where the page or the block shows that the stop words are not of its language,
+long blocks of words with few links are good. In the second pass an ambiguous block takes the label of its nearest decided
 neighbour; of two at the same distance that differ, it takes the good one if it is a heading
 or follows a good block of its own kind of element, else the bad one. Without any decided
 block, ambiguous blocks are good.
@@ -88,6 +89,13 @@ STOP_WORDS = frozenset(
 SHORT_WORDS = 12
 LINKED = 0.5
 DENSE, SPARSE = 0.22, 0.08
+#: The stop words fit a page if blocks dense in them hold this share of its words, and a block if so few of its letters are foreign.
+FITS, FOREIGN = 0.1, 0.02
+#: Long blocks that the stop words don't fit are good with fewer links and more words of letters than this.
+FEW_LINKS, WORDY = 0.2, 0.6
+_FOREIGN = re.compile(r"[^\W\d_a-zA-ZÀÁÂÄÆÇÈÉÊËÍÎÏÑÓÔÖÙÚÛÜŒŸàáâäæçèéêëíîïñóôöùúûüœÿßªº]")
+#: Letters of scripts without spaces; two count as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -277,11 +285,16 @@ def enter(name: str, attributes: str, outer: Place, forms: list[Form]) -> Place:
 
 def judge(found: list[tuple[Block, Place, int]], forms: list[Form]) -> list[Block]:
     """Label the blocks of a page, now that all of it is known."""
-    prose = lifted = 0
-    for block, place, linked in found:
-        words = len(block.text.split())
+    prose = lifted = dense = seen = 0
+    # no need to count where every block's place decides
+    counted = any(p.lifted or p.form >= 0 or not (p.apart or p.inner) for _, p, _ in found)
+    for block, place, linked in found if counted else ():
+        words = n_words(block.text)
         if words < SHORT_WORDS or linked > LINKED * len(block.text):
             continue
+        if not place.apart or place.lifted:
+            seen += words
+            dense += words * (density(block.text) >= DENSE)
         lifted += words * place.lifted
         if not place.apart:
             prose += words
@@ -295,22 +308,40 @@ def judge(found: list[tuple[Block, Place, int]], forms: list[Form]) -> list[Bloc
     lift = lifted > prose and not any(p.inner and not p.apart and (p.form < 0 or wraps[p.form]) and k <= LINKED * len(b.text) for b, p, k in found)
     for block, place, linked in found:
         apart = bool(place.apart) and not (lift and place.lifted) or place.form >= 0 and not wraps[place.form]
-        block.label = first_label(block.text, apart, place.inner, linked)
+        block.label = first_label(block.text, apart, place.inner, linked, dense >= FITS * seen)
     return [block for block, _, _ in found]
 
 
-def first_label(text: str, apart: bool, inner: bool, linked: int) -> int:
+def n_words(text: str) -> int:
+    return len(text.split()) + (0 if text.isascii() else len(_UNSPACED.findall(text)) // 2)
+
+
+def density(text: str) -> float:
+    """Share of stop words."""
+    words = text.lower().split()
+    return sum(_EDGES.sub("", w) in STOP_WORDS for w in words) / len(words)
+
+
+def first_label(text: str, apart: bool, inner: bool, linked: int, fits: bool = True) -> int:
+    """``fits``: the stop words are of the page's language."""
     if apart:
         return BAD
     if linked > LINKED * len(text):
         return BAD
     if inner:
         return GOOD
-    words = text.lower().split()
-    if len(words) < SHORT_WORDS:
+    if n_words(text) < SHORT_WORDS:
         return OPEN
-    density = sum(_EDGES.sub("", w) in STOP_WORDS for w in words) / len(words)
-    return GOOD if density >= DENSE else BAD if density < SPARSE else OPEN
+    share = density(text)
+    if share >= DENSE:
+        return GOOD
+    letters = sum(map(str.isalpha, text))
+    if fits and (text.isascii() or len(_FOREIGN.findall(text)) <= FOREIGN * letters):
+        return BAD if share < SPARSE else OPEN
+    # without stop words to go by, length, links and words of letters decide
+    words = text.split()
+    wordy = sum(_EDGES.sub("", w) != "" for w in words) > WORDY * len(words)
+    return GOOD if wordy and linked <= FEW_LINKS * len(text) else OPEN
 
 
 def settle(found: list[Block]) -> list[Block]:

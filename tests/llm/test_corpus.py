@@ -254,6 +254,22 @@ def test_page_elements_without_end():
     assert htmltext.main_text("<article>one <iframe>no</iframe><textarea>no") == "one"
 
 
+def test_page_prose_in_other_languages():
+    menu, links = "<nav><a href=a>Menu</a></nav>", "<p>" + " ".join(f"<a href=a>mot{k}</a>" for k in range(20)) + "</p>"
+    english = "this is the kind of text that has a lot of the words which are in all of the texts and it is long"
+    for prose in (
+        "Wczoraj wieczorem mieszkańcy miasta zebrali się przed ratuszem, żeby wysłuchać przemówienia burmistrza oraz zadać pytania dotyczące budowy mostu",
+        "Вчера вечером жители города собрались перед ратушей, чтобы выслушать речь мэра и задать вопросы о строительстве нового моста через реку",
+        "Dün akşam şehir sakinleri belediye binasının önünde toplanarak başkanın konuşmasını dinledi ve yeni köprünün yapımı hakkında sorular sordu",
+        "昨天晚上市民们聚集在市政厅前听取市长的讲话并就新桥的建设提出了许多问题市长回答说工程将于明年春天开始",
+        "Kemarin malam warga kota berkumpul depan balai kota untuk mendengarkan pidato wali kota serta mengajukan pertanyaan tentang pembangunan jembatan baru",
+    ):
+        page = f"{menu}<div><h1>Title</h1><p>{prose}</p><p>{prose}</p>{links}</div><footer>Us</footer>"
+        assert htmltext.main_text(page) == f"Title {prose} {prose}", prose
+    junk = "cheap tickets hotel flights casino poker bonus slots loans credit mortgage pills watches replica luxury brands"
+    assert htmltext.main_text(f"<p>{english}</p><p>{english}</p><p>{junk}</p>") == f"{english} {english}"
+
+
 def test_pages_equal_their_articles(spark):
     import html
 
