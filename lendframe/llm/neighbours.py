@@ -3,9 +3,9 @@
 Vectors of one label (and length) are dealt to shards by a hash of their id. Each shard
 builds a hierarchical small-world graph. Every vector queries every shard of its label by
 beam search; while a whole beam lies within the threshold it is widened, and while an
-audit against brute force on some queries finds less than AUDITED of the links, all
-beams are widened, up to the size of the shard. Pairs found are verified by cosine in
-double precision, and their components united.
+audit against brute force on some queries finds a mean recall of less than AUDITED, all
+beams are widened. Where that doesn't help, the two shards are compared in full. Pairs found
+are verified by cosine in double precision, and their components united.
 
 Vectors that are null, of length zero or that hold null or non-finite numbers, and those
 without label or id, are linked with nothing. Of rows with one id the least by label and
@@ -34,6 +34,10 @@ BLOCK = 256
 #: Nodes a beam opens at once.
 OPENED = 4
 AUDITS, AUDITED = 64, 0.98
+#: Audits go on until they met about so many groups, a query with n links counting 1 / (n + 1).
+GROUPS = 8
+#: Beams of more than this share of a shard cost more than comparing all.
+WIDEST = 1 / 8
 #: Single precision finds candidates this far below the threshold.
 SLACK = 1e-4
 
@@ -182,10 +186,12 @@ def links_between(queries: np.ndarray, graph: Graph, vectors: np.ndarray, own: b
     """Verified links of ``queries`` (double precision) to the vectors of a graph, with audits."""
     units = queries / np.linalg.norm(queries, axis=1, keepdims=True)
     target = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    chosen = np.unique(np.linspace(0, len(queries) - 1, min(AUDITS, len(queries))).astype(int))
-    true = units[chosen] @ target.T >= COSINE
-    if own:
-        true[np.arange(len(chosen)), chosen] = False
+    order = np.random.default_rng(7).permutation(len(queries))
+    audited, true = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    while len(audited) < len(queries) and (1 / (true[true > 0] + 1)).sum() < GROUPS:
+        more = order[len(audited) : len(audited) + AUDITS]
+        row, _ = compared(queries, vectors, units, target, more, own)
+        audited, true = np.r_[audited, more], np.r_[true, np.bincount(row, minlength=len(queries))[more]]
     single, width = units.astype(np.float32), QUERY_BEAM
     while True:
         row, node = graph.within(single, COSINE - SLACK, width)
@@ -194,15 +200,37 @@ def links_between(queries: np.ndarray, graph: Graph, vectors: np.ndarray, own: b
         if own:
             good &= row != node
         row, node = row[good], node[good]
-        met = np.zeros_like(true)
-        at = np.searchsorted(chosen, row)
-        audited = (at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == row)
-        met[at[audited], node[audited]] = True
-        if (met & true).sum() >= AUDITED * true.sum() or width >= len(vectors):
+        if audit(np.bincount(row, minlength=len(queries))[audited], true):
             return row, node
+        if width >= WIDEST * len(vectors):
+            return compared(queries, vectors, units, target, np.arange(len(queries)), own)
         width *= 2
 
 
+def audit(found: np.ndarray, true: np.ndarray) -> bool:
+    """Whether the mean recall of queries that have links is high enough, both with each query and with each group counting alike."""
+    found, true = found[true > 0], true[true > 0]
+    recall = np.minimum(found / true, 1)
+    return not len(true) or min(recall.mean(), np.average(recall, weights=1 / (true + 1))) >= AUDITED
+
+
+def compared(queries: np.ndarray, vectors: np.ndarray, units: np.ndarray, target: np.ndarray, chosen: np.ndarray, own: bool) -> tuple[np.ndarray, np.ndarray]:
+    """All links of the chosen queries, by blocks."""
+    rows, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(chosen), BLOCK):
+        block = chosen[at : at + BLOCK]
+        sims = units[block] @ target.T
+        if own:
+            sims[np.arange(len(block)), block] = -2
+        r, node = np.nonzero(sims >= COSINE - 1e-9)
+        row, near = block[r], sims[r, node] < COSINE + 1e-9
+        good = ~near
+        good[near] = cosine(queries[row[near]], vectors[node[near]]) >= COSINE
+        rows.append(row[good])
+        nodes.append(node[good])
+    return np.concatenate(rows), np.concatenate(nodes)
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("kd,kd->k", a, b) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
 

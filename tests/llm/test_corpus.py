@@ -308,6 +308,22 @@ def test_links_of_vectors_equal_brute_force(spark):
     assert neighbours.link_vectors(table.limit(0)).count() == 0
 
 
+def test_audits_see_unreachable_and_small_groups():
+    rng = np.random.default_rng(9)
+    hot = np.tile(rng.normal(size=8), (600, 1)) + rng.normal(size=(600, 8)) * 1e-3
+    pairs = np.repeat(rng.normal(size=(100, 8)), 2, axis=0) + rng.normal(size=(200, 8)) * 1e-3
+    for vectors in (np.vstack([hot, pairs]), pairs):
+        units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        same = units @ units.T >= neighbours.COSINE
+        np.fill_diagonal(same, False)
+        graph = neighbours.Graph.build(units.astype(np.float32))
+        for layer in graph.layers:  # cut the pairs off
+            layer[-200:] = -1
+            layer[layer >= len(vectors) - 200] = -1
+        row, node = neighbours.links_between(vectors, graph, vectors, True)
+        assert set(zip(row.tolist(), node.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(same))))
+
+
 def brute_spans(text):
     out = []
     patterns = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
