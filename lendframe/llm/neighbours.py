@@ -8,8 +8,9 @@ beams are widened. Where that doesn't help, the two shards are compared in full.
 are verified by cosine in double precision, and their components united.
 
 Vectors that are null, of length zero or that hold null or non-finite numbers, and those
-without label or id, are linked with nothing. Of rows with one id the least by label and
-vector counts. Tables without rows give none.
+without label or id, are linked with nothing. Of rows with one id every distinct label and
+vector is compared, and their links are the id's; an id gets one row. Rows without id get a
+row each. Tables without rows give none.
 """
 
 from __future__ import annotations
@@ -239,7 +240,7 @@ def build_shards(vectors: DataFrame) -> DataFrame:
     """One row per shard: ids, vectors and graph as bytes."""
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("vec_id", kind="stable")
+        frame = frame.sort_values(["vec_id", "tie"], kind="stable")
         values = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
         graph = Graph.build((values / np.linalg.norm(values, axis=1, keepdims=True)).astype(np.float32))
         row = {
@@ -247,13 +248,14 @@ def build_shards(vectors: DataFrame) -> DataFrame:
             "size": frame["size"].iloc[0],
             "shard": frame["shard"].iloc[0],
             "ids": frame["vec_id"].to_numpy(np.int64).tobytes(),
+            "repeats": frame["repeats"].to_numpy(bool).tobytes(),
             "vectors": values.tobytes(),
             "layers": [x.tobytes() for x in graph.layers],
         }
         return pd.DataFrame([row])
 
     kind = vectors.schema["label"].dataType.simpleString()
-    return vectors.groupBy("label", "size", "shard").applyInPandas(build, f"label {kind}, size int, shard int, ids binary, vectors binary, layers array<binary>")
+    return vectors.groupBy("label", "size", "shard").applyInPandas(build, f"label {kind}, size int, shard int, ids binary, repeats binary, vectors binary, layers array<binary>")
 
 
 def _load(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, Graph]:
@@ -265,8 +267,12 @@ def _load(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, Graph]:
 
 
 def search_shards(shards: DataFrame) -> DataFrame:
-    """Per pair of shards of a label: ``vec_id, n_links, root`` (least vector reached) of vectors with links there."""
-    sides = [shards.select("label", "size", F.col("shard").alias(f"{s}_shard"), *(F.col(c).alias(f"{s}_{c}") for c in ("ids", "vectors", "layers"))) for s in "xy"]
+    """Per pair of shards of a label: ``vec_id, n_links, root`` (least vector reached) of vectors with links there.
+
+    Links of an id that repeats can turn up in several pairs of shards. They are not counted
+    in ``n_links``, but get a row each with the ``other`` id.
+    """
+    sides = [shards.select("label", "size", F.col("shard").alias(f"{s}_shard"), *(F.col(c).alias(f"{s}_{c}") for c in ("ids", "repeats", "vectors", "layers"))) for s in "xy"]
     pairs = sides[0].join(sides[1], ["label", "size"]).filter("x_shard <= y_shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,33 +288,47 @@ def search_shards(shards: DataFrame) -> DataFrame:
                     a, b = links_between(values, other_graph, others, False)
                     c, d = links_between(others, graph, values, False)
                     a, b = np.concatenate([ids[a], ids[d]]), np.concatenate([other_ids[b], other_ids[c]])
+                a, b = a[a != b], b[a != b]
                 if not len(a):
                     continue
                 # a link found from either end counts for both
                 both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-                nodes, counts = np.unique(both, return_counts=True)
+                nodes = np.unique(both)
+                repeated = np.concatenate([np.frombuffer(row[f"{s}_ids"], np.int64)[np.frombuffer(row[f"{s}_repeats"], bool)] for s in "xy"])
+                apart = np.isin(both, repeated).any(axis=0)
+                counts = np.bincount(np.searchsorted(nodes, both[:, ~apart].ravel()), minlength=len(nodes))
                 moved, roots = spanning(both[0], both[1])
                 root = nodes.copy()
                 root[np.searchsorted(nodes, moved)] = roots
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (nodes, counts, root)], ["vec_id", "n_links", "root"])
+                ends = np.hstack([both[:, apart], both[::-1, apart]])
+                parts = [(nodes, counts, root, pa.nulls(len(nodes), pa.int64())), (ends[0], 0 * ends[0], ends[0], pa.array(ends[1], pa.int64()))]
+                for *numbers, other in parts[: 1 + apart.any()]:
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in numbers), other], ["vec_id", "n_links", "root", "other"])
 
     dealt = pairs.repartition("label", "size", "x_shard", "y_shard")
-    return dealt.mapInArrow(run, "vec_id long, n_links long, root long")
+    return dealt.mapInArrow(run, "vec_id long, n_links long, root long, other long")
 
 
 def link_vectors(table: DataFrame, shard: int = SHARD) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` of every vector."""
-    rows = table.groupBy("vec_id").agg(F.min(F.struct("label", "embedding")).alias("r")).select("vec_id", "r.label", "r.embedding")
+    """``vec_id, n_links, component_id, kept`` of every id, and of every row without one."""
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     length = F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
-    usable = rows.filter("vec_id is not null and label is not null and embedding is not null").filter(finite & (length > 0))
-    usable = cut_lineage(usable.select("vec_id", "label", F.size("embedding").alias("size"), "embedding"))
+    usable = table.filter("vec_id is not null and label is not null and embedding is not null").filter(finite & (length > 0))
+    usable = cut_lineage(usable.select("vec_id", "label", F.size("embedding").alias("size"), "embedding").distinct())
     counts = usable.groupBy("label", "size").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
-    dealt = usable.join(cut_lineage(counts), ["label", "size"]).withColumn("shard", F.expr("cast(pmod(xxhash64(vec_id), shards) as int)"))
-    found = cut_lineage(search_shards(cut_lineage(build_shards(dealt.select("vec_id", "label", "size", "shard", "embedding")))))
-    sums = cut_lineage(found.groupBy("vec_id").agg(F.sum("n_links").alias("n_links")))
+    repeated = cut_lineage(usable.groupBy("vec_id").count().filter("count > 1").select("vec_id", F.lit(True).alias("repeats")))
+    known = usable.join(cut_lineage(counts), ["label", "size"]).join(repeated, "vec_id", "left").withColumn("repeats", F.coalesce("repeats", F.lit(False)))
+    # an id's many vectors are dealt apart
+    tied = known.withColumn("tie", F.when(F.col("repeats"), F.xxhash64("embedding")).otherwise(F.lit(0).cast("long")))
+    dealt = tied.withColumn("shard", F.expr("cast(pmod(if(repeats, xxhash64(vec_id, tie), xxhash64(vec_id)), shards) as int)"))
+    found = cut_lineage(search_shards(cut_lineage(build_shards(dealt.select("vec_id", "label", "size", "shard", "tie", "repeats", "embedding")))))
+    per_id = found.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"))
+    per_repeat = found.filter("other is not null").select("vec_id", "other").distinct().groupBy("vec_id").agg(F.count("*").alias("more"))
+    sums = cut_lineage(per_id.join(per_repeat, "vec_id", "left").select("vec_id", (F.col("n_links") + F.coalesce("more", F.lit(0))).alias("n_links")))
     components = connect(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")).filter("a != b"))
     components = components.select(F.col("node").alias("vec_id"), F.col("component").alias("component_id"))
-    joined = rows.select("vec_id").join(sums, "vec_id", "left").join(components, "vec_id", "left")
+    ids = table.select("vec_id")
+    rows = ids.filter("vec_id is not null").distinct().unionAll(ids.filter("vec_id is null"))
+    joined = rows.join(sums, "vec_id", "left").join(components, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))

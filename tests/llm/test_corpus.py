@@ -308,6 +308,15 @@ def test_links_of_vectors_equal_brute_force(spark):
     assert neighbours.link_vectors(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shard", [8192, 2])
+def test_every_row_of_a_repeated_id_is_compared(spark, shard):
+    x, y, z = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]
+    rows = [(1, x, 0), (2, x, 0), (2, y, 0), (2, y, 0), (3, y, 0), (4, z, None), (4, z, 0), (5, z, 0), (6, x, 1), (6, z, 1), (3, y, 1), (2, y, 1), (None, x, 0), (None, x, 0), (7, None, 0)]
+    found = neighbours.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), shard).collect()
+    assert sorted(tuple(r)[:3] for r in found if r.vec_id) == [(1, 1, 1), (2, 2, 1), (3, 1, 1), (4, 1, 4), (5, 1, 4), (6, 0, 6), (7, 0, 7)]
+    assert [r.n_links for r in found if r.vec_id is None] == [0, 0]
+
+
 def test_audits_see_unreachable_and_small_groups():
     rng = np.random.default_rng(9)
     hot = np.tile(rng.normal(size=8), (600, 1)) + rng.normal(size=(600, 8)) * 1e-3
