@@ -225,8 +225,13 @@ def score_documents(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score at least THRESHOLD, by the model that ``judge_quality`` learns."""
+    """The rows of ``docs`` that score at least THRESHOLD, by the model that ``judge_quality`` learns.
+
+    Where nothing can be learned (no labels, or one label only), all rows: no score tells them apart.
+    """
     model = fit(docs, labels.filter(remainder("doc_id", 4) != 2))
+    if model is None:
+        return docs
     return score_documents(docs, model).filter(F.col("__quality") >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

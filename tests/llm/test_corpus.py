@@ -222,6 +222,13 @@ def test_quality_held_out(spark, odd, docs):
     assert quality.keep_good(odd, labels).columns == odd.columns
 
 
+def test_all_are_kept_where_no_quality_is_learned(spark, odd):
+    one = spark.createDataFrame([(k, 1) for k in range(12)], "doc_id long, quality int")
+    for labels in (one, one.limit(0), one.selectExpr("doc_id + 1000 as doc_id", "quality")):
+        kept = quality.keep_good(odd, labels)
+        assert kept.columns == odd.columns and kept.count() == odd.count()
+
+
 def test_page_blocks():
     page = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><header>Site</header>
     <nav><ul><li><a href=x>One</a></li></ul></nav><div class="cookie-notice">We use cookies on this site</div>
