@@ -1,6 +1,6 @@
 """Near-duplicate documents by an exact Jaccard join of word-shingle sets with prefix trees.
 
-A document's set are its distinct five-word shingles as 48-bit hashes. All sets are put in
+A document's set are its distinct five-word shingles as 64-bit hashes. All sets are put in
 one global order: shingles by hash, but those that many documents share last, by how often
 they occur. Two sets within the threshold then share a shingle among their first few. The
 documents of such a shingle are compared: all of them where they are few; where they are
@@ -16,6 +16,9 @@ Documents with one set of shingles are one node of the join. Null texts, and tex
 words, have no shingles, are linked with nothing and are their own component. Rows that
 repeat a ``doc_id`` are told apart by their text. A row without ``doc_id`` takes part; a
 component takes the smallest id that there is.
+
+The join is exact but for collisions of hashes: a text of ten million distinct shingles
+counts one too few in about three of a million cases, one of a million in three of 10 ** 8.
 """
 
 from __future__ import annotations
@@ -44,8 +47,6 @@ FREQUENT = 1 << 16
 COUNTED = 1 << 21
 SEEN = 4
 MAP_BITS = 1 << 24
-#: Bytes of a shingle's hash: two documents of 1000 shingles are misjudged once in 10 ** 8 pairs.
-ITEM_BYTES = 6
 LOW = (1 << 32) - 1
 
 
@@ -53,7 +54,6 @@ def document_sets(text: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Row and sorted distinct shingles, chunk by chunk."""
     for a, b in chunks(text):
         hashed, made = text_shingles(*utf8(text[a:b]))
-        hashed = hashed >> np.uint64(64 - 8 * ITEM_BYTES)
         parts = np.split(hashed, np.cumsum(made)[:-1]) if b > a else []
         yield a, [np.unique(p) for p in parts]
 
@@ -112,13 +112,11 @@ def describe(docs: DataFrame) -> DataFrame:
 
 def pack(sets: list[np.ndarray]) -> pa.Array:
     """Each set as bytes, in its order."""
-    return pa.array([np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ITEM_BYTES]).tobytes() for s in sets], pa.binary())
+    return pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // ITEM_BYTES, 8), np.uint8)
-    wide[:, :ITEM_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, ITEM_BYTES)
-    return wide.view("<u8").ravel().astype(np.uint64)
+    return np.frombuffer(raw, "<u8").astype(np.uint64)
 
 
 class GlobalOrder:

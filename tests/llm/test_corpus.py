@@ -170,6 +170,15 @@ def test_ngram_join_equals_brute_force(spark, odd, docs, monkeypatch, small, hub
     assert ngramjoin.join_documents(table.limit(0)).count() == 0
 
 
+def test_shingles_that_share_48_bits_are_two(monkeypatch):
+    import pyarrow as pa
+
+    near = np.array([7 << 16, (7 << 16) + 1, 1 << 63], np.uint64)
+    monkeypatch.setattr(ngramjoin, "text_shingles", lambda data, offsets: (near, np.array([3])))
+    ((_, (items,)),) = ngramjoin.document_sets(pa.array(["a b c d e f g"]))
+    assert len(items) == 3 and ngramjoin.unpack(ngramjoin.pack([items])[0].as_py()).tolist() == sorted(near.tolist())
+
+
 def test_trie_shares_and_prunes():
     probe = np.arange(0, 100, dtype=np.uint64)
     near, far, longer = probe[5:].copy(), np.arange(500, 600, dtype=np.uint64), np.arange(0, 130, dtype=np.uint64)
