@@ -404,3 +404,41 @@ def test_pipeline_stages(spark, odd):
         assert stage(spark, odd, SF).count() >= 0
         assert stage(spark, odd.limit(0), SF).count() == 0
     assert sorted(corpus_pipeline.run(spark, SF).columns) == ["decoded_sha256", "doc_id", "ids_sha256", "n_tokens"]
+
+
+def test_pipeline_rows_equal_brute_force(spark):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    good = {r.doc_id for r in quality.judge_quality(docs, labels).filter("predicted = 1").collect()}
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.doc_id in good]
+    rows = [(doc, text) for (doc, text), (_, n, first) in zip(rows, brute_components(rows), strict=True) if not n or doc == first]
+    items = [collections.Counter(shingles(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+
+    def leaks(text):
+        own = shingles(text)
+        for target in items:
+            n = min(sum(target.values()), len(own))
+            hits = [k for k, s in enumerate(own) if s in target]
+            for at in {max(0, min(k - j, len(own) - n)) for k in hits for j in range(n)}:
+                both = sum((collections.Counter(own[at : at + n]) & target).values())
+                if both >= 0.8 * (n + sum(target.values()) - both):
+                    return True
+        return False
+
+    rows = [(doc, text) for doc, text in rows if not leaks(text)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in pii.report(table).collect()}
+    library = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    expected, replaced = [], 0
+    for doc, text in rows:
+        out, at = "", 0
+        for a, b, kind in sorted((int(a), int(b), kind) for kind, a, b in spans[doc]):
+            if a >= at:
+                out, replaced = f"{out}{text[at:a]}[{kind.upper()}]", replaced + 1
+            at = max(at, b)
+        ids = library.encode(out + text[at:])
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), library.decode(ids))]
+        expected.append((doc, len(ids), *digests))
+    assert replaced and 0 < len(rows) < len(good) < docs.count()
+    found = corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(tuple(r) for r in found) == sorted(expected)
