@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendframe.llm import decontaminate, htmltext, langid, neighbours, ngramjoin, pieces, pii, quality, tokenfile, urlfilter
+from lendframe.llm import decontaminate, divergence, htmltext, langid, neighbours, ngramjoin, pieces, pii, quality, tokenfile, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.store_and_verify(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -74,6 +78,10 @@ QUERIES: dict[str, Query] = {
         op8_near_vectors,
         op9_personal_data,
         op10_token_files,
+        op11_source_divergence,
     )
 }
-ORACLES: dict[str, str] = {"op2_url_filters": urlfilter.ORACLE_URLS}
+ORACLES: dict[str, str] = {
+    "op2_url_filters": urlfilter.ORACLE_URLS,
+    "op11_source_divergence": divergence.ORACLE,
+}
