@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendframe.llm import decontaminate, divergence, htmltext, langid, neighbours, ngramjoin, pieces, pii, quality, tokenfile, urlfilter
+from lendframe.llm import decontaminate, divergence, htmltext, langid, neighbours, ngramjoin, pieces, pii, quality, substrings, tokenfile, urlfilter, vectorcodes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -79,9 +87,13 @@ QUERIES: dict[str, Query] = {
         op9_personal_data,
         op10_token_files,
         op11_source_divergence,
+        op12_vector_codes,
+        op13_substring_dedup,
     )
 }
 ORACLES: dict[str, str] = {
     "op2_url_filters": urlfilter.ORACLE_URLS,
     "op11_source_divergence": divergence.ORACLE,
+    "op12_vector_codes": vectorcodes.oracle(),
+    "op13_substring_dedup": substrings.ORACLE,
 }
