@@ -203,16 +203,16 @@ def source_totals(docs: DataFrame, counts: DataFrame, transducers: DataFrame) ->
     return cut_lineage(known.withColumn("place", place).withColumn("floor", share("0", "total", "terms")))
 
 
-def compare_sources(counts: DataFrame, sources: DataFrame) -> DataFrame:
+def compare_sources(counts: DataFrame, sources: DataFrame, block_of: int = BLOCK, tiles_of: int = TILE) -> DataFrame:
     """``lang, source, item, value`` of all ordered pairs of sources of a language.
 
     Sources in tiles against sources in tiles, over blocks of ordinals: no task holds more
     than two tiles of one block. Terms of blocks that no source of two tiles uses add a
     product, as every share there is the floor.
     """
-    tile = F.floor(F.col("place") / TILE)
+    tile = F.floor(F.col("place") / tiles_of)
     shares = counts.join(sources, ["lang", "source"]).select(
-        "lang", "terms", F.col("place").alias("i"), tile.alias("own"), F.floor(F.col("ordinal") / BLOCK).alias("block"), (F.col("ordinal") % BLOCK).alias("at"), share("count", "total", "terms").alias("p")
+        "lang", "terms", F.col("place").alias("i"), tile.alias("own"), F.floor(F.col("ordinal") / block_of).alias("block"), (F.col("ordinal") % block_of).alias("at"), share("count", "total", "terms").alias("p")
     )
     tiles = cut_lineage(sources.groupBy("lang", tile.alias("tile")).agg(F.collect_list(F.struct("place", "floor")).alias("floors")))
     known = shares.join(tiles.groupBy("lang").agg(F.max("tile").alias("last")), "lang")
@@ -227,15 +227,15 @@ def compare_sources(counts: DataFrame, sources: DataFrame) -> DataFrame:
             for k in range(batch.num_rows):
                 cells, *floors = (_fields(column(batch, c), k) for c in ("cells", "floors_a", "floors_b"))
                 a, b, block, terms = (column(batch, c)[k].as_py() for c in ("a", "b", "block", "terms"))
-                width = min(BLOCK, terms - block * BLOCK)
-                x, y = (_table(cells, TILE * t, *f, width) for t, f in zip((a, b), floors, strict=True))
+                width = min(block_of, terms - block * block_of)
+                x, y = (_table(cells, tiles_of * t, *f, tiles_of, width) for t, f in zip((a, b), floors, strict=True))
                 i, j = (np.flatnonzero(t[:, 0]) for t in (x, y))
                 for row in i.tolist():
                     to = j[j > row] if a == b else j
                     gap = x[row] - y[to]
                     value = (gap * gap // (x[row] + y[to])).sum(axis=1)
                     if len(to):
-                        ends = (np.full(len(to), TILE * a + row), TILE * b + to, value, np.full(len(to), width))
+                        ends = (np.full(len(to), tiles_of * a + row), tiles_of * b + to, value, np.full(len(to), width))
                         yield pa.RecordBatch.from_arrays([pa.repeat(column(batch, "lang")[k], len(to)), *(pa.array(e, pa.int64()) for e in ends)], ["lang", "i", "j", "value", "covered"])
 
     made = blocks.mapInArrow(run, "lang string, i long, j long, value long, covered long")
@@ -252,12 +252,12 @@ def _fields(lists: pa.ListArray, k: int) -> list[np.ndarray]:
     return [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in own.flatten()]
 
 
-def _table(cells: list[np.ndarray], first: int, places: np.ndarray, floors: np.ndarray, width: int) -> np.ndarray:
+def _table(cells: list[np.ndarray], first: int, places: np.ndarray, floors: np.ndarray, sources: int, width: int) -> np.ndarray:
     """Shares of a tile's sources in a block; rows without a source are 0."""
-    table = np.zeros((TILE, width), np.int64)
+    table = np.zeros((sources, width), np.int64)
     table[places - first] = floors[:, None]
     i, at, p = cells
-    own = (i >= first) & (i < first + TILE)
+    own = (i >= first) & (i < first + sources)
     table[i[own] - first, at[own]] = p[own]
     return table
 
@@ -285,15 +285,15 @@ def leading_terms(counts: DataFrame, sources: DataFrame, transducers: DataFrame,
     return top.join(spelled, ["number", "ordinal"]).select("lang", "source", "item", "value", "rank")
 
 
-def audit(docs: DataFrame) -> DataFrame:
+def audit(docs: DataFrame, segment: int = SEGMENT, block: int = BLOCK, tile: int = TILE) -> DataFrame:
     """``lang, source, part, item, value, rank``: part ``pair`` compares sources, part ``term`` names leading terms."""
     docs = _keyed(docs)
     kept = cut_lineage(document_counts(docs).filter(F.col("docs") >= DOCS))
-    transducers = build_transducers(kept)
+    transducers = build_transducers(kept, segment)
     counts = recount(docs, transducers)
     sources = source_totals(docs, counts, transducers)
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    pairs = compare_sources(counts, sources).withColumn("rank", F.row_number().over(order))
+    pairs = compare_sources(counts, sources, block, tile).withColumn("rank", F.row_number().over(order))
     parts = [part.select("lang", "source", F.lit(name).alias("part"), "item", "value", "rank") for name, part in (("pair", pairs), ("term", leading_terms(counts, sources, transducers)))]
     return parts[0].unionAll(parts[1])
 

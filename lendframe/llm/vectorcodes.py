@@ -74,7 +74,7 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Node:
-    """Split points of some entries, and for every two of them the least and largest distance from the one to what lies under the other."""
+    """Of entries in Python integers: split points of some entries, and for every two of them the least and largest distance from the one to what lies under the other."""
 
     def __init__(self, entries: np.ndarray, own: list[int]):
         self.splits = own[:1]
@@ -97,7 +97,7 @@ class Gnat:
     """Nearest entry of a codebook, for many parts at once."""
 
     def __init__(self, entries: np.ndarray):
-        self.entries, self.root = entries, Node(entries, list(range(len(entries))))
+        self.entries, self.root = entries, Node(entries.astype(object), list(range(len(entries))))
 
     def nearest(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index and squared distance of the nearest entry of each part; of equally near ones the first."""
