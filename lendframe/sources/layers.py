@@ -19,9 +19,15 @@ SMALL_INTEGERS = (
 MAX_ROWS_PER_FILE = 20_000_000
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def hadoop_folder(spark: SparkSession, path: str):
+    """File system and Hadoop path of a folder."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = hadoop_folder(spark, path)
+    return files.exists(folder)
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], balance: bool = False) -> None:

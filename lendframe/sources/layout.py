@@ -22,3 +22,9 @@ class Layout:
 
     def staging(self, dataset: str, era: str) -> str:
         return f"{self.root}/staging/{dataset}/{era}"
+
+    def ledger(self, dataset: str, era: str) -> str:
+        return f"{self.root}/ledger/{dataset}/{era}"
+
+    def rescued(self, dataset: str, era: str) -> str:
+        return f"{self.root}/rescued/{dataset}/{era}"
