@@ -20,6 +20,8 @@ from lendframe.llm.shingles import mix
 _PAIR, _RUN, _SIDE = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03))
 
 _RADIX = 0x9E3779B97F4A7C15
+#: From this level on it pays to look for neighbours with one core.
+JOINED = 3
 #: A random value per byte.
 _BYTES = mix(np.arange(256, dtype=np.uint64) + np.uint64(77_000))
 _known: list[np.ndarray] = []
@@ -49,17 +51,19 @@ class Level(NamedTuple):
     first: np.ndarray
 
 
-def compress_runs(level: Level) -> tuple[Level, np.ndarray, np.ndarray, np.ndarray]:
+def compress_runs(level: Level) -> tuple[Level, np.ndarray, np.ndarray, np.ndarray] | None:
     """The level with the inside of runs as one symbol each; where symbols went; equal symbols from each on, and up to each.
 
     The first and the last of a run stay as they are: so a symbol at the end of a window that
-    differs from its neighbour inside is kept, whatever lies outside.
+    differs from its neighbour inside is kept, whatever lies outside. None if no symbol repeats.
     """
     names, text, first = level
     n = len(names)
-    same = np.zeros(n + 1, bool)
-    same[1:n] = (names[1:] == names[:-1]) & (text[1:] == text[:-1])
-    head = np.flatnonzero(~same[:n])
+    same = np.zeros(n, bool)
+    same[1:] = (names[1:] == names[:-1]) & (text[1:] == text[:-1])
+    if not same.any():
+        return None
+    head = np.flatnonzero(~same)
     size = np.diff(np.append(head, n))
     at = np.arange(n) - np.repeat(head, size)
     up_to, on = at + 1, np.repeat(size, size) - at
@@ -67,7 +71,7 @@ def compress_runs(level: Level) -> tuple[Level, np.ndarray, np.ndarray, np.ndarr
     kept = ~inside | (at == 1)
     moved = np.cumsum(kept) - 1
     named = names.copy()
-    run = inside & (at == 1)
+    run = np.flatnonzero(inside & (at == 1))
     named[run] = joined(names[run], (on + at)[run].astype(np.uint64), _RUN)
     return Level(named[kept], text[kept], first[kept]), moved, on, up_to
 
@@ -75,7 +79,7 @@ def compress_runs(level: Level) -> tuple[Level, np.ndarray, np.ndarray, np.ndarr
 def compress_pairs(level: Level, depth: int) -> tuple[Level, np.ndarray, np.ndarray]:
     """The level with neighbours of kind left, right as one symbol; where symbols went; which are right."""
     names, text, first = level
-    right = mix(names ^ mix(_SIDE + np.full(1, depth, np.uint64))) >> np.uint64(63) == 1
+    right = (mix(names ^ mix(_SIDE + np.full(1, depth, np.uint64))) >> np.uint64(63)).astype(bool)
     second = np.zeros(len(names), bool)
     second[1:] = right[1:] & ~right[:-1] & (text[1:] == text[:-1])
     moved = np.cumsum(~second) - 1
@@ -111,25 +115,54 @@ def windows(counts: np.ndarray, width: int) -> np.ndarray:
     return ragged(np.cumsum(counts) - counts, own)
 
 
-def anchors(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of every window inside a text: first word, name of the first symbol of its last core, first word of that symbol.
+class Anchors(NamedTuple):
+    """Runs of neighbouring windows with one anchor: number of the first window, how many, name and first word of the anchor."""
+
+    window: np.ndarray
+    size: np.ndarray
+    names: np.ndarray
+    places: np.ndarray
+
+
+def anchors(words: np.ndarray, counts: np.ndarray, width: int) -> Anchors:
+    """The anchors of all windows inside a text, in order: of each the first symbol of its last core.
 
     The core is followed upwards while it holds more than one run: what remains is named by
     the content of the window alone, so equal windows have equal names, at equal places in them.
+    Neighbouring windows whose cores meet are followed as one from there on.
     """
-    starts = windows(counts, width)
+    low = windows(counts, width)
+    high, window, size, depth = low + width, np.arange(len(low)), np.ones(len(low), np.int64), 0
     level = Level(words, np.repeat(np.arange(len(counts)), counts), np.arange(len(words)))
-    found, place = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.int64)
-    low, high, live, depth = starts.copy(), starts + width, np.arange(len(starts)), 0
-    while len(live):
-        found[live], place[live] = level.names[low], level.first[low]
-        runs, moved, on, up_to = compress_runs(level)
-        open_ = on[low] < high - low
-        live, low, high = live[open_], low[open_], high[open_]
-        low, high = moved[low + on[low] - 1], moved[high - up_to[high - 1]] + 1
-        level, moved, right = compress_pairs(runs, depth)
-        low, high = low + right[low], high - ~right[high - 1]
-        open_ = low < high
-        live, low, high = live[open_], low[open_], high[open_]
-        low, high, depth = moved[low], moved[high - 1] + 1, depth + 1
-    return starts, found, place
+    found: list[tuple[np.ndarray, ...]] = []
+    while len(low):
+        runs = compress_runs(level)
+        if runs is None:
+            squeezed, next_low, next_high, open_ = level, low, high, high - low > 1
+        else:
+            squeezed, moved, on, up_to = runs
+            ahead = on[low]
+            open_ = ahead < high - low
+            next_low, next_high = moved[low + ahead - 1], moved[high - up_to[high - 1]] + 1
+        lifted, moved, right = compress_pairs(squeezed, depth)
+        next_low, next_high = next_low + right[next_low], next_high - ~right[next_high - 1]
+        open_ &= next_low < next_high
+        if not open_.all():
+            done = np.flatnonzero(~open_)
+            found.append((window[done], size[done], level.names[low[done]], level.first[low[done]]))
+            next_low, next_high, window, size = (x[open_] for x in (next_low, next_high, window, size))
+        low, high = moved[next_low], moved[next_high - 1] + 1
+        level, depth = lifted, depth + 1
+        if depth < JOINED or not len(low):
+            continue
+        # neighbours with one core go on as one
+        head = np.ones(len(low), bool)
+        head[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (window[1:] != window[:-1] + size[:-1])
+        at = np.flatnonzero(head)
+        size = np.add.reduceat(size, at)
+        low, high, window = low[at], high[at], window[at]
+    if not found:
+        return Anchors(*(np.zeros(0, k) for k in (np.int64, np.int64, np.uint64, np.int64)))
+    window, size, names, places = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(window, kind="stable")
+    return Anchors(window[order], size[order], names[order], places[order])

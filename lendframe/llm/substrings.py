@@ -31,17 +31,19 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lendframe.llm.arrow import chunks, column, utf8
+from lendframe.llm.arrow import chunks, column, ragged, utf8
 from lendframe.llm.recompression import anchors, window_names, windows, word_names
 from lendframe.llm.shingles import words
 from lendframe.session import cut_lineage
 
 WIDTH = 35
 #: Bytes of text in a block, but for longer documents.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Blocks of a task, about.
-TOGETHER = 4
-_CODEC = "zstd"
+TOGETHER = 8
+#: Lists that the messages of a block are collected in.
+SLICES = 32
+_CODEC = ("zstd", 6)
 
 
 def pack(docs: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def pack(docs: DataFrame) -> DataFrame:
             ids = table["doc_id"].combine_chunks()
             ids = ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks)
             listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
-            texts = pa.compress(data.tobytes(), _CODEC, asbytes=True)
+            texts = pa.Codec(*_CODEC).compress(data.tobytes(), asbytes=True)
             return pa.RecordBatch.from_arrays([pa.array([made], pa.int64()), listed, pa.array([np.diff(offsets).tobytes()], pa.binary()), pa.array([texts], pa.binary())], ["block", "ids", "sizes", "texts"])
 
         for batch in batches:
@@ -81,7 +83,7 @@ class Block:
         self.number, self.ids = column(batch, "block")[k], column(batch, "ids")[k].values
         sizes = np.frombuffer(column(batch, "sizes")[k].as_py(), np.int64)
         self.offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
-        self.data = np.frombuffer(pa.decompress(column(batch, "texts")[k].as_buffer(), int(self.offsets[-1]), _CODEC), np.uint8)
+        self.data = np.frombuffer(pa.decompress(column(batch, "texts")[k].as_buffer(), int(self.offsets[-1]), _CODEC[0]), np.uint8)
         self.starts, self.stops, self.counts = words(self.data, self.offsets)
         self.names = word_names(self.data, self.starts, self.stops)
 
@@ -103,60 +105,63 @@ class Block:
 
 
 def _messages(names: np.ndarray, checks: np.ndarray, block: pa.Scalar) -> pa.RecordBatch:
-    """Each name once, with the number of places."""
+    """Each name once, twice if the block has it at several places."""
     order = np.lexsort((checks, names))
     names, checks = names[order], checks[order]
-    new = np.ones(len(names), bool)
-    new[1:] = (names[1:] != names[:-1]) | (checks[1:] != checks[:-1])
-    at = np.flatnonzero(new)
-    times = np.diff(np.append(at, len(names)))
-    columns = [pa.array(names[at].view(np.int64)), pa.array(checks[at].view(np.int32)), pa.repeat(block, len(at)), pa.array(times, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["name", "check", "block", "times"])
+    third = np.zeros(len(names), bool)
+    third[2:] = (names[2:] == names[:-2]) & (checks[2:] == checks[:-2])
+    names, checks = names[~third], checks[~third]
+    return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(checks.view(np.int32)), pa.repeat(block, len(names))], ["name", "check", "block"])
 
 
-_MESSAGE = "name long, check int, block long, times long"
+_MESSAGE = "name long, check int, block long"
 
 
 def _repeated(messages: DataFrame) -> DataFrame:
     """``block, name, check`` of the names met at two places or more."""
-    everywhere = F.sum("times").over(Window.partitionBy("name", "check"))
+    everywhere = F.count(F.lit(1)).over(Window.partitionBy("name", "check"))
     return messages.withColumn("everywhere", everywhere).filter("everywhere > 1").select("block", "name", "check")
 
 
-def _deliver(blocks: DataFrame, messages: DataFrame, read: Callable[[Block, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Bring messages to their blocks and read both, block by block: messages come sorted before their block."""
-    kinds = {f.name: f.dataType for f in blocks.schema}
-    nothing = [F.lit(None).cast(kinds[c]).alias(c) for c in ("ids", "sizes", "texts")]
-    rows = blocks.select("block", F.lit(True).alias("whole"), F.lit(None).cast("long").alias("name"), F.lit(None).cast("int").alias("check"), "ids", "sizes", "texts")
-    rows = rows.unionAll(messages.select("block", F.lit(False), "name", "check", *nothing))
-    dealt = rows.repartition(-(-blocks.count() // TOGETHER) or 1, "block").sortWithinPartitions("block", "whole")
+def _deliver(dealt: DataFrame, parts: int, messages: DataFrame, read: Callable[[Block, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Bring messages to their blocks, as lists, and read both block by block.
+
+    ``dealt`` is hashed to ``parts`` by block, and messages are dealt alike, so the join moves nothing.
+    """
+    to_blocks = messages.repartition(parts, "block")
+    lists = to_blocks.groupBy("block", F.pmod("name", F.lit(SLICES)).alias("slice")).agg(F.collect_list("name").alias("names"), F.collect_list("check").alias("checks"))
+    lists = lists.groupBy("block").agg(F.collect_list(F.struct("names", "checks")).alias("lists"))
+
+    def flat(lists: pa.ListArray, k: int) -> Iterator[np.ndarray]:
+        if not lists[k].is_valid:
+            return (np.zeros(0, x) for x in (np.uint64, np.uint32))
+        names, checks = lists[k].values.flatten()
+        return (x.flatten().to_numpy(zero_copy_only=False).view(kind) for x, kind in ((names, np.uint64), (checks, np.uint32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.uint32))]
         for batch in batches:
-            names = column(batch, "name").fill_null(0).to_numpy().view(np.uint64)
-            checks = column(batch, "check").fill_null(0).to_numpy().view(np.uint32)
-            done = 0
-            for k in np.flatnonzero(column(batch, "whole").to_numpy(zero_copy_only=False)).tolist():
-                held.append((names[done:k], checks[done:k]))
-                yield from read(Block(batch, k), *(np.concatenate(x) for x in zip(*held, strict=True)))
-                held, done = held[:1], k + 1
-            held.append((names[done:], checks[done:]))
+            for k in range(batch.num_rows):
+                yield from read(Block(batch, k), *flat(column(batch, "lists"), k))
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.join(lists, "block", "left").mapInArrow(run, schema)
 
 
 def _known(names: np.ndarray, checks: np.ndarray, wanted: np.ndarray, wanted_checks: np.ndarray) -> np.ndarray:
-    """Which names are among the wanted ones."""
+    """Which names are among the wanted ones. The first bits of a name rule most others out."""
+    shift = np.uint64(64 - max(10, (8 * len(wanted)).bit_length()))
+    near = np.zeros(1 << (64 - int(shift)), bool)
+    near[wanted >> shift] = True
     order = np.lexsort((wanted_checks, wanted))
     wanted, wanted_checks = wanted[order], wanted_checks[order]
-    found = np.zeros(len(names), bool)
-    at, end = np.searchsorted(wanted, names, "left"), np.searchsorted(wanted, names, "right")
-    open_ = np.flatnonzero(at < end)
+    found, open_ = np.zeros(len(names), bool), np.flatnonzero(near[names >> shift])
+    at = np.searchsorted(wanted, names[open_])
     while len(open_):
-        found[open_] = wanted_checks[at[open_]] == checks[open_]
-        at[open_] += 1
-        open_ = open_[~found[open_] & (at[open_] < end[open_])]
+        fits = at < len(wanted)
+        fits[fits] = wanted[at[fits]] == names[open_[fits]]
+        open_, at = open_[fits], at[fits]
+        same = wanted_checks[at] == checks[open_]
+        found[open_[same]] = True
+        open_, at = open_[~same], at[~same] + 1
     return found
 
 
@@ -167,7 +172,7 @@ def send_anchors(blocks: DataFrame, width: int = WIDTH) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 block = Block(batch, k)
-                _, names, places = anchors(block.names, block.counts, width)
+                _, _, names, places = anchors(block.names, block.counts, width)
                 new = np.ones(len(names), bool)
                 new[1:] = (names[1:] != names[:-1]) | (places[1:] != places[:-1])
                 yield _messages(names[new], np.zeros(int(new.sum()), np.uint32), block.number)
@@ -175,23 +180,28 @@ def send_anchors(blocks: DataFrame, width: int = WIDTH) -> DataFrame:
     return blocks.mapInArrow(run, _MESSAGE)
 
 
-def send_windows(blocks: DataFrame, shared: DataFrame, width: int = WIDTH) -> DataFrame:
+def send_windows(dealt: DataFrame, parts: int, shared: DataFrame, width: int = WIDTH) -> DataFrame:
     """Second messages: windows whose anchor occurs elsewhere too."""
 
-    def read(block: Block, wanted: np.ndarray, _: np.ndarray) -> Iterator[pa.RecordBatch]:
-        starts, names, _ = anchors(block.names, block.counts, width)
-        chosen = starts[np.isin(names, wanted)]
-        if len(chosen):
-            yield _messages(*window_names(block.names, chosen, width), block.number)
+    def read(block: Block, wanted: np.ndarray, unused: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(wanted):
+            return
+        window, size, names, _ = anchors(block.names, block.counts, width)
+        hit = _known(names, np.zeros(len(names), np.uint32), wanted, unused)
+        starts = windows(block.counts, width)[ragged(window[hit], size[hit])]
+        yield _messages(*window_names(block.names, starts, width), block.number)
 
-    return _deliver(blocks, shared, read, _MESSAGE)
+    return _deliver(dealt, parts, shared, read, _MESSAGE)
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: the words that stay, joined by one space."""
     blocks = cut_lineage(pack(docs))
-    shared = _repeated(send_anchors(blocks.select("block", "ids", "sizes", "texts"), width))
-    repeated = _repeated(send_windows(blocks, shared, width))
+    parts = -(-blocks.count() // TOGETHER) or 1
+    # both rounds read the blocks dealt out once
+    dealt = blocks.repartition(parts, "block")
+    shared = _repeated(send_anchors(blocks, width))
+    repeated = _repeated(send_windows(dealt, parts, shared, width))
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
 
     def read(block: Block, wanted: np.ndarray, wanted_checks: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -213,7 +223,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             columns = [block.ids[low:high], pa.array(block.counts[low:high], pa.int64()), pa.array(gone[low:high], pa.int64()), texts[low:high].cast(pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept"])
 
-    return _deliver(blocks, repeated, read, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    return _deliver(dealt, parts, repeated, read, f"doc_id {kind}, n_words long, n_removed long, kept string")
 
 
 def digest_documents(docs: DataFrame) -> DataFrame:

@@ -260,9 +260,11 @@ def test_equal_windows_have_equal_anchors():
     names = recompression.word_names(data, starts, stops)
     listed = [data[a:b].tobytes() for a, b in zip(starts, stops)]
     for width in (1, 2, 7, 35):
-        first, found, place = recompression.anchors(names, counts, width)
+        window, size, found, place = recompression.anchors(names, counts, width)
+        first = recompression.windows(counts, width)
+        assert np.array_equal(np.cumsum(size) - size, window) and size.sum() == len(first)
         seen = {}
-        for f, name, p in zip(first.tolist(), found.tolist(), place.tolist()):
+        for f, name, p in zip(first.tolist(), np.repeat(found, size).tolist(), np.repeat(place, size).tolist()):
             assert seen.setdefault(tuple(listed[f : f + width]), (name, p - f)) == (name, p - f)
             assert f <= p < f + width
 
@@ -272,7 +274,7 @@ def test_distant_windows_rarely_share_an_anchor():
     rng = np.random.default_rng(6)
     vocabulary = rng.integers(0, 1 << 62, 2000).astype(np.uint64)
     names = vocabulary[rng.zipf(1.3, 60_000) % 2000]
-    _, found, place = recompression.anchors(names, np.array([len(names)]), 35)
+    _, _, found, place = recompression.anchors(names, np.array([len(names)]), 35)
     own = np.unique(np.stack([found, place.astype(np.uint64)]), axis=1)[0]
     assert len(own) < len(names) / 3
     _, times = np.unique(own, return_counts=True)
