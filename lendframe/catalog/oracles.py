@@ -1007,3 +1007,7 @@ put(
     f"""d AS (SELECT applicant_age_above_62 AS g, NULLIF(interest_rate, -99999) AS y, NULLIF(combined_loan_to_value_ratio, -99999) AS x
       FROM {LOANS} z WHERE NULLIF(interest_rate, -99999) IS NOT NULL AND NULLIF(combined_loan_to_value_ratio, -99999) IS NOT NULL)""",
 )
+
+# --- over files: registered by their own module ------------------------------
+
+from . import layer_oracles  # noqa: E402, F401

@@ -823,3 +823,8 @@ def rate_gap(spark, sf):
         loans, "applicant_age_above_62", (1, 0), "interest_rate", ["combined_loan_to_value_ratio"]
     )
     return rounded(gap)
+
+
+# --- over files: registered by their own module ------------------------------
+
+from . import layer_queries  # noqa: E402, F401

@@ -181,7 +181,24 @@ SELECT src_pos, activity_year, file_type, CASE lei
 FROM lar_units
 """
 
+# lar_raw as lines of tables in archives: some rows lie in the next year's file, some lines lack
+# their last field, and the archives of the plain type hold two tables.
+VIEWS["archive_rows"] = """
+SELECT x.*, archive || '_csv.zip' AS archive_name,
+ CASE WHEN file_type = 'c' THEN 'part' || part || '.csv' ELSE 'lar.csv' END AS member,
+ CASE WHEN file_type = 'c' THEN archive || '__part' || part ELSE archive END AS source,
+ 'src_pos,activity_year,lei,state_code,county_code,loan_amount,income,derived_sex,loan_to_value_ratio' AS header,
+ CAST(src_pos AS STRING) || ',' || activity_year || ',' || lei || ',' || state_code || ',' || county_code || ',' || loan_amount || ',' || income || ',Male'
+  || CASE WHEN src_pos % 43 = 0 THEN '' ELSE ',' || loan_to_value_ratio END AS line
+FROM (SELECT src_pos, activity_year, file_type, lei, state_code, county_code, loan_amount, income, loan_to_value_ratio,
+  archive_year, CASE WHEN src_pos % 5 < 2 THEN '0' ELSE '1' END AS part,
+  CAST(archive_year AS STRING) || '_public_lar_' || CASE file_type WHEN 'a' THEN 'three_year_' WHEN 'b' THEN 'one_year_' ELSE '' END
+   || 'p' || CAST(CAST(FLOOR(src_pos / 200000) AS BIGINT) AS STRING) AS archive
+  FROM (SELECT lar_raw.*, CASE WHEN src_pos % 97 = 0 AND activity_year < '2024' THEN CAST(activity_year AS INT) + 1 ELSE CAST(activity_year AS INT) END AS archive_year FROM lar_raw) y) x
+"""
+
 NEEDS = {
+    "archive_rows": ("orders", "customer", "lar_raw"),
     "lar_known": ("orders", "customer", "lar_raw", "lar_units"),
     "lar_raw": ("orders", "customer"),
     "lar_wide": ("orders", "customer", "lar_raw"),

@@ -1,19 +1,39 @@
-"""Raw archives to all-text bronze tables, one ``source=`` partition per archive."""
+"""Raw archives to all-text bronze tables, one ``source=`` partition per table in them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import logging
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..eras import DERIVED_COLUMNS, INDEX_COLUMN, PRE2007, Era
 from ..functions import codes
 from ..operators.columns import drop_present, fix_panel_headers
 from ..operators.identity import index_label
 from ..session import cut_lineage
-from ..sources.archives import expand_archives
-from ..sources.delimited import header_columns, read_text_table, source_name, with_row_numbers
-from ..sources.layers import write_partitioned, written_partitions
+from ..sources.archives import expand_members, list_members
+from ..sources.delimited import (
+    fail_on_long_lines,
+    field_count,
+    header_columns,
+    malformed_lines,
+    read_text_table,
+    source_name,
+    with_row_numbers,
+)
+from ..sources.layers import drop_source, path_exists, write_partitioned, written_partitions
 from ..sources.layout import Layout
-from ..sources.listing import archives_for_years, list_files, pending_sources, pre2007_archives
+from ..sources.listing import (
+    archives_for_years,
+    list_files,
+    pending_sources,
+    pre2007_archives,
+    sources_of_years,
+)
+
+logger = logging.getLogger(__name__)
+RESCUED = "_rescued_line"
+LONG_LINES = ("fail", "report", "lossy")
 
 
 def _archives(spark: SparkSession, layout: Layout, era: Era, dataset: str, first: int, last: int) -> DataFrame:
@@ -28,6 +48,26 @@ def _archives(spark: SparkSession, layout: Layout, era: Era, dataset: str, first
     return found.withColumn("source", source)
 
 
+def archive_members(
+    spark: SparkSession, layout: Layout, era: Era, dataset: str, first: int | None = None, last: int | None = None
+) -> DataFrame:
+    """The tables in the archives of the years asked for: ``path, year, member, size, tables, source``.
+
+    The only table of an archive takes the archive's name as source; of several each adds
+    its own name, and before 2007 the year comes last.
+    """
+    archives = _archives(spark, layout, era, dataset, first or era.first_year, last or era.last_year)
+    listed = list_members(archives, by_year=era is PRE2007)
+    own = F.regexp_replace(F.regexp_replace("member", r"\.[^.]*$", ""), "[^A-Za-z0-9_-]", "_")
+    year = F.col("year").cast("string")
+    if era is PRE2007:
+        several = F.concat(F.lit(f"{dataset}_"), own, F.lit("_"), year)
+    else:
+        several = F.concat("source", F.lit("__"), own)
+    named = F.when(F.col("tables") > 1, several).otherwise(F.col("source"))
+    return listed.join(archives.select("path", "year", "source"), ["path", "year"]).withColumn("source", named)
+
+
 def build_bronze(
     spark: SparkSession,
     layout: Layout,
@@ -36,48 +76,75 @@ def build_bronze(
     first: int | None = None,
     last: int | None = None,
     replace: bool = False,
+    long_lines: str | None = None,
 ) -> int:
-    """Write the archives not written yet (or all) and return how many there were.
+    """Write the tables not written yet (or all) and return how many there were.
+
+    Tables that share a delimiter and a header are read and written by one plan. With
+    ``replace``, sources of these years that no archive holds any more are removed.
 
-    Archives that share a delimiter and a header are read and written by one plan.
+    ``long_lines`` says what becomes of lines with more fields than columns: ``fail`` stops
+    the import, ``report`` keeps their leading fields and writes the whole lines to the
+    layout's rescued table, ``lossy`` keeps the leading fields. Before 2007 lines are broken
+    so often that ``lossy`` is the default, else it is ``fail``.
     """
-    first, last = first or era.first_year, last or era.last_year
+    long_lines = long_lines or ("lossy" if era is PRE2007 else "fail")
+    if long_lines not in LONG_LINES:
+        raise ValueError(f"unknown treatment of long lines: {long_lines}")
     target = layout.bronze(dataset, era.name)
-    archives = _archives(spark, layout, era, dataset, first, last)
-    todo = pending_sources(archives, written_partitions(spark, target), replace)
-    expanded = cut_lineage(
-        expand_archives(todo, layout.staging(dataset, era.name), by_year=era is PRE2007)
-    )
-    # one short row per archive; the heads are cut to their header line first
+    members = cut_lineage(archive_members(spark, layout, era, dataset, first, last))
+    alike = [r["source"] for r in members.groupBy("source").count().filter("count > 1").collect()]
+    if alike:
+        raise ValueError(f"several tables would become one source: {alike}")
+    written = written_partitions(spark, target)
+    if replace and path_exists(spark, layout.raw(dataset if era is not PRE2007 or dataset == "loans" else "")):
+        of_years = written.filter(sources_of_years(first or era.first_year, last or era.last_year))
+        for row in of_years.join(members, "source", "left_anti").collect():
+            drop_source(spark, target, row["source"])
+    todo = pending_sources(members, written, replace)
+    expanded = cut_lineage(expand_members(todo, layout.staging(dataset, era.name)))
+    # one short row per table; the heads are cut to their header line first
     header = F.regexp_replace(F.substring_index("head", "\n", 1), "\r$", "")
-    members = expanded.join(todo.select("path", "year", "source"), ["path", "year"]).select(
-        "staged", "source", "year", "path", "delimiter", header.alias("header")
-    ).collect()
+    tables = expanded.select("staged", "source", "year", "path", "delimiter", header.alias("header")).collect()
     groups: dict[tuple[str, str], list] = {}
-    for m in members:
+    for m in tables:
         groups.setdefault((m["delimiter"] or ",", m["header"]), []).append(m)
     for (delimiter, header_line), group in groups.items():
         columns = header_columns(header_line, delimiter)
-        df = read_text_table(spark, [m["staged"] for m in group], delimiter, columns)
-        names = {m["staged"].rsplit("/", 2)[-2]: m for m in group}
-        df = df.withColumn("_folder", source_name())
+        paths = [m["staged"] for m in group]
+        rescued = None if long_lines == "lossy" else RESCUED
+        df = read_text_table(spark, paths, delimiter, columns, rescued=rescued)
+        if long_lines == "fail":
+            df = fail_on_long_lines(df, RESCUED, delimiter, len(columns))
+        # the folder of a staged table is its source
+        df = df.withColumn("source", source_name())
 
-        def by_folder(values: dict[str, Column]) -> Column:
-            pairs = [x for folder, value in values.items() for x in (F.lit(folder), value)]
-            return F.create_map(*pairs)[F.col("_folder")]
+        def by_source(values: dict[str, Column]) -> Column:
+            pairs = [x for source, value in values.items() for x in (F.lit(source), value)]
+            return F.create_map(*pairs)[F.col("source")]
 
-        source = by_folder({k: F.lit(m["source"]) for k, m in names.items()})
         if era.name == "post2018":
-            kinds = {k: codes.file_type_post2018(F.lit(m["path"])) for k, m in names.items()}
+            kinds = {m["source"]: codes.file_type_post2018(F.lit(m["path"])) for m in group}
             if dataset == "loans":
-                years = by_folder({k: F.lit(m["year"]) for k, m in names.items()})
-                df = with_row_numbers(df, "_row").withColumn("file_type", by_folder(kinds))
+                years = by_source({m["source"]: F.lit(m["year"]) for m in group})
+                df = with_row_numbers(df, "_row").withColumn("file_type", by_source(kinds))
                 index = index_label(years, F.col("file_type"), F.col("_row"))
                 df = df.withColumn(INDEX_COLUMN, index).drop("_row")
             else:
-                df = df.withColumn("file_type", by_folder(kinds))
+                df = df.withColumn("file_type", by_source(kinds))
             if dataset == "panel":
                 df = fix_panel_headers(df)
             df = drop_present(df, [*DERIVED_COLUMNS, *era.tracts])
-        write_partitioned(df.withColumn("source", source).drop("_folder"), target, ["source"])
-    return len(members)
+        if long_lines != "report":
+            write_partitioned(df, target, ["source"])
+            continue
+        is_long = F.col(RESCUED).isNotNull() & (field_count(F.col(RESCUED), delimiter) > len(columns))
+        seen = Observation()
+        write_partitioned(df.observe(seen, F.count_if(is_long).alias("long")).drop(RESCUED), target, ["source"])
+        if seen.get["long"]:
+            logger.warning("%d lines with more than %d fields in %s", seen.get["long"], len(columns), paths)
+            scan = read_text_table(spark, paths, delimiter, columns, rescued=RESCUED)
+            lines = malformed_lines(scan, RESCUED, delimiter, len(columns)).filter("kind = 'long'")
+            source = F.element_at(F.split("file", "/"), -2)
+            write_partitioned(lines.withColumn("source", source), layout.rescued(dataset, era.name), ["source"])
+    return len(tables)

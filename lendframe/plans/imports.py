@@ -24,13 +24,14 @@ def import_era(
     last: int | None = None,
     replace: bool = False,
     drop_tract_vars: bool = True,
+    long_lines: str | None = None,
 ) -> dict[str, bool]:
     """Success per dataset. A failed dataset skips its silver step; the others go on."""
     results: dict[str, bool] = {}
     datasets = list(datasets or era.datasets)
     for dataset in datasets:
         try:
-            build_bronze(spark, layout, era, dataset, first, last, replace)
+            build_bronze(spark, layout, era, dataset, first, last, replace, long_lines)
         except Exception:
             logger.exception("bronze %s/%s failed", dataset, era.name)
             results[dataset] = False

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -25,6 +25,7 @@ from ..sources.ledger import (
     source_stamps,
     write_ledger,
 )
+from ..sources.listing import sources_of_years
 
 
 def to_silver(bronze: DataFrame, era: Era, drop_tract_vars: bool = True) -> DataFrame:
@@ -44,11 +45,6 @@ def to_silver(bronze: DataFrame, era: Era, drop_tract_vars: bool = True) -> Data
     return silver_post2018(bronze).drop("source")
 
 
-def sources_of_years(first: int, last: int) -> Column:
-    """Whether the source's name holds a year of the range."""
-    return reduce(or_, [F.contains(F.col("source"), F.lit(str(y))) for y in range(first, last + 1)])
-
-
 def _contents(spark: SparkSession, bronze: str, ledger: str, era: Era) -> DataFrame:
     """The ledger's ``contents`` brought up to date; only sources not known by their stamp are read."""
     stamps = cut_lineage(source_stamps(spark, bronze))

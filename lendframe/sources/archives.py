@@ -1,8 +1,7 @@
-"""Zip archives expanded by the executors, a stream at a time."""
+"""Zip archives listed and expanded by the executors, a stream at a time."""
 
 from __future__ import annotations
 
-import os
 import shutil
 import uuid
 import zipfile
@@ -15,33 +14,30 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.codes import with_delimiter
+from .layers import shared_uri
 
 HEAD_CHARS = 16_000  # fixed value: characters looked at to find the delimiter
 MAX_HEADER = 16 << 20
 CHUNK = 8 << 20
-MEMBERS = "path string, year int, member string, staged string, head string"
+MEMBERS = "path string, year int, member string, size long, tables int"
+STAGED = "path string, year int, member string, source string, staged string, head string"
 
 
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    parts = urlparse(path)
-    if parts.scheme in ("", "file"):
+def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a file named with its scheme."""
+    parts = urlparse(uri)
+    if not parts.scheme:
+        raise ValueError(f"name the file system of {uri}")
+    if parts.scheme == "file":
         return fs.LocalFileSystem(), unquote(parts.path)
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(uri)
 
 
-def _is_table(member: str) -> bool:
-    return "/" not in member and member.endswith((".txt", ".csv"))
-
-
-def _pick(members: list[str], year: int, by_year: bool) -> str | None:
-    """The one member to read: the table, or the text file of the year. Several are an error."""
+def _tables(members: list[str], year: int, by_year: bool) -> list[str]:
+    """The members to read: tables at the top, or the text files of the year."""
     if by_year:
-        found = [m for m in members if "/" not in m and ".txt" in m.lower() and str(year) in m]
-    else:
-        found = [m for m in members if _is_table(m)]
-    if len(found) > 1:
-        raise ValueError(f"which of these tables is to be read: {found}")
-    return found[0] if found else None
+        return [m for m in members if "/" not in m and ".txt" in m.lower() and str(year) in m]
+    return [m for m in members if "/" not in m and m.endswith((".txt", ".csv"))]
 
 
 def _head(source: IO[bytes]) -> str:
@@ -52,43 +48,54 @@ def _head(source: IO[bytes]) -> str:
     return (header + source.read(max(0, HEAD_CHARS - len(header)))).decode("latin-1")
 
 
-def expand_archives(archives: DataFrame, staging: str, by_year: bool = False) -> DataFrame:
-    """Unpack one member per archive row (path, year) under ``staging``.
+def _one_task_each(rows: DataFrame) -> DataFrame:
+    # a fixed number of tasks: the listing is tiny, the work behind each row is not
+    return rows.repartition(max(1, rows.count()))
+
+
+def list_members(archives: DataFrame, by_year: bool = False) -> DataFrame:
+    """One row per table in the archives (path, year), with the number of tables beside it.
 
-    Each archive is its own task and is copied in chunks. A member is written under
-    a name of its own attempt and then renamed, so a task run twice leaves one whole
-    file. Returns the staged path, the text head and its delimiter.
+    Only the directory at the end of an archive is read. An archive without tables gives no row.
     """
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, year in zip(batch["path"], batch["year"], strict=True):
                 files, name = _filesystem(path)
-                stem = os.path.splitext(os.path.basename(name))[0]
-                target_files, folder = _filesystem(f"{staging}/{stem}_{int(year)}")
                 with files.open_input_file(name) as raw, zipfile.ZipFile(raw) as archive:
-                    member = _pick(archive.namelist(), int(year), by_year)
-                    if member is None:
-                        continue
+                    found = _tables(archive.namelist(), int(year), by_year)
+                    sizes = [archive.getinfo(m).file_size for m in found]
+                if found:
+                    yield pd.DataFrame({"path": path, "year": int(year), "member": found, "size": sizes, "tables": len(found)})
+
+    return _one_task_each(archives.select("path", F.col("year").cast("int"))).mapInPandas(members, MEMBERS)
+
+
+def expand_members(members: DataFrame, staging: str) -> DataFrame:
+    """Unpack the members (path, year, member, source) under ``staging``, a folder per source.
+
+    Each member is its own task and is copied in chunks. It is written under a name of its own
+    attempt and then renamed, so a task run twice leaves one whole file. Returns the staged
+    path, the text head and its delimiter.
+    """
+    root = shared_uri(members.sparkSession, staging)
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, year, member, source in zip(*(batch[c] for c in ("path", "year", "member", "source")), strict=True):
+                files, name = _filesystem(path)
+                target_files, folder = _filesystem(f"{root}/{source}")
+                with files.open_input_file(name) as raw, zipfile.ZipFile(raw) as archive:
                     target_files.create_dir(folder, recursive=True)
                     attempt = f"{folder}/.{member}.{uuid.uuid4().hex}"
-                    with archive.open(member) as source:
-                        with target_files.open_output_stream(attempt) as sink:
-                            shutil.copyfileobj(source, sink, CHUNK)
+                    with archive.open(member) as stream, target_files.open_output_stream(attempt) as sink:
+                        shutil.copyfileobj(stream, sink, CHUNK)
                     target_files.move(attempt, f"{folder}/{member}")
-                    with archive.open(member) as source:
-                        head = _head(source)
-                yield pd.DataFrame(
-                    {
-                        "path": [path],
-                        "year": [int(year)],
-                        "member": [member],
-                        "staged": [f"{staging}/{stem}_{int(year)}/{member}"],
-                        "head": [head],
-                    }
-                )
-
-    rows = archives.select("path", F.col("year").cast("int"))
-    # a fixed number of tasks: the listing is tiny, the work behind each row is not
-    one_each = rows.repartition(max(1, rows.count()))
-    return with_delimiter(one_each.mapInPandas(expand, MEMBERS))
+                    with archive.open(member) as stream:
+                        head = _head(stream)
+                row = {"path": path, "year": int(year), "member": member, "source": source, "staged": f"{root}/{source}/{member}", "head": head}
+                yield pd.DataFrame([row])
+
+    rows = members.select("path", F.col("year").cast("int"), "member", "source")
+    return with_delimiter(_one_task_each(rows).mapInPandas(expand, STAGED))

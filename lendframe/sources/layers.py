@@ -30,6 +30,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def shared_uri(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as the driver's file system names it.
+
+    A path of the local disk is only the same for all executors on a local master; elsewhere
+    it is refused.
+    """
+    files, folder = hadoop_folder(spark, path)
+    uri = folder.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+    if uri.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path} is on the local disk, which executors don't share")
+    return uri
+
+
+def drop_source(spark: SparkSession, path: str, source: str) -> None:
+    """Remove one source of a bronze table."""
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("source", source)
+    files, folder = hadoop_folder(spark, f"{path}/{name}")
+    files.delete(folder, True)
+
+
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], balance: bool = False) -> None:
     """Replace the partitions present in ``df``; other partitions stay.
 
@@ -56,7 +76,8 @@ def written_partitions(spark: SparkSession, path: str, key: str = "source") -> D
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [status.getPath().getName() for status in files.listStatus(folder)]
-    found = [(n.split("=", 1)[1],) for n in names if n.startswith(f"{key}=")]
+    plain = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found = [(plain(n.split("=", 1)[1]),) for n in names if n.startswith(f"{key}=")]
     return spark.createDataFrame(found, f"{key} string") if found else empty
 
 
@@ -128,7 +149,9 @@ def read_best_releases(
 def write_lenders(df: DataFrame, folder: str, first: int, last: int, parquet: bool = True) -> None:
     """Pipe-delimited text, and Parquet if asked, one folder each."""
     stem = f"{folder}/lenders_combined_{first}-{last}"
-    df.write.mode("overwrite").option("sep", "|").option("header", True).csv(f"{stem}.csv")
+    text = df.write.mode("overwrite").option("sep", "|").option("header", True)
+    # blanks around a value are part of it
+    text.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{stem}.csv")
     if parquet:
         df.write.mode("overwrite").parquet(f"{stem}.parquet")
 

@@ -94,12 +94,16 @@ def same_partition(era: Era, left: str, right: str) -> Column:
 
 
 def drop_partitions(spark: SparkSession, target: str, era: Era, values: Sequence[Sequence[object]]) -> None:
-    """Remove whole partitions of a silver table."""
+    """Remove whole partitions of a silver table, and folders left without any."""
     name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
     for row in values:
         parts = [name(k, None if v is None else str(v)) for k, v in zip(era.partition_by, row, strict=True)]
-        files, folder = hadoop_folder(spark, "/".join([target, *parts]))
-        files.delete(folder, True)
+        for depth in range(len(parts), 0, -1):
+            files, folder = hadoop_folder(spark, "/".join([target, *parts[:depth]]))
+            if depth == len(parts):
+                files.delete(folder, True)
+            elif files.exists(folder) and not len(files.listStatus(folder)):
+                files.delete(folder, False)
 
 
 def partitions_on_disk(spark: SparkSession, target: str, era: Era) -> list[tuple]:

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from lendframe.eras import PERIOD_2007_2017, POST2018, PRE2007
 from lendframe.plans import bronze as bronze_plan
 from lendframe.plans import lenders as lender_plan
+from lendframe.plans import silver as silver_plan
 from lendframe.plans.bronze import build_bronze
 from lendframe.plans.imports import import_2007_2017, import_era, import_post2018, import_pre2007
 from lendframe.plans.silver import build_silver
+from lendframe.plans.tracts import merge_tracts
 from lendframe.sources.delimited import read_text_table, with_row_numbers
-from lendframe.sources.layers import read_best_releases, read_bronze, read_silver
+from lendframe.sources.layers import drop_source, read_best_releases, read_bronze, read_silver, write_partitioned, written_partitions
+from lendframe.sources.ledger import WRITTEN, read_ledger
 from lendframe.sources.layout import Layout
 from lendframe.sources.listing import (
     archives_for_years,
@@ -230,16 +233,17 @@ def test_silver_scan_with_a_canonical_schema(spark, folder):
     assert {tuple(r) for r in df.select(*names).collect()} == {("x", 1, None, 2018, "a"), ("y", 2, 3, 2019, "c")}
 
 
-def test_long_headers_and_ambiguous_archives(folder):
+def test_long_headers_and_tables_of_archives(folder):
     import io
 
     from lendframe.sources import archives
 
     header = ",".join(f"column_{i}" for i in range(3000)) + "\n"
     assert archives._head(io.BytesIO((header + "1\n").encode())).startswith(header)
-    assert archives._pick(["docs/x.csv", "a.csv"], 2018, False) == "a.csv"
-    with pytest.raises(ValueError, match="which of these"):
-        archives._pick(["a.csv", "b.txt"], 2018, False)
+    assert archives._tables(["docs/x.csv", "a.csv", "b.txt", "c.pdf"], 2018, False) == ["a.csv", "b.txt"]
+    assert archives._tables(["p_2018.txt", "p_2019.TXT", "2018.csv"], 2018, True) == ["p_2018.txt"]
+    with pytest.raises(ValueError, match="name the file system"):
+        archives._filesystem("/plain/path")
 
 
 def late_row(text):
@@ -297,3 +301,169 @@ def test_batch_and_stream_share_one_table(spark, post2018, folder):
 
 def test_header_columns():
     assert bronze_plan.header_columns('a,"b,c",d', ",") == ["a", "b,c", "d"]
+
+
+# --- sources that change ------------------------------------------------------
+
+SILVER = ["lei", "loan_amount", "activity_year", "file_type"]
+
+
+def put_bronze(spark, layout, sources):
+    """Bronze sources from {source: [(year, type, amount)]}."""
+    rows = [(str(y), k, "L", str(a), s) for s, held in sources.items() for y, k, a in held]
+    df = spark.createDataFrame(rows, "activity_year string, file_type string, lei string, loan_amount string, source string")
+    write_partitioned(df, layout.bronze("loans", "post2018"), ["source"])
+
+
+def silver_rows(spark, layout):
+    path = layout.silver("loans", "post2018")
+    spark.catalog.refreshByPath(path)
+    return sorted((r.loan_amount, r.activity_year, r.file_type) for r in read_silver(spark, path, POST2018, SILVER).collect())
+
+
+def fresh_import(spark, layout, folder):
+    """What a first import of the same bronze gives."""
+    twin = Layout(os.path.join(folder, f"twin{len(os.listdir(folder))}"))
+    os.makedirs(twin.root)
+    os.symlink(os.path.join(layout.root, "bronze"), os.path.join(twin.root, "bronze"))
+    assert build_silver(spark, twin, POST2018, "loans")
+    return silver_rows(spark, twin)
+
+
+@pytest.fixture()
+def changing(spark, folder):
+    layout = Layout(os.path.join(folder, "own"))
+    put_bronze(spark, layout, {
+        "2018_a": [(2018, "a", 1), (2018, "a", 2)],
+        "2018_b": [(2018, "b", 3)],
+        "2019_c": [(2019, "c", 4), (2019, "c", 5), (2019, "c", 6), (2018, "b", 7), (2018, "b", 8), (2018, "x", 9)],
+        "2020_c": [(2020, "c", 10), (None, "c", 11), (2020, None, 12)],
+    })
+    assert build_silver(spark, layout, POST2018, "loans")
+    assert len(silver_rows(spark, layout)) == 12
+    return layout
+
+
+@pytest.mark.parametrize("years", [{"first": 2019, "last": 2019}, {}])
+@pytest.mark.parametrize("replace", [False, True])
+def test_replaced_source_leaves_no_old_rows(spark, changing, folder, years, replace):
+    put_bronze(spark, changing, {"2019_c": [(2019, "c", 4), (2019, "c", 5), (2019, "c", 6)]})
+    assert build_silver(spark, changing, POST2018, "loans", replace=replace, **years)
+    found = silver_rows(spark, changing)
+    assert [a for a, *_ in found] == [1, 2, 3, 4, 5, 6, 10, 11, 12]
+    assert found == fresh_import(spark, changing, folder)
+
+
+@pytest.mark.parametrize("years", [{"first": 2019, "last": 2019}, {}])
+def test_removed_source_leaves_no_rows(spark, changing, folder, years):
+    drop_source(spark, changing.bronze("loans", "post2018"), "2019_c")
+    assert build_silver(spark, changing, POST2018, "loans", **years)
+    assert [a for a, *_ in silver_rows(spark, changing)] == [1, 2, 3, 10, 11, 12]
+    assert silver_rows(spark, changing) == fresh_import(spark, changing, folder)
+    assert not os.path.exists(f"{changing.silver('loans', 'post2018')}/activity_year=2019")
+    written = read_ledger(spark, changing.ledger("loans", "post2018"), POST2018, WRITTEN)
+    assert {r.source for r in written.collect()} == {"2018_a", "2018_b", "2020_c"}
+    assert not build_silver(spark, changing, POST2018, "loans", first=2019, last=2019)
+
+
+def test_new_rows_in_a_source_that_is_not_imported_wait(spark, changing, folder):
+    put_bronze(spark, changing, {"2018_b": [(2018, "b", 3), (2020, "c", 20)]})
+    assert build_silver(spark, changing, POST2018, "loans", first=2020, last=2020)
+    assert [a for a, y, k in silver_rows(spark, changing) if (y, k) == (2020, "c")] == [10, 20]
+    assert build_silver(spark, changing, POST2018, "loans", first=2018, last=2018)
+    assert silver_rows(spark, changing) == fresh_import(spark, changing, folder)
+
+
+def test_partitions_no_import_recorded_go_with_a_whole_replace(spark, changing, folder):
+    stray = f"{changing.silver('loans', 'post2018')}/activity_year=2023/file_type=q"
+    spark.sql("SELECT 99L AS loan_amount").write.parquet(stray)
+    build_silver(spark, changing, POST2018, "loans", first=2018, last=2018, replace=True)
+    assert os.path.exists(stray)
+    build_silver(spark, changing, POST2018, "loans", replace=True)
+    assert not os.path.exists(stray)
+    assert silver_rows(spark, changing) == fresh_import(spark, changing, folder)
+
+
+def test_one_import_reads_only_sources_that_share_its_partitions(spark, changing, monkeypatch):
+    plans = []
+    plain = silver_plan.write_partitioned
+
+    def kept(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        plain(df, *rest)
+
+    monkeypatch.setattr(silver_plan, "write_partitioned", kept)
+    assert build_silver(spark, changing, POST2018, "loans", first=2018, last=2018)
+    assert build_silver(spark, changing, POST2018, "loans", first=2020, last=2020)
+    pruned = ["PartitionFilters" in line and line for p in plans for line in p.split("\n") if "FileScan" in line]
+    assert len(pruned) == 2 and "2018_a" in pruned[0] and "2019_c" in pruned[0] and "2020_c" not in pruned[0]
+    assert "2020_c" in pruned[1] and "2018_a" not in pruned[1] and "2019_c" not in pruned[1]
+
+
+def test_stream_clears_removed_sources(spark, changing, folder):
+    def stream():
+        refresh_silver(spark, changing, POST2018, "loans", f"{folder}/checkpoint").awaitTermination()
+
+    stream()
+    drop_source(spark, changing.bronze("loans", "post2018"), "2019_c")
+    stream()
+    assert silver_rows(spark, changing) == fresh_import(spark, changing, folder)
+    put_bronze(spark, changing, {"2021_a": [(2021, "a", 30), (2018, "x", 31)]})
+    stream()
+    assert silver_rows(spark, changing) == fresh_import(spark, changing, folder)
+
+
+# --- lines and archives -------------------------------------------------------
+
+
+def test_long_lines_fail_are_reported_or_cut(spark, folder):
+    text = lar_text(2018, 6, ",").splitlines()
+    text[2] += ',9,"a, b"'
+    text[4] = ",".join(text[4].split(",")[:-3])
+    put_zip(folder, "loans", "2018_public_lar_csv.zip", {"lar.csv": "\n".join(text) + "\n"})
+    layout = Layout(folder)
+    with pytest.raises(Exception, match="11 fields instead of 9"):
+        build_bronze(spark, layout, POST2018, "loans")
+    assert written_partitions(spark, layout.bronze("loans", "post2018")).isEmpty()
+    for treatment in ("report", "lossy"):
+        assert build_bronze(spark, layout, POST2018, "loans", replace=True, long_lines=treatment) == 1
+        bronze = read_bronze(spark, layout.bronze("loans", "post2018"))
+        assert bronze.count() == 6 and "_rescued_line" not in bronze.columns
+        assert bronze.filter("loan_to_value_ratio is null").count() == 1
+    rescued = spark.read.parquet(layout.rescued("loans", "post2018")).collect()
+    assert [(r.kind, r.fields, r.expected, r.line, r.source) for r in rescued] == [("long", 11, 9, text[2], "2018_public_lar")]
+    with pytest.raises(ValueError, match="unknown treatment"):
+        build_bronze(spark, layout, POST2018, "loans", long_lines="drop")
+
+
+def test_every_table_of_an_archive_becomes_a_source(spark, folder):
+    put_zip(folder, "loans", "2018_public_lar_csv.zip", {"east.csv": lar_text(2018, 4, ","), "west.txt": lar_text(2018, 3, "|"), "docs/x.csv": "no"})
+    put_zip(folder, "loans", "2019_public_lar_csv.zip", {"all.csv": lar_text(2019, 2, ",")})
+    layout = Layout(folder)
+    assert build_bronze(spark, layout, POST2018, "loans") == 3
+    counts = read_bronze(spark, layout.bronze("loans", "post2018")).groupBy("source").count().collect()
+    assert {tuple(r) for r in counts} == {("2018_public_lar__east", 4), ("2018_public_lar__west", 3), ("2019_public_lar", 2)}
+    assert build_bronze(spark, layout, POST2018, "loans") == 0
+    put_zip(folder, "loans", "2018_public_lar_csv.zip", {"east.csv": lar_text(2018, 4, ",")})
+    assert build_bronze(spark, layout, POST2018, "loans", replace=True) == 2
+    left = written_partitions(spark, layout.bronze("loans", "post2018")).collect()
+    assert {r.source for r in left} == {"2018_public_lar", "2019_public_lar"}
+
+
+def test_tables_alike_are_refused(spark, folder):
+    put_zip(folder, "loans", "2018_public_lar_csv.zip", {"a b.csv": lar_text(2018, 1, ","), "a_b.csv": lar_text(2018, 1, ",")})
+    with pytest.raises(ValueError, match="one source"):
+        build_bronze(spark, Layout(folder), POST2018, "loans")
+
+
+def test_tract_rows_are_merged_by_year(spark, folder):
+    def loans(rows):
+        return spark.createDataFrame([(*r, 1) for r in rows], "activity_year string, census_tract string, tract_population string, loan int")
+
+    path = f"{folder}/tracts"
+    first = merge_tracts(loans([("2018", "1", "5"), ("2018", "1", "5"), ("2019", "2", None)]), path)
+    assert first.count() == 2
+    before = set(os.listdir(f"{path}/activity_year=2019"))
+    again = merge_tracts(loans([("2018", "1", "5"), ("2018", "3", "7"), ("2019", "2", None), (None, "4", "x")]), path)
+    assert {tuple(r) for r in again.collect()} == {("2018", "1", 5.0), ("2019", "2", None), ("2018", "3", 7.0), (None, "4", None)}
+    assert set(os.listdir(f"{path}/activity_year=2019")) == before
