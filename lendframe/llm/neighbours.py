@@ -2,10 +2,12 @@
 
 Vectors of one label (and length) are dealt to shards by a hash of their id. Each shard
 builds a hierarchical small-world graph. Every vector queries every shard of its label by
-beam search; while a whole beam lies within the threshold it is widened, and while an
-audit against brute force on some queries finds a mean recall of less than AUDITED, all
-beams are widened. Where that doesn't help, the two shards are compared in full. Pairs found
-are verified by cosine in double precision, and their components united.
+beam search, in its own shard from its own place; while a whole beam lies within the threshold
+it is widened. An audit compares a fixed number of queries with all vectors of the shard; while
+their mean recall is less than AUDITED, all beams are widened. A query whose beam would hold
+more than WIDEST of a shard, and all queries of a shard whose audits fail up to that width, are
+compared in full, as are shards of at most SMALL vectors: there a product costs less than a
+graph. Pairs found are verified by cosine in double precision, and their components united.
 
 Vectors that are null, of length zero or that hold null or non-finite numbers, and those
 without label or id, are linked with nothing. Of rows with one id every distinct label and
@@ -29,16 +31,18 @@ from lendframe.session import cut_lineage
 COSINE = 0.93
 #: Vectors of a shard, about.
 SHARD = 8192
+#: Shards up to this size are compared in full: that costs less than a graph.
+SMALL = 512
 DEGREE = 16
-BUILD_BEAM, QUERY_BEAM = 48, 48
+#: Candidates for the places of a row: its nearest, and rows farther off that chose it.
+NEAREST, FARTHER = 48, 16
+QUERY_BEAM = 16
 BLOCK = 256
 #: Nodes a beam opens at once.
 OPENED = 4
-AUDITS, AUDITED = 64, 0.98
-#: Audits go on until they met about so many groups, a query with n links counting 1 / (n + 1).
-GROUPS = 8
+AUDITS, AUDITED = 256, 0.98
 #: Beams of more than this share of a shard cost more than comparing all.
-WIDEST = 1 / 8
+WIDEST = 1 / 16
 #: Single precision finds candidates this far below the threshold.
 SLACK = 1e-4
 
@@ -51,75 +55,70 @@ class Graph:
 
     @classmethod
     def build(cls, units: np.ndarray, seed: int = 3) -> Graph:
+        """Each row meets the rows before it, as in insertion one by one, but with all of a shard's
+        products at hand: the nearest earlier rows of its layers are exact, not searched for."""
         n = len(units)
         heights = np.minimum((-np.log(np.random.default_rng(seed).random(n)) / np.log(DEGREE)).astype(int), 4)
-        heights[0] = max(heights.max(), heights[0]) if n else 0
-        layers = [np.full((n, DEGREE * 2 if level == 0 else DEGREE), -1, np.int32) for level in range((int(heights[0]) if n else 0) + 1)]
-        graph = cls(units, layers, 0)
-        done = 1
-        while done < n:
-            rows = np.arange(done, min(n, done + max(1, min(BLOCK, done // 4))))
-            graph._insert(rows, heights[rows])
-            done += len(rows)
-        return graph
-
-    def _insert(self, rows: np.ndarray, heights: np.ndarray) -> None:
-        """Add a block of rows: each searches the graph so far and meets the rest of the block."""
-        queries = self.units[rows]
-        among = queries @ queries.T
-        among[np.arange(len(rows))[:, None] <= np.arange(len(rows))] = -2
-        entries = np.full((len(rows), 1), self.entry)
-        for level in range(len(self.layers) - 1, -1, -1):
-            here = np.flatnonzero(heights >= level)
-            width = BUILD_BEAM if level == 0 else 8
-            ids, sims = self.beam(queries, entries, level, width)
-            entries = ids[:, :1] if level else entries
-            if not len(here):
-                continue
-            own = np.where(heights[None, :] >= level, among, -2)[here]
-            all_ids = np.hstack([ids[here], np.broadcast_to(rows, own.shape)])
-            all_sims = np.hstack([sims[here], own])
-            self._link(level, rows[here], all_ids, all_sims)
-
-    def _link(self, level: int, rows: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> None:
-        layer = self.layers[level]
-        degree = layer.shape[1]
-        best = np.argsort(-sims, axis=1)[:, :degree]
-        ids, sims = np.take_along_axis(ids, best, 1), np.take_along_axis(sims, best, 1)
-        kept = self._spread(rows, ids, sims, DEGREE)
-        a = np.repeat(rows, kept.shape[1])
-        b = kept.ravel()
+        heights[:1] = heights.max(initial=0)
+        layers = []
+        for level in range(int(heights.max(initial=0)) + 1):
+            rows = np.flatnonzero(heights >= level)
+            layer = np.full((n, DEGREE * 2 if level == 0 else DEGREE), -1, np.int32)
+            layer[rows] = cls._linked(units[rows], rows.astype(np.int32), layer.shape[1])
+            layers.append(layer)
+        return cls(units, layers, 0)
+
+    @classmethod
+    def _linked(cls, units: np.ndarray, rows: np.ndarray, degree: int) -> np.ndarray:
+        """Up to ``degree`` neighbours of the rows of one layer: those each chose, and those that chose it."""
+        n = len(units)
+        ahead = np.full((n, DEGREE), -1, np.int64)
+        for at in range(0, n, BLOCK):
+            own = np.arange(at, min(n, at + BLOCK))
+            sims = units[own] @ units[: own[-1] + 1].T
+            sims[np.arange(own[-1] + 1) >= own[:, None]] = -2
+            few = min(NEAREST, sims.shape[1])
+            near = np.argpartition(-sims, few - 1, axis=1)[:, :few]
+            ahead[own] = cls._spread(units, near, np.take_along_axis(sims, near, 1), DEGREE)
+        a, b = np.repeat(np.arange(n), DEGREE), ahead.ravel()
         a, b = a[b >= 0], b[b >= 0]
-        layer[rows, : kept.shape[1]] = kept
-        # the way back: neighbours take the new rows, and keep a spread choice if too many
-        for node in np.unique(b).tolist():
-            new = a[b == node]
-            have = layer[node][layer[node] >= 0]
-            joined = np.union1d(have, new)
-            if len(joined) > degree:
-                found = self.units[joined] @ self.units[node]
-                order = np.argsort(-found)
-                chosen = self._spread(np.array([node]), joined[order][None], found[order][None], degree)[0]
-                joined = chosen[chosen >= 0]
-            layer[node] = -1
-            layer[node, : len(joined)] = joined
-
-    def _spread(self, rows: np.ndarray, ids: np.ndarray, sims: np.ndarray, degree: int) -> np.ndarray:
-        """Up to ``degree`` neighbours of each row, nearest first: those that lie nearer to the row
+        ends, others = np.concatenate([a, b]), np.concatenate([b, a])
+        sims = np.concatenate([np.einsum("kd,kd->k", units[a[k : k + 65536]], units[b[k : k + 65536]]) for k in range(0, max(len(a), 1), 65536)])
+        order = np.lexsort((-np.concatenate([sims, sims]), ends))
+        ends, others, sims = ends[order], others[order], np.concatenate([sims, sims])[order]
+        counts = np.bincount(ends, minlength=n)
+        place = np.arange(len(ends)) - np.repeat(np.cumsum(counts) - counts, counts)
+        # of a row that very many chose: the nearest, and some of the others at even steps
+        far = place - NEAREST
+        step = np.maximum((counts - NEAREST) // FARTHER, 1)[ends]
+        spot = np.where(far < 0, place, np.where((far % step == 0) & (far // step < FARTHER), NEAREST + far // step, -1))
+        held = spot >= 0
+        ids, known = np.full((n, NEAREST + FARTHER), -1, np.int64), np.full((n, NEAREST + FARTHER), -2, np.float32)
+        ids[ends[held], spot[held]], known[ends[held], spot[held]] = others[held], sims[held]
+        chosen = np.full((n, degree), -1, np.int64)
+        for at in range(0, n, BLOCK):
+            chosen[at : at + BLOCK] = cls._spread(units, ids[at : at + BLOCK], known[at : at + BLOCK], degree)
+        return np.where(chosen >= 0, rows[np.maximum(chosen, 0)], -1)
+
+    @staticmethod
+    def _spread(units: np.ndarray, ids: np.ndarray, sims: np.ndarray, degree: int) -> np.ndarray:
+        """Up to ``degree`` neighbours of each row: nearest first, those that lie nearer to the row
         than to any one taken before; free places go to the nearest others."""
+        order = np.argsort(-sims, axis=1, kind="stable")
+        ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
         valid = (ids >= 0) & (sims > -1.5)
-        vectors = self.units[np.maximum(ids, 0)]
+        vectors = units[np.maximum(ids, 0)]
         between = vectors @ vectors.transpose(0, 2, 1)
         n, k = ids.shape
-        taken = np.zeros((n, k), bool)
+        taken, nearer, size = np.zeros((n, k), bool), np.full((n, k), -2, np.float32), np.zeros(n, np.int64)
         for at in range(k):
-            nearer = np.where(taken, between[:, at, :], -2).max(axis=1)
-            taken[:, at] = valid[:, at] & (nearer < sims[:, at]) & (taken.sum(axis=1) < degree)
-        rest = valid & ~taken
-        rank = np.where(taken, 0, np.where(rest, 1, 2)) * k + np.arange(k)
-        order = np.argsort(rank, axis=1)[:, :degree]
-        ok = np.take_along_axis(valid, order, 1)
-        return np.where(ok, np.take_along_axis(ids, order, 1), -1).astype(np.int32)
+            good = valid[:, at] & (nearer[:, at] < sims[:, at]) & (size < degree)
+            taken[:, at], size = good, size + good
+            np.maximum(nearer, between[:, at], out=nearer, where=good[:, None])
+        rank = np.where(taken, 0, np.where(valid, 1, 2)) * k + np.arange(k)
+        best = np.argsort(rank, axis=1)[:, :degree]
+        found = np.where(np.take_along_axis(valid, best, 1), np.take_along_axis(ids, best, 1), -1)
+        return found if found.shape[1] == degree else np.pad(found, ((0, 0), (0, degree - found.shape[1])), constant_values=-1)
 
     def beam(self, queries: np.ndarray, entries: np.ndarray, level: int, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``width`` nearest found for each query by best-first search, nearest first."""
@@ -164,50 +163,75 @@ class Graph:
             ids[live] = np.take_along_axis(np.hstack([ids[live], np.where(new, near, -1)]), top, 1)
             opened[live] = np.take_along_axis(np.hstack([opened[live], ~new]), top, 1)
 
-    def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, node) found with similarity of at least ``least``."""
-        rows, nodes = [], []
+    def within(self, queries: np.ndarray, least: float, width: int, own: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (query, node) found with similarity of at least ``least``, and the queries left open.
+
+        With ``own``, query k is node k and starts there. A beam that lies within the threshold is
+        doubled; a query is left open once its beam would hold more than WIDEST of the graph.
+        """
+        rows, nodes, left = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(queries), BLOCK):
             block = queries[at : at + BLOCK]
-            entries = np.full((len(block), 1), self.entry)
-            for level in range(len(self.layers) - 1, 0, -1):
-                entries = self.beam(block, entries, level, 4)[0][:, :1]
-            todo, beam = np.arange(len(block)), min(width, len(self.units))
-            while len(todo):
+            if own:
+                entries = np.arange(at, at + len(block))[:, None]
+            else:
+                entries = np.full((len(block), 1), self.entry)
+                for level in range(len(self.layers) - 1, 0, -1):
+                    entries = self.beam(block, entries, level, 4)[0][:, :1]
+            todo, beam = np.arange(len(block)), width
+            while len(todo) and beam <= max(WIDEST * len(self.units), width):
+                beam = min(beam, len(self.units))
                 ids, sims = self.beam(block[todo], entries[todo], 0, beam)
                 full = (sims[:, -1] >= least) & (beam < len(self.units))
                 r, c = np.nonzero((sims >= least) & ~full[:, None])
                 rows.append(todo[r] + at)
                 nodes.append(ids[r, c])
-                todo, beam = todo[full], min(beam * 2, len(self.units))
-        return np.concatenate(rows), np.concatenate(nodes)
+                todo, beam = todo[full], beam * 2
+            left.append(todo + at)
+        return np.concatenate(rows), np.concatenate(nodes), np.concatenate(left)
 
 
 def links_between(queries: np.ndarray, graph: Graph, vectors: np.ndarray, own: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Verified links of ``queries`` (double precision) to the vectors of a graph, with audits."""
-    units = queries / np.linalg.norm(queries, axis=1, keepdims=True)
-    target = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    order = np.random.default_rng(7).permutation(len(queries))
-    audited, true = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    while len(audited) < len(queries) and (1 / (true[true > 0] + 1)).sum() < GROUPS:
-        more = order[len(audited) : len(audited) + AUDITS]
-        row, _ = compared(queries, vectors, units, target, more, own)
-        audited, true = np.r_[audited, more], np.r_[true, np.bincount(row, minlength=len(queries))[more]]
+    """Verified links of ``queries`` (double precision) to the vectors of a graph, with audits.
+
+    An audit compares AUDITS queries drawn at random, and as many of those that found links,
+    with all vectors; their number doesn't depend on how rare links are.
+    """
+    units, target = _unit(queries), _unit(vectors)
+    everything = np.arange(len(queries))
+    if len(vectors) <= SMALL:
+        return compared(queries, vectors, units, target, everything, own)
+    drawn = np.random.default_rng(7).permutation(len(queries))[:AUDITS]
     single, width = units.astype(np.float32), QUERY_BEAM
     while True:
-        row, node = graph.within(single, COSINE - SLACK, width)
+        row, node, left = graph.within(single, COSINE - SLACK, width, own)
         exact = np.concatenate([cosine(queries[row[k : k + 65536]], vectors[node[k : k + 65536]]) for k in range(0, max(len(row), 1), 65536)])
         good = exact >= COSINE
         if own:
             good &= row != node
-        row, node = row[good], node[good]
-        if audit(np.bincount(row, minlength=len(queries))[audited], true):
+        more_row, more_node = compared(queries, vectors, units, target, left, own)
+        row, node = np.concatenate([row[good], more_row]), np.concatenate([node[good], more_node])
+        found = np.bincount(row, minlength=len(queries))
+        linked = np.setdiff1d(np.flatnonzero(found), left)
+        audited = np.union1d(drawn, linked[:: max(1, -(-len(linked) // AUDITS))])
+        true = np.bincount(compared(queries, vectors, units, target, audited, own)[0], minlength=len(queries))
+        if audit(found[audited], true[audited]):
             return row, node
         if width >= WIDEST * len(vectors):
-            return compared(queries, vectors, units, target, np.arange(len(queries)), own)
+            return compared(queries, vectors, units, target, everything, own)
         width *= 2
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def scaled(values: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component to about one: same cosines, no overflow."""
+    _, exponent = np.frexp(np.abs(values).max(axis=1, initial=0))
+    return np.ldexp(values, -exponent[:, None])
+
+
 def audit(found: np.ndarray, true: np.ndarray) -> bool:
     """Whether the mean recall of queries that have links is high enough, both with each query and with each group counting alike."""
     found, true = found[true > 0], true[true > 0]
@@ -241,8 +265,8 @@ def build_shards(vectors: DataFrame) -> DataFrame:
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["vec_id", "tie"], kind="stable")
-        values = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
-        graph = Graph.build((values / np.linalg.norm(values, axis=1, keepdims=True)).astype(np.float32))
+        values = scaled(np.stack(frame["embedding"].to_numpy()).astype(np.float64))
+        graph = Graph.build(_unit(values).astype(np.float32)) if len(values) > SMALL else Graph(values, [], 0)
         row = {
             "label": frame["label"].iloc[0],
             "size": frame["size"].iloc[0],
@@ -261,7 +285,7 @@ def build_shards(vectors: DataFrame) -> DataFrame:
 def _load(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, Graph]:
     ids = np.frombuffer(row[f"{side}_ids"], np.int64)
     values = np.frombuffer(row[f"{side}_vectors"], np.float64).reshape(len(ids), -1)
-    units = (values / np.linalg.norm(values, axis=1, keepdims=True)).astype(np.float32)
+    units = _unit(values).astype(np.float32)
     layers = [np.frombuffer(x, np.int32).reshape(len(ids), -1) for x in row[f"{side}_layers"]]
     return ids, values, Graph(units, layers, 0)
 
@@ -311,9 +335,10 @@ def search_shards(shards: DataFrame) -> DataFrame:
 
 def link_vectors(table: DataFrame, shard: int = SHARD) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every id, and of every row without one."""
+    if table.schema["vec_id"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError("vec_id must be a whole number: the smallest of a component names it")
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    length = F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
-    usable = table.filter("vec_id is not null and label is not null and embedding is not null").filter(finite & (length > 0))
+    usable = table.filter("vec_id is not null and label is not null and embedding is not null").filter(finite & F.exists("embedding", lambda v: v != 0))
     usable = cut_lineage(usable.select("vec_id", "label", F.size("embedding").alias("size"), "embedding").distinct())
     counts = usable.groupBy("label", "size").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
     repeated = cut_lineage(usable.groupBy("vec_id").count().filter("count > 1").select("vec_id", F.lit(True).alias("repeats")))
