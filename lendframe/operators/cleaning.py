@@ -14,6 +14,7 @@ from ..eras import (
     SENTINEL,
 )
 from ..functions.casts import col, number
+from ..session import written_and_measured
 from .columns import rename_present
 from .quantiles import exact_quantiles
 
@@ -134,10 +135,13 @@ def plausible(df: DataFrame, bounds: Bounds | None = None, literal: bool = False
 def plausibility_filter(
     df: DataFrame, bounds: Bounds | None = None, literal: bool = False
 ) -> DataFrame:
-    """Rows within bounds, with the number of rows dropped as a column."""
+    """Rows within bounds, with the number of rows dropped as a column.
+
+    The rows kept are written once and the others counted by the way: ``df`` is made once.
+    """
     keep = plausible(df, bounds, literal)
-    dropped = df.agg(F.count_if(~keep).alias("n"))
-    return df.filter(keep).withColumn(PLAUSIBILITY_DROPPED, dropped.scalar())
+    out, dropped = written_and_measured(df, F.count_if(~keep), keep)
+    return out.withColumn(PLAUSIBILITY_DROPPED, F.lit(dropped or 0).cast("bigint"))
 
 
 def clean_rate_spread(df: DataFrame, rate_spread_col: str = "rate_spread") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..eras import INDEX_COLUMN
 from ..functions.casts import col, strip, zero_pad
-from ..session import cut_lineage
+from ..session import cut_lineage, written_and_measured
 from .quantiles import approximate_cuts
 
 RECORD_KEY = "hmda_record_key"
@@ -52,9 +52,11 @@ def deduplicate(
     ``null_keys="keep"`` rows without a key are all kept; ``"collapse"`` treats
     null as one key. ``_metadata_dedup_dropped`` holds the number of rows dropped.
 
-    Ranks are cut to one row (two for ``none``) per key before the shuffle, so a
-    key held by a large share of all rows costs no more than any other; keyless
-    rows are spread by their position.
+    Rows are cut to one (two for ``none``) per key before the shuffle, so a key held by a
+    large share of all rows costs no more than any other; keyless rows are spread by
+    their position. Counting what is dropped needs all copies: each task then sends one
+    row per key with its number of copies, and the result is written once, so that the
+    figure, known at the end, can stand in every row.
     """
     if keep not in ("first", "last", "any", "none"):
         raise ValueError(f"unknown keep: {keep}")
@@ -63,6 +65,8 @@ def deduplicate(
         raise ValueError(f"add the record key before removing duplicates: {missing}")
     keys = [col(c) for c in subset]
     any_null = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
+    if count_dropped:
+        return _counted(df, keys, any_null if null_keys == "keep" else None, order_by, keep)
     place = col(order_by).desc() if keep == "last" else col(order_by).asc()
     if null_keys == "keep":
         marked = df.withColumn("_spread", F.when(any_null, col(order_by)))
@@ -76,16 +80,24 @@ def deduplicate(
         out = out.withColumn("_copies", F.count(F.lit(1)).over(by_key))
         out = out.filter(F.col("_copies") == 1).drop("_copies")
     out = out.drop("_rank", "_spread")
-    if count_dropped:
-        held = df.filter(~any_null) if null_keys == "keep" else df
-        sizes = held.groupBy(*keys)
-        copies = F.col("count")
-        lost = F.when(copies > 1, copies).otherwise(0) if keep == "none" else copies - 1
-        dropped = sizes.count().agg(F.coalesce(F.sum(lost), F.lit(0)).cast("bigint").alias("n"))
-        out = out.withColumn(DEDUP_DROPPED, dropped.scalar())
     return out
 
 
+def _counted(df: DataFrame, keys: Sequence[Column], alone: Column | None, order_by: str, keep: str) -> DataFrame:
+    """One row per key and the number of rows dropped, with one shuffle; rows that are ``alone`` are kept."""
+    spread = F.lit(None) if alone is None else F.when(alone, col(order_by)).cast("string")
+    row = F.struct(*[col(c) for c in df.columns])
+    pick = F.max_by if keep == "last" else F.min_by
+    by_key = df.groupBy(*[k.alias(f"_key{i}") for i, k in enumerate(keys)], spread.alias("_spread")).agg(
+        pick(row, col(order_by)).alias("_row"), F.count(F.lit(1)).alias("_copies")
+    )
+    copies = F.col("_copies")
+    lost = F.when(copies > 1, copies).otherwise(0) if keep == "none" else copies - 1
+    out, dropped = written_and_measured(by_key, F.sum(lost), copies == 1 if keep == "none" else None)
+    dropped = F.lit(dropped or 0).cast("bigint").alias(DEDUP_DROPPED)
+    return out.select(*[F.col("_row")[c].alias(c) for c in df.columns], dropped)
+
+
 def index_label(year: Column, file_type: Column, position: Column) -> Column:
     """``2018a_000000000``: year, type code, zero-based row number in nine digits."""
     return F.concat(

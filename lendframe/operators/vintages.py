@@ -15,13 +15,15 @@ def best_releases(
 ) -> DataFrame:
     """Rows of the lowest file type per year, among the rows given.
 
-    The (year, type) pairs, one per reporting year, are read first and become a plain
-    filter, which on a table partitioned by these columns prunes whole folders; no row
-    is shuffled.
+    Nothing runs until the result is used. The lowest types, one per reporting year, are a
+    scalar subquery over the two columns; on a table partitioned by them it is answered
+    before the scan and prunes whole folders. No row is shuffled.
     """
-    lowest = df.groupBy(col(year_col).alias("_year")).agg(F.min(col(type_col)).alias("_type"))
-    chosen = {p["_year"]: p["_type"] for p in lowest.collect() if p["_type"] is not None}
-    return keep_releases(df, chosen, year_col, type_col)
+    year, kind = (col(c).cast("string") for c in (year_col, type_col))
+    key = F.concat(F.lit("y"), F.coalesce(year, F.lit("")))
+    pairs = df.groupBy(key.alias("_year")).agg(F.min(kind).alias("_type"))
+    lowest = pairs.agg(F.array_sort(F.collect_set(F.concat_ws("=", "_year", "_type"))).alias("_lowest"))
+    return df.filter(F.array_contains(lowest.scalar(), F.concat(key, F.lit("="), kind)))
 
 
 def keep_releases(

@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -87,3 +87,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_and_measured(df: DataFrame, measure: Column, keep: Column | None = None) -> tuple[DataFrame, object]:
+    """``cut_lineage`` of ``df``, of its rows to ``keep`` if given, and an aggregate over all its rows taken on the way.
+
+    The measure belongs to the last stage of the write, whose tasks Spark counts once
+    however often one of them runs.
+    """
+    seen = Observation()
+    rows = df.observe(seen, measure.alias("measured"))
+    out = cut_lineage(rows if keep is None else rows.filter(keep))
+    return out, seen.get["measured"]

@@ -1,5 +1,6 @@
 """Operators on small frames, edge cases first."""
 
+import glob
 import math
 import random
 
@@ -7,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lendframe import session
 from lendframe.operators import (
     cleaning,
     columns,
@@ -236,10 +238,40 @@ def test_best_releases_prunes_partitions(spark, folder):
     df = spark.createDataFrame([(2018, "a", 1), (2018, "b", 2), (2019, "c", 3)], "activity_year int, file_type string, id int")
     df.write.partitionBy("activity_year", "file_type").parquet(f"{folder}/t")
     out = vintages.best_releases(spark.read.parquet(f"{folder}/t"))
+    # the stored rows are pruned by the answer of the subquery: folders not wanted may even hold broken files
+    files = glob.glob(f"{folder}/t/activity_year=2018/file_type=b/*.parquet")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
-    assert "PartitionFilters: [(((" in plan or "PartitionFilters: [((" in plan
-    assert {r["id"] for r in out.collect()} == {1, 3}
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "[id" in line)
+    assert "array_contains" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert {r["id"] for r in out.collect()} == {1, 3} and files
+    read = out.select("id", F.input_file_name().alias("file")).collect()
+    assert not any("file_type=b" in r["file"] for r in read)
+
+
+def test_best_releases_runs_nothing_while_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    vintages.best_releases(spark.range(10).selectExpr("id", "2018 as activity_year", "'a' as file_type"))
+    assert set(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_counted_dedup_has_one_shuffle_and_bounds_one_scan(spark, folder, monkeypatch):
+    spark.range(1000).withColumn(identity.RECORD_KEY, F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))).write.parquet(f"{folder}/k")
+    df, plans = spark.read.parquet(f"{folder}/k"), []
+    plain = session.cut_lineage
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df)
+
+    monkeypatch.setattr(session, "cut_lineage", kept)
+    for keep, rows in (("last", 667), ("first", 667), ("none", 666)):
+        out = identity.deduplicate(df, "id", keep)
+        assert out.count() == rows and out.first()[identity.DEDUP_DROPPED] == 1000 - rows
+        assert plans[-1].count("Exchange") == 1 and plans[-1].count("FileScan") == 1
+    few = cleaning.plausibility_filter(df.withColumn("loan_amount", F.col("id") * 1000), {"loan_amount": (0, 99_000)})
+    assert few.count() == 100 and few.first()[cleaning.PLAUSIBILITY_DROPPED] == 900
+    assert plans[-1].count("FileScan") == 1 and "Exchange" not in plans[-1]
 
 
 def test_exempt_reporters_bounds(spark):
