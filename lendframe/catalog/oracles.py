@@ -1008,6 +1008,59 @@ put(
       FROM {LOANS} z WHERE NULLIF(interest_rate, -99999) IS NOT NULL AND NULLIF(combined_loan_to_value_ratio, -99999) IS NOT NULL)""",
 )
 
+
+def residuals(names: list[str]) -> str:
+    """Covariates and outcome of the base group, each less what those before it predict."""
+    steps = [f"r0 AS (SELECT *, y AS y_0, {', '.join(f'{n} AS {n}_0' for n in names)} FROM d WHERE g = 0)"]
+    for k, name in enumerate(names):
+        later = [*names[k + 1 :], "y"]
+        own = f"({name}_{k} - AVG({name}_{k}) OVER ())"
+        left = ", ".join(f"{c}_{k} - AVG({c}_{k}) OVER () - (regr_slope({c}_{k}, {name}_{k}) OVER ()) * {own} AS {c}_{k + 1}" for c in later)
+        steps.append(f"r{k + 1} AS (SELECT *, {left} FROM r{k})")
+    return ", ".join(steps)
+
+
+COVARIATES = ["x1", "x2", "db", "dc"]
+# slope of the outcome on what is left of each covariate, and of later covariates on it; then back
+BACK = ", ".join(f"regr_slope(y_{k}, {n}_{k}) AS g{k}" for k, n in enumerate(COVARIATES)) + "".join(
+    f", regr_slope({m}_{k}, {n}_{k}) AS h{k}{j}" for k, n in enumerate(COVARIATES) for j, m in enumerate(COVARIATES) if j > k
+)
+put(
+    "rate_decomposition",
+    "lar_raw",
+    """SELECT covariate, (ROUND(value, 6) + 0.0) AS contribution, (ROUND(value / gap, 6) + 0.0) AS share FROM p, (
+      SELECT UNNEST([{'c': 'combined_loan_to_value_ratio', 'v': b0 * m0}, {'c': 'loan_amount', 'v': b1 * m1}, {'c': 'file_type', 'v': b2 * m2 + b3 * m3},
+        {'c': '(gap)', 'v': gap}, {'c': '(unexplained)', 'v': gap - b0 * m0 - b1 * m1 - b2 * m2 - b3 * m3}]) AS u FROM p) q, LATERAL (SELECT u.c AS covariate, u.v AS value) z""",
+    f"""d AS (SELECT applicant_age_above_62 AS g, NULLIF(interest_rate, -99999) AS y, NULLIF(combined_loan_to_value_ratio, -99999) AS x1,
+        NULLIF(loan_amount, -99999)::DOUBLE AS x2, (file_type = 'b')::INT::DOUBLE AS db, (file_type = 'c')::INT::DOUBLE AS dc
+      FROM {LOANS} z WHERE NULLIF(interest_rate, -99999) IS NOT NULL AND NULLIF(combined_loan_to_value_ratio, -99999) IS NOT NULL AND NULLIF(loan_amount, -99999) IS NOT NULL),
+    {residuals(COVARIATES)},
+    s AS (SELECT {BACK} FROM r4),
+    b3 AS (SELECT *, g3 AS b3 FROM s), b2 AS (SELECT *, g2 - h23 * b3 AS b2 FROM b3), b1 AS (SELECT *, g1 - h12 * b2 - h13 * b3 AS b1 FROM b2),
+    b0 AS (SELECT *, g0 - h01 * b1 - h02 * b2 - h03 * b3 AS b0 FROM b1),
+    p AS (SELECT b0, b1, b2, b3, m.* FROM b0, (SELECT AVG(y) FILTER (g = 1) - AVG(y) FILTER (g = 0) AS gap,
+      {', '.join(f'AVG({n}) FILTER (g = 1) - AVG({n}) FILTER (g = 0) AS m{k}' for k, n in enumerate(COVARIATES))} FROM d) m)""",
+)
+put(
+    "network_rank",
+    "lar_raw",
+    f"""SELECT n.side, n.node, n.degree, {r6("n.strength")} AS strength, {r6("w.score")} AS score
+    FROM n JOIN w ON w.side = n.side AND w.node = n.node AND w.k = (SELECT MAX(k) FROM w)""",
+    f"""e AS (SELECT lei AS l, county_code AS r, COUNT(*)::DOUBLE AS weight FROM {LOANS} x WHERE lei IS NOT NULL AND county_code IS NOT NULL GROUP BY 1, 2),
+    ways AS (SELECT 'left' AS side, l AS node, r AS other, weight FROM e UNION ALL SELECT 'right', r, l, weight FROM e),
+    n AS (SELECT side, node, COUNT(*) AS degree, SUM(weight) AS strength FROM ways GROUP BY 1, 2),
+    z AS (SELECT COUNT(*) AS size FROM n),
+    steps AS (SELECT a.side, a.node, a.other, a.weight / b.strength AS share FROM ways a JOIN n b ON a.side <> b.side AND a.other = b.node),
+    w AS (WITH RECURSIVE w AS (
+      SELECT 0 AS k, side, node, 1.0::DOUBLE / size AS score, 1.0::DOUBLE AS change FROM n, z
+      UNION ALL
+      SELECT k, side, node, score, SUM(ABS(score - before)) OVER () AS change FROM (
+        SELECT MAX(w.k) + 1 AS k, s.side, s.node, 0.4::DOUBLE / MAX(size) + 0.6::DOUBLE * SUM(w.score * s.share) AS score, MAX(o.score) AS before
+        FROM steps s JOIN w ON w.side <> s.side AND w.node = s.other JOIN w o ON o.side = s.side AND o.node = s.node, z
+        WHERE w.change >= 0.0001 AND w.k < 100 GROUP BY s.side, s.node) x
+    ) SELECT * FROM w)""",
+)
+
 # --- over files: registered by their own module ------------------------------
 
 from . import layer_oracles  # noqa: E402, F401

@@ -22,12 +22,14 @@ from ..operators import (
     cleaning,
     columns,
     corrections,
+    decomposition,
     forest,
     harmonize,
     identity,
     lenders,
     market,
     neighbors,
+    network,
     profiling,
     reporters,
     splits,
@@ -825,6 +827,24 @@ def rate_gap(spark, sf):
     return rounded(gap)
 
 
+@query
+def rate_decomposition(spark, sf):
+    """The same gap over three covariates, one of them a category of three levels."""
+    fields = ["interest_rate", "combined_loan_to_value_ratio", "loan_amount"]
+    loans = cleaning.sentinel_to_null(silver(spark, sf), fields)
+    parts = decomposition.rate_decomposition(
+        loans, "applicant_age_above_62", (1, 0), "interest_rate", ["combined_loan_to_value_ratio", "loan_amount"], ["file_type"]
+    )
+    return rounded(parts)
+
+
+@query
+def network_rank(spark, sf):
+    """Lenders and counties by the loans they share."""
+    edges = network.connection_edges(silver(spark, sf))
+    return rounded(network.network_rank(edges, damping=0.6))
+
+
 # --- over files: registered by their own module ------------------------------
 
 from . import layer_queries  # noqa: E402, F401
