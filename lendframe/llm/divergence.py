@@ -33,7 +33,9 @@ REPORTED = 10
 SEGMENT = 1 << 17
 #: Bytes of transducers that tasks hold at once; a larger vocabulary takes several passes over the text.
 PASS_BYTES = 64 << 20
-CHUNK = 8 << 20
+CHUNK = 2 << 20
+#: Counts that a task holds before it adds up equal ones, and gives them away if that helps little.
+HELD = 1 << 20
 #: Ordinals and sources of a block in which sources are compared pair by pair.
 BLOCK, TILE = 1024, 256
 
@@ -137,29 +139,21 @@ def recount(docs: DataFrame, transducers: DataFrame) -> DataFrame:
         def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             codes, parts = shared.value
             streamer = Streamer(parts)
+            held = _Counts()
             for batch in batches:
-                names = [column(batch, c).dictionary_encode() for c in ("lang", "source")]
-                lang, source = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in names)
-                width = len(names[1].dictionary)
-                group = np.array([codes.get(x, -1) for x in names[0].dictionary.to_pylist()], np.int64)
+                langs, sources = (column(batch, c).to_pylist() for c in ("lang", "source"))
+                pair = np.array([held.group(*x) for x in zip(langs, sources, strict=True)], np.int64)
+                lang = np.array([codes.get(x, -1) for x in langs], np.int64)
                 for low, high in chunks(column(batch, "text"), CHUNK):
                     data, offsets = utf8(column(batch, "text")[low:high])
                     folded = _FOLD[data]
                     starts, stops, docs_ = _bounds(folded, offsets)
                     doc = low + np.repeat(np.arange(high - low), docs_)
-                    ordinal, number = streamer.look_up(folded, starts, stops, group[lang[doc]])
+                    ordinal, number = streamer.look_up(folded, starts, stops, lang[doc])
                     hit = ordinal >= 0
-                    if not hit.any():
-                        continue
-                    ordinal, number, doc = ordinal[hit], number[hit], doc[hit]
-                    top = int(ordinal.max()) + 1
-                    keys, first, times = np.unique((lang[doc] * width + source[doc]) * top + ordinal, return_index=True, return_counts=True)
-                    at = keys // top
-                    yield pa.RecordBatch.from_arrays(
-                        [names[0].dictionary.take(pa.array(at // width)), names[1].dictionary.take(pa.array(at % width))]
-                        + [pa.array(x, pa.int64()) for x in (number[first], keys % top, times)],
-                        ["lang", "source", "number", "ordinal", "count"],
-                    )
+                    if held.add(pair[doc[hit]], number[hit], ordinal[hit]):
+                        yield held.take()
+            yield held.take()
 
         part = docs.mapInArrow(count, "lang string, source string, number long, ordinal long, count long")
         part = cut_lineage(part.groupBy("lang", "source", "number", "ordinal").agg(F.sum("count").alias("count")))
@@ -169,6 +163,52 @@ def recount(docs: DataFrame, transducers: DataFrame) -> DataFrame:
     return counted
 
 
+class _Counts:
+    """Occurrences by (language, source), transducer and ordinal, added up as they come."""
+
+    def __init__(self):
+        self.groups: dict[tuple[str, str], int] = {}
+        self.rows = [np.zeros(0, np.int64)] * 4
+        self.fresh: list[list[np.ndarray]] = []
+        self.waiting = 0
+
+    def group(self, lang: str, source: str) -> int:
+        return self.groups.setdefault((lang, source), len(self.groups))
+
+    def add(self, group: np.ndarray, number: np.ndarray, ordinal: np.ndarray) -> bool:
+        """Whether so many different ones are held that they should be given away."""
+        for block in self._summed([group, number, ordinal, np.ones(len(group), np.int64)]):
+            self.fresh.append(block)
+            self.waiting += len(block[0])
+        if self.waiting >= HELD:
+            self._settle()
+        return len(self.rows[0]) >= HELD
+
+    @staticmethod
+    def _summed(rows: list[np.ndarray]) -> list[list[np.ndarray]]:
+        if not len(rows[0]):
+            return []
+        order = np.lexsort((rows[2], rows[0]))
+        rows = [x[order] for x in rows]
+        new = np.ones(len(order), bool)
+        new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[2][1:] != rows[2][:-1])
+        at = np.flatnonzero(new)
+        return [[*(x[at] for x in rows[:3]), np.add.reduceat(rows[3], at)]]
+
+    def _settle(self) -> None:
+        merged = self._summed([np.concatenate(x) for x in zip(self.rows, *self.fresh, strict=True)])
+        self.rows = merged[0] if merged else self.rows
+        self.fresh, self.waiting = [], 0
+
+    def take(self) -> pa.RecordBatch:
+        self._settle()
+        group, *numbers = self.rows
+        self.rows = [np.zeros(0, np.int64)] * 4
+        names = list(self.groups) or [("", "")]
+        columns = [pa.array([n[k] for n in names], pa.string()).take(pa.array(group)) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.int64()) for x in numbers)], ["lang", "source", "number", "ordinal", "count"])
+
+
 def _bounds(folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every term and how many each text has; texts end terms."""
     solid = folded != 0x20
