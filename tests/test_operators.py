@@ -13,10 +13,12 @@ from lendframe.operators import (
     cleaning,
     columns,
     corrections,
+    decomposition,
     harmonize,
     identity,
     lenders,
     market,
+    network,
     profiling,
     quantiles,
     reporters,
@@ -381,3 +383,85 @@ def test_numbers_too_large_are_null(spark):
 
     values = spark.createDataFrame([("1e999",), ("-1e999",), ("12.5",), ("NaN",)], "t string")
     assert [r[0] for r in values.select(to_double(F.col("t"))).collect()] == [None, None, 12.5, None]
+
+
+# --- decomposition and network ------------------------------------------------
+
+
+def _gap_frame(spark, seed=1, n=400):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        group = "ab"[i % 3 == 0]
+        x1, x2 = rng.normal(5 + (group == "a"), 2), rng.normal(1e6, 1e5)
+        kind, place = rng.choice(["p", "q", "r"], p=[0.2, 0.3, 0.5] if group == "a" else [0.5, 0.3, 0.2]), rng.choice(["u", "v"])
+        y = 3 + 0.5 * x1 - 1e-6 * x2 + {"p": 0.0, "q": 1.0, "r": -2.0}[kind] + 0.3 * (place == "v") + rng.normal(0, 0.1) + 0.7 * (group == "a")
+        rows.append((group, float(y), float(x1), float(x2), str(kind), str(place)))
+    return rows, spark.createDataFrame(rows, "g string, y double, x1 double, x2 double, kind string, place string").repartition(3)
+
+
+def test_decomposition_equals_least_squares(spark):
+    rows, df = _gap_frame(spark)
+    out = {r.covariate: r.contribution for r in decomposition.rate_decomposition(df, "g", ("a", "b"), "y", ["x1", "x2"], ["kind", "place"]).collect()}
+
+    def design(group):
+        own = [r for r in rows if r[0] == group]
+        x = np.array([[1, r[2], r[3], r[4] == "q", r[4] == "r", r[5] == "v"] for r in own], float)
+        return x, np.array([r[1] for r in own])
+
+    (xa, ya), (xb, yb) = design("a"), design("b")
+    slopes = np.linalg.lstsq(xb, yb, rcond=None)[0]
+    moves = slopes * (xa.mean(axis=0) - xb.mean(axis=0))
+    expected = {"x1": moves[1], "x2": moves[2], "kind": moves[3] + moves[4], "place": moves[5], "(gap)": ya.mean() - yb.mean()}
+    expected["(unexplained)"] = expected["(gap)"] - moves.sum()
+    assert set(out) == set(expected)
+    for name, value in expected.items():
+        assert out[name] == pytest.approx(value, abs=1e-6)
+    assert out["(unexplained)"] == pytest.approx(0.7, abs=0.05)
+
+
+def test_decomposition_of_one_covariate_equals_rate_gap(spark):
+    _, df = _gap_frame(spark)
+    one = market.rate_gap(df, "g", ("a", "b"), "y", ["x1"]).first()
+    many = {r.covariate: r for r in decomposition.rate_decomposition(df, "g", ("a", "b"), "y", ["x1"]).collect()}
+    assert many["x1"].contribution == pytest.approx(one["explained"])
+    assert many["(unexplained)"].contribution == pytest.approx(one["unexplained"])
+    assert many["x1"].share + many["(unexplained)"].share == pytest.approx(1)
+
+
+def test_decomposition_leaves_nulls_out_and_refuses_dependent_covariates(spark):
+    rows, df = _gap_frame(spark)
+    odd = spark.createDataFrame([("a", None, 1.0, 1.0, "p", "u"), ("b", 1.0, None, 1.0, "p", "u"), ("b", 1.0, 1.0, 1.0, None, "u"), ("b", float("nan"), 1.0, 1.0, "p", "u"), (None, 1.0, 1.0, 1.0, "p", "u")], df.schema)
+    args = (("a", "b"), "y", ["x1"], ["kind"])
+    assert decomposition.rate_decomposition(df.unionAll(odd), "g", *args).collect() == decomposition.rate_decomposition(df, "g", *args).collect()
+    with pytest.raises(ValueError, match="twice is fixed"):
+        decomposition.rate_decomposition(df.withColumn("twice", 2 * F.col("x1") + 1), "g", ("a", "b"), "y", ["x1", "twice"])
+    with pytest.raises(ValueError, match="same = v is fixed"):
+        decomposition.rate_decomposition(df.withColumn("same", F.col("place")), "g", ("a", "b"), "y", [], ["place", "same"])
+    with pytest.raises(ValueError, match="no rows"):
+        decomposition.rate_decomposition(df, "g", ("a", "z"), "y", ["x1"])
+    with pytest.raises(ValueError, match="combinations"):
+        decomposition.rate_decomposition(spark.range(40_000).selectExpr("'a' as g", "1.0 as y", "id as k"), "g", ("a", "b"), "y", [], ["k"])
+
+
+def test_network_rank_equals_power_iteration(spark):
+    rng = np.random.default_rng(3)
+    edges = sorted({(f"l{rng.integers(12)}", f"m{rng.integers(9)}") for _ in range(60)} | {("hub", f"m{k}") for k in range(9)} | {("same", "m0"), ("x", "same")})
+    weights = [float(rng.integers(1, 9)) for _ in edges]
+    doubled = [(*e, w / 2) for e, w in zip(edges, weights)] * 2 + [("n", None, 1.0), (None, "m1", 1.0), ("zero", "m1", 0.0)]
+    out = network.network_rank(spark.createDataFrame(doubled, "left string, right string, weight double"), damping=0.5, tolerance=1e-7)
+    found = {(r.side, r.node): r for r in out.collect()}
+    nodes = sorted({("left", a) for a, _ in edges} | {("right", b) for _, b in edges})
+    at = {n: k for k, n in enumerate(nodes)}
+    joint = np.zeros((len(nodes), len(nodes)))
+    for (a, b), w in zip(edges, weights):
+        joint[at["left", a], at["right", b]] = joint[at["right", b], at["left", a]] = w
+    scores = np.full(len(nodes), 1 / len(nodes))
+    for _ in range(500):
+        scores = 0.5 / len(nodes) + 0.5 * joint @ (scores / joint.sum(axis=0))
+    assert set(found) == set(nodes)
+    for n, score in zip(nodes, scores):
+        assert found[n].score == pytest.approx(score, abs=1e-7)
+        assert found[n].degree == (joint[at[n]] > 0).sum() and found[n].strength == pytest.approx(joint[at[n]].sum())
+    assert sum(r.score for r in found.values()) == pytest.approx(1)
+    assert network.network_rank(spark.createDataFrame([], "left string, right string, weight double")).count() == 0
