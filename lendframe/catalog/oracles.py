@@ -720,6 +720,7 @@ def knn(name: str, only: str, k: int, itself: bool) -> None:
 knn("knn_outlier", "action_taken = 1 AND loan_term = 360 AND loan_type = 1", 15, False)
 knn("knn_outlier_all_loans", "TRUE", 15, False)
 knn("knn_include_self", "TRUE", 15, True)
+ORACLES["knn_outlier_pruned"] = f"SELECT src_pos, outlier FROM ({ORACLES['knn_outlier_all_loans']}) x"
 
 # --- file listings ------------------------------------------------------------
 

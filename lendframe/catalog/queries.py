@@ -629,6 +629,13 @@ def knn_include_self(spark, sf):
     return scored.select("src_pos", r6(F.col("knn_distance")).alias("knn_distance"), "outlier")
 
 
+@query
+def knn_outlier_pruned(spark, sf):
+    """All loans again, flags alone, most rows ruled out by bounds from random buckets."""
+    scored = neighbors.pruned_knn_outliers(silver(spark, sf, "lar_wide"), KNN_COLUMNS, key="src_pos")
+    return scored.select("src_pos", "outlier")
+
+
 # --- file listings ------------------------------------------------------------
 
 

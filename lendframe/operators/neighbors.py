@@ -13,7 +13,9 @@ tree and its boxes, 180 bytes a cell with five features: 180 MB for 10 ** 9 dist
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,8 @@ FEATURES = (
 )
 
 CELL_POINTS = 1024
+#: Random trees that bounds are taken from.
+TABLES = 3
 SAMPLE_PER_CELL = 4
 SAMPLE_FLOOR = 4096
 BLOCK = 1 << 20
@@ -115,34 +119,42 @@ def _kth(nearest: Column, k: int) -> Column:
     return F.aggregate(F.array_sort(nearest), start, step)["distance"]
 
 
-def kth_distance(
-    df: DataFrame, features: Sequence[str], k: int = NEIGHBORS, include_self: bool = False
-) -> DataFrame:
-    """Distinct points of ``df`` with ``knn_distance``, unscaled Euclidean.
+class _Cells(NamedTuple):
+    """Distinct points dealt to the cells of a tree (``placed``), and each with what its own cell
+    bounds (``bounded``: ``nearest`` neighbours there, ``reach`` to the k-th)."""
 
-    A row is not its own neighbour unless ``include_self``; equal rows are
-    neighbours at distance zero. Null where there are fewer than ``k`` neighbours.
-    """
+    placed: DataFrame
+    bounded: DataFrame
+    names: list[str]
+    fields: str
+    tasks: int
+    levels: int
+
+
+def _points(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Distinct points as ``x0, x1, ...`` with their number of ``copies``."""
+    values = [col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
     names = [f"x{i}" for i in range(len(features))]
+    return cut_lineage(df.select(*values).groupBy(*names).agg(F.count(F.lit(1)).alias("copies")))
+
+
+def _in_cells(points: DataFrame, k: int, include_self: bool, turn: np.ndarray | None = None) -> _Cells:
+    """Split the points, turned by a matrix if one is given, and search each cell by itself."""
+    names = [n for n in points.columns if n != "copies"]
     fields = ", ".join(f"{n} double" for n in names)
-    points = cut_lineage(
-        df.select(*[col(c).cast("double").alias(n) for c, n in zip(features, names, strict=True)])
-        .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
     total = points.count()
     levels = max(1, math.ceil(math.log2(max(1.0, total / CELL_POINTS))))
-    spark = df.sparkSession
-
     share = max(SAMPLE_FLOOR, SAMPLE_PER_CELL * 2**levels) / max(1, total)
     picked = points.filter(unit_hash(*[F.col(n) for n in names]) < share)
-    dims, cuts = _splits(picked.select(*names).toPandas().to_numpy(dtype=float), levels)
-    shared_splits = spark.sparkContext.broadcast((dims, cuts, levels))
+    sample = picked.select(*names).toPandas().to_numpy(dtype=float)
+    dims, cuts = _splits(sample if turn is None else sample @ turn, levels)
+    shared_splits = points.sparkSession.sparkContext.broadcast((dims, cuts, levels))
 
     @F.pandas_udf("int")
     def cell_of(batch: pd.DataFrame) -> pd.Series:
         split_dims, split_cuts, depth = shared_splits.value
         values = batch.to_numpy(dtype=float)
+        values = values if turn is None else values @ turn
         at = np.ones(len(values), dtype=int)
         rows = np.arange(len(values))
         for _ in range(depth):
@@ -165,14 +177,99 @@ def kth_distance(
         .withColumn("nearest", F.arrays_zip("distance", "copies_near"))
     )
     bounded = cut_lineage(bounded.withColumn("reach", _kth(F.col("nearest"), k)))
-    merged = _search_other_cells(placed, bounded, names, fields, k, tasks, levels)
+    return _Cells(placed, bounded, names, fields, tasks, levels)
+
+
+def kth_distance(
+    df: DataFrame, features: Sequence[str], k: int = NEIGHBORS, include_self: bool = False
+) -> DataFrame:
+    """Distinct points of ``df`` with ``knn_distance``, unscaled Euclidean.
+
+    A row is not its own neighbour unless ``include_self``; equal rows are
+    neighbours at distance zero. Null where there are fewer than ``k`` neighbours.
+    """
+    cells = _in_cells(_points(df, features), k, include_self)
+    merged = _search_other_cells(cells.placed, cells.bounded, cells.names, cells.fields, k, cells.tasks, cells.levels)
     distance = F.when(F.col("reach") < math.inf, F.col("reach"))
     return merged.select(
-        *[F.col(n).alias(c) for c, n in zip(features, names, strict=True)],
+        *[F.col(n).alias(c) for c, n in zip(features, cells.names, strict=True)],
         distance.alias("knn_distance"),
     )
 
 
+def bounded_distance(
+    df: DataFrame, features: Sequence[str], k: int = NEIGHBORS, include_self: bool = False, tables: int = TABLES
+) -> tuple[DataFrame, _Cells]:
+    """Distinct points (``x0, ..., copies, reach``) with an upper bound of their k-th distance, at a cost in proportion to their number.
+
+    Each of ``tables`` trees splits space along other random directions into buckets of about
+    CELL_POINTS points, and a point looks for neighbours in its own buckets only. The least
+    bound counts; infinite where all buckets hold fewer than ``k`` neighbours.
+    """
+    points, rng = _points(df, features), np.random.default_rng(11)
+    first = _in_cells(points, k, include_self)
+    kept = [*first.names, "copies", "reach"]
+    found = first.bounded.select(*kept)
+    for _ in range(tables - 1):
+        turn = np.linalg.qr(rng.normal(size=(len(features), len(features))))[0]
+        found = found.unionAll(_in_cells(points, k, include_self, turn).bounded.select(*kept))
+    return cut_lineage(found.groupBy(*first.names, "copies").agg(F.min("reach").alias("reach"))), first
+
+
+def pruned_knn_outliers(
+    loans: DataFrame,
+    features: Sequence[str] = FEATURES,
+    key: str = INDEX_COLUMN,
+    k: int = NEIGHBORS,
+    contamination: float = CONTAMINATION,
+    include_self: bool = False,
+    tables: int = TABLES,
+    refine: bool = True,
+) -> DataFrame:
+    """``knn_outliers`` for very large tables: key, features, ``knn_distance``, ``exact`` and ``outlier``.
+
+    Bounds from random buckets (``bounded_distance``) rule out most rows: only points whose
+    bound is among the largest are searched exactly. A point's distance is at most its
+    bound, so once the threshold found among these is not below the largest bound left
+    out, it is the threshold of all rows and the flags are those of ``knn_outliers``; until
+    then more points are searched. Rows not searched keep their bound as distance, with
+    ``exact`` false. With ``refine=False`` bounds stand for distances throughout and the
+    flags are approximate. Rows with fewer than ``k`` neighbours have no distance, as there.
+    """
+    rows = loans.select(col(key), *[col(c).cast("double").alias(c) for c in features]).na.drop(subset=list(features))
+    bounds, cells = bounded_distance(rows, features, k, include_self, tables)
+    distinct, total = bounds.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    wanted = int(total * contamination) + 2
+    points = bounds.withColumn("exact", F.lit(False))
+    more = 2 * wanted
+    while refine and total:
+        finite = bounds.select(F.least("reach", F.lit(sys.float_info.max)).alias("reach"))
+        least = exact_quantiles(finite, ["reach"], [max(0.0, 1 - more / distinct)])["reach"][0]
+        chosen = F.col("reach") >= F.lit(least)
+        asked = bounds.filter(chosen).join(cells.bounded.select(*cells.names, "cell", "nearest"), cells.names)
+        searched = _search_other_cells(cells.placed, cut_lineage(asked), cells.names, cells.fields, k, cells.tasks, cells.levels)
+        known = searched.select(*cells.names, F.col("reach").alias("found"))
+        points = cut_lineage(
+            bounds.join(known, cells.names, "left").select(
+                *cells.names, "copies", F.least("reach", "found").alias("reach"), F.col("found").isNotNull().alias("exact")
+            )
+        )
+        left_out = points.filter("not exact").agg(F.max("reach")).first()[0]
+        # so many rows at or beyond the largest bound left out settle the threshold
+        settled = points.filter("exact").filter(F.col("reach") >= F.lit(left_out if left_out is not None else 0.0))
+        if left_out is None or (settled.agg(F.sum("copies")).first()[0] or 0) >= wanted or more >= distinct:
+            break
+        more *= 4
+    named = points.select(
+        *[F.col(n).alias(c) for c, n in zip(features, cells.names, strict=True)],
+        F.when(F.col("reach") < math.inf, F.col("reach")).alias("knn_distance"),
+        "exact",
+    )
+    scored = cut_lineage(rows.join(named, list(features)))
+    limit = exact_quantiles(scored, ["knn_distance"], [1 - contamination])["knn_distance"][0]
+    return scored.withColumn("outlier", F.coalesce(F.col("knn_distance") > F.lit(limit), F.lit(False)))
+
+
 def _tree_boxes(boxes: pd.DataFrame, names: list[str], levels: int) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest corner of every node of the tree; those of empty cells are never met."""
     low = np.full((2 ** (levels + 1), len(names)), math.inf)

@@ -112,3 +112,43 @@ def test_workers_have_the_package(folder):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS" in done.stdout, done.stderr[-2000:]
+
+
+# --- bounds from random buckets -----------------------------------------------
+
+
+def clustered(n, seed):
+    """Clusters of very different density, far strays, and repeated rows."""
+    rng = np.random.default_rng(seed)
+    centres, widths = rng.normal(0, 50, (12, 3)), rng.choice([0.1, 1.0, 6.0], 12)
+    which = rng.integers(12, size=n)
+    values = centres[which] + rng.normal(size=(n, 3)) * widths[which, None]
+    values[: n // 100] = rng.uniform(-300, 300, (n // 100, 3))
+    values[-n // 20 :] = values[n // 2 : n // 2 + n // 20]
+    return np.round(values, 3)
+
+
+@pytest.mark.parametrize("n", [60, 6000])
+def test_pruned_outliers_equal_the_exact_ones(spark, n):
+    values = clustered(n, n)
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(values)] + [(n, None, 1.0, 1.0)], "id long, a double, b double, c double").repartition(4)
+    exact = {r.id: r for r in neighbors.knn_outliers(df, ["a", "b", "c"], "id", contamination=0.02).collect()}
+    pruned = {r.id: r for r in neighbors.pruned_knn_outliers(df, ["a", "b", "c"], "id", contamination=0.02).collect()}
+    assert set(pruned) == set(exact)
+    for i, r in exact.items():
+        assert pruned[i].outlier == r.outlier
+        if r.knn_distance is not None:
+            assert pruned[i].knn_distance >= r.knn_distance - 1e-9
+            assert not pruned[i].exact or pruned[i].knn_distance == pytest.approx(r.knn_distance)
+    if n > 1000:
+        assert sum(r.exact for r in pruned.values()) < n / 4
+        rough = {r.id for r in neighbors.pruned_knn_outliers(df, ["a", "b", "c"], "id", contamination=0.02, refine=False).collect() if r.outlier}
+        true = {i for i, r in exact.items() if r.outlier}
+        assert len(rough & true) >= 0.95 * len(true)
+
+
+def test_pruned_outliers_of_tables_too_small(spark):
+    for n in (0, 1, 5):
+        df = spark.createDataFrame([(i, float(i)) for i in range(n)], "id long, a double")
+        out = neighbors.pruned_knn_outliers(df, ["a"], "id").collect()
+        assert len(out) == n and all(r.knn_distance is None and not r.outlier for r in out)
