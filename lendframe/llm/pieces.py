@@ -6,7 +6,8 @@ a run of symbols in one flat array. Each round finds the best pair of every segm
 merges its leftmost occurrences, and drops what was merged; segments without a pair
 leave the arrays, until none is left. Merging several occurrences of a pair in one
 round is done only for pairs whose piece takes part in no better pair, so that the
-result is that of merging one pair at a time.
+result is that of merging one pair at a time. A segment of more than LONG symbols is merged
+alone, in rounds that touch only the positions of the best rank.
 
 Null texts count as empty and encode to no ids. Repeated rows and ids give a row each.
 """
@@ -14,6 +15,7 @@ Null texts count as empty and encode to no ids. Repeated rows and ids give a row
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +31,31 @@ BLANK = "▁"
 #: Distinct segments a task keeps encoded; beyond it the store starts anew.
 KEPT_SEGMENTS = 400_000
 NONE = np.iinfo(np.int64).max
+#: Segments of more symbols are merged by themselves.
+LONG = 2048
+#: Merges so many times the longest piece apart don't touch each other.
+REACH = 3
+
+
+def _check_rules(raw: bytes) -> None:
+    """Refuse a model whose texts are prepared in another way than by blanks turned into marks, one put before."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(raw)
+    rules, made = model.normalizer_spec, model.trainer_spec
+    odd = {
+        "no pair merges": made.model_type != made.BPE,
+        "a character map": bool(rules.precompiled_charsmap),
+        "no blank before the text": not rules.add_dummy_prefix,
+        "blanks that are squeezed": rules.remove_extra_whitespaces,
+        "blanks that stay blanks": not rules.escape_whitespaces,
+        "blanks after words": made.treat_whitespace_as_suffix,
+        "no byte pieces": not made.byte_fallback,
+        "symbols of users": any(p.type == p.USER_DEFINED for p in model.pieces),
+    }
+    if any(odd.values()):
+        raise ValueError(f"this model has {', '.join(k for k, v in odd.items() if v)}")
 
 
 class PieceModel:
@@ -38,6 +65,7 @@ class PieceModel:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        _check_rules(model.serialized_model_proto())
         size = model.get_piece_size()
         text = [model.id_to_piece(i) for i in range(size)]
         skipped = [model.is_control(i) or model.is_unknown(i) or model.is_byte(i) for i in range(size)]
@@ -65,6 +93,7 @@ class PieceModel:
         self.calm = np.zeros(self.symbols, bool)
         for piece, i in normal.items():
             self.calm[i] = grows[piece] > ranks[piece]
+        self.longest = max(map(len, normal))
         self.of_char = np.full(0x110000, -1, np.int64)
         for piece, i in symbol.items():
             if len(piece) == 1:
@@ -146,11 +175,101 @@ class PieceModel:
         order = np.argsort(origin, kind="stable")
         return symbols[order], np.bincount(owner, minlength=len(lengths))
 
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """Merge rounds over one long segment, whose cost follows the hits and not the length.
+
+        Positions wait by the rank of their pair, and a round takes the best rank that waits.
+        Leftmost occurrences merge together, but for those whose merged symbol makes a still
+        better pair: what such a pair can grow to is a piece, so it touches no occurrence that
+        lies REACH pieces' lengths away. Of occurrences nearer to each other, those behind the
+        first such one wait until its better pairs are done.
+        """
+        symbols, far = symbols.copy(), REACH * self.longest
+        n = len(symbols)
+        after, before, alive = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+        after[-1] = -1
+        pair = np.append(self.pair(symbols[:-1], symbols[1:]), -1)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(at: np.ndarray) -> None:
+            at = at[pair[at] >= 0]
+            own = self.pair_rank[pair[at]]
+            order = np.argsort(own, kind="stable")
+            at, own = at[order], own[order]
+            edges = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else []
+            for part, rank in zip(np.split(at, edges[1:]), own[edges].tolist() if len(own) else []):
+                if rank not in waiting:
+                    waiting[rank] = []
+                    heapq.heappush(ranks, rank)
+                waiting[rank].append(part)
+
+        def rank_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            row = self.pair(left, right)
+            return np.where(row >= 0, self.pair_rank[row], NONE)
+
+        wait(np.arange(n))
+        while ranks:
+            rank = heapq.heappop(ranks)
+            hit = np.unique(np.concatenate(waiting.pop(rank)))
+            hit = hit[alive[hit] & (pair[hit] >= 0)]
+            hit = hit[self.pair_rank[pair[hit]] == rank]
+            if not len(hit):
+                continue
+            # of hits that overlap, every second one counts, from the left
+            run_head = np.r_[True, after[hit[:-1]] != hit[1:]]
+            place = np.arange(len(hit))
+            place -= np.maximum.accumulate(np.where(run_head, place, 0))
+            hit = hit[place % 2 == 0]
+            made = self.pair_piece[pair[hit]]
+            second = after[hit]
+            third, ahead = after[second], before[hit]
+            if not self.calm[made].all():
+                beside = np.r_[False, second[:-1] == ahead[1:]]
+                left = np.where(ahead >= 0, symbols[ahead], -1)
+                left[beside] = made[:-1][beside[1:]]
+                right = np.where(third >= 0, symbols[third], -1)
+                hot = (rank_of(left, made) < rank) | (rank_of(made, right) < rank)
+                cluster = np.cumsum(np.r_[True, hit[1:] - hit[:-1] > far])
+                passed = np.cumsum(hot) - hot
+                first = np.r_[True, cluster[1:] != cluster[:-1]]
+                now = passed == np.maximum.accumulate(np.where(first, passed, 0))
+                if not now.all():
+                    wait(hit[~now])
+                    hit, made, second, third = hit[now], made[now], second[now], third[now]
+            symbols[hit] = made
+            alive[second] = False
+            after[hit] = third
+            before[third[third >= 0]] = hit[third >= 0]
+            ahead = before[hit]
+            touched = np.unique(np.concatenate([hit, ahead[ahead >= 0]]))
+            touched = touched[alive[touched]]
+            follow = after[touched]
+            pair[touched] = np.where(follow >= 0, self.pair(symbols[touched], symbols[follow]), -1)
+            wait(touched)
+        return symbols[alive]
+
+    def merge_all(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Final symbols of segments end to end, and their number per segment; long segments go by themselves."""
+        points = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+        symbols, sizes = self.of_char[points], np.array([len(s) for s in segments], np.int64)
+        long = np.flatnonzero(sizes > LONG)
+        if not len(long):
+            return self.merge(symbols, sizes)
+        starts = np.cumsum(sizes) - sizes
+        short = np.repeat(sizes <= LONG, sizes)
+        merged, counts = self.merge(symbols[short], np.where(sizes <= LONG, sizes, 0))
+        parts, at = [], np.cumsum(counts) - counts
+        done = 0
+        for k in long.tolist():
+            own = self.merge_long(symbols[starts[k] : starts[k] + sizes[k]])
+            parts += [merged[done : at[k]], own]
+            done, counts[k] = at[k], len(own)
+        return np.concatenate([*parts, merged[done:]]), counts
+
     def learn(self, segments: list[str]) -> None:
         """Encode new distinct segments and keep them."""
-        sizes = np.array([len(s) for s in segments], np.int64)
-        points = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
-        symbols, counts = self.merge(self.of_char[points], sizes)
+        symbols, counts = self.merge_all(segments)
         odd = (symbols < 0) | (symbols >= self.size)
         if odd.any():
             symbols, counts = self._fall_back(segments, symbols, counts, odd)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -99,6 +100,39 @@ def test_pieces_equal_the_library(spark, odd):
     assert pieces.digest_documents(odd.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("word", ["letters", "few", "a", "ab", "the", "ational", "mixed"])
+def test_one_very_long_word(word):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path, rng = vocabulary("piece_bpe_32k.model"), random.Random(8)
+    library, model = sentencepiece.SentencePieceProcessor(model_file=path), pieces.load(path)
+    alphabet = {"letters": "abcdefghijklmnopqrstuvwxyz", "few": "etaoins", "mixed": "éab日😀=-THe1"}.get(word)
+    text = "".join(rng.choice(alphabet) for _ in range(30_000)) if alphabet else word * (30_000 // len(word))
+    for t in (text, f"x {text} y", "z" + text[:3000]):
+        assert model.encode([t])[0].tolist() == library.encode(t)
+
+
+def test_a_word_of_a_million_letters_takes_seconds():
+    path, rng = vocabulary("piece_bpe_32k.model"), random.Random(8)
+    model = pieces.load(path)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    start = time.perf_counter()
+    ids, counts, _ = model.encode([text])
+    assert time.perf_counter() - start < 10 and counts[0] == len(ids) > 300_000
+    assert model.decode(ids, counts) == [text.encode()]
+
+
+def test_models_with_other_rules_are_refused():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    from sentencepiece import sentencepiece_model_pb2
+
+    own = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(own.serialized_model_proto())
+    model.normalizer_spec.remove_extra_whitespaces = True
+    with pytest.raises(ValueError, match="squeezed"):
+        pieces._check_rules(model.SerializeToString())
+
+
 def test_token_files_read_back(spark, odd, folder):
     tokenizers = pytest.importorskip("tokenizers")
     path = vocabulary("word_bpe_49k.json")
