@@ -12,7 +12,7 @@ Windows that share no shingle with any item of their size have similarity 0 and
 hashed. The radius lies above four standard deviations of the distance of fingerprints at
 the least similarity, so that pairs at it are practically never missed.
 
-Items are taken in blocks of ITEMS, one pass over the documents per block. Items and
+Items are taken in blocks of about ITEMS and ITEM_BYTES, one pass over the documents per block. Items and
 documents without words match nothing; null texts count as empty; items of fewer than five
 words match the same words in a row. Repeated rows of either side get rows each.
 """
@@ -25,6 +25,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lendframe.llm.arrow import chunks, column, utf8
 from lendframe.llm.shingles import WIDTH, mix, shingle_hashes, word_hashes, words
@@ -35,6 +36,8 @@ BLOCKS = 8
 BITS = 64
 #: Items of one pass; their shingles and tables go to every task.
 ITEMS = 20_000
+#: And their texts, in bytes.
+ITEM_BYTES = 64 << 20
 _BLOCK_BITS = BITS // BLOCKS
 _SHIFTS = np.arange(BITS, dtype=np.uint64)
 
@@ -64,7 +67,7 @@ def weighted_similarity(left: np.ndarray, right: np.ndarray) -> float:
 class ItemIndex:
     """Items of one pass: who holds each shingle, and block tables by size."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list, texts: list[str]):
         self.ids, self.items, self.words = [], [], []
         data, offsets = utf8(pa.array(texts, pa.string()))
         starts, stops, counts = words(data, offsets)
@@ -169,7 +172,8 @@ class ItemIndex:
 
 
 def _passes(benchmark: DataFrame) -> list[DataFrame]:
-    count = max(1, -(-benchmark.count() // ITEMS))
+    rows, size = benchmark.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    count = max(1, -(-rows // ITEMS), -(-size // ITEM_BYTES))
     block = F.pmod(F.xxhash64("item_id"), F.lit(count))
     return [benchmark.filter(block == k) for k in range(count)]
 
@@ -214,7 +218,7 @@ def _one_pass(docs: DataFrame, items: DataFrame) -> DataFrame:
     kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType
     schema = f"doc_id {kind}, item_id {item_kind.simpleString()}, similarity double, first_word long, n_words long"
     names = ["doc_id", "item_id", "similarity", "first_word", "n_words"]
-    arrow_item = pa.int32() if item_kind.simpleString() == "int" else pa.int64()
+    arrow_item = to_arrow_type(item_kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

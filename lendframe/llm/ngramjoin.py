@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lendframe.llm.arrow import chunks, column, list_array, utf8
 from lendframe.llm.components import connect
+from lendframe.llm.naming import free_names
 from lendframe.llm.shingles import mix, text_shingles
 from lendframe.session import cut_lineage
 
@@ -466,12 +467,13 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     of them stays.
     """
     found = cut_lineage(join_rows(docs).withColumn("alone", F.col("key").isNull()))
-    chosen = found.filter("leads").groupBy(F.col("doc_id").alias("__id"), "key", "alone").agg(F.min("version").alias("__version"), F.count("*").alias("rows"))
-    chosen = cut_lineage(chosen.select("__id", "__version", "alone", ((F.col("rows") > 1) & ~F.col("alone")).alias("__again")).distinct())
+    own, seen, again = free_names(docs, "__id", "__version", "__again")
+    chosen = found.filter("leads").groupBy(F.col("doc_id").alias(own), "key", "alone").agg(F.min("version").alias(seen), F.count("*").alias("rows"))
+    chosen = cut_lineage(chosen.select(own, seen, ((F.col("rows") > 1) & ~F.col("alone")).alias(again)).distinct())
     columns = [F.col(f"`{c}`") for c in docs.columns]
     version = F.xxhash64("text")
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (version == F.col("__version")))
-    if chosen.filter("__again").isEmpty():
+    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col(own)) & (version == F.col(seen)))
+    if chosen.filter(F.col(again)).isEmpty():
         return kept.select(*columns)
-    once = kept.filter("__again").dropDuplicates(["__id", "__version"])
-    return kept.filter("not __again").select(*columns).unionAll(once.select(*columns))
+    once = kept.filter(F.col(again)).dropDuplicates([own, seen])
+    return kept.filter(~F.col(again)).select(*columns).unionAll(once.select(*columns))

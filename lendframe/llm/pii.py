@@ -16,10 +16,13 @@ Positions are code points from 0, the end exclusive. Repeated rows get a row eac
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lendframe.llm.naming import free_names
+
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _LABEL = r"[A-Za-z0-9-]"
@@ -59,6 +62,10 @@ FEATURES = ("size", "marks", "before", "lead")
 #: Candidates at or above this score are added.
 ACCEPT = 0.9
 ROUNDS = 60
+#: Arrays of more items are worked through in blocks.
+LONG = 64
+#: Characters of a part of a text.
+PART = 2048
 
 
 def _passes(kind: str, span: Column) -> Column:
@@ -86,24 +93,51 @@ def luhn(digits: Column) -> Column:
     return total % 10 == 0
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(items: Column, zero: Column, fold: Callable[[Column, Column], Column], put: Callable[[Column, Column], Column], kind: str) -> Column:
+    """``put(state, item)`` of every item, where the state is the fold of the items before it.
+
+    ``fold`` must also take a fold in place of an item's state: it is applied to whole blocks.
+    Appending to an array copies it, so long arrays are cut into as many blocks as a block
+    has items: blocks are folded first, then every block goes on from those before it.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+
+    def plain(part: Column, state: Column) -> Column:
+        start = F.struct(state.alias("state"), empty.alias("made"))
+        return F.aggregate(part, start, lambda acc, x: F.struct(fold(acc["state"], x).alias("state"), F.concat(acc["made"], F.array(put(acc["state"], x))).alias("made")), lambda acc: acc["made"])
+
+    def in_blocks(whole: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(whole))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / size).cast("int")), lambda b: F.slice(whole, b * size + 1, size))
+        return let(blocks, lambda parts: F.flatten(F.zip_with(parts, starts(parts), plain)))
+
+    def starts(parts: Column) -> Column:
+        start = F.struct(zero.alias("state"), F.array().cast("array<int>").alias("made"))
+        return F.aggregate(parts, start, lambda acc, part: F.struct(F.aggregate(part, acc["state"], fold).alias("state"), F.concat(acc["made"], F.array(acc["state"])).alias("made")), lambda acc: acc["made"])
+
+    return let(items, lambda whole: F.when(F.size(whole) > LONG, in_blocks(whole)).otherwise(plain(whole, zero)))
+
+
 def _located(text: Column, pattern: str, needs: str) -> Column:
     """Matches of a pattern as ``array<struct<start, end, span, before>>``.
 
-    The text is cut at the matches; a fold over pieces and matches adds up their lengths.
+    The text is cut at the matches, and the lengths of pieces and matches are added up.
     """
-    kind = "array<struct<start:int,end:int,span:string,before:string>>"
+    kind = "struct<start:int,end:int,span:string,before:string>"
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("span"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + F.length(pair["piece"])
-        end = begin + F.length(pair["span"])
-        here = F.struct(begin.alias("start"), end.alias("end"), pair["span"].alias("span"), F.right(pair["piece"], F.lit(CONTEXT)).alias("before"))
-        more = F.struct(end.alias("at"), F.concat(acc["found"], F.array(here)).alias("found"))
-        return F.when(pair["span"].isNull(), acc).otherwise(more)
+    def put(at: Column, pair: Column) -> Column:
+        begin = at + F.length(pair["piece"])
+        return F.struct(begin.alias("start"), (begin + F.length(pair["span"])).alias("end"), pair["span"].alias("span"), F.right(pair["piece"], F.lit(CONTEXT)).alias("before"))
 
-    found = F.aggregate(pairs, start, step, lambda acc: acc["found"])
-    return F.when(text.rlike(needs), found).otherwise(F.array().cast(kind))
+    matched = F.filter(pairs, lambda p: p["span"].isNotNull())
+    found = running(matched, F.lit(0), lambda at, pair: at + F.length(pair["piece"]) + F.length(pair["span"]), put, kind)
+    return F.when(text.rlike(needs), found).otherwise(F.array().cast(f"array<{kind}>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -239,24 +273,53 @@ def _score(c: Column, weights: dict[tuple[str, int], float]) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
+_SPAN = "struct<start:int,own:int,order:int,end:int,kind:string,met:boolean>"
+
+
+def _apart(base: Column, found: Column) -> Column:
+    """The spans of ``found`` that meet none of ``base``.
+
+    Both go in one array by start. A span meets one before it that ends behind its start, the
+    farthest end so far tells; or one behind it that starts before its end, the nearest start
+    coming from behind tells.
+    """
+
+    def listed(spans: Column, own: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(own).alias("own"), s["order"].alias("order"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(False).alias("met")))
+
+    def put(met: Callable[[Column, Column], Column]) -> Callable[[Column, Column], Column]:
+        return lambda state, s: F.struct(*(s[f].alias(f) for f in ("start", "own", "order", "end", "kind")), (s["met"] | (s["own"] == 1) & met(state, s)).alias("met"))
+
+    together = F.array_sort(F.concat(listed(base, 0), listed(found, 1)))
+    ahead = running(together, F.lit(-1), lambda end, s: F.when(s["own"] == 0, F.greatest(end, s["end"])).otherwise(end), put(lambda end, s: end > s["start"]), _SPAN)
+    behind = running(F.reverse(ahead), F.lit(2**31 - 1), lambda start, s: F.when(s["own"] == 0, F.least(start, s["start"])).otherwise(start), put(lambda start, s: start < s["end"]), _SPAN)
+    return F.filter(F.reverse(behind), lambda s: (s["own"] == 1) & ~s["met"])
+
+
 def all_spans(text: Column, base: Column, weights: dict[tuple[str, int], float]) -> Column:
     """Base spans and accepted candidates, by start, then kind."""
-    kept = F.filter(
-        candidates(text),
-        lambda c: (_score(c, weights) >= ACCEPT)
-        & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )
-    plain = F.transform(kept, lambda c: F.struct(c["start"].alias("start"), c["order"].alias("order"), c["end"].alias("end"), c["kind"].alias("kind")))
-    return F.array_sort(F.concat(base, plain))
+    accepted = F.filter(candidates(text), lambda c: _score(c, weights) >= ACCEPT)
 
+    def joined(kept: Column) -> Column:
+        plain = F.transform(kept, lambda c: F.struct(c["start"].alias("start"), c["order"].alias("order"), c["end"].alias("end"), c["kind"].alias("kind")))
+        return F.array_sort(F.concat(base, plain))
 
-def find_personal_data(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (all by default) with ``__base`` and ``__spans`` arrays; learned from ``docs`` itself."""
+    few = lambda found: F.filter(found, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    return let(accepted, lambda found: joined(F.when(F.size(found) + F.size(base) > LONG, F.transform(_apart(base, found), _bare)).otherwise(F.transform(few(found), _bare))))
+
+
+def _bare(s: Column) -> Column:
+    return F.struct(*(s[f].alias(f) for f in ("start", "order", "end", "kind")))
+
+
+def find_personal_data(docs: DataFrame, keep: list[str] | None = None, names: tuple[str, str, str] = ("__text", "__base", "__spans")) -> DataFrame:
+    """``keep`` columns (all by default) with text, base and all spans under the ``names`` given; learned from ``docs`` itself."""
     weights = learn(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
     kept = [F.col(f"`{c}`") for c in (keep if keep is not None else docs.columns)]
-    based = docs.select(*kept, text.alias("__text"), base_spans(text).alias("__base"))
-    return based.select(*kept, "__text", "__base", all_spans(F.col("__text"), F.col("__base"), weights).alias("__spans"))
+    own, base, spans = names
+    based = docs.select(*kept, text.alias(own), base_spans(text).alias(base))
+    return based.select(*kept, own, base, all_spans(F.col(own), F.col(base), weights).alias(spans))
 
 
 def written(spans: Column) -> Column:
@@ -273,17 +336,28 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; null texts stay null."""
-    found = find_personal_data(docs)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("__text"), acc["at"] + F.lit(1), s["start"] - acc["at"])
-        more = F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out"))
-        inside = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when(s["start"] >= acc["at"], more).otherwise(inside)
-
-    def finish(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(F.col("__text"), acc["at"] + F.lit(1), F.length("__text")))
-
-    clean = F.when(F.size("__spans") == 0, F.col("text")).otherwise(F.aggregate("__spans", start, step, finish))
-    return found.withColumn("text", clean).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = free_names(docs, "__text", "__base", "__spans")
+    found = find_personal_data(docs, names=names)
+    text, spans = F.col(names[0]), F.col(names[2])
+
+    def between(parts: Column, low: Column, high: Column) -> Column:
+        """Text from a place up to another, from parts of PART characters: to count from the start each time would be quadratic."""
+        first, last = (F.floor(x / PART).cast("int") for x in (low, high))
+        inside = F.substring(F.get(parts, first), low % PART + 1, high - low)
+        head = F.substring(F.get(parts, first), low % PART + 1, F.lit(PART))
+        middle = F.array_join(F.slice(parts, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        tail = F.substring(F.coalesce(F.get(parts, last), F.lit("")), F.lit(1), high % PART)
+        return F.when(low >= high, F.lit("")).when(first == last, inside).otherwise(F.concat(head, middle, tail))
+
+    def clean(parts: Column) -> Column:
+        def put(at: Column, s: Column) -> Column:
+            # a span that starts inside another gives nothing
+            return F.when(s["start"] >= at, F.concat(between(parts, at, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(F.lit(""))
+
+        pieces = running(spans, F.lit(0), lambda at, s: F.greatest(at, s["end"]), put, "string")
+        end = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, ""), between(parts, end, F.length(text)))
+
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), 0)
+    redacted = F.when(F.size(spans) == 0, F.col("text")).otherwise(let(parts, clean))
+    return found.withColumn("text", redacted).select(*[F.col(f"`{c}`") for c in docs.columns])

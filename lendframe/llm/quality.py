@@ -23,6 +23,7 @@ from functools import cache
 
 from lendframe.llm.arrow import chunks, column
 from lendframe.llm.codepoints import balanced_sample, flat_points, remainder
+from lendframe.llm.naming import free_names
 from lendframe.llm.shingles import mix
 
 PASSAGE = 256
@@ -209,10 +210,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL) ->
     return train([t for t, _ in clear], np.array([q for _, q in clear], np.float32), float(share["p"]))
 
 
-def score_documents(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """All columns of ``docs`` and ``__quality``, a score from 0 to 1."""
+def score_documents(docs: DataFrame, model: QualityModel | None, name: str = "__quality") -> DataFrame:
+    """All columns of ``docs`` and one of the ``name`` given, a score from 0 to 1."""
     if model is None:
-        return docs.withColumn("__quality", F.lit(0.5))
+        return docs.withColumn(name, F.lit(0.5))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
@@ -221,7 +222,7 @@ def score_documents(docs: DataFrame, model: QualityModel | None) -> DataFrame:
             parts = [shared.value.scores(text[a:b].fill_null("").to_pylist()) for a, b in chunks(text)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
-    return docs.withColumn("__quality", score(F.col("text")))
+    return docs.withColumn(name, score(F.col("text")))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -232,7 +233,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels.filter(remainder("doc_id", 4) != 2))
     if model is None:
         return docs
-    return score_documents(docs, model).filter(F.col("__quality") >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
+    (name,) = free_names(docs, "__quality")
+    return score_documents(docs, model, name).filter(F.col(name) >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -5,15 +5,19 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from compare import compare, connect
 
 import __spark_entry__ as driver
-from lendframe.llm import divergence, recompression, substrings, vectorcodes
+import corpus_pipeline
+from lendframe.llm import decontaminate, divergence, neighbours, pii, recompression, substrings, vectorcodes
 from lendframe.llm.shingles import words
 from lendframe.llm.transducer import Streamer, Transducer
+from lendframe.session import cut_lineage
 
 SF1 = "/root/testdata/sf0.01"
 TERMS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -279,3 +283,119 @@ def test_distant_windows_rarely_share_an_anchor():
     assert len(own) < len(names) / 3
     _, times = np.unique(own, return_counts=True)
     assert times[times > 1].sum() < 0.2 * len(own)
+
+
+# --- names and ids ------------------------------------------------------------
+
+#: Names that the operators use for columns of their own.
+TAKEN = """alone again rows key version leads __id __version __again __quality __text __base __spans score holder component label node n m a b item items
+counts block blocks ids sizes texts name check times whole lang_pred token verdict host path rule start end kind spans text_ docs term number ordinal rank""".split()
+
+
+def test_stages_take_any_extra_columns(spark):
+    """Every stage on a table whose other columns have the names that operators use, in any case."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = [n for n in TAKEN if n not in docs.columns]
+    wide = docs.select("*", *[F.lit(k).alias(n.upper() if k % 3 == 0 else n) for k, n in enumerate(names)])
+    plain = docs
+    for name, stage in corpus_pipeline.STAGES:
+        plain, wide = (cut_lineage(stage(spark, x, sf)) for x in (plain, wide))
+        if name == "encode":
+            break
+        assert wide.columns[: len(docs.columns)] == docs.columns and len(wide.columns) == len(docs.columns) + len(names)
+        rows = [sorted(map(tuple, x.select(*docs.columns).collect()), key=repr) for x in (plain, wide)]
+        assert rows[0] == rows[1] and rows[0]
+        odd = wide.select(*[F.col(f"`{c}`") for c in wide.columns[len(docs.columns) :]]).distinct().collect()
+        assert [tuple(r) for r in odd] == [tuple(range(len(names)))]
+
+
+def test_item_ids_may_be_text_and_vector_ids_may_not(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    named = items.withColumn("item_id", F.concat(F.lit("item-"), F.col("item_id").cast("string")))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, named).collect()}
+    assert found == {(r.doc_id, f"item-{r.item_id}") for r in decontaminate.find_leaks(docs, items).collect()} and found
+    with pytest.raises(TypeError, match="whole number"):
+        neighbours.link_vectors(spark.createDataFrame([("x", [1.0], 1)], "vec_id string, embedding array<float>, label int"))
+
+
+def test_vectors_of_any_size_are_linked(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1.01e200], 1), (3, [1e-200, 1e-200], 1), (4, [1e-320, 1e-320], 1), (5, [1e200, -1e200], 1), (6, [0.0, 0.0], 1)]
+    found = neighbours.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 3, 1, True), (2, 3, 1, False), (3, 3, 1, False), (4, 3, 1, False), (5, 0, 5, True), (6, 0, 6, True)]
+
+
+# --- personal data ------------------------------------------------------------
+
+
+def test_many_spans_in_one_text_take_seconds(spark):
+    line = "Call +49 30 1234567 or mail a.b@c.de, host 10.1.2.3, card 4111 1111 1111 1111; tel +44 20 7946 0123\n"
+    pii.report(spark.createDataFrame([(1, line)], "doc_id long, text string")).collect()
+    docs = spark.createDataFrame([(1, line * 20_000)], "doc_id long, text string")
+    start = time.perf_counter()
+    (row,) = pii.report(docs).collect()
+    assert time.perf_counter() - start < 30
+    assert (row.n_phone, row.n_email, row.n_ip, row.n_card) == (40_000, 20_000, 20_000, 20_000)
+    spans = [s.split(":") for s in row.spans.split(",")]
+    assert len(spans) >= 100_000 and spans[5][0] == "phone" and int(spans[5][1]) == len(line) + 5
+
+
+def test_spans_in_blocks_equal_spans_one_by_one(spark, monkeypatch):
+    rng = random.Random(11)
+    parts = ["+49 30 1234567", "a.b@c.de", "10.1.2.3", "4111 1111 1111 1111", "030-555-1234", "john (at) mail.example.com", "日本", "x", "😀", "4111-1111-1111-1111 4111-1111-1111-1111", "call", "1.2.3.4.5.6"]
+    rows = [(k, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 120)))) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {}
+    for size in (64, 100_000, 0):
+        monkeypatch.setattr(pii, "LONG", size)
+        monkeypatch.setattr(pii, "PART", 2048 if size == 64 else 7)
+        found[size] = (sorted(map(tuple, pii.report(docs).collect())), sorted(map(tuple, pii.redact(docs).collect())))
+    assert found[64] == found[100_000] == found[0]
+    # a text made of its spans and what lies between them
+    spans = {r[0]: r[-1] for r in found[64][0]}
+    for (doc, text), (_, clean) in zip(rows, found[64][1]):
+        out, at = "", 0
+        for kind, a, b in (s.split(":") for s in spans[doc].split(",") if s):
+            if int(a) >= at:
+                out += text[at : int(a)] + f"[{kind.upper()}]"
+            at = max(at, int(b))
+        assert clean == out + text[at:]
+
+
+def test_added_spans_hold_precision_and_recall(spark):
+    """Forms that the base patterns don't know, among numbers that are no personal data."""
+    rng = random.Random(12)
+    names, hosts = ["anna", "j.doe", "max_m", "k-lee", "info", "sales"], ["mail.example.com", "gmail.com", "web.de", "outlook.com", "gmx.net"]
+
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def mail():
+        name, (host, _, end) = rng.choice(names), rng.choice(hosts).rpartition(".")
+        return rng.choice([f"{name}{k} (at) {host}.{end}" if rng.random() < 0.5 else f"{name}{k}[at]{host}.{end}" for k in [rng.randint(1, 99)]])
+
+    def phone():
+        return rng.choice(["", "00"]) + f"49 {rng.randint(30, 99)}0 {digits(3)} {digits(4)}" if rng.random() < 0.5 else f"0044 20 {digits(4)} {digits(4)}"
+
+    true = [("email", mail, ["write to", "e-mail", "contact"]), ("phone", phone, ["call", "phone", "tel", "mobile"])]
+    false = [lambda: f"page {rng.randint(1, 400)}-{rng.randint(400, 900)}", lambda: f"version {rng.randint(1, 9)}.{rng.randint(0, 9)}", lambda: f"isbn 978 {digits(1)} {digits(3)} {digits(4)} {digits(1)}",
+             lambda: f"year 2019-{rng.randint(10, 12)}-{rng.randint(10, 28)}", lambda: "meet (at) noon sharp", lambda: f"table {digits(3)}"]
+    rows, planted = [], set()
+    for doc in range(600):
+        text = ""
+        for _ in range(rng.randint(1, 4)):
+            if rng.random() < 0.5:
+                kind, make, words_ = rng.choice(true)
+                text += f"{rng.choice(words_)} "
+                span = make()
+                planted.add((doc, kind, len(text), len(text) + len(span)))
+                text += span + " . "
+            else:
+                text += rng.choice(false)() + " , "
+        rows.append((doc, text))
+    found = set()
+    for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found |= {(r.doc_id, k, int(a), int(b)) for k, a, b in (s.split(":") for s in r.spans.split(",") if s)}
+    assert len(found & planted) >= 0.9 * len(planted)
+    assert len(found & planted) >= 0.9 * len(found)
