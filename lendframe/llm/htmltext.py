@@ -1,15 +1,20 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks at block-level tags. The first pass classifies each block: what
-lies in menus, headers, footers, sidebars, forms, notices, adverts or comments is bad, and
-so is a block of links. A form that holds an article or long prose is no such form, and an
-article inside a menu, header or named container counts nonetheless. A block inside an ``article`` or ``main`` element is good. Other
-blocks are good if long enough and dense in stop words, bad if long and without them, and
-else ambiguous; where the page or the block shows that the stop words are not of its language,
-long blocks of words with few links are good. In the second pass an ambiguous block takes the label of its nearest decided
-neighbour; of two at the same distance that differ, it takes the good one if it is a heading
-or follows a good block of its own kind of element, else the bad one. Without any decided
-block, ambiguous blocks are good.
+A page is cut into blocks at block-level tags. The first pass classifies each block by the
+density of its stop words, its length and its links. A block of links is bad. A block is good if
+dense in stop words, or if long with some and few links; it is bad if it has hardly any and is
+not long; short blocks, and those alone in a small container, are ambiguous. Where the page or
+the block shows that the stop words are not of its language, long blocks of words with few
+links are good. What a page says of itself has a vote: what lies in menus, headers, footers,
+sidebars, forms, notices, adverts or comments is bad, as is a short block with a copyright
+sign, and what lies in an ``article`` or ``main`` element is good unless it is a block of links.
+A form that holds an article or long prose is no such form, and an article inside a menu, header
+or named container counts nonetheless.
+
+In the second pass an ambiguous block takes the label of its nearest decided neighbour, one in
+another container being farther off; of two at the same distance that differ, it takes the good
+one if it is a heading or follows a good block of its own kind of element, else the bad one.
+Without any decided block, ambiguous blocks are good.
 
 Buttons, choices, drawings, templates and annotations of formulas are left out, and end with
 their parents; what else formulas and objects hold is text.
@@ -32,14 +37,36 @@ from pyspark.sql import DataFrame
 from lendframe.llm.arrow import chunks, column
 
 GOOD, BAD, OPEN = 1, -1, 0
+#: Attributes up to the next tag; or some with a ``<`` in quotes, of bounded length: an open quote
+#: could else make every tag look through the whole page.
+_PLAIN = r"""(?:[^>"'<]++|"[^"<]*+"|'[^'<]*+')*+"""
+_QUOTED = r"""(?:[^>"'<]++|"[^"]{0,1024}+"|'[^']{0,1024}+'){0,8}+"""
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)
-    | <(script|style|textarea|title|iframe)\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</\1\s*>|\Z)
-    | <(/?)([a-z][a-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>
+    rf"""<!--.*?(?:-->|\Z)
+    | <(script|style|textarea|title|iframe)\b(?:{_PLAIN}|{_QUOTED})>.*?(?:</\1\s*>|\Z)
+    | <(/?)([a-z][a-z0-9:-]*)({_PLAIN}|{_QUOTED})>
     | <(/?)([a-z][a-z0-9:-]*)([^>]*+)>
     | <[!?][^>]*+>""",
     re.X | re.S | re.I,
 )
+
+
+def tokens(page: str) -> Iterator[re.Match[str]]:
+    """Tags, comments and raw elements; nothing behind the last ``>`` can be one."""
+    return TOKEN.finditer(page, 0, page.rfind(">") + 1)
+
+
+def end_of_text(page: str, last: re.Match[str] | None) -> int:
+    """Where the text ends: an element or comment that nothing closes takes all behind it."""
+    end = page.rfind(">") + 1
+    if last is not None and last.end() == end:
+        raw = last[0].lower()
+        if last[1] and not raw.rstrip("> \t\r\n\f").endswith(f"</{last[1].lower()}") or raw.startswith("<!--") and not raw.endswith("-->"):
+            return last.start()
+    open_ = page.find("<!--", end)
+    return len(page) if open_ < 0 else open_
+
+
 INLINE = frozenset(
     """a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark object param q s samp small span strike strong sub sup time tt u var wbr
     math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup
@@ -88,6 +115,10 @@ STOP_WORDS = frozenset(
 #: A block of fewer words is ambiguous unless its container or its links decide.
 SHORT_WORDS = 12
 LINKED = 0.5
+#: Blocks of more words have no few of anything by chance; containers of fewer are notices as often as text.
+LONG_WORDS, LONE_WORDS = 40, 20
+#: So many blocks farther off is a neighbour that lies in another container.
+APART_BOX = 4
 DENSE, SPARSE = 0.22, 0.08
 #: The stop words fit a page if blocks dense in them hold this share of its words, and a block if so few of its letters are foreign.
 FITS, FOREIGN = 0.1, 0.02
@@ -105,6 +136,8 @@ class Block:
     label: int
     heading: bool
     element: str
+    #: Number of the container it lies in.
+    box: int = 0
 
 
 @dataclass
@@ -119,6 +152,7 @@ class Place:
     lifted: bool = False
     #: The nearest form or noscript.
     form: int = -1
+    number: int = 0
 
 
 @dataclass
@@ -150,7 +184,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[Place] = [Place()]
     forms: list[Form] = []
     pieces: list[str] = []
-    linked = links = 0
+    linked = links = boxes = 0
     element, at, in_head = "", 0, False
 
     def close() -> None:
@@ -159,13 +193,13 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
                 place = Place(apart=FIRM) if in_head else stack[-1]
-                found.append((Block(text, OPEN, element[:1] == "h" and element[1:].isdigit(), element), place, linked))
+                found.append((Block(text, OPEN, element[:1] == "h" and element[1:].isdigit(), element, stack[-1].number), place, linked))
             pieces.clear()
         linked = 0
 
     skips = hidden(page) if HAS_HIDDEN.search(page) else {}
-    until = 0
-    for token in TOKEN.finditer(page):
+    until, token = 0, None
+    for token in tokens(page):
         if token.start() < until:
             continue
         if until > at:
@@ -204,15 +238,17 @@ def blocks(page: str) -> list[Block]:
             continue
         if not ends:
             in_head = in_head and name == "noscript"
+            boxes += 1
             stack.append(enter(name, attributes, stack[-1], forms))
+            stack[-1].number = boxes
         else:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].name == name:
                     del stack[depth:]
                     break
-    at = max(at, until)
-    if at < len(page):
-        pieces.append(page[at:])
+    at, end = max(at, until), end_of_text(page, token)
+    if at < end:
+        pieces.append(page[at:end])
     close()
     return judge(found, forms)
 
@@ -239,7 +275,7 @@ def hidden(page: str) -> dict[int, int]:
             if last == name:
                 return
 
-    for token in TOKEN.finditer(page):
+    for token in tokens(page):
         name, attributes = (token[3] or token[6] or "").lower(), token[4] or token[7] or ""
         if (token[2] or token[5]) == "/":
             if count[name]:
@@ -288,11 +324,14 @@ def judge(found: list[tuple[Block, Place, int]], forms: list[Form]) -> list[Bloc
     prose = lifted = dense = seen = 0
     # no need to count where every block's place decides
     counted = any(p.lifted or p.form >= 0 or not (p.apart or p.inner) for _, p, _ in found)
+    room: Counter[int] = Counter()
+    for block, _, _ in found if counted else ():
+        room[block.box] += n_words(block.text)
     for block, place, linked in found if counted else ():
         words = n_words(block.text)
         if words < SHORT_WORDS or linked > LINKED * len(block.text):
             continue
-        if not place.apart or place.lifted:
+        if (not place.apart or place.lifted) and room[block.box] >= LONE_WORDS:
             seen += words
             dense += words * (density(block.text) >= DENSE)
         lifted += words * place.lifted
@@ -308,7 +347,7 @@ def judge(found: list[tuple[Block, Place, int]], forms: list[Form]) -> list[Bloc
     lift = lifted > prose and not any(p.inner and not p.apart and (p.form < 0 or wraps[p.form]) and k <= LINKED * len(b.text) for b, p, k in found)
     for block, place, linked in found:
         apart = bool(place.apart) and not (lift and place.lifted) or place.form >= 0 and not wraps[place.form]
-        block.label = first_label(block.text, apart, place.inner, linked, dense >= FITS * seen)
+        block.label = first_label(block.text, apart, place.inner, linked, dense >= FITS * seen, 0 < room[block.box] < LONE_WORDS)
     return [block for block, _, _ in found]
 
 
@@ -322,26 +361,30 @@ def density(text: str) -> float:
     return sum(_EDGES.sub("", w) in STOP_WORDS for w in words) / len(words)
 
 
-def first_label(text: str, apart: bool, inner: bool, linked: int, fits: bool = True) -> int:
-    """``fits``: the stop words are of the page's language."""
+def first_label(text: str, apart: bool, inner: bool, linked: int, fits: bool = True, lone: bool = False) -> int:
+    """``fits``: the stop words are of the page's language; ``lone``: the container holds little more than this block."""
     if apart:
         return BAD
     if linked > LINKED * len(text):
         return BAD
     if inner:
         return GOOD
-    if n_words(text) < SHORT_WORDS:
+    size = n_words(text)
+    if "\xa9" in text and size < LONG_WORDS:
+        return BAD
+    if size < SHORT_WORDS or lone:
         return OPEN
     share = density(text)
-    if share >= DENSE:
+    few_links = linked <= FEW_LINKS * len(text)
+    if share >= DENSE or share >= SPARSE and size >= LONG_WORDS and few_links:
         return GOOD
     letters = sum(map(str.isalpha, text))
     if fits and (text.isascii() or len(_FOREIGN.findall(text)) <= FOREIGN * letters):
-        return BAD if share < SPARSE else OPEN
-    # without stop words to go by, length, links and words of letters decide
-    words = text.split()
+        return BAD if share < SPARSE and (size < LONG_WORDS or not few_links) else OPEN
+    # without stop words to go by, length, links and words of letters decide; marks between words are none
+    words = [w for w in text.split() if any(map(str.isalnum, w))]
     wordy = sum(_EDGES.sub("", w) != "" for w in words) > WORDY * len(words)
-    return GOOD if wordy and linked <= FEW_LINKS * len(text) else OPEN
+    return GOOD if wordy and few_links else OPEN
 
 
 def settle(found: list[Block]) -> list[Block]:
@@ -357,10 +400,12 @@ def settle(found: list[Block]) -> list[Block]:
         if label == OPEN:
             before = decided[place - 1] if place else None
             after = decided[place] if place < len(decided) else None
+            # a neighbour in another container is farther off
+            back, on = (None if x is None else abs(k - x) + APART_BOX * (found[x].box != block.box) for x in (before, after))
             if before is None or after is None:
                 label = found[after if before is None else before].label
-            elif k - before != after - k:
-                label = found[before if k - before < after - k else after].label
+            elif back != on:
+                label = found[before if back < on else after].label
             elif found[before].label == found[after].label:
                 label = found[before].label
             else:

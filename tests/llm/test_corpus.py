@@ -333,6 +333,41 @@ def test_pages_equal_their_articles(spark):
     assert sorted((r.text, r.n_chars) for r in htmltext.extract(rows).collect()) == [("", 0), ("", 0), ("a", 1)]
 
 
+@pytest.mark.parametrize("tags,names", [("article", False), ("article", True), ("article|nav|aside|header|footer|main", True)])
+def test_pages_without_semantic_tags(spark, tags, names):
+    """Density, length and links find the article where nothing names it."""
+    import html
+
+    right = found = true = 0
+    for r in spark.read.parquet(f"{SF1}/pages.parquet").collect():
+        inner = re.search(r"(?s)<article>(.*?)</article>", r.html)[1]
+        text = html.unescape(re.sub(r"<(?!/?b>)[^>]*>", " ", inner).replace("<b>", "").replace("</b>", "")).split()
+        page = re.sub(rf"(</?)(?:{tags})\b", r"\1div", r.html)
+        page = re.sub(' class="[^"]*"', "", page) if names else page
+        assert "<article" not in page
+        given = collections.Counter(htmltext.main_text(page).split())
+        right += sum((given & collections.Counter(text)).values())
+        found, true = found + sum(given.values()), true + len(text)
+    assert right >= 0.98 * true and right >= 0.98 * found
+
+
+@pytest.mark.parametrize("unit", ["<p a='", "<a ", "<a '\">", '<x "', "<p a='>", "<!-- ", "<script '", "<div class='a", "</", '<a href="<b">x', "<select><p>", "<div><p>some words "])
+@pytest.mark.parametrize("tail", ["", ">"])
+def test_broken_tags_take_no_longer_than_others(unit, tail):
+    page = (unit * (1_000_000 // len(unit))) + tail
+    start = time.perf_counter()
+    htmltext.main_text(page)
+    assert time.perf_counter() - start < 2
+
+
+def test_what_nothing_closes_ends_the_text():
+    assert htmltext.main_text("<p>a b</p><!-- c <p>d") == "a b"
+    assert htmltext.main_text("<p>a b</p> tail <!-- c") == "a b tail"
+    assert htmltext.main_text("<p>a b</p><script>var x = 1 > 0;") == "a b"
+    assert htmltext.main_text("<p>a b</p><!-- c -->d 1 < 2") == "a b d 1 < 2"
+    assert htmltext.main_text('<p title="x < y > z">a</p>') == "a"
+
+
 def test_links_of_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(30, 16))
