@@ -1009,6 +1009,47 @@ put(
       FROM {LOANS} z WHERE NULLIF(interest_rate, -99999) IS NOT NULL AND NULLIF(combined_loan_to_value_ratio, -99999) IS NOT NULL)""",
 )
 
+put(
+    "structure_report",
+    "lar_raw",
+    f"""SELECT county_code, activity_year, COUNT(*) AS lenders, SUM(loans)::BIGINT AS loans, {r6("SUM(v)")} AS volume, {r6("10000 * SUM(v * v) / NULLIF(SUM(v), 0) ** 2")} AS hhi,
+      {", ".join(f"{r6(f'SUM(CASE WHEN k <= {n} THEN v ELSE 0 END) / NULLIF(SUM(v), 0)')} AS cr{n}" for n in (1, 4, 8))},
+      MIN(lei) FILTER (k = 1) AS largest_lender, COUNT(*) FILTER (comes) AS entries, COUNT(*) FILTER (goes) AS exits,
+      CASE WHEN 10000 * SUM(v * v) / NULLIF(SUM(v), 0) ** 2 > 1800 THEN 'high' WHEN 10000 * SUM(v * v) / NULLIF(SUM(v), 0) ** 2 >= 1000 THEN 'moderate'
+        WHEN SUM(v) <> 0 THEN 'low' END AS concentration
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY county_code, activity_year ORDER BY v DESC, lei) AS k,
+        MIN(activity_year) OVER (PARTITION BY county_code, lei) = activity_year AS comes, MAX(activity_year) OVER (PARTITION BY county_code, lei) = activity_year AS goes
+      FROM (SELECT county_code, activity_year, lei, COALESCE(SUM(loan_amount), 0)::DOUBLE AS v, COUNT(*) AS loans FROM {LOANS} x GROUP BY 1, 2, 3) y) z
+    GROUP BY county_code, activity_year""",
+)
+put(
+    "lender_scorecard",
+    "lar_raw",
+    f"""SELECT lei, activity_year, applications, originations, {r6("origination_ratio")} AS origination_ratio, {r6("approval_rate")} AS approval_rate, markets, volume,
+      {r6("average_loan_amount")} AS average_loan_amount, {r6("average_interest_rate")} AS average_interest_rate, {r6("share")} AS share, rank::INTEGER AS rank, {r6("percentile")} AS percentile,
+      {r6("share - LAG(share) OVER h")} AS share_change, (rank - LAG(rank) OVER h)::INTEGER AS rank_change
+    FROM (SELECT *, volume / NULLIF(SUM(volume) OVER (PARTITION BY activity_year), 0) AS share, RANK() OVER (PARTITION BY activity_year ORDER BY volume DESC) AS rank,
+        PERCENT_RANK() OVER (PARTITION BY activity_year ORDER BY volume) AS percentile
+      FROM (SELECT lei, activity_year, COUNT(*) FILTER (action_taken IN (1, 2, 3, 4, 5)) AS applications, COUNT(*) FILTER (action_taken = 1) AS originations,
+          COUNT(*) FILTER (action_taken = 1) / NULLIF(COUNT(*) FILTER (action_taken IN (1, 2, 3, 4, 5)), 0) AS origination_ratio,
+          COUNT(*) FILTER (action_taken IN (1, 2)) / NULLIF(COUNT(*) FILTER (action_taken IN (1, 2, 3)), 0) AS approval_rate,
+          COUNT(DISTINCT county_code) FILTER (action_taken = 1) AS markets, COALESCE(SUM(loan_amount) FILTER (action_taken = 1), 0)::BIGINT AS volume,
+          AVG(loan_amount) FILTER (action_taken = 1) AS average_loan_amount, AVG(NULLIF(interest_rate, -99999)) FILTER (action_taken = 1) AS average_interest_rate
+        FROM {LOANS} x GROUP BY lei, activity_year) y) z
+    WINDOW h AS (PARTITION BY lei ORDER BY activity_year)""",
+)
+
+
+def full_code(c: str, width: int) -> str:
+    """``code`` for numbers of more digits than the width, and signed ones."""
+    n = f"CAST(CAST(TRUNC({real(c)}) AS BIGINT) AS VARCHAR)"
+    return f"CASE WHEN LENGTH({n}) >= {width} THEN {n} WHEN {n} LIKE '-%' THEN '-' || LPAD({n}[2:], {width - 1}, '0') ELSE LPAD({n}, {width}, '0') END"
+
+
+TRAPS = post2018("lar_traps").replace(code("county_code", 5), full_code("county_code", 5)).replace(code("census_tract", 11), full_code("census_tract", 11))
+TRAP_DOUBLES = [f"CASE WHEN isfinite({d}) THEN {r6(d)} END AS {d}" for d in DOUBLES[:3]]
+put("harmonize_traps", "lar_traps", f"SELECT * REPLACE ({', '.join(TRAP_DOUBLES)}) FROM {TRAPS} x")
+
 
 def residuals(names: list[str]) -> str:
     """Covariates and outcome of the base group, each less what those before it predict."""

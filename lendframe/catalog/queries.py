@@ -834,6 +834,23 @@ def rate_gap(spark, sf):
     return rounded(gap)
 
 
+@query
+def structure_report(spark, sf):
+    return rounded(market.structure_report(_volumes(spark, sf)))
+
+
+@query
+def lender_scorecard(spark, sf):
+    loans = cleaning.sentinel_to_null(silver(spark, sf), ["interest_rate"])
+    return rounded(market.lender_scorecard(loans, ["loan_amount", "interest_rate"]))
+
+
+@query
+def harmonize_traps(spark, sf):
+    """Padded and signed numbers, exponents, words for numbers, codes too wide, numbers too large."""
+    return rounded(silver(spark, sf, "lar_traps"))
+
+
 @query
 def rate_decomposition(spark, sf):
     """The same gap over three covariates, one of them a category of three levels."""

@@ -197,7 +197,26 @@ FROM (SELECT src_pos, activity_year, file_type, lei, state_code, county_code, lo
   FROM (SELECT lar_raw.*, CASE WHEN src_pos % 97 = 0 AND activity_year < '2024' THEN CAST(activity_year AS INT) + 1 ELSE CAST(activity_year AS INT) END AS archive_year FROM lar_raw) y) x
 """
 
+# lar_raw with text that is nearly a number, or one out of range.
+VIEWS["lar_traps"] = """
+SELECT src_pos, activity_year, file_type, lei, universal_loan_identifier, state_code,
+ CASE src_pos % 12 WHEN 0 THEN ' 1001 ' WHEN 1 THEN '123456.0' WHEN 2 THEN '1.2e3' WHEN 3 THEN '-7' WHEN 4 THEN 'NaN' WHEN 5 THEN '77.' WHEN 6 THEN '.9' WHEN 7 THEN '' ELSE county_code END AS county_code,
+ CASE src_pos % 11 WHEN 0 THEN '1001950901.0' WHEN 1 THEN '100195090199' WHEN 2 THEN '1.00195E9' WHEN 3 THEN '1001-950901' ELSE census_tract END AS census_tract,
+ CASE src_pos % 9 WHEN 0 THEN ' 1' WHEN 1 THEN '+1' WHEN 2 THEN '1.0' WHEN 3 THEN '9223372036854775808' ELSE action_taken END AS action_taken,
+ CASE src_pos % 10 WHEN 0 THEN ' 25000' WHEN 1 THEN '25000 ' WHEN 2 THEN '2.5e4' WHEN 3 THEN '-25000' WHEN 4 THEN '25,000' WHEN 5 THEN '99999999999999999999' ELSE loan_amount END AS loan_amount,
+ CASE src_pos % 8 WHEN 0 THEN '1e2' WHEN 1 THEN '+55' WHEN 2 THEN 'exempt' WHEN 3 THEN ' Exempt' ELSE income END AS income,
+ CASE src_pos % 13 WHEN 0 THEN 'NaN' WHEN 1 THEN 'Infinity' WHEN 2 THEN '4.5d' WHEN 3 THEN '4.5e0' WHEN 4 THEN ' 4.5' WHEN 5 THEN '+4.5' WHEN 6 THEN '.5' WHEN 7 THEN '4.' WHEN 8 THEN '1e400' WHEN 9 THEN '-1E-2' ELSE interest_rate END AS interest_rate,
+ CASE src_pos % 6 WHEN 0 THEN '-inf' WHEN 1 THEN '0x10' WHEN 2 THEN '1_000' ELSE rate_spread END AS rate_spread,
+ loan_to_value_ratio, CASE src_pos % 7 WHEN 0 THEN '>60% ' WHEN 1 THEN '45.0' WHEN 2 THEN ' 45' ELSE debt_to_income_ratio END AS debt_to_income_ratio,
+ CASE src_pos % 5 WHEN 0 THEN '40000' WHEN 1 THEN '-3' ELSE total_units END AS total_units,
+ CASE src_pos % 5 WHEN 0 THEN '65-74 ' WHEN 1 THEN '99999' ELSE applicant_age END AS applicant_age,
+ CASE src_pos % 5 WHEN 0 THEN 'yes ' ELSE applicant_age_above_62 END AS applicant_age_above_62, conforming_loan_limit,
+ CASE src_pos % 4 WHEN 0 THEN '360.0' WHEN 1 THEN ' 360' ELSE loan_term END AS loan_term
+FROM lar_raw
+"""
+
 NEEDS = {
+    "lar_traps": ("orders", "customer", "lar_raw"),
     "archive_rows": ("orders", "customer", "lar_raw"),
     "lar_known": ("orders", "customer", "lar_raw", "lar_units"),
     "lar_raw": ("orders", "customer"),

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..eras import INDEX_COLUMN, SENTINEL
 from ..functions.casts import col
+from ..session import cut_lineage
 from .quantiles import exact_quantiles
 
 # Lenders known to report a field in the wrong unit:
@@ -217,11 +219,23 @@ PROFILE_PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
 def correction_profile(
     before: DataFrame, after: DataFrame, fields: Sequence[str], probs: Sequence[float] = PROFILE_PROBS
 ) -> DataFrame:
-    """Exact quantiles of each field before and after; a few rows per field."""
+    """Exact quantiles of each field before and after; a few rows per field.
+
+    Both stages are made once: their fields go into one narrow table, a column per field and
+    stage, whose quantiles are searched together.
+    """
     stages: Mapping[str, DataFrame] = {"before": before, "after": after}
-    rows = []
-    for stage, df in stages.items():
-        found = exact_quantiles(df, fields, probs)
-        rows += [(f, stage, float(p), v) for f in fields for p, v in zip(probs, found[f], strict=True)]
+    names = {(f, stage): f"{stage}_{i}" for stage in stages for i, f in enumerate(fields)}
+    parts = [
+        df.select(*[(col(f).cast("double") if own == stage else F.lit(None).cast("double")).alias(n) for (f, own), n in names.items()])
+        for stage, df in stages.items()
+    ]
+    found = exact_quantiles(cut_lineage(reduce(DataFrame.unionAll, parts)), list(names.values()), probs)
+    rows = [
+        (f, stage, float(p), v)
+        for stage in stages
+        for f in fields
+        for p, v in zip(probs, found[names[f, stage]], strict=True)
+    ]
     schema = "field_name string, stage string, prob double, value double"
     return before.sparkSession.createDataFrame(rows, schema)

@@ -82,7 +82,8 @@ def exempt_or_whole(text: Column) -> Column:
 
 
 def exempt_or_double(text: Column) -> Column:
-    return map_number(text, EXEMPT, "double", FLOAT_TEXT)
+    value = map_number(text, EXEMPT, "double", FLOAT_TEXT)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def units_code(text: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.casts import col
 from ..session import cut_lineage
@@ -117,6 +117,98 @@ def volume_rollup(
     return grouped.select(level.alias("level"), code.alias("code"), "loans", "volume")
 
 
+# Shares of a market, squared and summed, from which it counts as concentrated.
+CONCENTRATED, HIGHLY_CONCENTRATED = 1000, 1800
+
+
+def structure_report(volumes: DataFrame, place: Sequence[str] = ("county_code",), year_col: str = "activity_year") -> DataFrame:
+    """One row per market and year: size, concentration, the largest lender, lenders that come and go.
+
+    A lender comes in its first year in a place and goes in its last; lenders without volume
+    count as such but have no share. Works on the volumes per market and lender alone.
+    """
+    market = [*[col(c) for c in place], col(year_col)]
+    there = W.partitionBy(*[col(c) for c in place], F.col("lei"))
+    largest = W.partitionBy(*market).orderBy(F.desc_nulls_last("volume"), "lei")
+    v = F.coalesce(F.col("volume"), F.lit(0)).cast("double")
+    marked = volumes.select(
+        *market,
+        "lei",
+        "loans",
+        v.alias("_v"),
+        F.row_number().over(largest).alias("_rank"),
+        (F.min(year_col).over(there) == col(year_col)).alias("_comes"),
+        (F.max(year_col).over(there) == col(year_col)).alias("_goes"),
+    )
+    total = F.nullif(F.sum("_v"), F.lit(0.0))
+
+    def top(n: int) -> Column:
+        return F.sum(F.when(F.col("_rank") <= n, F.col("_v")).otherwise(0.0)) / total
+
+    report = marked.groupBy(*market).agg(
+        F.count(F.lit(1)).alias("lenders"),
+        F.sum("loans").alias("loans"),
+        F.sum("_v").alias("volume"),
+        (10_000.0 * F.sum(F.col("_v") * F.col("_v")) / (total * total)).alias("hhi"),
+        top(1).alias("cr1"),
+        top(4).alias("cr4"),
+        top(8).alias("cr8"),
+        F.min(F.when(F.col("_rank") == 1, F.col("lei"))).alias("largest_lender"),
+        F.count_if("_comes").alias("entries"),
+        F.count_if("_goes").alias("exits"),
+    )
+    hhi_ = F.col("hhi")
+    kind = F.when(hhi_ > HIGHLY_CONCENTRATED, "high").when(hhi_ >= CONCENTRATED, "moderate").when(hhi_.isNotNull(), "low")
+    return report.withColumn("concentration", kind)
+
+
+def lender_scorecard(loans: DataFrame, measures: Sequence[str] = (), place: str = "county_code") -> DataFrame:
+    """One row per lender and year: activity, reach, market share and rank, with the change on the lender's year before.
+
+    ``share`` is of the year's originated volume, ``rank`` by it, ``percentile`` the part of the year's
+    lenders with less. Loans are aggregated once, by lender, year and place; all else works on
+    the summary.
+    """
+    action = F.col("action_taken")
+    made = action == ORIGINATED
+    keys = [F.col("lei"), F.col("activity_year")]
+    by_place = loans.groupBy(*keys, col(place).alias("_place")).agg(
+        F.count_if(action.isin(*APPLIED)).alias("_asked"),
+        F.count_if(made).alias("_made"),
+        F.count_if(action.isin(*DECIDED)).alias("_decided"),
+        F.count_if(action.isin(*APPROVED)).alias("_approved"),
+        F.sum(F.when(made, F.col("loan_amount"))).alias("_volume"),
+        *[x for c in measures for x in (F.sum(F.when(made, col(c))).alias(f"_sum_{c}"), F.count(F.when(made, col(c))).alias(f"_n_{c}"))],
+    )
+    cards = by_place.groupBy(*keys).agg(
+        F.sum("_asked").alias("applications"),
+        F.sum("_made").alias("originations"),
+        (F.sum("_made") / F.nullif(F.sum("_asked"), F.lit(0))).alias("origination_ratio"),
+        (F.sum("_approved") / F.nullif(F.sum("_decided"), F.lit(0))).alias("approval_rate"),
+        F.count_if(F.col("_place").isNotNull() & (F.col("_made") > 0)).alias("markets"),
+        F.coalesce(F.sum("_volume"), F.lit(0)).cast("bigint").alias("volume"),
+        *[(F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_n_{c}"), F.lit(0))).alias(f"average_{c}") for c in measures],
+    )
+    # one row per lender and year: the largest group is a year's lenders
+    cards = cut_lineage(cards)
+    totals = cards.groupBy(F.col("activity_year").alias("_year")).agg(F.sum("volume").alias("_total"))
+    joined = cards.join(totals, F.col("activity_year").eqNullSafe(F.col("_year"))).drop("_year")
+    year, history = W.partitionBy("activity_year"), W.partitionBy("lei").orderBy("activity_year")
+    ranked = joined.withColumns(
+        {
+            "share": F.col("volume") / F.nullif(F.col("_total"), F.lit(0)),
+            "rank": F.rank().over(year.orderBy(F.desc("volume"))),
+            "percentile": F.percent_rank().over(year.orderBy("volume")),
+        }
+    ).drop("_total")
+    return ranked.withColumns(
+        {
+            "share_change": F.col("share") - F.lag("share").over(history),
+            "rank_change": F.col("rank") - F.lag("rank").over(history),
+        }
+    )
+
+
 def disparate_impact(
     loans: DataFrame, group_col: str, reference: object, by: Sequence[str] = ("lei",)
 ) -> DataFrame:
