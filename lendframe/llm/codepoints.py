@@ -7,6 +7,8 @@ from functools import cache
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: A sample knows so many label values, the most frequent ones, and so many characters of a text.
+LABELS, LEARNT = 500, 200_000
 #: Values of the share of rows that a sample keeps are drawn from so many steps.
 STEPS = 1 << 30
 
@@ -36,12 +38,13 @@ def drawn(seed: int, doc: str = "doc_id") -> Column:
 
 
 def balanced_sample(rows: DataFrame, label: str, per_class: int, seed: int = 7) -> DataFrame:
-    """About ``per_class`` rows of each label value, at most twice that per value on average.
+    """About ``per_class`` rows of each of the LABELS most frequent label values, at most twice that per value on average.
 
     One count per label value decides the share that is drawn by a hash of the id; the
     whole sample is bounded by ``2 * per_class`` times the number of values.
     """
-    counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
+    most = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(LABELS)
+    counts = {r[label]: r["count"] for r in most.collect()}
     if not counts:
         return rows.limit(0)
     chance = drawn(seed)

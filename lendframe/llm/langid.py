@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lendframe.llm.arrow import chunks, column
-from lendframe.llm.codepoints import balanced_sample, flat_points, letters, remainder
+from lendframe.llm.codepoints import LEARNT, balanced_sample, flat_points, letters, remainder
 
 BUCKETS = 1 << 17
 DIMENSION = 16
@@ -147,7 +147,7 @@ def calibrate(model: LanguageModel, texts: list[str], target: np.ndarray) -> Non
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> LanguageModel | None:
     """Train on a balanced sample of the rows of ``docs`` that have a language and a text."""
     rows = docs.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
-    sample = balanced_sample(rows, "lang", per_language).collect()
+    sample = balanced_sample(rows, "lang", per_language).select(F.left("text", F.lit(LEARNT)).alias("text"), "lang").collect()
     pairs = list(dict.fromkeys((r["text"], r["lang"]) for r in sample))
     return train([t for t, _ in pairs], [x for _, x in pairs]) if pairs else None
 

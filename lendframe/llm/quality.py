@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from functools import cache
 
 from lendframe.llm.arrow import chunks, column
-from lendframe.llm.codepoints import balanced_sample, flat_points, remainder
+from lendframe.llm.codepoints import LEARNT, balanced_sample, flat_points, remainder
 from lendframe.llm.naming import free_names
 from lendframe.llm.shingles import mix
 
@@ -200,7 +200,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL) ->
     if not share["n"]:
         return None
     ids = balanced_sample(rows, "quality", per_label)
-    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").collect()
+    # ids may repeat in the documents: so many texts at most
+    texts = docs.select("doc_id", F.left("text", F.lit(LEARNT)).alias("text")).join(F.broadcast(ids), "doc_id")
+    found = texts.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(8 * per_label).collect()
     by_text: dict[str, set[int]] = {}
     for r in sorted(found, key=lambda r: (r["doc_id"], r["text"] or "")):
         by_text.setdefault(r["text"] or "", set()).add(r["quality"])

@@ -18,12 +18,11 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendframe.session import cut_lineage
 
-#: A rule set up to this size is sent to every task; a larger one is joined by its token.
-BROADCAST_RULES = 20_000
+RULES = "name string, pattern string, verdict string, rank int"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -74,8 +73,49 @@ def rule_regex(pattern: str) -> str:
     return lead + "".join(parts.get(c) or re.escape(c) for c in body) + tail
 
 
-def rule_tokens(pattern: str) -> list[str]:
-    return sorted(set(re.findall(r"(?<=[^a-z0-9*])[a-z0-9]+(?=[^a-z0-9*])", pattern.lower())))
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    return spark.createDataFrame([tuple(r) for r in rules], RULES)
+
+
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Rules of a filter list, one a line: ``@@`` before a pattern makes an exception, which wins over all blocks.
+
+    Empty lines, comments (``!``) and headers (``[...]``) are left out, and so are lines that
+    are no pattern over urls alone (see ``other_lines``). A pattern that occurs twice is one rule.
+    """
+    found = _lines(spark, path).filter("not other")
+    allowed = F.startswith("line", F.lit("@@"))
+    pattern = F.when(allowed, F.substring("line", 3, 2**31 - 1)).otherwise(F.col("line"))
+    rules = found.select(F.col("line").alias("name"), pattern.alias("pattern"), F.when(allowed, "allow").otherwise("block").alias("verdict"), allowed.cast("int").alias("rank"))
+    return rules.filter("pattern <> ''").distinct()
+
+
+def other_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line`` of what ``read_rules`` can't use: options after ``$``, rules for page elements, regular expressions."""
+    return _lines(spark, path).filter("other").select("line")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.text(path).select(F.btrim("value", F.lit(" \t\r")).alias("line"))
+    plain = lines.filter("line <> '' and not startswith(line, '!') and not (startswith(line, '[') and endswith(line, ']'))")
+    return plain.withColumn("other", F.col("line").rlike(r"#@?\??#|\$[a-z~]|^(?:@@)?/.*/$"))
+
+
+def pattern_regex(pattern: Column) -> Column:
+    """``rule_regex`` as an expression."""
+    anchored, ended = F.startswith(pattern, F.lit("||")), F.endswith(pattern, F.lit("|"))
+    body = F.when(anchored, F.substring(pattern, 3, 2**31 - 1)).otherwise(pattern)
+    body = F.when(ended & (body != ""), F.substring(body, F.lit(1), F.length(body) - 1)).otherwise(body)
+    literal = F.regexp_replace(body, r"([^\p{L}\p{N}_*^])", r"\\$1")
+    spelled = F.replace(F.replace(literal, F.lit("^"), F.lit(r"(?:[^A-Za-z0-9_.%-]|\z)")), F.lit("*"), F.lit(".*"))
+    lead = F.when(anchored, F.lit(r"(?s)^(?:[^/?#]*\.)?")).otherwise(F.lit("(?s)"))
+    return F.concat(lead, spelled, F.when(ended, F.lit(r"\z")).otherwise(F.lit("")))
+
+
+def rule_tokens(pattern: Column) -> Column:
+    """Tokens that any url the pattern fits holds whole: literal characters bound them."""
+    low = F.translate(pattern, UPPER, LOWER)
+    return F.array_distinct(F.regexp_extract_all(low, F.lit("(?<=[^a-z0-9*])[a-z0-9]+(?=[^a-z0-9*])"), 0))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column, Column]:
@@ -93,35 +133,31 @@ def url_tokens(target: Column) -> Column:
     return F.array_union(F.array(F.lit("")), F.split(F.translate(target, UPPER, LOWER), "[^a-z0-9]+"))
 
 
-def index_rules(targets: DataFrame, rules: list[Rule]) -> DataFrame:
+def index_rules(targets: DataFrame, rules: DataFrame) -> DataFrame:
     """``token, rank, size, name, verdict, regex``: each rule under its rarest token.
 
-    How often the rules' tokens occur is counted over all urls; one number per token
-    returns.
+    How often the rules' tokens occur is counted over all urls.
+    """
+    own = rules.withColumn("tokens", rule_tokens(F.col("pattern")))
+    wanted = cut_lineage(own.select("name", "pattern", F.explode("tokens").alias("token")))
+    asked = wanted.select("token").distinct()
+    counts = targets.select(F.explode(url_tokens(F.col("target"))).alias("token")).join(asked, "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
+    rarity = F.struct(F.coalesce("urls", F.lit(0)), F.col("token"))
+    rarest = wanted.join(cut_lineage(counts), "token", "left").groupBy("name", "pattern").agg(F.min_by("token", rarity).alias("token"))
+    filed = rules.join(rarest, ["name", "pattern"], "left")
+    return filed.select(F.coalesce("token", F.lit("")).alias("token"), "rank", F.length("name").alias("size"), "name", "verdict", pattern_regex(F.col("pattern")).alias("regex"))
+
+
+def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
+    """``page_id, host, path, matched`` (name of the winning rule)``, rank, verdict`` for every row.
+
+    Rules (``name, pattern, verdict, rank``) may be few or millions: their index is written, so
+    Spark knows its size when it plans the join.
     """
-    spark = targets.sparkSession
-    tokens = {r: rule_tokens(r.pattern) for r in rules}
-    wanted = sorted({t for ts in tokens.values() for t in ts})
-    counts: dict[str, int] = {}
-    if wanted:
-        side = spark.createDataFrame([(t,) for t in wanted], "token string")
-        side = F.broadcast(side) if len(wanted) <= BROADCAST_RULES else side
-        found = targets.select(F.explode(url_tokens(F.col("target"))).alias("token")).join(side, "token").groupBy("token").count()
-        counts = {r["token"]: r["count"] for r in found.collect()}
-    rows = []
-    for rule, own in tokens.items():
-        token = min(own, key=lambda t: (counts.get(t, 0), t)) if own else ""
-        rows.append((token, rule.rank, len(rule.name), rule.name, rule.verdict, rule_regex(rule.pattern)))
-    return spark.createDataFrame(rows, "token string, rank int, size int, name string, verdict string, regex string")
-
-
-def filter_urls(pages: DataFrame, rules: list[Rule], default: str = "allow") -> DataFrame:
-    """``page_id, host, path, matched`` (name of the winning rule)``, rank, verdict`` for every row."""
     host, path, rest = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"), F.concat(host, rest).alias("target"))
     targets = parsed.select("target").distinct()
-    index = index_rules(targets, rules)
-    index = F.broadcast(index) if len(rules) <= BROADCAST_RULES else index
+    index = cut_lineage(index_rules(targets, rules))
     won = F.max_by(F.struct("name", "rank", "verdict"), F.struct("rank", "size", F.col("name")))
     verdicts = (
         targets.select("target", F.explode(url_tokens(F.col("target"))).alias("token"))
@@ -143,7 +179,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], default: str = "allow") ->
 
 def judge_pages(pages: DataFrame) -> DataFrame:
     """The dealt rules before the pattern rules; ``rule`` names a dealt rule only."""
-    return filter_urls(pages, HOST_RULES + PATTERN_RULES).select(
+    return filter_urls(pages, rule_table(pages.sparkSession, HOST_RULES + PATTERN_RULES)).select(
         "page_id",
         "host",
         "path",

@@ -76,10 +76,57 @@ def test_url_cases(spark):
 
 def test_rare_token_index(spark):
     targets = spark.createDataFrame([("a.common.x/",), ("b.common.y/",)], "target string")
-    rows = {r["name"]: r["token"] for r in urlfilter.index_rules(targets, [urlfilter.Rule("r", "||common.x/", "block"), urlfilter.Rule("s", "*part*", "block")]).collect()}
+    rules = urlfilter.rule_table(spark, [urlfilter.Rule("r", "||common.x/", "block"), urlfilter.Rule("s", "*part*", "block")])
+    rows = {r["name"]: r["token"] for r in urlfilter.index_rules(targets, rules).collect()}
     assert rows == {"r": "x", "s": ""}
 
 
+def test_a_filter_list_is_read(spark, folder):
+    with open(f"{folder}/list.txt", "w") as f:
+        f.write("[Adblock Plus 2.0]\n! comment\n\n||ads.example.com^\n@@||ads.example.com/ok/\n/banner/*/img^\r\n||ads.example.com^\n##.ad\nx.com#@#.b\n||t.com^$third-party\n/re[0-9]+/\n  |http\n")
+    rules = {tuple(r) for r in urlfilter.read_rules(spark, f"{folder}/list.txt").collect()}
+    assert rules == {
+        ("||ads.example.com^", "||ads.example.com^", "block", 0),
+        ("@@||ads.example.com/ok/", "||ads.example.com/ok/", "allow", 1),
+        ("/banner/*/img^", "/banner/*/img^", "block", 0),
+        ("|http", "|http", "block", 0),
+    }
+    assert {r.line for r in urlfilter.other_lines(spark, f"{folder}/list.txt").collect()} == {"##.ad", "x.com#@#.b", "||t.com^$third-party", "/re[0-9]+/"}
+    urls = ["http://ads.example.com", "http://x.ads.example.com/a", "http://ads.example.com/ok/b", "http://bads.example.com/", "http://c.de/banner/1/2/img?x", "http://c.de/banner/1/imgs"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: r.verdict for r in urlfilter.filter_urls(pages, urlfilter.read_rules(spark, f"{folder}/list.txt")).collect()}
+    assert [found[k] for k in range(len(urls))] == ["block", "block", "allow", "allow", "block", "allow"]
+
+
+def test_many_rules_equal_brute_force(spark, folder):
+    """20,000 rules with anchors, wildcards, separators, ends, odd characters and exceptions."""
+    rng = random.Random(13)
+    words = ["ads", "track", "img", "shop", "news", "blog", "a", "b1", "x9", "promo", "cdn", "static", *(f"w{k}" for k in range(400))]
+    ends = ["com", "net", "org", "de", "co.uk"]
+
+    def host():
+        return ".".join([*(rng.choice(words) for _ in range(rng.randint(1, 3))), rng.choice(ends)])
+
+    def rule():
+        path = "/".join(rng.choice(words) for _ in range(rng.randint(0, 2)))
+        body = rng.choice([f"||{host()}^", f"||{host()}/{path}", f"/{path}/*", f"/{rng.choice(words)}*{rng.choice(words)}/^", f"||{rng.choice(words)}-*.", f"{rng.choice(words)}.{rng.choice(ends)}/{path}|", f"?{rng.choice(words)}=", f"/{rng.choice(words)}(1)+[x]{{2}}.", f"é{rng.choice(words)}^"])
+        return ("@@" if rng.random() < 0.2 else "") + body
+
+    lines = sorted({r for r in (rule() for _ in range(45_000)) if len(r) > 3})[:20_000]
+    assert len(lines) > 15_000
+    with open(f"{folder}/list.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    urls = [f"http://{host()}/{'/'.join(rng.choice([*words, 'w1-w2', 'ads(1)+[x]{2}.y', 'éads']) for _ in range(rng.randint(0, 3)))}{rng.choice(['', '/', '?ads=1', '?w5=x#z', '.gif'])}" for _ in range(250)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: (r.matched, r.verdict) for r in urlfilter.filter_urls(pages, urlfilter.read_rules(spark, f"{folder}/list.txt")).collect()}
+    compiled = [(name, name.startswith("@@"), re.compile(urlfilter.rule_regex(name.removeprefix("@@")).replace(r"\z", r"\Z"))) for name in lines]
+    for k, url in enumerate(urls):
+        fits = [(allowed, len(name), name) for name, allowed, regex in compiled if regex.search(url.split("://")[1])]
+        best = max(fits, default=None)
+        assert found[k] == ((best[2], "allow" if best[0] else "block") if best else (None, "allow"))
+    assert sum(v == "block" for _, v in found.values()) > 20 and sum(m is not None and v == "allow" for m, v in found.values()) > 10
+
+
 def test_pieces_equal_the_library(spark, odd):
     sentencepiece = pytest.importorskip("sentencepiece")
     path = vocabulary("piece_bpe_32k.model")
