@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: A sample knows so many label values, the most frequent ones, and so many characters of a text.
-LABELS, LEARNT = 500, 200_000
+LABELS, LEARNT = 500, 100_000
 #: Values of the share of rows that a sample keeps are drawn from so many steps.
 STEPS = 1 << 30
 

@@ -202,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL) ->
     ids = balanced_sample(rows, "quality", per_label)
     # ids may repeat in the documents: so many texts at most
     texts = docs.select("doc_id", F.left("text", F.lit(LEARNT)).alias("text")).join(F.broadcast(ids), "doc_id")
-    found = texts.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(8 * per_label).collect()
+    found = texts.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(4 * per_label).collect()
     by_text: dict[str, set[int]] = {}
     for r in sorted(found, key=lambda r: (r["doc_id"], r["text"] or "")):
         by_text.setdefault(r["text"] or "", set()).add(r["quality"])

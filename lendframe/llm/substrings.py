@@ -41,6 +41,8 @@ WIDTH = 35
 BLOCK = 4 << 20
 #: Blocks of a task, about.
 TOGETHER = 8
+#: Tasks at most; of more blocks a task reads more, one after another.
+PARTS = 100_000
 #: Lists that the messages of a block are collected in.
 SLICES = 32
 _CODEC = ("zstd", 6)
@@ -197,7 +199,7 @@ def send_windows(dealt: DataFrame, parts: int, shared: DataFrame, width: int = W
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: the words that stay, joined by one space."""
     blocks = cut_lineage(pack(docs))
-    parts = -(-blocks.count() // TOGETHER) or 1
+    parts = min(-(-blocks.count() // TOGETHER) or 1, PARTS)
     # both rounds read the blocks dealt out once
     dealt = blocks.repartition(parts, "block")
     shared = _repeated(send_anchors(blocks, width))
