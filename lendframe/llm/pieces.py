@@ -29,7 +29,7 @@ from lendframe.llm.arrow import chunks, column, list_array, ragged
 
 BLANK = "▁"
 #: Distinct segments a task keeps encoded; beyond it the store starts anew.
-KEPT_SEGMENTS = 400_000
+KEPT_SEGMENTS = 150_000
 NONE = np.iinfo(np.int64).max
 #: Segments of more symbols are merged by themselves.
 LONG = 2048
@@ -94,7 +94,7 @@ class PieceModel:
         for piece, i in normal.items():
             self.calm[i] = grows[piece] > ranks[piece]
         self.longest = max(map(len, normal))
-        self.of_char = np.full(0x110000, -1, np.int64)
+        self.of_char = np.full(0x110000, -1, np.int32)
         for piece, i in symbol.items():
             if len(piece) == 1:
                 self.of_char[ord(piece)] = i
@@ -252,7 +252,7 @@ class PieceModel:
     def merge_all(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Final symbols of segments end to end, and their number per segment; long segments go by themselves."""
         points = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
-        symbols, sizes = self.of_char[points], np.array([len(s) for s in segments], np.int64)
+        symbols, sizes = self.of_char[points].astype(np.int64), np.array([len(s) for s in segments], np.int64)
         long = np.flatnonzero(sizes > LONG)
         if not len(long):
             return self.merge(symbols, sizes)
