@@ -25,6 +25,8 @@ JOINED = 3
 #: A random value per byte.
 _BYTES = mix(np.arange(256, dtype=np.uint64) + np.uint64(77_000))
 _known: list[np.ndarray] = []
+#: Bytes of words that are named at once.
+PART = 1 << 19
 
 
 def _powers(n: int) -> list[np.ndarray]:
@@ -91,11 +93,17 @@ def compress_pairs(level: Level, depth: int) -> tuple[Level, np.ndarray, np.ndar
 
 def word_names(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """A name of every word, by all its bytes as they are."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    power, inverse = _powers(len(data))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * power[: len(data)], dtype=np.uint64)])
-    return mix((sums[stops] - sums[starts]) * inverse[starts] ^ (stops - starts).astype(np.uint64))
+    parts, at = [np.zeros(0, np.uint64)], 0
+    while at < len(starts):
+        # so many words as lie in a part of the bytes, one at least
+        end = max(int(np.searchsorted(stops, starts[at] + PART, "right")), at + 1)
+        low, own, ends = starts[at], starts[at:end] - starts[at], stops[at:end] - starts[at]
+        power, inverse = _powers(int(ends[-1]))
+        sums = np.zeros(int(ends[-1]) + 1, np.uint64)
+        np.cumsum(_BYTES[data[low : low + ends[-1]]] * power[: ends[-1]], out=sums[1:])
+        parts.append(mix((sums[ends] - sums[own]) * inverse[own] ^ (ends - own).astype(np.uint64)))
+        at = end
+    return np.concatenate(parts)
 
 
 def window_names(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

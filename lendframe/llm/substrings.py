@@ -38,7 +38,7 @@ from lendframe.session import cut_lineage
 
 WIDTH = 35
 #: Bytes of text in a block, but for longer documents.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: Blocks of a task, about.
 TOGETHER = 8
 #: Tasks at most; of more blocks a task reads more, one after another.
