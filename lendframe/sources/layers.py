@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..eras import Era
 from ..operators.vintages import keep_releases
+from ..session import shared_folder
 
 SMALL_INTEGERS = (
     "total_units",
@@ -33,13 +34,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def shared_uri(spark: SparkSession, path: str) -> str:
     """The path with its scheme, as the driver's file system names it.
 
-    A path of the local disk is only the same for all executors on a local master; elsewhere
-    it is refused.
+    Off a local master a path of the local disk is refused, as each executor has a disk of its
+    own, unless it lies in the checkpoint folder, which the session names as shared.
     """
-    files, folder = hadoop_folder(spark, path)
-    uri = folder.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+
+    def qualified(name: str) -> str:
+        files, folder = hadoop_folder(spark, name)
+        return folder.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+
+    uri = qualified(path)
     if uri.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{path} is on the local disk, which executors don't share")
+        if not uri.startswith(f"{qualified(shared_folder(spark))}/"):
+            raise ValueError(f"{path} is on the local disk, which executors don't share")
     return uri
 
 

@@ -6,6 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from lendframe.catalog import layer_queries
 from lendframe.eras import PERIOD_2007_2017, POST2018, PRE2007
 from lendframe.plans import bronze as bronze_plan
 from lendframe.plans import lenders as lender_plan
@@ -15,7 +16,8 @@ from lendframe.plans.imports import import_2007_2017, import_era, import_post201
 from lendframe.plans.silver import build_silver
 from lendframe.plans.tracts import merge_tracts
 from lendframe.sources.delimited import read_text_table, with_row_numbers
-from lendframe.sources.layers import drop_source, read_best_releases, read_bronze, read_silver, write_partitioned, written_partitions
+from lendframe.session import shared_folder
+from lendframe.sources.layers import drop_source, read_best_releases, read_bronze, read_silver, shared_uri, write_partitioned, written_partitions
 from lendframe.sources.ledger import WRITTEN, read_ledger
 from lendframe.sources.layout import Layout
 from lendframe.sources.listing import (
@@ -467,3 +469,16 @@ def test_tract_rows_are_merged_by_year(spark, folder):
     again = merge_tracts(loans([("2018", "1", "5"), ("2018", "3", "7"), ("2019", "2", None), (None, "4", "x")]), path)
     assert {tuple(r) for r in again.collect()} == {("2018", "1", 5.0), ("2019", "2", None), ("2018", "3", 7.0), (None, "4", None)}
     assert set(os.listdir(f"{path}/activity_year=2019")) == before
+
+
+def test_checkpoint_folder_is_shared_off_a_local_master(spark, monkeypatch):
+    """The session names the folder as shared, whatever its scheme; other local paths stay refused."""
+    inside = f"{shared_folder(spark)}/layout"
+    here = shared_uri(spark, inside)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://far:7077")
+    assert shared_uri(spark, inside) == here
+    for path in ("/tmp/elsewhere", f"{shared_folder(spark)}-beside/layout", f"{shared_folder(spark)}/../beside"):
+        with pytest.raises(ValueError, match="local disk"):
+            shared_uri(spark, path)
+    assert layer_queries.archive_members(spark, "/root/testdata/sf0.001").count() > 0
+    assert layer_queries.tract_dimension_rows(spark, "/root/testdata/sf0.001").count() > 0
