@@ -3,11 +3,12 @@
 Equal points are folded into one with a count. Median splits of a sample, a tree, cut
 space into cells of about CELL_POINTS points, so the number of cells follows the data and
 the work per cell does not. Each cell finds an upper bound for its own points; a point then
-walks the tree and visits only the other cells its bound reaches. Candidates never leave a
-task except as each point's few nearest, so no pairs are materialised.
+walks the tree, and where its bound reaches other cells it visits these and its own once more.
+Within a cell a small tree of the same kind rules out most points. Candidates never leave a
+task except as the few nearest of points that visit, so no pairs are materialised.
 
 The driver holds SAMPLE_PER_CELL sampled points a cell to make the tree, and every task the
-tree and its boxes, 180 bytes a cell with five features: 180 MB for 10 ** 9 distinct points.
+tree and its boxes, 180 bytes a cell with five features: 22 MB for 10 ** 9 distinct points.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..eras import INDEX_COLUMN
 from ..functions.casts import col
@@ -38,18 +39,28 @@ FEATURES = (
     "activity_year",
 )
 
-CELL_POINTS = 1024
+CELL_POINTS = 8192
+#: Points in a leaf of the tree inside a cell.
+LEAF_POINTS = 64
 #: Random trees that bounds are taken from.
 TABLES = 3
-SAMPLE_PER_CELL = 4
+SAMPLE_PER_CELL = 32
 SAMPLE_FLOOR = 4096
 BLOCK = 1 << 20
 VISITORS = 8192
 QUERIES_PER_TASK = 50_000
-CELLS_PER_TASK = 4
 NEAREST = "distance array<double>, copies_near array<bigint>"
 
 
+def _middle(values: np.ndarray) -> float:
+    """The median, or the next value below where nothing would lie above it."""
+    median = np.median(values)
+    if median < values.max():
+        return median
+    below = values[values < median]
+    return below.max() if len(below) else median
+
+
 def _splits(sample: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
     """Median splits on the widest side, in heap order."""
     dims = np.zeros(2**levels, dtype=int)
@@ -60,75 +71,105 @@ def _splits(sample: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
         inside = sample[members]
         if len(members):
             dim = int(np.argmax(inside.max(axis=0) - inside.min(axis=0)))
-            dims[node], cuts[node] = dim, np.median(inside[:, dim])
+            dims[node], cuts[node] = dim, _middle(inside[:, dim])
         over = inside[:, dims[node]] > cuts[node]
         parts[2 * node], parts[2 * node + 1] = members[~over], members[over]
     return dims, cuts
 
 
+def _place(values: np.ndarray, dims: np.ndarray, cuts: np.ndarray, levels: int) -> np.ndarray:
+    """Heap index of the leaf of every row."""
+    at = np.ones(len(values), dtype=int)
+    rows = np.arange(len(values))
+    for _ in range(levels):
+        at = 2 * at + (values[rows, dims[at]] > cuts[at])
+    return at
+
+
 def _nearest(
-    queries: np.ndarray,
-    points: np.ndarray,
-    copies: np.ndarray,
-    k: int,
-    own: int | None = None,
-    reach: np.ndarray | None = None,
-) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Per query: ascending distances and copies until ``k`` copies are covered.
-
-    ``own`` is added to the copies of the point a query is itself (queries and points
-    are then the same rows). With ``reach`` only what lies closer is kept.
+    queries: np.ndarray, points: np.ndarray, copies: np.ndarray, k: int, own: int, reach: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per query: ascending distances of the ``k + 1`` nearest points, infinite where there are fewer, and their copies.
+
+    ``own`` is added to the copies of the point that a query is itself. With ``reach`` only
+    what lies closer is sure to be among them.
     """
-    distances: list[np.ndarray] = []
-    counts: list[np.ndarray] = []
-    step = max(1, BLOCK // max(1, len(points)))
-    width = min(k, len(points) - 1)
-    for start in range(0, len(queries), step):
-        block = queries[start : start + step]
-        squares = np.zeros((len(block), len(points)))
-        for dim in range(points.shape[1]):
-            squares += (block[:, dim, None] - points[None, :, dim]) ** 2
-        near = np.argpartition(squares, width, axis=1)[:, : width + 1]
-        squares = np.take_along_axis(squares, near, axis=1)
-        order = np.argsort(squares, axis=1, kind="stable")
-        near = np.take_along_axis(near, order, axis=1)
-        found = np.sqrt(np.take_along_axis(squares, order, axis=1))
-        count = copies[near]
-        if own is not None:
-            count = count + own * (near == np.arange(start, start + len(block))[:, None])
-        covered = np.cumsum(count, axis=1) >= k
-        last = np.where(covered.any(axis=1), covered.argmax(axis=1) + 1, width + 1)
-        if reach is not None:
-            closer = found < reach[start : start + len(block), None]
-            last = np.minimum(last, closer.sum(axis=1))
-        distances += [found[i, :n] for i, n in enumerate(last)]
-        counts += [count[i, :n] for i, n in enumerate(last)]
-    return distances, counts
-
-
-def _kth(nearest: Column, k: int) -> Column:
+    levels = max(0, math.ceil(math.log2(max(1.0, len(points) / max(LEAF_POINTS, 2 * k)))))
+    dims, cuts = _splits(points, levels)
+    leaf = _place(points, dims, cuts, levels)
+    order = np.argsort(leaf, kind="stable")
+    held = points[order]
+    leaves, firsts = np.unique(leaf[order], return_index=True)
+    low, high = _tree_boxes(leaves, np.minimum.reduceat(held, firsts), np.maximum.reduceat(held, firsts), levels)
+    members = {n: (held[i:j], copies[order[i:j]]) for n, i, j in zip(leaves.tolist(), firsts, [*firsts[1:], len(held)], strict=True)}
+    # an equal value on all sides adds nothing to a distance
+    varied = [d for d in range(points.shape[1]) if np.ptp(points[:, d]) or (queries[:, d] != points[0, d]).any()]
+    squares = np.full((len(queries), k + 1), math.inf)
+    counts = np.zeros((len(queries), k + 1), dtype=np.int64)
+
+    def look(rows: np.ndarray, at: int) -> None:
+        near, near_copies = members.get(at, (held[:0], copies[:0]))
+        step = max(1, BLOCK // (len(near) + k + 1))
+        for start in range(0, len(rows) if len(near) else 0, step):
+            part = rows[start : start + step]
+            block = queries[part]
+            found = np.zeros((len(block), len(near)))
+            for dim in varied:
+                found += (block[:, dim, None] - near[None, :, dim]) ** 2
+            count = np.repeat(near_copies[None, :], len(block), axis=0)
+            i, j = np.nonzero(found == 0)
+            same = (block[i] == near[j]).all(axis=1)
+            count[i[same], j[same]] += own
+            found = np.concatenate([squares[part], found], axis=1)
+            count = np.concatenate([counts[part], count], axis=1)
+            best = np.argpartition(found, k, axis=1)[:, : k + 1]
+            squares[part] = np.take_along_axis(found, best, axis=1)
+            counts[part] = np.take_along_axis(count, best, axis=1)
+
+    def look_by_leaf(rows: np.ndarray, nodes: np.ndarray) -> None:
+        by_leaf = np.argsort(nodes, kind="stable")
+        met, begin = np.unique(nodes[by_leaf], return_index=True)
+        for at, part in zip(met.tolist(), np.split(rows[by_leaf], begin[1:]), strict=True):
+            look(part, at)
+
+    def in_order() -> tuple[np.ndarray, np.ndarray]:
+        ascending = np.argsort(squares, axis=1, kind="stable")
+        return np.sqrt(np.take_along_axis(squares, ascending, axis=1)), np.take_along_axis(counts, ascending, axis=1)
+
+    first = _place(queries, dims, cuts, levels)
+    look_by_leaf(np.arange(len(queries)), first)
+    bound = _kth(*in_order(), k)
+    if reach is not None:
+        bound = np.minimum(bound, reach)
+    step = max(1, 4 * BLOCK >> levels)
+    for start in range(0, len(queries) if levels else 0, step):
+        rows, nodes = _reached(queries[start : start + step], bound[start : start + step], low, high, levels)
+        other = nodes != first[start + rows]
+        if other.any():
+            look_by_leaf(start + rows[other], nodes[other])
+    return in_order()
+
+
+def _kth(distances: np.ndarray, copies: np.ndarray, k: int) -> np.ndarray:
     """Distance at which ``k`` copies are covered; infinite if there are fewer."""
-    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(math.inf).alias("distance"))
-
-    def step(state: Column, item: Column) -> Column:
-        seen = state["seen"] + item["copies_near"]
-        reached = F.when(seen >= k, item["distance"]).otherwise(F.lit(math.inf))
-        after = F.struct(seen.alias("seen"), reached.alias("distance"))
-        return F.when(state["seen"] >= k, state).otherwise(after)
-
-    return F.aggregate(F.array_sort(nearest), start, step)["distance"]
+    covered = np.cumsum(copies, axis=1) >= k
+    return np.where(covered.any(axis=1), distances[np.arange(len(distances)), covered.argmax(axis=1)], math.inf)
 
 
 class _Cells(NamedTuple):
-    """Distinct points dealt to the cells of a tree (``placed``), and each with what its own cell
-    bounds (``bounded``: ``nearest`` neighbours there, ``reach`` to the k-th)."""
+    """Distinct points dealt to the cells of a tree, each with its ``reach``: the distance to the k-th in its own cell."""
 
-    placed: DataFrame
     bounded: DataFrame
     names: list[str]
     fields: str
     tasks: int
     levels: int
+    own: int
+
+
+def _scored_rows(loans: DataFrame, features: Sequence[str], key: str) -> DataFrame:
+    """Key and features of the rows with a value in every feature, written once: points and scores both read them."""
+    return cut_lineage(loans.select(col(key), *[col(c).cast("double").alias(c) for c in features]).na.drop(subset=list(features)))
 
 
 def _points(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -152,32 +193,23 @@ def _in_cells(points: DataFrame, k: int, include_self: bool, turn: np.ndarray |
 
     @F.pandas_udf("int")
     def cell_of(batch: pd.DataFrame) -> pd.Series:
-        split_dims, split_cuts, depth = shared_splits.value
         values = batch.to_numpy(dtype=float)
-        values = values if turn is None else values @ turn
-        at = np.ones(len(values), dtype=int)
-        rows = np.arange(len(values))
-        for _ in range(depth):
-            at = 2 * at + (values[rows, split_dims[at]] > split_cuts[at])
-        return pd.Series(at.astype(np.int32))
+        return pd.Series(_place(values if turn is None else values @ turn, *shared_splits.value).astype(np.int32))
 
     own = 0 if include_self else -1
 
     def inside_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        values, counts = pdf[names].to_numpy(dtype=float), pdf["copies"].to_numpy()
-        distances, near = _nearest(values, values, counts, k, own)
-        return pdf.assign(distance=distances, copies_near=near)
+        values = pdf[names].to_numpy(dtype=float)
+        return pdf.assign(reach=_kth(*_nearest(values, values, pdf["copies"].to_numpy(), k, own), k))
 
-    tasks = max(1, 2**levels // CELLS_PER_TASK)
-    placed = cut_lineage(points.withColumn("cell", cell_of(F.struct(*names))))
+    tasks = 2**levels
     bounded = (
-        placed.repartition(tasks, "cell")
+        points.withColumn("cell", cell_of(F.struct(*names)))
+        .repartition(tasks, "cell")
         .groupBy("cell")
-        .applyInPandas(inside_cell, f"{fields}, copies bigint, cell int, {NEAREST}")
-        .withColumn("nearest", F.arrays_zip("distance", "copies_near"))
+        .applyInPandas(inside_cell, f"{fields}, copies bigint, cell int, reach double")
     )
-    bounded = cut_lineage(bounded.withColumn("reach", _kth(F.col("nearest"), k)))
-    return _Cells(placed, bounded, names, fields, tasks, levels)
+    return _Cells(cut_lineage(bounded), names, fields, tasks, levels, own)
 
 
 def kth_distance(
@@ -189,7 +221,7 @@ def kth_distance(
     neighbours at distance zero. Null where there are fewer than ``k`` neighbours.
     """
     cells = _in_cells(_points(df, features), k, include_self)
-    merged = _search_other_cells(cells.placed, cells.bounded, cells.names, cells.fields, k, cells.tasks, cells.levels)
+    merged = _search_other_cells(cells, cells.bounded, k)
     distance = F.when(F.col("reach") < math.inf, F.col("reach"))
     return merged.select(
         *[F.col(n).alias(c) for c, n in zip(features, cells.names, strict=True)],
@@ -200,20 +232,21 @@ def kth_distance(
 def bounded_distance(
     df: DataFrame, features: Sequence[str], k: int = NEIGHBORS, include_self: bool = False, tables: int = TABLES
 ) -> tuple[DataFrame, _Cells]:
-    """Distinct points (``x0, ..., copies, reach``) with an upper bound of their k-th distance, at a cost in proportion to their number.
+    """Distinct points (``x0, ..., copies, reach, cell``) with an upper bound of their k-th distance, at a cost in proportion to their number.
 
     Each of ``tables`` trees splits space along other random directions into buckets of about
     CELL_POINTS points, and a point looks for neighbours in its own buckets only. The least
-    bound counts; infinite where all buckets hold fewer than ``k`` neighbours.
+    bound counts; infinite where all buckets hold fewer than ``k`` neighbours. The cell is that of
+    the first tree, which comes back too.
     """
     points, rng = _points(df, features), np.random.default_rng(11)
     first = _in_cells(points, k, include_self)
     kept = [*first.names, "copies", "reach"]
-    found = first.bounded.select(*kept)
+    found = first.bounded.select(*kept, "cell")
     for _ in range(tables - 1):
         turn = np.linalg.qr(rng.normal(size=(len(features), len(features))))[0]
-        found = found.unionAll(_in_cells(points, k, include_self, turn).bounded.select(*kept))
-    return cut_lineage(found.groupBy(*first.names, "copies").agg(F.min("reach").alias("reach"))), first
+        found = found.unionAll(_in_cells(points, k, include_self, turn).bounded.select(*kept, F.lit(None).cast("int").alias("cell")))
+    return cut_lineage(found.groupBy(*first.names, "copies").agg(F.min("reach").alias("reach"), F.max("cell").alias("cell"))), first
 
 
 def pruned_knn_outliers(
@@ -236,7 +269,7 @@ def pruned_knn_outliers(
     ``exact`` false. With ``refine=False`` bounds stand for distances throughout and the
     flags are approximate. Rows with fewer than ``k`` neighbours have no distance, as there.
     """
-    rows = loans.select(col(key), *[col(c).cast("double").alias(c) for c in features]).na.drop(subset=list(features))
+    rows = _scored_rows(loans, features, key)
     bounds, cells = bounded_distance(rows, features, k, include_self, tables)
     distinct, total = bounds.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     wanted = int(total * contamination) + 2
@@ -246,8 +279,7 @@ def pruned_knn_outliers(
         finite = bounds.select(F.least("reach", F.lit(sys.float_info.max)).alias("reach"))
         least = exact_quantiles(finite, ["reach"], [max(0.0, 1 - more / distinct)])["reach"][0]
         chosen = F.col("reach") >= F.lit(least)
-        asked = bounds.filter(chosen).join(cells.bounded.select(*cells.names, "cell", "nearest"), cells.names)
-        searched = _search_other_cells(cells.placed, cut_lineage(asked), cells.names, cells.fields, k, cells.tasks, cells.levels)
+        searched = _search_other_cells(cells, cut_lineage(bounds.filter(chosen)), k)
         known = searched.select(*cells.names, F.col("reach").alias("found"))
         points = cut_lineage(
             bounds.join(known, cells.names, "left").select(
@@ -270,13 +302,11 @@ def pruned_knn_outliers(
     return scored.withColumn("outlier", F.coalesce(F.col("knn_distance") > F.lit(limit), F.lit(False)))
 
 
-def _tree_boxes(boxes: pd.DataFrame, names: list[str], levels: int) -> tuple[np.ndarray, np.ndarray]:
+def _tree_boxes(cells: np.ndarray, least: np.ndarray, greatest: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest corner of every node of the tree; those of empty cells are never met."""
-    low = np.full((2 ** (levels + 1), len(names)), math.inf)
+    low = np.full((2 ** (levels + 1), least.shape[1]), math.inf)
     high = -low
-    cells = boxes["cell"].to_numpy()
-    low[cells] = boxes[[f"lo_{n}" for n in names]].to_numpy()
-    high[cells] = boxes[[f"hi_{n}" for n in names]].to_numpy()
+    low[cells], high[cells] = least, greatest
     for node in range(levels - 1, -1, -1):
         own, below = slice(2**node, 2 ** (node + 1)), slice(2 ** (node + 1), 2 ** (node + 2))
         low[own] = np.minimum(low[below][0::2], low[below][1::2])
@@ -296,37 +326,37 @@ def _reached(
         rows, nodes = np.repeat(rows, 2), np.stack([2 * nodes, 2 * nodes + 1], axis=1).ravel()
         x = values[rows]
         gap = np.maximum(np.maximum(low[nodes] - x, x - high[nodes]), 0)
-        meets = (gap * gap).sum(axis=1) < reach[rows] ** 2
+        # the margin is for rounding of roots
+        meets = (gap * gap).sum(axis=1) < reach[rows] ** 2 * (1 + 1e-12)
         rows, nodes = rows[meets], nodes[meets]
     return rows, nodes
 
 
-def _search_other_cells(
-    placed: DataFrame,
-    bounded: DataFrame,
-    names: list[str],
-    fields: str,
-    k: int,
-    tasks: int,
-    levels: int,
-) -> DataFrame:
-    """Merge each point's candidates with those of every cell its bound reaches."""
+def _search_other_cells(cells: _Cells, asked: DataFrame, k: int) -> DataFrame:
+    """The points asked for (names, ``reach``, ``cell``), their reach brought down by all cells it meets."""
+    names, fields, tasks, levels, own = cells.names, cells.fields, cells.tasks, cells.levels, cells.own
+    placed = cells.bounded.select(*names, "copies", "cell")
     boxes = placed.groupBy("cell").agg(
         *[F.min(n).alias(f"lo_{n}") for n in names], *[F.max(n).alias(f"hi_{n}") for n in names]
     )
-    shared = placed.sparkSession.sparkContext.broadcast(_tree_boxes(boxes.toPandas(), names, levels))
+    found = boxes.toPandas()
+    corners = [found[[f"{side}_{n}" for n in names]].to_numpy(dtype=float) for side in ("lo", "hi")]
+    shared = placed.sparkSession.sparkContext.broadcast(_tree_boxes(found["cell"].to_numpy(dtype=int), *corners, levels))
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         low, high = shared.value
         for batch in batches:
             for start in range(0, len(batch), VISITORS):
                 part = batch.iloc[start : start + VISITORS]
-                rows, cells = _reached(part[names].to_numpy(dtype=float), part["reach"].to_numpy(), low, high, levels)
-                other = cells != part["cell"].to_numpy()[rows]
-                yield part.iloc[rows[other]][names + ["reach"]].assign(cell=cells[other])
+                rows, met = _reached(part[names].to_numpy(dtype=float), part["reach"].to_numpy(), low, high, levels)
+                # a reach that stays within the own cell is final
+                leaves = np.zeros(len(part), dtype=bool)
+                leaves[rows[met != part["cell"].to_numpy()[rows]]] = True
+                rows, met = rows[leaves[rows]], met[leaves[rows]]
+                yield part.iloc[rows][names + ["reach"]].assign(cell=met)
 
     queries = cut_lineage(
-        bounded.select(*names, "reach", "cell").mapInPandas(
+        asked.select(*names, "reach", "cell").mapInPandas(
             visits, f"{fields}, reach double, cell int"
         )
     )
@@ -347,28 +377,31 @@ def _search_other_cells(
         "task", F.explode(F.sequence(F.lit(0), F.col("_held") - 1))
     ).drop("_held")
 
-    def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        values, points = asked[names].to_numpy(dtype=float), held[names].to_numpy(dtype=float)
-        reach = asked["reach"].to_numpy()
-        distances, near = _nearest(values, points, held["copies"].to_numpy(), k, reach=reach)
-        return asked[names].assign(distance=distances, copies_near=near)
+    def search(visitors: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        values, points = visitors[names].to_numpy(dtype=float), held[names].to_numpy(dtype=float)
+        reach = visitors["reach"].to_numpy()
+        if not len(values) or not len(points):
+            return pd.DataFrame(columns=[*names, "distance", "copies_near"])
+        distances, near = _nearest(values, points, held["copies"].to_numpy(), k, own, reach)
+        last = (distances < reach[:, None]).sum(axis=1)
+        closer = np.flatnonzero(last)
+        return visitors[names].iloc[closer].assign(
+            distance=[distances[i, : last[i]] for i in closer], copies_near=[near[i, : last[i]] for i in closer]
+        )
 
     extra = (
         spread.repartition(tasks, "cell", "task")
         .groupBy("cell", "task")
         .cogroup(copies.repartition(tasks, "cell", "task").groupBy("cell", "task"))
         .applyInPandas(search, f"{fields}, {NEAREST}")
-        .withColumn("nearest", F.arrays_zip("distance", "copies_near"))
-        .filter(F.size("nearest") > 0)
-        .select(*names, "nearest")
     )
-    # Of all other cells' candidates a point keeps its k nearest, cut per task before the shuffle.
-    each = extra.select(*names, F.explode("nearest").alias("near"))
-    nearest = W.partitionBy(*names).orderBy("near.distance")
-    few = each.withColumn("_rank", F.row_number().over(nearest)).filter(F.col("_rank") <= k)
-    few = few.groupBy(*names).agg(F.collect_list("near").alias("nearest"))
-    everything = bounded.select(*names, "nearest").unionByName(few)
-    return everything.groupBy(*names).agg(_kth(F.flatten(F.collect_list("nearest")), k).alias("reach"))
+    # Of all cells' candidates a point keeps its nearest, cut per task before the shuffle; one may be itself.
+    each = extra.select(*names, F.inline(F.arrays_zip("distance", "copies_near")))
+    nearest = W.partitionBy(*names).orderBy("distance")
+    few = each.withColumn("_rank", F.row_number().over(nearest)).filter(F.col("_rank") <= k + 1)
+    seen = few.withColumn("_seen", F.sum("copies_near").over(nearest.rowsBetween(W.unboundedPreceding, 0)))
+    better = seen.filter(F.col("_seen") >= k).select(*names, F.col("distance").alias("reach"))
+    return asked.select(*names, "reach").unionByName(better).groupBy(*names).agg(F.min("reach").alias("reach"))
 
 
 def knn_outliers(
@@ -383,9 +416,7 @@ def knn_outliers(
 
     The threshold is the exact ``1 - contamination`` quantile over all loans.
     """
-    rows = loans.select(
-        col(key), *[col(c).cast("double").alias(c) for c in features]
-    ).na.drop(subset=list(features))
+    rows = _scored_rows(loans, features, key)
     distances = kth_distance(rows, features, k, include_self)
     scored = cut_lineage(rows.join(distances, list(features)))
     limit = exact_quantiles(scored, ["knn_distance"], [1 - contamination])["knn_distance"][0]

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -152,3 +153,45 @@ def test_pruned_outliers_of_tables_too_small(spark):
         df = spark.createDataFrame([(i, float(i)) for i in range(n)], "id long, a double")
         out = neighbors.pruned_knn_outliers(df, ["a"], "id").collect()
         assert len(out) == n and all(r.knn_distance is None and not r.outlier for r in out)
+
+
+def lattice(n, seed):
+    """Points of a few far slabs, close together within them, as loans are."""
+    rng = np.random.default_rng(seed)
+    sides = [rng.integers(0, 3, n) * 10_000, rng.integers(0, 4, n) * 10_000, rng.integers(0, 180, n), rng.integers(0, 5, n), rng.integers(0, 7, n)]
+    values = np.unique(np.stack(sides, axis=1).astype(float), axis=0)
+    return values, rng.integers(1, 4, len(values))
+
+
+@pytest.mark.parametrize("own", [0, -1])
+def test_search_in_a_cell_equals_brute_force(own):
+    values, copies = lattice(2500, 5)
+    got = neighbors._kth(*neighbors._nearest(values, values, copies, 15, own), 15)
+    for i in range(0, len(values), 7):
+        far = np.sqrt(((values - values[i]) ** 2).sum(axis=1))
+        count = copies + own * (np.arange(len(values)) == i)
+        order = np.argsort(far, kind="stable")
+        assert got[i] == far[order][np.argmax(np.cumsum(count[order]) >= 15)]
+
+
+def test_search_in_a_cell_grows_with_its_points():
+    """Eight times the points took 64 times as long when each was held against all of its cell."""
+
+    def seconds(n):
+        values, copies = lattice(n, 3)
+        spans = []
+        for _ in range(3):
+            start = time.perf_counter()
+            neighbors._nearest(values, values, copies, 15, -1)
+            spans.append(time.perf_counter() - start)
+        return min(spans) / len(values)
+
+    assert seconds(16_000) < 3 * seconds(2000)
+
+
+def test_splits_leave_points_on_both_sides():
+    """More than half of the points at the greatest value: the median alone would cut nothing off."""
+    sample = np.array([[9.0, float(i)] for i in range(60)] + [[-90.0, float(i)] for i in range(40)])
+    dims, cuts = neighbors._splits(sample, 1)
+    over = sample[:, dims[1]] > cuts[1]
+    assert 0 < over.sum() < len(sample)
