@@ -44,6 +44,8 @@ CELL_POINTS = 8192
 LEAF_POINTS = 64
 #: Random trees that bounds are taken from.
 TABLES = 3
+#: Points that trees after the first look for, as a multiple of the outliers wanted.
+LOOKED_AGAIN = 8
 SAMPLE_PER_CELL = 32
 SAMPLE_FLOOR = 4096
 BLOCK = 1 << 20
@@ -127,6 +129,8 @@ def _nearest(
             counts[part] = np.take_along_axis(count, best, axis=1)
 
     def look_by_leaf(rows: np.ndarray, nodes: np.ndarray) -> None:
+        if not len(rows):
+            return
         by_leaf = np.argsort(nodes, kind="stable")
         met, begin = np.unique(nodes[by_leaf], return_index=True)
         for at, part in zip(met.tolist(), np.split(rows[by_leaf], begin[1:]), strict=True):
@@ -145,8 +149,7 @@ def _nearest(
     for start in range(0, len(queries) if levels else 0, step):
         rows, nodes = _reached(queries[start : start + step], bound[start : start + step], low, high, levels)
         other = nodes != first[start + rows]
-        if other.any():
-            look_by_leaf(start + rows[other], nodes[other])
+        look_by_leaf(start + rows[other], nodes[other])
     return in_order()
 
 
@@ -180,8 +183,12 @@ def _points(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def _in_cells(points: DataFrame, k: int, include_self: bool, turn: np.ndarray | None = None) -> _Cells:
-    """Split the points, turned by a matrix if one is given, and search each cell by itself."""
-    names = [n for n in points.columns if n != "copies"]
+    """Split the points, turned by a matrix if one is given, and search each cell by itself.
+
+    With a column ``sought`` only its points are looked for, among all, and come back.
+    """
+    names = [n for n in points.columns if n not in ("copies", "sought")]
+    some = "sought" in points.columns
     fields = ", ".join(f"{n} double" for n in names)
     total = points.count()
     levels = max(1, math.ceil(math.log2(max(1.0, total / CELL_POINTS))))
@@ -200,7 +207,9 @@ def _in_cells(points: DataFrame, k: int, include_self: bool, turn: np.ndarray |
 
     def inside_cell(pdf: pd.DataFrame) -> pd.DataFrame:
         values = pdf[names].to_numpy(dtype=float)
-        return pdf.assign(reach=_kth(*_nearest(values, values, pdf["copies"].to_numpy(), k, own), k))
+        asked = pdf[pdf["sought"]] if some else pdf
+        found = _nearest(asked[names].to_numpy(dtype=float), values, pdf["copies"].to_numpy(), k, own)
+        return asked[[*names, "copies", "cell"]].assign(reach=_kth(*found, k))
 
     tasks = 2**levels
     bounded = (
@@ -230,19 +239,31 @@ def kth_distance(
 
 
 def bounded_distance(
-    df: DataFrame, features: Sequence[str], k: int = NEIGHBORS, include_self: bool = False, tables: int = TABLES
+    df: DataFrame,
+    features: Sequence[str],
+    k: int = NEIGHBORS,
+    include_self: bool = False,
+    tables: int = TABLES,
+    contamination: float | None = None,
 ) -> tuple[DataFrame, _Cells]:
     """Distinct points (``x0, ..., copies, reach, cell``) with an upper bound of their k-th distance, at a cost in proportion to their number.
 
     Each of ``tables`` trees splits space along other random directions into buckets of about
     CELL_POINTS points, and a point looks for neighbours in its own buckets only. The least
     bound counts; infinite where all buckets hold fewer than ``k`` neighbours. The cell is that of
-    the first tree, which comes back too.
+    the first tree, which comes back too. With ``contamination`` trees after the first look only for
+    the points that the first bounds highest, LOOKED_AGAIN times the outliers; the others keep that bound.
     """
     points, rng = _points(df, features), np.random.default_rng(11)
     first = _in_cells(points, k, include_self)
     kept = [*first.names, "copies", "reach"]
     found = first.bounded.select(*kept, "cell")
+    if contamination is not None and tables > 1:
+        distinct, total = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
+        high = F.least("reach", F.lit(sys.float_info.max))
+        share = min(1.0, LOOKED_AGAIN * (total * contamination + 1) / max(1, distinct))
+        least = exact_quantiles(found.select(high.alias("reach")), ["reach"], [1 - share])["reach"][0]
+        points = found.select(*first.names, "copies", (high >= F.lit(least)).alias("sought"))
     for _ in range(tables - 1):
         turn = np.linalg.qr(rng.normal(size=(len(features), len(features))))[0]
         found = found.unionAll(_in_cells(points, k, include_self, turn).bounded.select(*kept, F.lit(None).cast("int").alias("cell")))
@@ -270,7 +291,7 @@ def pruned_knn_outliers(
     flags are approximate. Rows with fewer than ``k`` neighbours have no distance, as there.
     """
     rows = _scored_rows(loans, features, key)
-    bounds, cells = bounded_distance(rows, features, k, include_self, tables)
+    bounds, cells = bounded_distance(rows, features, k, include_self, tables, contamination)
     distinct, total = bounds.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
     wanted = int(total * contamination) + 2
     points = bounds.withColumn("exact", F.lit(False))

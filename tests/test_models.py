@@ -195,3 +195,22 @@ def test_splits_leave_points_on_both_sides():
     dims, cuts = neighbors._splits(sample, 1)
     over = sample[:, dims[1]] > cuts[1]
     assert 0 < over.sum() < len(sample)
+
+
+def test_later_trees_look_for_high_bounds_alone(spark, monkeypatch):
+    """All points were looked for in every tree; those far below the threshold need one bound only."""
+    monkeypatch.setattr(neighbors, "CELL_POINTS", 256)
+    looked_for, search = [], neighbors._in_cells
+
+    def counted(*args):
+        cells = search(*args)
+        looked_for.append(cells.bounded.count())
+        return cells
+
+    monkeypatch.setattr(neighbors, "_in_cells", counted)
+    values = clustered(3000, 7)
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(values)], "id long, a double, b double, c double")
+    pruned = {r.id: r.outlier for r in neighbors.pruned_knn_outliers(df, ["a", "b", "c"], "id", contamination=0.01).collect()}
+    assert looked_for[0] == len(np.unique(values, axis=0)) and all(0 < n < looked_for[0] / 8 for n in looked_for[1:])
+    exact = {r.id: r.outlier for r in neighbors.knn_outliers(df, ["a", "b", "c"], "id", contamination=0.01).collect()}
+    assert pruned == exact
