@@ -8,6 +8,10 @@ many, first each with the most central ones (those with fewest rarer shingles),
 their components are known, all that lie in different components. So links between texts
 of one component may go unchecked, but none between components does.
 
+Sketches of a thirtieth of a set's size first rule out pairs that differ too much. Of the
+others each document meets its first partner, and the rest is compared only across the
+components found then, so sets are sent about once per document, however large its group.
+
 Pairs are verified per document and block of partners. The partners' ordered sets form a
 trie, walked in order: partners that start alike share the overlap counted so far, and a
 subtree ends as soon as what remains cannot reach the threshold.
@@ -304,8 +308,22 @@ def bit_map(ids: DataFrame, name: str) -> np.ndarray:
     return found
 
 
+def sketch(items: np.ndarray) -> bytes:
+    """Parities of how many shingles fall on each bit, of two to four bits a shingle."""
+    bits = max(64, 1 << (2 * len(items) - 1).bit_length())
+    odd = np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """At most so many shingles as are in one set only; the longer sketch is folded to the other's size."""
+    short, long = sorted((np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")), key=len)
+    folded = np.bitwise_xor.reduce(long.reshape(-1, len(short)), axis=0)
+    return int(np.bitwise_count(folded ^ short).sum())
+
+
 def fetch_sets(docs: DataFrame, holders: DataFrame, pairs: DataFrame, order) -> DataFrame:
-    """``key, items`` in global order for all keys in ``pairs``, made anew from their holders' texts.
+    """``key, n, sketch, items`` in global order for all keys in ``pairs``, made anew from their holders' texts.
 
     Holders are told by a filter of fixed size. What it lets through besides is not asked
     for, or the same set again.
@@ -324,11 +342,29 @@ def fetch_sets(docs: DataFrame, holders: DataFrame, pairs: DataFrame, order) ->
                 found = {k: s for s in sets if (k := set_key(s)) not in known}
                 known |= found.keys()
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pack([order.value.arrange(s) for s in found.values()])], ["key", "items"])
+                    own = list(found.values())
+                    sizes, sketches = pa.array(list(map(len, own)), pa.int32()), pa.array(list(map(sketch, own)), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), sizes, sketches, pack([order.value.arrange(s) for s in own])], ["key", "n", "sketch", "items"])
                 if len(known) > 500_000:
                     known.clear()
 
-    return cut_lineage(docs.select("text", spot.alias("spot")).mapInArrow(run, "key long, items binary"))
+    return cut_lineage(docs.select("text", spot.alias("spot")).mapInArrow(run, "key long, n int, sketch binary, items binary"))
+
+
+def sift(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sketches let them link; none that links is left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (column(batch, c).to_numpy() for c in ("n", "m"))
+            most = n + m - 2 * least_overlap(n, m)
+            drawn = zip(column(batch, "x").to_pylist(), column(batch, "y").to_pylist(), most.tolist(), strict=True)
+            kept = pa.array([sketch_distance(x, y) <= d for x, y, d in drawn], pa.bool_())
+            yield pa.RecordBatch.from_arrays([column(batch, c).filter(kept) for c in ("a", "b")], ["a", "b"])
+
+    left = sets.select(F.col("key").alias("a"), "n", F.col("sketch").alias("x"))
+    right = sets.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(run, "a long, b long")
 
 
 def trie_links(probe: np.ndarray, partners: list[np.ndarray]) -> np.ndarray:
@@ -400,6 +436,22 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def find_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` among the pairs that give the same components as all of them."""
+    likely = cut_lineage(sift(pairs, sets))
+    first = cut_lineage(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = cut_lineage(verify(first, sets))
+    labels = connect(links)
+    named = likely.join(first, ["a", "b"], "left_anti")
+    for end, label in (("a", "x"), ("b", "y")):
+        named = named.join(labels.select(F.col("node").alias(end), F.col("component").alias(label)), end, "left")
+    apart = named.filter(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
+    rest = cut_lineage(apart)
+    if rest.isEmpty():
+        return links
+    return links.unionAll(cut_lineage(verify(rest, sets)))
+
+
 def second_phase(groups: DataFrame, labels: DataFrame, checked: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of large groups that lie in different components, may link and were not checked before.
 
@@ -439,11 +491,11 @@ def join_rows(docs: DataFrame) -> DataFrame:
     counted = cut_lineage(count_pairs(proposed))
     may = _may_link(*(F.col(c) for c in ("n", "m", "met")), F.coalesce("p", F.lit(0)), F.coalesce("q", F.lit(0)), F.col("unseen"))
     pairs = cut_lineage(counted.filter(may).select("a", "b"))
-    links = cut_lineage(verify(pairs, fetch_sets(docs, holders, pairs, order)))
+    links = find_links(pairs, fetch_sets(docs, holders, pairs, order))
     labels = connect(links)
     later = cut_lineage(second_phase(proposed.filter("item is not null"), labels, pairs))
     if not later.isEmpty():
-        labels = connect(links.unionAll(cut_lineage(verify(later, fetch_sets(docs, holders, later, order)))))
+        labels = connect(links.unionAll(find_links(later, fetch_sets(docs, holders, later, order))))
     named = holders.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "holder", F.coalesce("component", "key").alias("label"))
     named = cut_lineage(named)
     first = F.min(F.struct(F.col("holder").isNull(), F.col("holder"), F.col("key").alias("first_key"))).alias("m")

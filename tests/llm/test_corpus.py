@@ -260,6 +260,39 @@ def test_shingles_that_share_48_bits_are_two(monkeypatch):
     assert len(items) == 3 and ngramjoin.unpack(ngramjoin.pack([items])[0].as_py()).tolist() == sorted(near.tolist())
 
 
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for size, other in ((1, 1), (30, 37), (200, 200), (500, 620)):
+        both = np.unique(rng.integers(0, 1 << 63, 2 * (size + other), dtype=np.uint64))
+        for shared in {0, size // 2, size - 1, size}:
+            x, y = both[:size], both[size - shared : size - shared + other]
+            apart = ngramjoin.sketch_distance(ngramjoin.sketch(x), ngramjoin.sketch(y))
+            assert apart <= size + other - 2 * shared and apart == ngramjoin.sketch_distance(ngramjoin.sketch(y), ngramjoin.sketch(x))
+    assert len(ngramjoin.sketch(both[:1000])) * 16 <= both[:1000].nbytes
+
+
+def test_sets_of_a_large_group_are_sent_once_each(spark, monkeypatch):
+    """A clique, a set below the threshold of all others and a pair of its own."""
+    sent = []
+
+    def verify(pairs, sets):
+        sent.append(sorted(tuple(r) for r in pairs.collect()))
+        return checked(pairs, sets)
+
+    checked = ngramjoin.verify
+    monkeypatch.setattr(ngramjoin, "verify", verify)
+    base = np.arange(1000, 1100, dtype=np.uint64)
+    own = {k: np.concatenate([base[:99], [np.uint64(5000 + k)]]) for k in range(12)}
+    own |= {20: np.concatenate([base[:50], np.arange(9000, 9050, dtype=np.uint64)]), 30: base + np.uint64(70000), 31: base + np.uint64(70000)}
+    own = {k: ngramjoin.mix(v) for k, v in own.items()}
+    rows = [(k, len(v), ngramjoin.sketch(v), v.astype("<u8").tobytes()) for k, v in own.items()]
+    sets = spark.createDataFrame([(k, n, bytearray(x), bytearray(y)) for k, n, x, y in rows], "key long, n int, sketch binary, items binary")
+    pairs = spark.createDataFrame([(a, b) for a in own for b in own if a < b and (a < 30) == (b < 30)], "a long, b long")
+    found = ngramjoin.connect(ngramjoin.find_links(pairs, sets))
+    assert sorted(tuple(r) for r in found.collect()) == [(k, 0) for k in range(12)] + [(30, 30), (31, 30)]
+    assert sent == [[(0, k) for k in range(1, 12)] + [(30, 31)]]
+
+
 def test_trie_shares_and_prunes():
     probe = np.arange(0, 100, dtype=np.uint64)
     near, far, longer = probe[5:].copy(), np.arange(500, 600, dtype=np.uint64), np.arange(0, 130, dtype=np.uint64)
