@@ -9,6 +9,9 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+#: Whether a query's shuffle files are removed at its end.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Session settings that the wide projections and partitioned writes rely on.
@@ -82,11 +85,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it from there.
 
     What follows neither repeats the work nor depends on any executor, reads only the
-    columns it needs, and plans joins with the true size.
+    columns it needs, and plans joins with the true size. The shuffle files of the write go
+    as soon as it is done; else they stay until the driver happens to collect its garbage.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def written_and_measured(df: DataFrame, measure: Column, keep: Column | None = None) -> tuple[DataFrame, object]:

@@ -293,6 +293,22 @@ def test_sets_of_a_large_group_are_sent_once_each(spark, monkeypatch):
     assert sent == [[(0, k) for k in range(1, 12)] + [(30, 31)]]
 
 
+def test_shuffle_files_go_with_the_write(spark):
+    from lendframe.session import DROP_SHUFFLES, cut_lineage
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().endswith(".data")}
+
+    before = files()
+    kept = cut_lineage(spark.range(100_000).repartition(7, "id").groupBy("id").count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and kept.count() == 100_000
+    assert spark.conf.get(DROP_SHUFFLES, "false") == "false"
+
+
 def test_trie_shares_and_prunes():
     probe = np.arange(0, 100, dtype=np.uint64)
     near, far, longer = probe[5:].copy(), np.arange(500, 600, dtype=np.uint64), np.arange(0, 130, dtype=np.uint64)
