@@ -5,12 +5,16 @@ Each query works in a folder of its own under the shared folder.
 
 from __future__ import annotations
 
-import io
 import uuid
 import zipfile
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -33,23 +37,46 @@ def scratch(spark: SparkSession) -> Layout:
 
 
 def put_archives(rows: DataFrame, folder: str) -> None:
-    """Zip archives of the rows ``archive_name, member, header, line``, by position, one task per archive."""
-
-    def write(frame: pd.DataFrame) -> pd.DataFrame:
-        files, name = _filesystem(f"{folder}/{frame['archive_name'].iloc[0]}")
-        files.create_dir(name.rsplit("/", 1)[0], recursive=True)
-        held = io.BytesIO()
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("docs/readme.txt", "not a table")
-            for member, part in frame.groupby("member"):
-                lines = part.sort_values("src_pos")["line"]
-                archive.writestr(member, "\n".join([part["header"].iloc[0], *lines]) + "\n")
-        with files.open_output_stream(name) as sink:
-            sink.write(held.getvalue())
-        return pd.DataFrame({"archive_name": frame["archive_name"].iloc[:1], "rows": [len(frame)]})
-
-    needed = rows.select("archive_name", "member", "header", "line", "src_pos")
-    needed.groupBy("archive_name").applyInPandas(write, "archive_name string, rows long").write.format("noop").mode("overwrite").save()
+    """Zip archives of the rows ``archive_name, member, header, line``, by position, one task per archive.
+
+    Rows come sorted and are written as they come, so a task holds one batch of them,
+    however large the archive. It is written under a name of its own attempt and then renamed.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, runs in groupby(_runs(batches), itemgetter(0)):
+            files, path = _filesystem(f"{folder}/{name}")
+            parent, _, file = path.rpartition("/")
+            files.create_dir(parent, recursive=True)
+            attempt, count = f"{parent}/.{file}.{uuid.uuid4().hex}", 0
+            with files.open_output_stream(attempt) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("docs/readme.txt", "not a table")
+                for member, parts in groupby(runs, itemgetter(1)):
+                    if member is None:
+                        count += sum(len(lines) for *_, lines in parts)
+                        continue
+                    with archive.open(member, "w", force_zip64=True) as out:
+                        for k, (_, _, header, lines) in enumerate(parts):
+                            out.write(("\n".join([*([header.as_py()] if not k else []), *lines.to_pylist()]) + "\n").encode())
+                            count += len(lines)
+            files.move(attempt, path)
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([count], pa.int64())], ["archive_name", "rows"])
+
+    names = ["archive_name", "member", "header", "line"]
+    dealt = rows.select(*names, "src_pos").repartition("archive_name")
+    placed = dealt.sortWithinPartitions("archive_name", "member", F.asc_nulls_last("src_pos")).select(*names)
+    placed.mapInArrow(write, "archive_name string, rows long").write.format("noop").mode("overwrite").save()
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str | None, str | None, pa.Scalar, pa.Array]]:
+    """Archive, member, first header and lines of each stretch of rows of one member."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names, members, headers, lines = (batch.column(c) for c in range(4))
+        ends = np.unique(np.concatenate([pc.run_end_encode(c).run_ends.to_numpy() for c in (names, members)])).tolist()
+        for start, end in zip([0, *ends[:-1]], ends, strict=True):
+            yield names[start].as_py(), members[start].as_py(), headers[start], lines[start:end]
 
 
 def put_yearly(table: DataFrame, folder: str, kind: str) -> None:

@@ -482,3 +482,23 @@ def test_checkpoint_folder_is_shared_off_a_local_master(spark, monkeypatch):
             shared_uri(spark, path)
     assert layer_queries.archive_members(spark, "/root/testdata/sf0.001").count() > 0
     assert layer_queries.tract_dimension_rows(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_archives_are_written_as_a_stream(spark, folder):
+    """Rows of a member come in several batches; positions tell the order, not the rows' own."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = [("a.zip" if k % 3 else "b.zip", f"m{k % 2}.csv" if k != 9 else None, "x,y", f"{k},é", k) for k in reversed(range(20))]
+    table = spark.createDataFrame(rows, "archive_name string, member string, header string, line string, src_pos long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        layer_queries.put_archives(table, f"file://{folder}/raw")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(os.listdir(f"{folder}/raw")) == ["a.zip", "b.zip"]
+    for name in ("a.zip", "b.zip"):
+        with zipfile.ZipFile(f"{folder}/raw/{name}") as archive:
+            assert archive.testzip() is None and sorted(archive.namelist()) == ["docs/readme.txt", "m0.csv", "m1.csv"]
+            for member in ("m0.csv", "m1.csv"):
+                own = sorted(r[4:] + r[3:4] for r in rows if r[0] == name and r[1] == member)
+                assert archive.read(member).decode() == "\n".join(["x,y", *(line for _, line in own)]) + "\n"
+                assert archive.getinfo(member).flag_bits & 8  # its size was not known when it began
