@@ -33,6 +33,7 @@ from ..sources.listing import (
 
 logger = logging.getLogger(__name__)
 RESCUED = "_rescued_line"
+TABLE_FACTS = ("_table_source", "_table_year", "_table_type")
 LONG_LINES = ("fail", "report", "lossy")
 
 
@@ -68,6 +69,23 @@ def archive_members(
     return listed.join(archives.select("path", "year", "source"), ["path", "year"]).withColumn("source", named)
 
 
+def _with_table_facts(df: DataFrame, tables: DataFrame, numbered: bool) -> tuple[DataFrame, Column, Column]:
+    """Rows beside the facts of the table they came from, its file type and its year; ``numbered`` adds ``_row``.
+
+    The facts are joined as a table, so the plan stays small however many tables there are. If
+    one has no known type, any row of the group stops the job.
+    """
+    if numbered:
+        df = with_row_numbers(df, "_row")
+    named = [F.col(c).alias(n) for c, n in zip(("source", "year"), TABLE_FACTS, strict=False)]
+    facts = cut_lineage(tables.select(*named, codes.file_type_post2018(F.col("path"), strict=False).alias(TABLE_FACTS[2]), "path"))
+    unknown = facts.filter(F.col(TABLE_FACTS[2]).isNull()).select("path").first()
+    kind = F.col(TABLE_FACTS[2]) if unknown is None else codes.file_type_post2018(F.lit(unknown["path"]))
+    # one short row per table
+    joined = df.join(F.broadcast(facts.drop("path")), F.col("source") == F.col(TABLE_FACTS[0]), "left")
+    return joined, kind, F.col(TABLE_FACTS[1])
+
+
 def build_bronze(
     spark: SparkSession,
     layout: Layout,
@@ -105,7 +123,7 @@ def build_bronze(
     expanded = cut_lineage(expand_members(todo, layout.staging(dataset, era.name)))
     # one short row per table; the heads are cut to their header line first
     header = F.regexp_replace(F.substring_index("head", "\n", 1), "\r$", "")
-    tables = expanded.select("staged", "source", "year", "path", "delimiter", header.alias("header")).collect()
+    tables = expanded.select("staged", "source", "delimiter", header.alias("header")).collect()
     groups: dict[tuple[str, str], list] = {}
     for m in tables:
         groups.setdefault((m["delimiter"] or ",", m["header"]), []).append(m)
@@ -119,19 +137,14 @@ def build_bronze(
         # the folder of a staged table is its source
         df = df.withColumn("source", source_name())
 
-        def by_source(values: dict[str, Column]) -> Column:
-            pairs = [x for source, value in values.items() for x in (F.lit(source), value)]
-            return F.create_map(*pairs)[F.col("source")]
-
         if era.name == "post2018":
-            kinds = {m["source"]: codes.file_type_post2018(F.lit(m["path"])) for m in group}
+            of_group = (F.coalesce(F.nullif("delimiter", F.lit("")), F.lit(",")) == delimiter) & (header == header_line)
+            df, kind, year = _with_table_facts(df, expanded.filter(of_group), dataset == "loans")
+            df = df.withColumn("file_type", kind)
             if dataset == "loans":
-                years = by_source({m["source"]: F.lit(m["year"]) for m in group})
-                df = with_row_numbers(df, "_row").withColumn("file_type", by_source(kinds))
-                index = index_label(years, F.col("file_type"), F.col("_row"))
+                index = index_label(year, F.col("file_type"), F.col("_row"))
                 df = df.withColumn(INDEX_COLUMN, index).drop("_row")
-            else:
-                df = df.withColumn("file_type", by_source(kinds))
+            df = df.drop(*TABLE_FACTS)
             if dataset == "panel":
                 df = fix_panel_headers(df)
             df = drop_present(df, [*DERIVED_COLUMNS, *era.tracts])
@@ -142,7 +155,7 @@ def build_bronze(
         seen = Observation()
         write_partitioned(df.observe(seen, F.count_if(is_long).alias("long")).drop(RESCUED), target, ["source"])
         if seen.get["long"]:
-            logger.warning("%d lines with more than %d fields in %s", seen.get["long"], len(columns), paths)
+            logger.warning("%d lines with more than %d fields in %d tables, the first %s", seen.get["long"], len(columns), len(paths), paths[0])
             scan = read_text_table(spark, paths, delimiter, columns, rescued=RESCUED)
             lines = malformed_lines(scan, RESCUED, delimiter, len(columns)).filter("kind = 'long'")
             source = F.element_at(F.split("file", "/"), -2)

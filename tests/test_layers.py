@@ -502,3 +502,22 @@ def test_archives_are_written_as_a_stream(spark, folder):
                 own = sorted(r[4:] + r[3:4] for r in rows if r[0] == name and r[1] == member)
                 assert archive.read(member).decode() == "\n".join(["x,y", *(line for _, line in own)]) + "\n"
                 assert archive.getinfo(member).flag_bits & 8  # its size was not known when it began
+
+
+def test_the_plan_of_an_import_does_not_grow_with_its_tables(spark, folder, monkeypatch):
+    plans = []
+
+    def write(df, *rest):
+        plans.append(df._jdf.queryExecution().logical().toString())
+        return write_partitioned(df, *rest)
+
+    monkeypatch.setattr(bronze_plan, "write_partitioned", write)
+    for part in range(3):
+        put_zip(folder, "loans", f"2018_public_lar_one_year_p{part}_csv.zip", {"lar.csv": lar_text(2018, 4, ",")})
+    put_zip(folder, "loans", "2019_public_lar_three_year_csv.zip", {"lar.csv": lar_text(2019, 2, ",")})
+    layout = Layout(folder)
+    assert build_bronze(spark, layout, POST2018, "loans") == 4
+    assert len(plans) == 1 and "2018_public_lar" not in plans[0]
+    found = {(r["source"], r["file_type"], r["HMDAIndex"]) for r in read_bronze(spark, layout.bronze("loans", "post2018")).collect()}
+    wanted = {(f"2018_public_lar_one_year_p{p}", "b", f"2018b_{k:09d}") for p in range(3) for k in range(4)}
+    assert found == wanted | {("2019_public_lar_three_year", "a", f"2019a_{k:09d}") for k in range(2)}
