@@ -14,7 +14,7 @@ from pyspark.sql import Column, functions as F
 
 # What counts as a whole or a decimal number, and as white space.
 WHOLE_TEXT = r"^[+-]?[0-9]+$"
-FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+FLOAT_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -32,10 +32,18 @@ def to_whole(text: Column, kind: str = "bigint") -> Column:
     return F.when(text.rlike(WHOLE_TEXT), text.try_cast(kind))
 
 
+def is_double(text: Column) -> Column:
+    """Whether the text is a decimal number that a double can hold.
+
+    It stands as the condition of one branch. Around the finished value, Spark would push the bound
+    into the branches and match the pattern once for the bound and again for the value.
+    """
+    return text.rlike(FLOAT_TEXT) & (F.abs(text.try_cast("double")) < F.lit(float("inf")))
+
+
 def to_double(text: Column) -> Column:
     """Decimal text to double; padded, suffixed or non-finite text to null, too large a number as well."""
-    value = F.when(text.rlike(FLOAT_TEXT), text.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(is_double(text), text.try_cast("double"))
 
 
 def number(column: Column, data_type: str) -> Column:
@@ -96,13 +104,13 @@ def map_text(text: Column, pairs: Mapping[str, object]) -> Column:
 
 
 def map_number(
-    text: Column, pairs: Mapping[str, object], kind: str = "bigint", pattern: str = WHOLE_TEXT
+    text: Column, pairs: Mapping[str, object], kind: str = "bigint", is_number: Column | None = None
 ) -> Column:
     """Listed literals to their numbers, other number text to itself, the rest to null."""
     case = F
     for new, olds in _by_value(pairs).items():
         case = case.when(text.isin(*olds), F.lit(new).cast(kind))
-    return case.when(text.rlike(pattern), text.try_cast(kind))
+    return case.when(text.rlike(WHOLE_TEXT) if is_number is None else is_number, text.try_cast(kind))
 
 
 def strip(text: Column) -> Column:

@@ -22,9 +22,9 @@ from ..eras import (
 )
 from ..functions import codes
 from ..functions.casts import (
-    FLOAT_TEXT,
     code_text,
     col,
+    is_double,
     map_number,
     map_text,
     round_half_away,
@@ -82,8 +82,7 @@ def exempt_or_whole(text: Column) -> Column:
 
 
 def exempt_or_double(text: Column) -> Column:
-    value = map_number(text, EXEMPT, "double", FLOAT_TEXT)
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return map_number(text, EXEMPT, "double", is_double(text))
 
 
 def units_code(text: Column) -> Column:

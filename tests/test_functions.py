@@ -25,6 +25,14 @@ def test_to_double(spark):
     assert values(spark, text, casts.to_double) == want
 
 
+@pytest.mark.parametrize(("rule", "exempt"), [(casts.to_double, None), (harmonize.exempt_or_double, -99999.0)])
+def test_decimal_text_is_matched_once(spark, rule, exempt):
+    text = ["1.5", "1.5\n", ".5", "1e308", "-1e400", "9" * 400, "Exempt", " Exempt", "NA", "NaN", "", None]
+    assert values(spark, text, rule) == [1.5, 1.5, 0.5, 1e308, None, None, exempt, *[None] * 5]
+    plan = spark.createDataFrame([("1",)], "v string").select(rule(F.col("v")).alias("out"))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("RLIKE") == 1
+
+
 def test_zero_pad_never_cuts(spark):
     text = ["5", "-5", "+5", "1234567", "", None, "12345"]
     want = ["00005", "-0005", "+0005", "1234567", "00000", None, "12345"]
