dedup_last: only the columns the query returns go through deduplication

Symptom: the query shuffled every column of the loans and wrote them, and kept three of them afterwards.
Evidence: deduplication writes its result once, so the select behind it could not prune anything; the exchange carried whole rows, 19 MB written and read on sf0.1.
Fix: the three columns are selected after the record key is added and before deduplication; dedup_first, dedup_none and dedup_last_null_collapsed share that line. A test looks at the scan of the written plan.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 222 -> 158 s, shuffle 0.55 -> 0.10 GB, spill 0.00 -> 0.00 GB, read 0.15 -> 0.15 GB, longest task 13 -> 7 s, most memory of a task 506 -> 163 MB; at 6 GB of input CPU 736 -> 443 s, shuffle 2.23 -> 1.22 GB, spill 3.43 -> 0.00 GB, read 0.89 -> 0.88 GB, longest task 39 -> 22 s, most memory of a task 1762 -> 755 MB; with hot keys, at 1 GB of input CPU 255 -> 153 s, shuffle 0.52 -> 0.09 GB, spill 0.00 -> 0.00 GB, read 0.15 -> 0.15 GB, longest task 16 -> 7 s, most memory of a task 506 -> 163 MB.

@@ -348,8 +348,9 @@ def record_key_pre2018(spark, sf):
 
 def _dedup(spark, sf, keep, null_keys="keep"):
     keyed = identity.add_record_key(view(spark, sf, "lar_raw"), True)
-    unique = identity.deduplicate(keyed, "src_pos", keep, null_keys=null_keys)
-    return unique.select("src_pos", "hmda_record_key", "loan_amount", "_metadata_dedup_dropped")
+    # what is written can't be pruned by a later select
+    wanted = keyed.select("src_pos", "hmda_record_key", "loan_amount")
+    return identity.deduplicate(wanted, "src_pos", keep, null_keys=null_keys)
 
 
 @query

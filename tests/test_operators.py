@@ -276,6 +276,27 @@ def test_counted_dedup_has_one_shuffle_and_bounds_one_scan(spark, folder, monkey
     assert plans[-1].count("FileScan") == 1 and "Exchange" not in plans[-1]
 
 
+def test_dedup_query_sends_only_the_columns_it_returns(spark, folder, monkeypatch):
+    from lendframe.catalog.queries import QUERIES
+
+    orders = [(1, 7, 10_000.0), (1 + 9000 * 50, 7, 30_000.0), (2, 7, 20_000.0), (101, 7, 1.0), (202, 7, 1.0), (3, None, 1.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(7, 1)], "c_custkey long, c_nationkey int").write.parquet(f"{folder}/customer.parquet")
+    plans, plain = [], session.cut_lineage
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df)
+
+    monkeypatch.setattr(session, "cut_lineage", kept)
+    for name, first, dropped in (("dedup_last", {450_001}, 1), ("dedup_first", {1}, 1), ("dedup_none", set(), 2)):
+        rows = QUERIES[name](spark, folder).collect()
+        assert {r["src_pos"] for r in rows} == {2, 101, 202} | first
+        assert {r["_metadata_dedup_dropped"] for r in rows} == {dropped}
+        assert {r["hmda_record_key"] is None for r in rows if r["src_pos"] in (101, 202)} == {True}
+        assert "o_totalprice" in plans[-1] and "c_nationkey" not in plans[-1]
+
+
 def test_exempt_reporters_bounds(spark):
     rows = [(1, "p", "2024", "1111", "Exempt"), (2, "p", "2024", "1", "3"), (3, "q", "2024", "1", "2"), (4, None, "2024", "Exempt", "1111")]
     df = spark.createDataFrame(rows, "id int, lei string, activity_year string, aus_1 string, loan_term string")
