@@ -66,7 +66,7 @@ def deduplicate(
     keys = [col(c) for c in subset]
     any_null = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
     if count_dropped:
-        return _counted(df, keys, any_null if null_keys == "keep" else None, order_by, keep)
+        return _counted(df, subset, any_null if null_keys == "keep" else None, order_by, keep)
     place = col(order_by).desc() if keep == "last" else col(order_by).asc()
     if null_keys == "keep":
         marked = df.withColumn("_spread", F.when(any_null, col(order_by)))
@@ -83,19 +83,31 @@ def deduplicate(
     return out
 
 
-def _counted(df: DataFrame, keys: Sequence[Column], alone: Column | None, order_by: str, keep: str) -> DataFrame:
-    """One row per key and the number of rows dropped, with one shuffle; rows that are ``alone`` are kept."""
+def _counted(df: DataFrame, subset: Sequence[str], alone: Column | None, order_by: str, keep: str) -> DataFrame:
+    """One row per key and the number of rows dropped, with one shuffle; rows that are ``alone`` are kept.
+
+    A key of plain text travels as the key alone, not again within the row: grouping changes no such
+    value, while it makes 0.0 of -0.0.
+    """
     spread = F.lit(None) if alone is None else F.when(alone, col(order_by)).cast("string")
-    row = F.struct(*[col(c) for c in df.columns])
+    kinds = dict(df.dtypes)
+    once = {c: f"_key{i}" for i, c in enumerate(subset) if kinds[c] == "string" and c != order_by}
+    row = F.struct(*[col(c) for c in df.columns if c not in once])
     pick = F.max_by if keep == "last" else F.min_by
-    by_key = df.groupBy(*[k.alias(f"_key{i}") for i, k in enumerate(keys)], spread.alias("_spread")).agg(
+    by_key = df.groupBy(*[col(c).alias(f"_key{i}") for i, c in enumerate(subset)], spread.alias("_spread")).agg(
         pick(row, col(order_by)).alias("_row"), F.count(F.lit(1)).alias("_copies")
     )
     copies = F.col("_copies")
     lost = F.when(copies > 1, copies).otherwise(0) if keep == "none" else copies - 1
     out, dropped = written_and_measured(by_key, F.sum(lost), copies == 1 if keep == "none" else None)
     dropped = F.lit(dropped or 0).cast("bigint").alias(DEDUP_DROPPED)
-    return out.select(*[F.col("_row")[c].alias(c) for c in df.columns], dropped)
+
+    def value(name: str) -> Column:
+        # no row is found where no copy has a position
+        found = F.when(F.col("_row").isNotNull(), F.col(once[name])) if name in once else F.col("_row")[name]
+        return found.alias(name)
+
+    return out.select(*[value(c) for c in df.columns], dropped)
 
 
 def index_label(year: Column, file_type: Column, position: Column) -> Column:

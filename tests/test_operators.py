@@ -297,6 +297,28 @@ def test_dedup_query_sends_only_the_columns_it_returns(spark, folder, monkeypatc
         assert "o_totalprice" in plans[-1] and "c_nationkey" not in plans[-1]
 
 
+def test_counted_dedup_sends_a_text_key_once(spark, monkeypatch):
+    sent, plain = [], session.cut_lineage
+
+    def kept(df):
+        sent.append(df.schema["_row"].dataType.names)
+        return plain(df)
+
+    monkeypatch.setattr(session, "cut_lineage", kept)
+    rows = [("a", -0.0, 1, "x"), ("a", 0.0, 2, "y"), ("b", 1.0, None, "z"), (None, 1.0, 3, "u"), (None, 1.0, 4, "v"), ("", None, 5, "w")]
+    df = spark.createDataFrame(rows, "k string, d double, pos long, v string")
+    out = {tuple(r) for r in identity.deduplicate(df, "pos", "first", ("k", "d")).collect()}
+    # a key whose copies have no position gives a row of nulls; -0.0 and 0.0 are one key
+    assert out == {("a", -0.0, 1, "x", 1), (None, None, None, None, 1), (None, 1.0, 3, "u", 1), (None, 1.0, 4, "v", 1), ("", None, 5, "w", 1)}
+    assert sent == [["d", "pos", "v"]]
+    first = identity.deduplicate(df, "pos", "first", ("d",)).filter("v = 'x'").first()
+    assert math.copysign(1, first["d"]) == -1
+    collapsed = {tuple(r)[:4] for r in identity.deduplicate(df, "pos", "last", ("k",), "collapse").collect()}
+    assert collapsed == {("a", 0.0, 2, "y"), (None, None, None, None), (None, 1.0, 4, "v"), ("", None, 5, "w")}
+    by_text = {tuple(r) for r in identity.deduplicate(df.select("k", "v"), "v", "none", ("k",)).collect()}
+    assert by_text == {("b", "z", 2), (None, "u", 2), (None, "v", 2), ("", "w", 2)}
+
+
 def test_exempt_reporters_bounds(spark):
     rows = [(1, "p", "2024", "1111", "Exempt"), (2, "p", "2024", "1", "3"), (3, "q", "2024", "1", "2"), (4, None, "2024", "Exempt", "1111")]
     df = spark.createDataFrame(rows, "id int, lei string, activity_year string, aus_1 string, loan_term string")
